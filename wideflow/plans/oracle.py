@@ -126,3 +126,37 @@ def header_keyed_cte(year_default: str = "16", mode: str = "compat", rule: str =
 
 def with_(cte: str, select: str) -> str:
     return f"WITH {cte}\n{select}"
+
+
+def detail_keyed_cte(mode: str = "compat", lookups: str | None = None) -> str:
+    """CTEs ``dg`` (gated lines), ``dl`` (with code), ``dk0`` (key parts), ``dk`` (accepted)."""
+    gate = " AND ".join([f"NOT {blank(c)}" for c in ("xf_nsrsbh", "fpdm", "fphm", "fpmxxh", "kpyf")]
+                        + ["length(kpyf) > 4"])
+    key = f"(xfqybm || yy || fpbm || {jt('fpmxxh')})"
+    return ((lookups or lookups_cte()) + ",\n" + fixtures_cte("inv_detail") + ",\n"
+            f"dg AS (SELECT * FROM inv_detail WHERE {gate}),\n"
+            f"dl AS (SELECT dg.* REPLACE ('hive' AS sjly), COALESCE({nb('t.qybm')}, '-1') AS xfqybm FROM dg "
+            f"LEFT JOIN tx t ON t.row_key = {jt('dg.xf_nsrsbh')}),\n"
+            f"dk0 AS (SELECT *, {year('kpyf', None)} AS yy, {fpbm(jt('fpdm'), jt('fphm'), mode)} AS fpbm FROM dl),\n"
+            f"dk AS (SELECT {key} AS row_key, {DETAIL16}, xfqybm FROM dk0 WHERE yy IS NOT NULL AND fpbm IS NOT NULL "
+            f"AND xfqybm <> '-1' AND NOT contains({key}, '-'))")
+
+
+def unpivot_sql(src: str, cols: str, family: str, fill=None, key: str = "row_key") -> str:
+    parts = []
+    for c in [x.strip() for x in cols.split(",")]:
+        v = fill(c) if fill else c
+        parts.append(f"SELECT {key} AS row_key, '{family}' AS family, '{c}' AS qualifier, {v} AS value FROM {src}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def latest_sql(src: str, part: str = "row_key, family, qualifier",
+               cols: str = "row_key, family, qualifier, ts, seq, value") -> str:
+    return (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {part} "
+            f"ORDER BY ts DESC NULLS LAST, seq DESC NULLS LAST, value DESC NULLS LAST) AS rn_ FROM {src}) WHERE rn_ = 1")
+
+
+def dedupe_sql(src: str, key: str, order_cols: str, cols: str) -> str:
+    order = ", ".join(f"{c.strip()} DESC NULLS LAST" for c in order_cols.split(","))
+    return (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn_ "
+            f"FROM {src}) WHERE rn_ = 1")

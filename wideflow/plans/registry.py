@@ -1,26 +1,47 @@
 """Registered queries: name -> (Spark builder, DuckDB oracle SQL or None).
 
-Each builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole tables in ``sf_dir``. Column names are identical on both sides.
+Each builder takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+tables in ``sf_dir``. Column names are identical on both sides. Builders of
+write paths (upserts, bulk layout, CSV, text) write to a fresh folder under the
+session's checkpoint folder and return what they read back.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schema import HEADER_STORED_COLS
+from ..functions import keys as K
+from ..functions import text as X
+from ..operators import cells as C
+from ..operators import merge as M
+from ..operators.enrich import header_codes, seller_code_by_tax
+from ..schema import DETAIL_COLS, HEADER_COLS, HEADER_FAMILY, HEADER_STORED_COLS
+from ..session import fresh_path
+from ..sinks import files as S
 from ..sources import fixtures as fx
 from ..sources.tables import scan_detail, scan_header
-from . import loads
+from . import loads, store
 from . import oracle as O
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
 YEAR = "16"
+RUN_TS = dt.datetime(2024, 2, 1)
+SPLIT_TS = dt.datetime(2024, 1, 16)
+KEY_FROM, KEY_TO = "00000010", "00000100"
+RANGE_FROM, RANGE_TO = "00000010", "00000020"
+T_FROM, T_TO = dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 15)
+EV_NAMES = ["click", "error", "purchase", "signup", "view"]
+PREVIEW_N = 10
+SALT = "9599TA7MVH42"
+
+W = O.with_
 
 
 def register(name: str, sql: str | None):
@@ -34,25 +55,504 @@ def _lk(spark, sf_dir):
     return fx.code_by_name(spark, sf_dir), fx.code_by_tax(spark, sf_dir)
 
 
-# ---------------------------------------------------------------- sources
+def _hdr(spark, sf_dir):
+    return fx.inv_header(spark, sf_dir)
+
+
+def _dtl(spark, sf_dir):
+    return fx.inv_detail(spark, sf_dir)
+
+
+def _header_keyed(spark, sf_dir, **kw):
+    return loads.header_keyed(_hdr(spark, sf_dir), *_lk(spark, sf_dir), year=YEAR, **kw)
+
+
+def _detail_keyed(spark, sf_dir):
+    return loads.detail_keyed(_dtl(spark, sf_dir), fx.code_by_tax(spark, sf_dir))
+
+
+def _blank_some_codes(by_name: DataFrame) -> DataFrame:
+    """Lookup twist for the variant rules: codes of keys ending in '3' become ''."""
+    return by_name.withColumn("qybm", F.when(F.right("row_key", F.lit(1)) == "3", F.lit("")).otherwise(F.col("qybm")))
+
+
+LOOKUPS_BLANKED = (O.fixtures_cte("code_by_name", "code_by_tax") + ",\n"
+                   "nm AS (SELECT row_key, max(CASE WHEN right(row_key, 1) = '3' THEN '' ELSE qybm END) AS qybm "
+                   "FROM code_by_name WHERE row_key IS NOT NULL AND row_key <> '' GROUP BY row_key),\n"
+                   "tx AS (SELECT row_key, max(qybm) AS qybm FROM code_by_tax WHERE row_key IS NOT NULL AND row_key <> '' GROUP BY row_key)")
 
-@register("scan_header", O.with_(O.fixtures_cte("inv_header"), f"SELECT {O.HEADER21} FROM inv_header"))
+HK = O.header_keyed_cte(YEAR)
+DK = O.detail_keyed_cte()
+CELLS = O.fixtures_cte("cells")
+TS = lambda d: f"TIMESTAMP '{d.isoformat(sep=' ')}'"
+
+
+# =============================================================== sources (SRC)
+
+@register("scan_header", W(O.fixtures_cte("inv_header"), f"SELECT {O.HEADER21} FROM inv_header"))
 def q_scan_header(spark, sf_dir):
-    return scan_header(spark, fx.inv_header(spark, sf_dir))
+    return scan_header(spark, _hdr(spark, sf_dir))
 
 
-@register("scan_detail", O.with_(O.fixtures_cte("inv_detail"), f"SELECT {O.DETAIL16} FROM inv_detail"))
+@register("scan_detail", W(O.fixtures_cte("inv_detail"), f"SELECT {O.DETAIL16} FROM inv_detail"))
 def q_scan_detail(spark, sf_dir):
-    return scan_detail(spark, fx.inv_detail(spark, sf_dir))
+    return scan_detail(spark, _dtl(spark, sf_dir))
 
 
-# ---------------------------------------------------------------- header load
+@register("cells_latest", W(CELLS, O.latest_sql("cells")))
+def q_cells_latest(spark, sf_dir):
+    return C.latest(fx.cells(spark, sf_dir))
+
+
+@register("cells_key_range", W(CELLS, O.latest_sql(
+    f"(SELECT * FROM cells WHERE row_key >= '{RANGE_FROM}' AND row_key < '{RANGE_TO}')")))
+def q_cells_key_range(spark, sf_dir):
+    return C.scan(fx.cells(spark, sf_dir), start=RANGE_FROM, stop=RANGE_TO)
+
+
+@register("cells_key_from", W(CELLS, O.latest_sql(f"(SELECT * FROM cells WHERE row_key >= '{KEY_TO}')")))
+def q_cells_key_from(spark, sf_dir):
+    return C.scan(fx.cells(spark, sf_dir), start=KEY_TO)
+
+
+@register("cells_time_range", W(CELLS, O.latest_sql(
+    f"(SELECT * FROM cells WHERE ts >= {TS(T_FROM)} AND ts < {TS(T_TO)})")))
+def q_cells_time_range(spark, sf_dir):
+    return C.scan(fx.cells(spark, sf_dir), ts_from=T_FROM, ts_to=T_TO)
+
+
+@register("cells_at_ts", W(CELLS, O.latest_sql("(SELECT * FROM cells WHERE ts = (SELECT min(ts) FROM cells))")))
+def q_cells_at_ts(spark, sf_dir):
+    cells = fx.cells(spark, sf_dir)
+    first_ts = cells.agg(F.min("ts")).first()[0]  # one scalar
+    return C.scan(cells, at_ts=first_ts)
+
+
+@register("multi_get", W(CELLS + ",\nk AS (SELECT lpad(CAST(c_custkey AS STRING), 8, '0') AS row_key FROM customer),\n"
+                         "hit AS (" + O.latest_sql("(SELECT * FROM cells WHERE family = 'ev' AND qualifier = 'purchase')",
+                                                   part="row_key", cols="row_key, value") + ")",
+                         "SELECT k.row_key, hit.value FROM k LEFT JOIN hit ON k.row_key = hit.row_key"))
+def q_multi_get(spark, sf_dir):
+    keys = fx.read_table(spark, sf_dir, "customer").select(
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("row_key"))
+    return C.multi_get(fx.cells(spark, sf_dir), keys, "ev", "purchase")
+
+
+# ================================================================= sinks (SNK)
+
+def _cells_out(df):
+    return df.select("row_key", "family", "qualifier", "value")
+
+
+@register("upsert_header", W(HK, O.unpivot_sql("hk", O.HEADER24, "fpxx", O.fill_nw)))
+def q_upsert_header(spark, sf_dir):
+    path = fresh_path(spark, "upsert_header")
+    store.load_header(_hdr(spark, sf_dir), *_lk(spark, sf_dir), YEAR, path, layout="put")
+    return _cells_out(C.latest(S.read_cells(spark, path)))
+
+
+DK_LWW = O.dedupe_sql("dk", "row_key", O.DETAIL16, "row_key, " + O.DETAIL16 + ", xfqybm")
+
+
+@register("upsert_detail", W(DK + f",\nd1 AS ({DK_LWW})", O.unpivot_sql("d1", O.DETAIL16, "fpmx", O.fill_m1)))
+def q_upsert_detail(spark, sf_dir):
+    path = fresh_path(spark, "upsert_detail")
+    store.load_detail(_dtl(spark, sf_dir), fx.code_by_tax(spark, sf_dir), path, layout="put")
+    return _cells_out(C.latest(S.read_cells(spark, path)))
+
+
+@register("bulk_header_cells", W(HK, O.unpivot_sql("hk", O.HEADER24, "fpxx", O.fill_m1)))
+def q_bulk_header_cells(spark, sf_dir):
+    path = fresh_path(spark, "bulk_header")
+    store.load_header(_hdr(spark, sf_dir), *_lk(spark, sf_dir), YEAR, path, layout="bulk")
+    return _cells_out(C.latest(S.read_cells(spark, path)))
+
+
+TGT = f"(SELECT * FROM cells WHERE ts >= {TS(SPLIT_TS)})"
+SRC = f"(SELECT * FROM cells WHERE ts < {TS(SPLIT_TS)} AND qualifier IN ('click', 'view'))"
+
+
+def _merge_sql(target: str, source_sel: str, restamp: bool = True) -> str:
+    ts = TS(RUN_TS) if restamp else "ts"
+    return W(CELLS + f",\nsl AS ({O.latest_sql(source_sel)}),\n"
+             f"sb AS (SELECT row_key, family, qualifier, {ts} AS ts, seq, value FROM sl),\n"
+             f"u AS (SELECT row_key, family, qualifier, ts, seq, value FROM {target} t UNION ALL SELECT * FROM sb)",
+             O.latest_sql("u"))
+
+
+SRC_KEYS = f"(SELECT * FROM {SRC} s WHERE family = 'ev' AND row_key >= '{KEY_FROM}' AND row_key < '{KEY_TO}')"
 
-@register("header_keyed", O.with_(O.header_keyed_cte(YEAR), "SELECT * FROM hk"))
-def q_header_keyed(spark, sf_dir):
-    return loads.header_keyed(fx.inv_header(spark, sf_dir), *_lk(spark, sf_dir), year=YEAR)
 
+def _target(spark, sf_dir):
+    return fx.cells(spark, sf_dir).filter(F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp_ntz"))
 
-@register("enrich_header", O.with_(O.enriched_cte(), "SELECT * FROM enr"))
+
+def _source(spark, sf_dir):
+    return fx.cells(spark, sf_dir).filter((F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz"))
+                                          & F.col("qualifier").isin("click", "view"))
+
+
+@register("merge_by_key_range", _merge_sql(TGT, SRC_KEYS))
+def q_merge_by_key_range(spark, sf_dir):
+    return M.merge_cells(_target(spark, sf_dir), _source(spark, sf_dir), RUN_TS, "write_time",
+                         family="ev", start=KEY_FROM, stop=KEY_TO)
+
+
+@register("merge_keep_source_ts", _merge_sql(TGT, SRC_KEYS, restamp=False))
+def q_merge_keep_source_ts(spark, sf_dir):
+    return M.merge_cells(_target(spark, sf_dir), _source(spark, sf_dir), ts_policy="source",
+                         family="ev", start=KEY_FROM, stop=KEY_TO)
+
+
+@register("merge_insert_new_cells", _merge_sql(f"(SELECT * FROM {TGT} t0 WHERE qualifier <> 'view')", SRC_KEYS))
+def q_merge_insert_new_cells(spark, sf_dir):
+    target = _target(spark, sf_dir).filter(F.col("qualifier") != "view")
+    return M.merge_cells(target, _source(spark, sf_dir), RUN_TS, family="ev", start=KEY_FROM, stop=KEY_TO)
+
+
+def _stored_sync(spark, sf_dir, **kw):
+    tpath = fresh_path(spark, "sync_target")
+    S.write_cells(_target(spark, sf_dir), tpath)
+    store.sync_cells(kw.pop("source"), tpath, run_ts=RUN_TS, family="ev", layout="bulk", **kw)
+    return C.latest(S.read_cells(spark, tpath))
+
+
+@register("merge_bulk_from_key", _merge_sql(
+    TGT, f"(SELECT * FROM {SRC} s WHERE family = 'ev' AND row_key >= '{KEY_FROM}')"))
+def q_merge_bulk_from_key(spark, sf_dir):
+    return _stored_sync(spark, sf_dir, source=_source(spark, sf_dir), start=KEY_FROM)
+
+
+@register("merge_bulk_time_range", _merge_sql(
+    TGT, f"(SELECT * FROM cells WHERE family = 'ev' AND ts >= {TS(T_FROM)} AND ts < {TS(T_TO)})"))
+def q_merge_bulk_time_range(spark, sf_dir):
+    return _stored_sync(spark, sf_dir, source=fx.cells(spark, sf_dir), ts_from=T_FROM, ts_to=T_TO)
+
+
+DETAIL_SQL_FILTER = "fpdm = fphm AND flbm = ''"
+FILTERED = W(O.fixtures_cte("inv_detail"), f"SELECT {O.DETAIL16} FROM inv_detail WHERE {DETAIL_SQL_FILTER}")
+
+
+@register("csv_append_roundtrip", W(O.fixtures_cte("inv_detail") + f",\nf AS (SELECT {O.DETAIL16} FROM inv_detail "
+                                    f"WHERE {DETAIL_SQL_FILTER})", "SELECT * FROM f UNION ALL SELECT * FROM f"))
+def q_csv_append_roundtrip(spark, sf_dir):
+    path = fresh_path(spark, "csv")
+    df = _sql_view_filter(spark, sf_dir)
+    S.write_csv(df, path, mode="append")
+    S.write_csv(df, path, mode="append")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in DETAIL_COLS])
+    return S.read_csv(spark, path, schema)
+
+
+@register("cell_text_lines", W(CELLS + ",\nl AS (" + O.latest_sql(
+    "(SELECT * FROM cells WHERE family = 'ev' AND qualifier = 'click')") + ")",
+    "SELECT concat_ws(',', row_key, value) AS line FROM l"))
+def q_cell_text_lines(spark, sf_dir):
+    path = fresh_path(spark, "text")
+    latest = C.scan(fx.cells(spark, sf_dir), families=["ev"], qualifiers=["click"])
+    S.write_text_lines(latest, path, ["row_key", "value"])
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@register("preview_header", W(HK, f"SELECT * FROM hk ORDER BY row_key LIMIT {PREVIEW_N}"))
+def q_preview_header(spark, sf_dir):
+    return S.preview(_header_keyed(spark, sf_dir), PREVIEW_N, ["row_key"])
+
+
+# ===================================================== projections (PRJ)
+
+@register("enrich_header", W(O.enriched_cte(), "SELECT * FROM enr"))
 def q_enrich_header(spark, sf_dir):
-    return loads.enrich_header(fx.inv_header(spark, sf_dir), *_lk(spark, sf_dir))
+    return loads.enrich_header(_hdr(spark, sf_dir), *_lk(spark, sf_dir))
+
+
+@register("detail_source_tag", W(O.fixtures_cte("inv_detail"),
+                                 f"SELECT * REPLACE ('hive' AS sjly) FROM (SELECT {O.DETAIL16} FROM inv_detail)"))
+def q_detail_source_tag(spark, sf_dir):
+    return scan_detail(spark, _dtl(spark, sf_dir)).withColumn("sjly", F.lit("hive"))
+
+
+@register("unpivot_header", W(HK, O.unpivot_sql("hk", O.HEADER24, "fpxx")))
+def q_unpivot_header(spark, sf_dir):
+    return C.unpivot(_header_keyed(spark, sf_dir), HEADER_STORED_COLS, HEADER_FAMILY)
+
+
+@register("cells_of_family", W(CELLS, O.latest_sql("(SELECT * FROM cells WHERE family = 'ev')",
+                                                   cols="row_key, qualifier, value")))
+def q_cells_of_family(spark, sf_dir):
+    return C.family_cells(fx.cells(spark, sf_dir), "ev")
+
+
+WIDE_SQL = ", ".join(
+    f"max(CASE WHEN family = 'ev' AND qualifier = '{n}' THEN value END) AS {n}" for n in EV_NAMES)
+
+
+@register("cells_to_wide", W(CELLS + ",\nl AS (" + O.latest_sql("cells") + ")",
+                             f"SELECT row_key, {WIDE_SQL} FROM l GROUP BY row_key"))
+def q_cells_to_wide(spark, sf_dir):
+    return C.to_wide(fx.cells(spark, sf_dir), "ev", EV_NAMES)
+
+
+@register("qualifiers_per_row", W(CELLS, "SELECT DISTINCT row_key, qualifier FROM cells WHERE family = 'ev'"))
+def q_qualifiers_per_row(spark, sf_dir):
+    return C.qualifiers_per_row(fx.cells(spark, sf_dir), "ev")
+
+
+@register("qualifiers_for_keys", W(CELLS, "SELECT DISTINCT row_key, qualifier FROM cells WHERE family = 'ev' AND "
+                                   "row_key IN (SELECT lpad(CAST(c_custkey AS STRING), 8, '0') FROM customer)"))
+def q_qualifiers_for_keys(spark, sf_dir):
+    keys = fx.read_table(spark, sf_dir, "customer").select(
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("row_key"))
+    return C.qualifiers_for_keys(fx.cells(spark, sf_dir), keys, "ev")
+
+
+def _sql_view_filter(spark, sf_dir):
+    view = scan_detail(spark, _dtl(spark, sf_dir))
+    return spark.sql(f"SELECT * FROM {{v}} WHERE {DETAIL_SQL_FILTER}", v=view)
+
+
+@register("sql_view_filter", FILTERED)
+def q_sql_view_filter(spark, sf_dir):
+    return _sql_view_filter(spark, sf_dir)
+
+
+# ========================================================== filters (FLT)
+
+def _hsel(where: str) -> str:
+    return W(O.fixtures_cte("inv_header"), f"SELECT {O.HEADER21} FROM inv_header WHERE {where}")
+
+
+@register("filter_not_blank", _hsel(f"NOT {O.blank('xfmc')} AND NOT {O.blank('xfsbh')}"))
+def q_filter_not_blank(spark, sf_dir):
+    return scan_header(spark, _hdr(spark, sf_dir)).filter(X.not_blank("xfmc") & X.not_blank("xfsbh"))
+
+
+@register("filter_garbled", _hsel("xfmc IS NOT NULL AND NOT contains(xfmc, '?')"))
+def q_filter_garbled(spark, sf_dir):
+    return scan_header(spark, _hdr(spark, sf_dir)).filter(F.col("xfmc").isNotNull() & ~F.col("xfmc").contains("?"))
+
+
+@register("filter_no_sentinel", _hsel(f"NOT {O.blank_no('xfmc')} AND NOT {O.blank_no('xfsbh')}"))
+def q_filter_no_sentinel(spark, sf_dir):
+    return scan_header(spark, _hdr(spark, sf_dir)).filter(~X.is_blank_or_no("xfmc") & ~X.is_blank_or_no("xfsbh"))
+
+
+@register("filter_month_len", W(O.fixtures_cte("inv_detail"),
+                                f"SELECT {O.DETAIL16} FROM inv_detail WHERE NOT {O.blank('kpyf')} AND length(kpyf) > 4"))
+def q_filter_month_len(spark, sf_dir):
+    return scan_detail(spark, _dtl(spark, sf_dir)).filter(X.not_blank("kpyf") & (F.length("kpyf") > 4))
+
+
+@register("header_resolved", W(O.enriched_cte(), "SELECT * FROM enr WHERE xfqybm <> '-1'"))
+def q_header_resolved(spark, sf_dir):
+    return loads.enrich_header(_hdr(spark, sf_dir), *_lk(spark, sf_dir)).filter(F.col("xfqybm") != "-1")
+
+
+@register("header_keyed", W(HK, "SELECT * FROM hk"))
+def q_header_keyed(spark, sf_dir):
+    return _header_keyed(spark, sf_dir)
+
+
+@register("detail_no_dash_key", W(DK, "SELECT row_key, fpmxxh, xfqybm FROM dk"))
+def q_detail_no_dash_key(spark, sf_dir):
+    return _detail_keyed(spark, sf_dir).select("row_key", "fpmxxh", "xfqybm")
+
+
+@register("header_preview_variant", W(O.header_keyed_cte(YEAR, rule="keep_empty", variant="preview"),
+                                      "SELECT * FROM hk"))
+def q_header_preview_variant(spark, sf_dir):
+    tagged = loads.tag_header(_hdr(spark, sf_dir), *_lk(spark, sf_dir), YEAR, rule="keep_empty", variant="preview")
+    return loads.accepted(tagged)
+
+
+# ============================================================ joins (JON)
+
+def _gated(spark, sf_dir):
+    return _hdr(spark, sf_dir).filter(loads.header_gate())
+
+
+NAME_ONLY = W(O.lookups_cte() + ",\n" + O.fixtures_cte("inv_header"),
+              f"SELECT {O.HEADER21}, n.qybm AS name_code FROM inv_header LEFT JOIN nm n ON n.row_key = {O.jt('xfmc')} "
+              f"WHERE NOT {O.blank('xfmc')} AND NOT contains(xfmc, '?') AND NOT {O.blank('xfsbh')}")
+
+
+@register("seller_by_name", NAME_ONLY)
+def q_seller_by_name(spark, sf_dir):
+    from ..operators.lookup import attach, probe, unique_lookup
+    by_name, _ = _lk(spark, sf_dir)
+    g = _gated(spark, sf_dir).withColumn("_k", F.coalesce(X.jtrim("xfmc"), F.lit("")))
+    keys = g.select("_k").distinct()
+    r = probe(unique_lookup(by_name), keys, "_k", "name_code")
+    return attach(g, r, ["_k"]).select(*HEADER_COLS, "name_code")
+
+
+@register("seller_fallback", W(O.enriched_cte(), f"SELECT {O.HEADER21}, xfqybm FROM enr"))
+def q_seller_fallback(spark, sf_dir):
+    return header_codes(_gated(spark, sf_dir), *_lk(spark, sf_dir)).select(*HEADER_COLS, "xfqybm")
+
+
+@register("buyer_by_name", W(O.enriched_cte(), f"SELECT {O.HEADER21}, gfqybm FROM enr"))
+def q_buyer_by_name(spark, sf_dir):
+    return header_codes(_gated(spark, sf_dir), *_lk(spark, sf_dir)).select(*HEADER_COLS, "gfqybm")
+
+
+@register("detail_seller_code", W(DK, f"SELECT {O.DETAIL16}, xfqybm FROM dl"))
+def q_detail_seller_code(spark, sf_dir):
+    d = scan_detail(spark, _dtl(spark, sf_dir)).filter(loads.detail_gate()).withColumn("sjly", F.lit("hive"))
+    return seller_code_by_tax(d, fx.code_by_tax(spark, sf_dir)).select(*DETAIL_COLS, "xfqybm")
+
+
+@register("seller_variant_keep_empty", W(O.enriched_cte("keep_empty", "preview", LOOKUPS_BLANKED), "SELECT * FROM enr"))
+def q_seller_variant_keep_empty(spark, sf_dir):
+    by_name, by_tax = _lk(spark, sf_dir)
+    return loads.enrich_header(_hdr(spark, sf_dir), _blank_some_codes(by_name), by_tax,
+                               rule="keep_empty", variant="preview")
+
+
+@register("codes_variant_nullable", W(O.enriched_cte("nullable", "preview", LOOKUPS_BLANKED), "SELECT * FROM enr"))
+def q_codes_variant_nullable(spark, sf_dir):
+    by_name, by_tax = _lk(spark, sf_dir)
+    return loads.enrich_header(_hdr(spark, sf_dir), _blank_some_codes(by_name), by_tax,
+                               rule="nullable", variant="preview")
+
+
+@register("unresolved_sellers", W(O.enriched_cte(), "SELECT * FROM enr WHERE xfqybm = '-1'"))
+def q_unresolved_sellers(spark, sf_dir):
+    tagged = loads.tag_header(_hdr(spark, sf_dir), *_lk(spark, sf_dir), YEAR)
+    return tagged.filter(F.col(loads.REJECT) == "unresolved_seller").select(*HEADER_STORED_COLS)
+
+
+# ===================================================== aggregations (AGG)
+
+@register("count_rows", W(CELLS, "SELECT count(DISTINCT row_key) AS n_rows FROM cells"))
+def q_count_rows(spark, sf_dir):
+    return C.count_rows(fx.cells(spark, sf_dir))
+
+
+@register("count_header_rows", W(HK, "SELECT count(*) AS n_rows FROM hk"))
+def q_count_header_rows(spark, sf_dir):
+    return _header_keyed(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("dedupe_detail_keys", W(DK, DK_LWW))
+def q_dedupe_detail_keys(spark, sf_dir):
+    return store.detail_rows_lww(_detail_keyed(spark, sf_dir)).select("row_key", *DETAIL_COLS, "xfqybm")
+
+
+@register("partition_profile", None)
+def q_partition_profile(spark, sf_dir):
+    return (_header_keyed(spark, sf_dir).groupBy(F.spark_partition_id().alias("partition"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+COLL = O.fpbm(O.jt("fpdm"), f"right({O.jt('fphm')}, 3)")
+
+
+@register("key_collisions", W(HK, f"SELECT row_key, count(*) AS n, count(DISTINCT fpdm || '|' || fphm) AS n_invoices "
+                              f"FROM (SELECT {O.jt('xfqybm')} || {O.year('kpyf', YEAR)} || {COLL} AS row_key, fpdm, fphm "
+                              "FROM hk) GROUP BY row_key HAVING count(DISTINCT fpdm || '|' || fphm) > 1"))
+def q_key_collisions(spark, sf_dir):
+    hk = _header_keyed(spark, sf_dir)
+    key = K.header_row_key(X.jtrim("xfqybm"), K.year_part("kpyf", YEAR),
+                           K.packed_invoice_no(X.jtrim("fpdm"), F.right(X.jtrim("fphm"), F.lit(3))))
+    return (hk.select(key.alias("row_key"), "fpdm", "fphm").groupBy("row_key")
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.count_distinct(F.concat_ws("|", "fpdm", "fphm")).alias("n_invoices"))
+            .filter(F.col("n_invoices") > 1))
+
+
+@register("header_reject_counts", None)
+def q_header_reject_counts(spark, sf_dir):
+    return loads.reject_counts(loads.tag_header(_hdr(spark, sf_dir), *_lk(spark, sf_dir), YEAR))
+
+
+@register("detail_reject_counts", None)
+def q_detail_reject_counts(spark, sf_dir):
+    return loads.reject_counts(loads.tag_detail(_dtl(spark, sf_dir), fx.code_by_tax(spark, sf_dir)))
+
+
+# ============================================================ merges (MRG)
+
+@register("merged_wide", W(CELLS + f",\nsl AS ({O.latest_sql(SRC_KEYS)}),\n"
+                           f"sb AS (SELECT row_key, family, qualifier, {TS(RUN_TS)} AS ts, seq, value FROM sl),\n"
+                           f"u AS (SELECT row_key, family, qualifier, ts, seq, value FROM {TGT} t UNION ALL SELECT * FROM sb),\n"
+                           f"l AS ({O.latest_sql('u')})",
+                           f"SELECT row_key, {WIDE_SQL} FROM l GROUP BY row_key"))
+def q_merged_wide(spark, sf_dir):
+    merged = M.merge_cells(_target(spark, sf_dir), _source(spark, sf_dir), RUN_TS, family="ev",
+                           start=KEY_FROM, stop=KEY_TO)
+    return C.to_wide(merged, "ev", EV_NAMES)
+
+
+# ============================================================ keys (KEY, SCL)
+
+@register("encode_base32", "SELECT o_orderkey, " + O.b32("o_orderkey") + " AS k32, "
+          + O.b32("o_orderkey * 1000003 + o_custkey") + " AS k32_wide FROM orders")
+def q_encode_base32(spark, sf_dir):
+    o = fx.read_table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", K.base32("o_orderkey").alias("k32"),
+                    K.base32(F.col("o_orderkey") * 1000003 + F.col("o_custkey")).alias("k32_wide"))
+
+
+@register("pack_invoice_no", W(O.fixtures_cte("inv_header"),
+                               f"SELECT fpdm, fphm, {O.fpbm(O.jt('fpdm'), O.jt('fphm'))} AS fpbm FROM inv_header "
+                               f"WHERE NOT {O.blank('fpdm')} AND NOT {O.blank('fphm')}"))
+def q_pack_invoice_no(spark, sf_dir):
+    h = scan_header(spark, _hdr(spark, sf_dir)).filter(X.not_blank("fpdm") & X.not_blank("fphm"))
+    return h.select("fpdm", "fphm", K.packed_invoice_no(X.jtrim("fpdm"), X.jtrim("fphm")).alias("fpbm"))
+
+
+@register("pack_invoice_no_intended", W(O.fixtures_cte("inv_header"),
+                                        f"SELECT fpdm, right({O.jt('fphm')}, 3) AS fphm3, "
+                                        f"{O.fpbm(O.jt('fpdm'), 'right(' + O.jt('fphm') + ', 3)', 'intended')} AS fpbm "
+                                        f"FROM inv_header WHERE NOT {O.blank('fpdm')} AND NOT {O.blank('fphm')}"))
+def q_pack_invoice_no_intended(spark, sf_dir):
+    h = scan_header(spark, _hdr(spark, sf_dir)).filter(X.not_blank("fpdm") & X.not_blank("fphm"))
+    fphm3 = F.right(X.jtrim("fphm"), F.lit(3))
+    return h.select("fpdm", fphm3.alias("fphm3"),
+                    K.packed_invoice_no(X.jtrim("fpdm"), fphm3, mode="intended").alias("fpbm"))
+
+
+@register("detail_keyed", W(DK, "SELECT * FROM dk"))
+def q_detail_keyed(spark, sf_dir):
+    return _detail_keyed(spark, sf_dir)
+
+
+@register("year_part", W(O.fixtures_cte("inv_header"), f"SELECT kpyf, {O.year('kpyf', YEAR)} AS yy FROM inv_header"))
+def q_year_part(spark, sf_dir):
+    return scan_header(spark, _hdr(spark, sf_dir)).select("kpyf", K.year_part("kpyf", YEAR).alias("yy"))
+
+
+@register("random_token", None)
+def q_random_token(spark, sf_dir):
+    return _header_keyed(spark, sf_dir).select("row_key", X.token32(8).alias("token"),
+                                               X.token32(8, key=F.col("row_key")).alias("stable_token"))
+
+
+@register("pseudonymize", W(O.fixtures_cte("inv_header"),
+                            f"SELECT fphm, md5(xfmc) AS xfmc_md5, md5(gfmc || '{SALT}') AS gfmc_md5 FROM inv_header"))
+def q_pseudonymize(spark, sf_dir):
+    h = scan_header(spark, _hdr(spark, sf_dir))
+    return h.select("fphm", X.md5_hex("xfmc").alias("xfmc_md5"), X.md5_hex("gfmc", SALT).alias("gfmc_md5"))
+
+
+FILL_COLS = ["xfmc", "gfmc", "se", "kpjh", "zfsj"]
+
+
+@register("fill_minus_one", W(O.fixtures_cte("inv_header"),
+                              "SELECT fphm, " + ", ".join(f"{O.fill_m1(c)} AS {c}" for c in FILL_COLS) + " FROM inv_header"))
+def q_fill_minus_one(spark, sf_dir):
+    h = scan_header(spark, _hdr(spark, sf_dir))
+    return h.select("fphm", *[X.fill_minus_one(c).alias(c) for c in FILL_COLS])
+
+
+@register("fill_null_word", W(O.fixtures_cte("inv_header"),
+                              "SELECT fphm, " + ", ".join(f"{O.fill_nw(c)} AS {c}" for c in FILL_COLS) + " FROM inv_header"))
+def q_fill_null_word(spark, sf_dir):
+    h = scan_header(spark, _hdr(spark, sf_dir))
+    return h.select("fphm", *[X.fill_null_word(c).alias(c) for c in FILL_COLS])
+
+
+@register("java_trim", W(O.fixtures_cte("inv_header"), f"SELECT xfmc, {O.jt('xfmc')} AS xfmc_trim FROM inv_header"))
+def q_java_trim(spark, sf_dir):
+    return scan_header(spark, _hdr(spark, sf_dir)).select("xfmc", X.jtrim("xfmc").alias("xfmc_trim"))
