@@ -7,7 +7,7 @@ NULL into a reject reason.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import _c, is_blank, jtrim
@@ -78,3 +78,45 @@ def header_row_key(code, yy, fpbm) -> Column:
 
 def detail_row_key(code, yy, fpbm, line_no) -> Column:
     return F.concat(_c(code), _c(yy), _c(fpbm), _c(line_no))
+
+
+# Staged forms. A nested key expression reuses its parts several times
+# (the cut code appears in three places, the digit string in two); written as
+# one Column tree every reuse is evaluated again. Staging each part as its own
+# column keeps one evaluation per row: Catalyst does not inline a non-trivial
+# expression into a projection that references it more than once.
+
+_D, _M, _A, _G, _T = "_pk_code", "_pk_no", "_pk_code10", "_pk_digits", "_pk_month"
+
+
+def with_packed_invoice_no(df: DataFrame, fpdm: Column, fphm: Column, out: str,
+                           mode: str = "compat") -> DataFrame:
+    """Adds ``out`` = packed_invoice_no(fpdm, fphm, mode), computed in stages."""
+    df = df.withColumns({_D: fpdm, _M: fphm})
+    d, m = F.col(_D), F.col(_M)
+    df = df.withColumn(_A, F.when(F.length(d) > 10, F.right(d, F.lit(10))).otherwise(d))
+    a = F.col(_A)
+    if mode == "intended":
+        digits = F.concat(a, F.right(m, F.lit(8)))
+    elif mode == "compat":
+        cut = F.length(m) - 8
+        digits = F.when(F.length(m) > 8,
+                        F.when(cut <= F.length(a), F.concat(F.substr(a, cut + 1, F.length(a) + 1), m))
+                        ).otherwise(F.concat(m, m))
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    df = df.withColumn(_G, digits)
+    df = df.withColumn(out, base32(digits_to_long(F.col(_G))))
+    return df.drop(_D, _M, _A, _G)
+
+
+def with_year_part(df: DataFrame, kpyf: Column, out: str, default_year: str | None = None) -> DataFrame:
+    """Adds ``out`` = year_part(kpyf, default_year), trimming once."""
+    df = df.withColumn(_T, jtrim(kpyf))
+    t = F.col(_T)
+    cut = F.when(F.length(t) >= 4, F.substr(t, F.lit(3), F.lit(2)))
+    if default_year is None:
+        y = F.when(~is_blank(kpyf), cut)
+    else:
+        y = F.when(is_blank(kpyf), F.lit(default_year)).otherwise(cut)
+    return df.withColumn(out, y).drop(_T)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import MINUS_ONE, is_blank, jtrim, nonblank_or_null
-from .lookup import NO_KEY, attach, probe, unique_lookup
+from .lookup import NO_KEY, attach, measure, probe, unique_lookup
 
 RULES = ("standard", "keep_empty", "nullable")
 
@@ -68,18 +68,23 @@ def header_codes(df: DataFrame, by_name: DataFrame, by_tax: DataFrame,
         _TK: _key(F.col("xfsbh"), gate),
         _BK: _key(F.col("gfmc"), gate, blank_test=is_blank),
     })
-    names = unique_lookup(by_name)
-    taxes = unique_lookup(by_tax)
-    keys = keyed.select(_NK, _TK, _BK).distinct()
-    r = probe(names, keys, _NK, "_n")
-    r = probe(taxes, r, _TK, "_t")
-    r = probe(names, r, _BK, "_b")
-    r = r.select(
-        _NK, _TK, _BK,
-        buyer_expr(F.col(_BK), F.col("_b"), rule).alias("gfqybm"),
-        seller_expr(F.col("_n"), F.col("_t"), rule).alias("xfqybm"),
-    )
-    out = attach(keyed, r, [_NK, _TK, _BK])
+    names, names_small = measure(unique_lookup(by_name))
+    taxes, taxes_small = measure(unique_lookup(by_tax))
+    codes = [buyer_expr(F.col(_BK), F.col("_b"), rule).alias("gfqybm"),
+             seller_expr(F.col("_n"), F.col("_t"), rule).alias("xfqybm")]
+    if names_small and taxes_small:
+        # both lookups measured small: broadcast them, no shuffle of the wide rows
+        out = probe(names, keyed, _NK, "_n", broadcast=True)
+        out = probe(taxes, out, _TK, "_t", broadcast=True)
+        out = probe(names, out, _BK, "_b", broadcast=True)
+        out = out.select(*keyed.columns, *codes)
+    else:
+        # large lookups: resolve the distinct key triples, attach them once
+        keys = keyed.select(_NK, _TK, _BK).distinct()
+        r = probe(names, keys, _NK, "_n")
+        r = probe(taxes, r, _TK, "_t")
+        r = probe(names, r, _BK, "_b")
+        out = attach(keyed, r.select(_NK, _TK, _BK, *codes), [_NK, _TK, _BK])
     if gate is not None:
         # rows outside the gate share the all-blank key; they carry no codes
         out = out.withColumns({c: F.when(gate, F.col(c)) for c in ("gfqybm", "xfqybm")})
@@ -90,7 +95,10 @@ def seller_code_by_tax(df: DataFrame, by_tax: DataFrame, tax_col: str = "xf_nsrs
                        out_col: str = "xfqybm", gate: Column | None = None) -> DataFrame:
     """Line-item seller code by trimmed tax id; blank or absent -> '-1'."""
     keyed = df.withColumn(_TK, _key(F.col(tax_col), gate))
-    keys = keyed.select(_TK).distinct()
-    r = probe(unique_lookup(by_tax), keys, _TK, "_t")
-    r = r.select(_TK, F.coalesce(nonblank_or_null(F.col("_t")), F.lit(MINUS_ONE)).alias(out_col))
-    return attach(keyed, r, [_TK]).drop(_TK)
+    taxes, small = measure(unique_lookup(by_tax))
+    code = F.coalesce(nonblank_or_null(F.col("_t")), F.lit(MINUS_ONE)).alias(out_col)
+    if small:
+        return probe(taxes, keyed, _TK, "_t", broadcast=True).select(*keyed.columns, code).drop(_TK)
+    # a single-key lookup needs no key dictionary: one shuffle join on the key,
+    # AQE splitting skewed key partitions of the wide side
+    return probe(taxes, keyed, _TK, "_t").select(*keyed.columns, code).drop(_TK)

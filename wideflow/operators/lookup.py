@@ -41,12 +41,11 @@ def broadcast_max_bytes(spark) -> int:
     return int(v) if v else DEFAULT_BROADCAST_MAX_BYTES
 
 
-def size_checked(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Persist a derived dictionary, measure it, and broadcast it only if it is small.
+def measure(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """Persist a derived table, measure it, and say whether it may be broadcast.
 
     The measurement is one aggregate over the persisted rows (bytes of every
-    column plus a per-row overhead). Above the bound the DataFrame is returned
-    as is and the join is planned as a shuffle join.
+    column plus a per-row overhead); the bound is ``wideflow.broadcastMaxBytes``.
     """
     spark = df.sparkSession
     limit = broadcast_max_bytes(spark) if max_bytes is None else max_bytes
@@ -54,9 +53,13 @@ def size_checked(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns)
     n_rows, n_bytes = df.agg(F.count(F.lit(1)), F.sum(width)).first()
     est = (n_bytes or 0) + n_rows * (16 + 8 * len(df.columns))
-    if limit > 0 and est <= limit:
-        return F.broadcast(df)
-    return df
+    return df, (limit > 0 and est <= limit)
+
+
+def size_checked(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast-hinted when measured small; otherwise left to a shuffle join."""
+    df, small = measure(df, max_bytes)
+    return F.broadcast(df) if small else df
 
 
 def attach(df: DataFrame, resolved: DataFrame, on: list[str]) -> DataFrame:
@@ -64,7 +67,8 @@ def attach(df: DataFrame, resolved: DataFrame, on: list[str]) -> DataFrame:
     return df.join(size_checked(resolved), on=on, how="left")
 
 
-def probe(lookup: DataFrame, keys: DataFrame, key_col: str, out_col: str) -> DataFrame:
+def probe(lookup: DataFrame, keys: DataFrame, key_col: str, out_col: str,
+          broadcast: bool = False) -> DataFrame:
     """keys ⟕ lookup on key_col; adds the looked-up value as ``out_col`` (NULL if absent)."""
     lk = lookup.select(F.col("row_key").alias(key_col), F.col("qybm").alias(out_col))
-    return keys.join(lk, on=key_col, how="left")
+    return keys.join(F.broadcast(lk) if broadcast else lk, on=key_col, how="left")

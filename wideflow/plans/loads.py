@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import detail_row_key, header_row_key, packed_invoice_no, year_part
+from ..functions.keys import detail_row_key, header_row_key, with_packed_invoice_no, with_year_part
 from ..functions.text import MINUS_ONE, is_blank, is_blank_or_no, jtrim
 from ..operators.enrich import header_codes, seller_code_by_tax
 from ..schema import DETAIL_COLS, HEADER_COLS, HEADER_STORED_COLS, SOURCE_TAG
@@ -52,11 +52,13 @@ def tag_header(header: DataFrame, by_name: DataFrame, by_tax: DataFrame, year: s
     is dropped (so '-1' passes).
     """
     gate = header_gate(variant)
-    df = header_codes(header, by_name, by_tax, rule=rule, gate=gate)
+    # Key parts first, as staged columns below the lookup join: the acceptance
+    # filter (which needs the joined seller code) stops at the join, so it sees
+    # these as plain columns instead of re-inlining their expressions.
+    df = with_year_part(header, F.col("kpyf"), "_yy", year)
+    df = with_packed_invoice_no(df, jtrim(F.col("fpdm")), jtrim(F.col("fphm")), "_fpbm", mode)
+    df = header_codes(df, by_name, by_tax, rule=rule, gate=gate)
     df = df.withColumn("source", F.when(gate, F.lit(SOURCE_TAG)))
-    code = jtrim(F.col("xfqybm"))
-    yy = year_part(F.col("kpyf"), year)
-    fpbm = packed_invoice_no(jtrim(F.col("fpdm")), jtrim(F.col("fphm")), mode)
     if variant == "preview":
         unresolved = F.col("xfqybm").isNull() | (F.col("xfqybm") == "null")
     else:
@@ -65,10 +67,11 @@ def tag_header(header: DataFrame, by_name: DataFrame, by_tax: DataFrame, year: s
               .when(unresolved, "unresolved_seller")
               .when(is_blank(F.col("fpdm")), "blank_invoice_code")
               .when(is_blank(F.col("fphm")), "blank_invoice_no")
-              .when(yy.isNull(), "bad_month")
-              .when(fpbm.isNull(), "bad_invoice_no"))
+              .when(F.col("_yy").isNull(), "bad_month")
+              .when(F.col("_fpbm").isNull(), "bad_invoice_no"))
+    key = header_row_key(jtrim(F.col("xfqybm")), F.col("_yy"), F.col("_fpbm"))
     return (df.withColumn(REJECT, reason)
-            .withColumn("row_key", F.when(F.col(REJECT).isNull(), header_row_key(code, yy, fpbm)))
+            .withColumn("row_key", F.when(F.col(REJECT).isNull(), key))
             .select("row_key", *HEADER_STORED_COLS, REJECT))
 
 
@@ -99,21 +102,23 @@ def tag_detail(detail: DataFrame, by_tax: DataFrame, mode: str = "compat") -> Da
     number or month).
     """
     gate = detail_gate()
-    df = seller_code_by_tax(detail, by_tax, gate=gate).withColumn("sjly", F.lit(SOURCE_TAG))
-    yy = year_part(F.col("kpyf"))
-    fpbm = packed_invoice_no(jtrim(F.col("fpdm")), jtrim(F.col("fphm")), mode)
-    key = detail_row_key(F.col("xfqybm"), yy, fpbm, jtrim(F.col("fpmxxh")))
+    # key parts below the lookup join (see tag_header)
+    df = with_year_part(detail, F.col("kpyf"), "_yy")
+    df = with_packed_invoice_no(df, jtrim(F.col("fpdm")), jtrim(F.col("fphm")), "_fpbm", mode)
+    df = df.withColumn("_line", jtrim(F.col("fpmxxh")))
+    df = seller_code_by_tax(df, by_tax, gate=gate).withColumn("sjly", F.lit(SOURCE_TAG))
+    df = df.withColumn("_key", detail_row_key(F.col("xfqybm"), F.col("_yy"), F.col("_fpbm"), F.col("_line")))
     reason = (F.when(is_blank(F.col("xf_nsrsbh")), "blank_seller_tax_id")
               .when(is_blank(F.col("fpdm")), "blank_invoice_code")
               .when(is_blank(F.col("fphm")), "blank_invoice_no")
               .when(is_blank(F.col("fpmxxh")), "blank_line_no")
               .when(is_blank(F.col("kpyf")) | (F.length(F.col("kpyf")) <= 4), "short_month")
-              .when(yy.isNull(), "bad_month")
-              .when(fpbm.isNull(), "bad_invoice_no")
+              .when(F.col("_yy").isNull(), "bad_month")
+              .when(F.col("_fpbm").isNull(), "bad_invoice_no")
               .when(F.col("xfqybm") == MINUS_ONE, "unresolved_seller")
-              .when(key.contains("-"), "dash_in_key"))
+              .when(F.col("_key").contains("-"), "dash_in_key"))
     return (df.withColumn(REJECT, reason)
-            .withColumn("row_key", F.when(F.col(REJECT).isNull(), key))
+            .withColumn("row_key", F.when(F.col(REJECT).isNull(), F.col("_key")))
             .select("row_key", *DETAIL_COLS, "xfqybm", REJECT))
 
 
