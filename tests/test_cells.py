@@ -62,7 +62,7 @@ def test_bulk_layout_sorted_and_disjoint(spark):
 
 def test_sync_is_idempotent(spark):
     cells = fx.cells(spark, SF_SMALL)
-    target = cells.filter(F.col("ts") >= F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz"))
+    target = cells.filter(F.col("ts") >= C.ts_lit(dt.datetime(2024, 1, 16)))
     tpath = fresh_path(spark, "t-sync")
     S.write_cells(target, tpath)
     run = dt.datetime(2024, 2, 1)

@@ -32,11 +32,19 @@ def unpivot(df: DataFrame, cols: list[str], family: str, key: str = "row_key",
     return cells.select(F.col(key).alias("row_key"), "family", "qualifier", "value")
 
 
+def ts_lit(v) -> Column:
+    """A wall-clock timestamp literal (no time-zone conversion on any session)."""
+    if isinstance(v, Column):
+        return v.cast("timestamp_ntz")
+    if isinstance(v, dt.datetime):
+        v = v.isoformat(sep=" ")
+    return F.lit(str(v)).cast("timestamp_ntz")
+
+
 def stamp(cells: DataFrame, ts: dt.datetime | Column, seq: int | Column = 0) -> DataFrame:
     """Give a cell batch its write timestamp and sequence number."""
-    ts_col = ts if isinstance(ts, Column) else F.lit(ts)
     seq_col = seq if isinstance(seq, Column) else F.lit(seq)
-    return cells.withColumns({"ts": ts_col.cast("timestamp_ntz"), "seq": seq_col.cast("bigint")}).select(*CELL_COLS)
+    return cells.withColumns({"ts": ts_lit(ts), "seq": seq_col.cast("bigint")}).select(*CELL_COLS)
 
 
 def _winner() -> Column:
@@ -78,11 +86,7 @@ def select_versions(cells, start=None, stop=None, ts_from=None, ts_to=None, at_t
 
 
 def _ts(v) -> Column:
-    if isinstance(v, Column):
-        return v
-    if isinstance(v, str):
-        v = dt.datetime.fromisoformat(v)
-    return F.lit(v).cast("timestamp_ntz")
+    return v if isinstance(v, Column) else ts_lit(v)
 
 
 def to_wide(cells: DataFrame, family: str, names: list[str]) -> DataFrame:

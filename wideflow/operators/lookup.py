@@ -41,15 +41,18 @@ def broadcast_max_bytes(spark) -> int:
     return int(v) if v else DEFAULT_BROADCAST_MAX_BYTES
 
 
-def measure(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
-    """Persist a derived table, measure it, and say whether it may be broadcast.
+def measure(df: DataFrame, max_bytes: int | None = None, persist: bool = True) -> tuple[DataFrame, bool]:
+    """Measure a derived table and say whether it may be broadcast.
 
-    The measurement is one aggregate over the persisted rows (bytes of every
-    column plus a per-row overhead); the bound is ``wideflow.broadcastMaxBytes``.
+    The measurement is one aggregate over its rows (bytes of every column plus
+    a per-row overhead); the bound is ``wideflow.broadcastMaxBytes``. With
+    ``persist`` the rows are kept for the join that follows (for tables that
+    are expensive to recompute, such as a key dictionary of the whole input).
     """
     spark = df.sparkSession
     limit = broadcast_max_bytes(spark) if max_bytes is None else max_bytes
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if persist:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns)
     n_rows, n_bytes = df.agg(F.count(F.lit(1)), F.sum(width)).first()
     est = (n_bytes or 0) + n_rows * (16 + 8 * len(df.columns))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import CELL_COLS
-from .cells import latest, scan
+from .cells import latest, scan, ts_lit
 
 TS_POLICIES = ("write_time", "source")
 
@@ -41,7 +41,7 @@ def source_batch(source: DataFrame, run_ts: dt.datetime | None = None, ts_policy
     if ts_policy == "write_time":
         if run_ts is None:
             raise ValueError("run_ts is required for ts_policy='write_time'")
-        src = src.withColumn("ts", F.lit(run_ts).cast("timestamp_ntz"))
+        src = src.withColumn("ts", ts_lit(run_ts))
     return src.select(*CELL_COLS)
 
 

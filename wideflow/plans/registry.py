@@ -25,6 +25,7 @@ from ..session import fresh_path
 from ..sinks import files as S
 from ..sources import fixtures as fx
 from ..sources.tables import scan_detail, scan_header
+from ..streaming import sync as stream_sync
 from . import loads, store
 from . import oracle as O
 
@@ -151,6 +152,21 @@ def q_upsert_header(spark, sf_dir):
     return _cells_out(C.latest(S.read_cells(spark, path)))
 
 
+@register("stream_header_upsert", W(HK, O.unpivot_sql("hk", O.HEADER24, "fpxx", O.fill_nw)))
+def q_stream_header_upsert(spark, sf_dir):
+    """Orders arrive as a file stream; the header view is a stream-static join;
+    each micro-batch is loaded into the cell table (run to completion here)."""
+    orders = stream_sync.read_stream(spark, sf_dir, fx.read_table(spark, sf_dir, "orders").schema,
+                                     file_glob="orders.parquet")
+    sql, _ = fx.FIXTURES["inv_header"]
+    header = spark.sql(sql, orders=orders, customer=fx.read_table(spark, sf_dir, "customer"),
+                       supplier=fx.read_table(spark, sf_dir, "supplier"))
+    path, ckpt = fresh_path(spark, "stream_header"), fresh_path(spark, "stream_ckpt")
+    q = stream_sync.start_header_load(header, *_lk(spark, sf_dir), YEAR, path, ckpt, available_now=True)
+    q.awaitTermination()
+    return _cells_out(C.latest(S.read_cells(spark, path)))
+
+
 DK_LWW = O.dedupe_sql("dk", "row_key", O.DETAIL16, "row_key, " + O.DETAIL16 + ", xfqybm")
 
 
@@ -184,11 +200,11 @@ SRC_KEYS = f"(SELECT * FROM {SRC} s WHERE family = 'ev' AND row_key >= '{KEY_FRO
 
 
 def _target(spark, sf_dir):
-    return fx.cells(spark, sf_dir).filter(F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp_ntz"))
+    return fx.cells(spark, sf_dir).filter(F.col("ts") >= C.ts_lit(SPLIT_TS))
 
 
 def _source(spark, sf_dir):
-    return fx.cells(spark, sf_dir).filter((F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz"))
+    return fx.cells(spark, sf_dir).filter((F.col("ts") < C.ts_lit(SPLIT_TS))
                                           & F.col("qualifier").isin("click", "view"))
 
 
