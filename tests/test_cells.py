@@ -117,3 +117,19 @@ def test_csv_roundtrip_lossless(spark):
     S.write_csv(df, path)
     back = sorted(S.read_csv(spark, path, df.schema).collect())
     assert [tuple(r) for r in back] == [("a", ""), ("b", None)]
+
+
+def test_bucketed_table_reads_without_shuffle(spark):
+    from wideflow.sinks import bucketed as B
+    cells = fx.cells(spark, SF_SMALL)
+    name, path = "wf_t_bucketed", fresh_path(spark, "t-bucketed")
+    B.write_bucketed(cells, name, path, 4)
+    B.write_bucketed(cells.filter(F.col("qualifier") == "view"), name, path, 4)   # a second batch
+    t = B.read_bucketed(spark, name)
+    for df in (C.latest(t), C.to_wide(t, "ev", ["click", "view"])):
+        plan = plan_text(spark, df)
+        assert "Exchange" not in plan, plan
+    assert sorted(C.latest(t).collect()) == sorted(C.latest(cells).collect())
+    keys = spark.createDataFrame([("00000001",), ("99999999",)], "row_key string")
+    got = {r.row_key: r.value for r in C.multi_get(t, keys, "ev", "click").collect()}
+    assert set(got) == {"00000001", "99999999"} and got["99999999"] is None

@@ -21,9 +21,13 @@ _DIGITS_RE = r"^[+-]?[0-9]+$"
 
 
 def base32(n) -> Column:
-    """Unsigned base-32 text of a 64-bit integer (0 -> '0', negatives as 2^64+n)."""
+    """Unsigned base-32 text of a 64-bit integer (0 -> '0', negatives as 2^64+n).
+
+    The value enters ``conv`` as its two's-complement hex digits, so every
+    64-bit value (also the most negative one) is read as unsigned.
+    """
     n = _c(n)
-    return F.translate(F.conv(n.cast("string"), 10, 32), _STD_FROM, _ALPHA_TO)
+    return F.translate(F.conv(F.hex(n.cast("bigint")), 16, 32), _STD_FROM, _ALPHA_TO)
 
 
 def digits_to_long(s) -> Column:

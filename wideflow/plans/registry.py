@@ -22,6 +22,7 @@ from ..operators import merge as M
 from ..operators.enrich import header_codes, seller_code_by_tax
 from ..schema import DETAIL_COLS, HEADER_COLS, HEADER_FAMILY, HEADER_STORED_COLS
 from ..session import fresh_path
+from ..sinks import bucketed as B
 from ..sinks import files as S
 from ..sources import fixtures as fx
 from ..sources.tables import scan_detail, scan_header
@@ -44,6 +45,9 @@ SALT = "9599TA7MVH42"
 
 W = O.with_
 
+WIDE_SQL = ", ".join(
+    f"max(CASE WHEN family = 'ev' AND qualifier = '{n}' THEN value END) AS {n}" for n in EV_NAMES)
+
 
 def register(name: str, sql: str | None):
     def deco(fn: Builder) -> Builder:
@@ -245,6 +249,39 @@ def q_merge_bulk_time_range(spark, sf_dir):
     return _stored_sync(spark, sf_dir, source=fx.cells(spark, sf_dir), ts_from=T_FROM, ts_to=T_TO)
 
 
+@register("compact_cells", W(CELLS, O.latest_sql("cells")))
+def q_compact_cells(spark, sf_dir):
+    """Cells stored in two batches (older and newer half), compacted into a new folder."""
+    cells = fx.cells(spark, sf_dir)
+    src, dst = fresh_path(spark, "compact_src"), fresh_path(spark, "compact_dst")
+    S.write_cells(_target(spark, sf_dir), src)
+    S.write_cells(cells.filter(F.col("ts") < C.ts_lit(SPLIT_TS)), src)
+    store.compact(spark, src, dst)
+    return S.read_cells(spark, dst)
+
+
+def _bucketed_cells(spark, sf_dir, buckets: int = 8):
+    """The cells stored as a bucketed table in two batches (older, newer)."""
+    name = "wf_cells_" + fresh_path(spark, "b").rsplit("-", 1)[-1]
+    path = fresh_path(spark, "bucketed_cells")
+    cells = fx.cells(spark, sf_dir)
+    B.write_bucketed(cells.filter(F.col("ts") < C.ts_lit(SPLIT_TS)), name, path, buckets)
+    B.write_bucketed(_target(spark, sf_dir), name, path, buckets)
+    return B.read_bucketed(spark, name)
+
+
+@register("bucketed_cells_latest", W(CELLS, O.latest_sql("cells")))
+def q_bucketed_cells_latest(spark, sf_dir):
+    """Version resolution on a bucketed cell table: no shuffle in the plan."""
+    return C.latest(_bucketed_cells(spark, sf_dir))
+
+
+@register("bucketed_cells_to_wide", W(CELLS + ",\nl AS (" + O.latest_sql("cells") + ")",
+                                      f"SELECT row_key, {WIDE_SQL} FROM l GROUP BY row_key"))
+def q_bucketed_cells_to_wide(spark, sf_dir):
+    return C.to_wide(_bucketed_cells(spark, sf_dir), "ev", EV_NAMES)
+
+
 DETAIL_SQL_FILTER = "fpdm = fphm AND flbm = ''"
 FILTERED = W(O.fixtures_cte("inv_detail"), f"SELECT {O.DETAIL16} FROM inv_detail WHERE {DETAIL_SQL_FILTER}")
 
@@ -299,10 +336,6 @@ def q_cells_of_family(spark, sf_dir):
     return C.family_cells(fx.cells(spark, sf_dir), "ev")
 
 
-WIDE_SQL = ", ".join(
-    f"max(CASE WHEN family = 'ev' AND qualifier = '{n}' THEN value END) AS {n}" for n in EV_NAMES)
-
-
 @register("cells_to_wide", W(CELLS + ",\nl AS (" + O.latest_sql("cells") + ")",
                              f"SELECT row_key, {WIDE_SQL} FROM l GROUP BY row_key"))
 def q_cells_to_wide(spark, sf_dir):

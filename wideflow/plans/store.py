@@ -5,9 +5,10 @@
 * ``sync_tables``: copy the latest cells of a source table (key range or time
   range) into a target table as a new batch.
 
-The tagged plan feeds two outputs (cells and rejects), so it is persisted for
-the two writes and released afterwards; a lost executor only costs recomputing
-its cached blocks from the lineage.
+The tagged plan is persisted while it is read more than once (the range
+sampling of the bulk layout, the cell write, the rejects write) and released
+afterwards; a lost executor only costs recomputing its cached blocks from the
+lineage.
 """
 
 from __future__ import annotations
@@ -62,7 +63,10 @@ def _load(tagged: DataFrame, to_cells, table_path: str, rejects_path: str | None
           run_ts, seq, num_partitions, max_records_per_file) -> None:
     run_ts = run_ts or now_utc()
     seq = batch_seq() if seq is None else seq
-    if rejects_path:
+    # Kept for the job when it is read more than once: by the range sampling of
+    # the bulk layout and the write itself, and by the rejects output.
+    keep = bool(rejects_path) or layout == "bulk"
+    if keep:
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cells = stamp(to_cells(loads.accepted(tagged)), run_ts, seq)
@@ -70,7 +74,7 @@ def _load(tagged: DataFrame, to_cells, table_path: str, rejects_path: str | None
         if rejects_path:
             loads.rejected(tagged).write.mode("append").parquet(rejects_path)
     finally:
-        if rejects_path:
+        if keep:
             tagged.unpersist()
 
 
@@ -108,3 +112,15 @@ def sync_cells(source: DataFrame, target_path: str, run_ts=None, ts_policy: str
 def sync_tables(spark: SparkSession, source_path: str, target_path: str, **kw) -> None:
     """Key-range or time-range sync between two stored cell tables."""
     sync_cells(read_cells(spark, source_path), target_path, **kw)
+
+
+def compact(spark: SparkSession, source_path: str, target_path: str, num_partitions=None,
+            max_records_per_file=None) -> None:
+    """Rewrite the latest version of every cell into a new folder, in bulk layout.
+
+    Spark cannot overwrite a folder it is reading, so compaction always writes
+    a new folder; readers switch to it once the job has committed.
+    """
+    from ..operators.cells import latest
+    write_cells_sorted(latest(read_cells(spark, source_path)), target_path, mode="errorifexists",
+                       num_partitions=num_partitions, max_records_per_file=max_records_per_file)

@@ -31,14 +31,14 @@ def write_cells_sorted(cells: DataFrame, path: str, mode: str = "append",
                        max_records_per_file: int | None = None) -> None:
     """Bulk layout: globally key-ordered files with disjoint key ranges.
 
-    A range exchange on (row_key, family, qualifier) - Spark samples the keys
-    to pick balanced bounds - then a local sort per task with the family
-    first, which the partitioned writer needs, then row key and qualifier.
-    Without ``num_partitions`` AQE may merge small neighbouring ranges.
+    A range exchange on row_key - Spark samples the keys to pick balanced
+    bounds, and all cells of one row stay in one task, like a region - then a
+    local sort per task with the family first, which the partitioned writer
+    needs, then row key and qualifier. Without ``num_partitions`` AQE may merge
+    small neighbouring ranges.
     """
-    keys = ["row_key", "family", "qualifier"]
-    parts = (cells.repartitionByRange(num_partitions, *keys) if num_partitions
-             else cells.repartitionByRange(*keys))
+    parts = (cells.repartitionByRange(num_partitions, "row_key") if num_partitions
+             else cells.repartitionByRange("row_key"))
     write_cells(parts.sortWithinPartitions(*SORT_KEY), path, mode, max_records_per_file)
 
 
