@@ -13,6 +13,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster can run at once.
+
+    The source jobs reshuffle right after reading (a fixed 400-way shuffle);
+    here it happens only when needed: a big table split into thousands of
+    files is left alone, a single large file (one Parquet row group, one task)
+    is spread round-robin over the default parallelism.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def open_table(spark: SparkSession, table: str | DataFrame) -> DataFrame:
     """A catalogue table name, a Parquet path, or an existing DataFrame."""
     if isinstance(table, DataFrame):
