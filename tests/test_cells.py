@@ -133,3 +133,12 @@ def test_bucketed_table_reads_without_shuffle(spark):
     keys = spark.createDataFrame([("00000001",), ("99999999",)], "row_key string")
     got = {r.row_key: r.value for r in C.multi_get(t, keys, "ev", "click").collect()}
     assert set(got) == {"00000001", "99999999"} and got["99999999"] is None
+
+
+def test_bucketed_batch_writes_one_file_per_bucket(spark):
+    from wideflow.sinks import bucketed as B
+    name, path = "wf_t_bucket_files", fresh_path(spark, "t-bucket-files")
+    B.write_bucketed(fx.cells(spark, SF_SMALL), name, path, 4)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    files = [f for f in glob.glob(os.path.join(local, "*.parquet"))]
+    assert 0 < len(files) <= 4, files

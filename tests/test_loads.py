@@ -128,3 +128,31 @@ def test_dictionary_path_equals_broadcast_path(spark):
         spark.conf.unset("wideflow.broadcastMaxBytes")
     assert small == large
     assert "HashAggregate" in plan           # the distinct key dictionary
+
+
+def test_hot_key_is_split_on_the_shuffle_path(spark):
+    """One seller/buyer pair holds a third of all rows; the attach join is split by AQE."""
+    hdr = fx.inv_header(spark, SF_SMALL)
+    hot = hdr.withColumn("h", F.xxhash64("fphm") % 3 == 0)
+    hot = hot.withColumn("xfmc", F.when(F.col("h"), F.lit("Supplier#000000001")).otherwise(F.col("xfmc"))) \
+             .withColumn("xfsbh", F.when(F.col("h"), F.lit("TX00000001")).otherwise(F.col("xfsbh"))) \
+             .withColumn("gfmc", F.when(F.col("h"), F.lit("Customer#000000001")).otherwise(F.col("gfmc"))).drop("h")
+    by_name, by_tax = fx.code_by_name(spark, SF_SMALL), fx.code_by_tax(spark, SF_SMALL)
+    expected = sorted(loads.header_keyed(hot, by_name, by_tax).collect())
+    conf = {"wideflow.broadcastMaxBytes": "0", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = loads.header_keyed(hot, by_name, by_tax)
+        got = sorted(df.collect())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert got == expected
+    assert "skew=true" in plan, plan

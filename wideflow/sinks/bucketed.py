@@ -21,8 +21,14 @@ BUCKET_SORT = ["row_key", "family", "qualifier"]
 
 
 def write_bucketed(cells: DataFrame, table: str, path: str, buckets: int, mode: str = "append") -> None:
-    """Append a cell batch to a bucketed table (created on first write at ``path``)."""
-    (cells.select(*CELL_COLS).write.mode(mode).format("parquet")
+    """Append a cell batch to a bucketed table (created on first write at ``path``).
+
+    The batch is hash-partitioned on row_key into exactly ``buckets`` parts
+    first - the same hash the bucket id uses - so each task writes one bucket
+    and a batch adds one file per bucket, not one per task and bucket.
+    """
+    (cells.select(*CELL_COLS).repartition(buckets, "row_key")
+     .write.mode(mode).format("parquet")
      .bucketBy(buckets, "row_key").sortBy(*BUCKET_SORT)
      .option("path", path).saveAsTable(table))
 
