@@ -75,3 +75,11 @@ def probe(lookup: DataFrame, keys: DataFrame, key_col: str, out_col: str,
     """keys ⟕ lookup on key_col; adds the looked-up value as ``out_col`` (NULL if absent)."""
     lk = lookup.select(F.col("row_key").alias(key_col), F.col("qybm").alias(out_col))
     return keys.join(F.broadcast(lk) if broadcast else lk, on=key_col, how="left")
+
+
+def lookup_from_cells(cells: DataFrame, family: str = "qyxx", qualifier: str = "qybm") -> DataFrame:
+    """A (row_key, qybm) lookup read from a cell table (latest version of one cell per row)."""
+    from .cells import select_versions
+    return (select_versions(cells, families=[family], qualifiers=[qualifier])
+            .groupBy("row_key").agg(F.max(F.struct("ts", "seq", "value")).alias("_w"))
+            .select("row_key", F.col("_w.value").alias("qybm")))
