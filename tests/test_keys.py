@@ -68,9 +68,11 @@ def test_staged_equals_column_form(spark):
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.integers(min_value=-(1 << 63), max_value=(1 << 63) - 1), min_size=1, max_size=40))
 def test_base32_matches_model(spark, values):
-    got = _eval(spark, [(v,) for v in values], "n long", "n", K.base32("n").alias("k"))
-    for n, k in got:
+    got = _eval(spark, [(v,) for v in values], "n long", "n", K.base32("n").alias("k"),
+                K.base32("n", negatives="reject").alias("r"))
+    for n, k, r in got:
         assert k == py_base32(n)
+        assert r == (k if n >= 0 else None)
 
 
 digit_text = st.text(alphabet="0123456789", min_size=1, max_size=14)

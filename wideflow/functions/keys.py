@@ -20,14 +20,22 @@ _ALPHA_TO = "JKLMNPQRTUVWXY"
 _DIGITS_RE = r"^[+-]?[0-9]+$"
 
 
-def base32(n) -> Column:
-    """Unsigned base-32 text of a 64-bit integer (0 -> '0', negatives as 2^64+n).
-
-    The value enters ``conv`` as its two's-complement hex digits, so every
-    64-bit value (also the most negative one) is read as unsigned.
+def base32(n, negatives: str = "unsigned") -> Column:
+    """Base-32 text of a 64-bit integer (0 -> '0').
+
+    ``negatives='unsigned'`` encodes a negative n as 2^64+n (the shift-based
+    codec); ``'reject'`` gives NULL for it (the division-based codec fails on
+    negatives; both agree on n >= 0). The value enters ``conv`` as its
+    two's-complement hex digits, so every 64-bit value, also the most negative
+    one, is read as unsigned.
     """
-    n = _c(n)
-    return F.translate(F.conv(F.hex(n.cast("bigint")), 16, 32), _STD_FROM, _ALPHA_TO)
+    n = _c(n).cast("bigint")
+    out = F.translate(F.conv(F.hex(n), 16, 32), _STD_FROM, _ALPHA_TO)
+    if negatives == "reject":
+        return F.when(n >= 0, out)
+    if negatives != "unsigned":
+        raise ValueError(f"unknown negatives policy {negatives!r}")
+    return out
 
 
 def digits_to_long(s) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import detail_row_key, header_row_key, with_packed_invoice_no, with_year_part
 from ..functions.text import MINUS_ONE, is_blank, is_blank_or_no, jtrim
 from ..operators.enrich import header_codes, seller_code_by_tax
-from ..schema import DETAIL_COLS, HEADER_COLS, HEADER_STORED_COLS, SOURCE_TAG
+from ..schema import DETAIL_COLS, HEADER_STORED_COLS, SOURCE_TAG
 
 REJECT = "reject_reason"
 

@@ -536,11 +536,14 @@ def q_merged_wide(spark, sf_dir):
 # ============================================================ keys (KEY, SCL)
 
 @register("encode_base32", "SELECT o_orderkey, " + O.b32("o_orderkey") + " AS k32, "
-          + O.b32("o_orderkey * 1000003 + o_custkey") + " AS k32_wide FROM orders")
+          + O.b32("o_orderkey * 1000003 + o_custkey") + " AS k32_wide, "
+          + "CASE WHEN o_custkey - o_orderkey >= 0 THEN " + O.b32("o_custkey - o_orderkey") + " END AS k32_checked "
+          + "FROM orders")
 def q_encode_base32(spark, sf_dir):
     o = fx.read_table(spark, sf_dir, "orders")
     return o.select("o_orderkey", K.base32("o_orderkey").alias("k32"),
-                    K.base32(F.col("o_orderkey") * 1000003 + F.col("o_custkey")).alias("k32_wide"))
+                    K.base32(F.col("o_orderkey") * 1000003 + F.col("o_custkey")).alias("k32_wide"),
+                    K.base32(F.col("o_custkey") - F.col("o_orderkey"), negatives="reject").alias("k32_checked"))
 
 
 @register("pack_invoice_no", W(O.fixtures_cte("inv_header"),
