@@ -130,29 +130,73 @@ def test_dictionary_path_equals_broadcast_path(spark):
     assert "HashAggregate" in plan           # the distinct key dictionary
 
 
-def test_hot_key_is_split_on_the_shuffle_path(spark):
-    """One seller/buyer pair holds a third of all rows; the attach join is split by AQE."""
+def _hot_header(spark):
+    """Header rows where one seller/buyer pair holds a third of all rows."""
     hdr = fx.inv_header(spark, SF_SMALL)
     hot = hdr.withColumn("h", F.xxhash64("fphm") % 3 == 0)
-    hot = hot.withColumn("xfmc", F.when(F.col("h"), F.lit("Supplier#000000001")).otherwise(F.col("xfmc"))) \
-             .withColumn("xfsbh", F.when(F.col("h"), F.lit("TX00000001")).otherwise(F.col("xfsbh"))) \
-             .withColumn("gfmc", F.when(F.col("h"), F.lit("Customer#000000001")).otherwise(F.col("gfmc"))).drop("h")
-    by_name, by_tax = fx.code_by_name(spark, SF_SMALL), fx.code_by_tax(spark, SF_SMALL)
-    expected = sorted(loads.header_keyed(hot, by_name, by_tax).collect())
-    conf = {"wideflow.broadcastMaxBytes": "0", "spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    return (hot.withColumn("xfmc", F.when(F.col("h"), F.lit("Supplier#000000001")).otherwise(F.col("xfmc")))
+               .withColumn("xfsbh", F.when(F.col("h"), F.lit("TX00000001")).otherwise(F.col("xfsbh")))
+               .withColumn("gfmc", F.when(F.col("h"), F.lit("Customer#000000001")).otherwise(F.col("gfmc")))
+               .drop("h"))
+
+
+def _with_conf(spark, conf, fn):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        df = loads.header_keyed(hot, by_name, by_tax)
-        got = sorted(df.collect())
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        return fn()
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+SHUFFLE_PATH = {"wideflow.broadcastMaxBytes": "0", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+@pytest.mark.parametrize("mechanism", ["aqe_split", "salting"])
+def test_hot_key_is_split_on_the_shuffle_path(spark, mechanism):
+    hot = _hot_header(spark)
+    by_name, by_tax = fx.code_by_name(spark, SF_SMALL), fx.code_by_tax(spark, SF_SMALL)
+    expected = sorted(loads.header_keyed(hot, by_name, by_tax).collect())
+    if mechanism == "aqe_split":
+        conf = dict(SHUFFLE_PATH, **{"wideflow.hotKeyMinRows": "1000000000",
+                                     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+                                     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                                     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k"})
+    else:
+        conf = dict(SHUFFLE_PATH, **{"wideflow.hotKeyMinRows": "10",
+                                     "spark.sql.adaptive.skewJoin.enabled": "false"})
+
+    def run():
+        df = loads.header_keyed(hot, by_name, by_tax)
+        rows = sorted(df.collect())
+        return rows, df._jdf.queryExecution().executedPlan().toString()
+
+    got, plan = _with_conf(spark, conf, run)
     assert got == expected
-    assert "skew=true" in plan, plan
+    if mechanism == "aqe_split":
+        assert "skew=true" in plan, plan
+    else:
+        assert "_salt" in plan and "explode" in plan, plan
+
+
+def test_salting_spreads_only_hot_keys(spark):
+    from wideflow.operators.lookup import salt_hot_keys
+    rows = [("hot", i) for i in range(300)] + [(f"k{i}", i) for i in range(100)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    resolved = df.groupBy("k").agg(F.count(F.lit(1)).alias("_rows")).withColumn("code", F.upper("k"))
+
+    def run():
+        wide, dictionary = salt_hot_keys(df, resolved, ["k"], "_rows")
+        w = {(r.k, r.n) for r in wide.groupBy("k").agg(F.count_distinct("_salt").alias("n")).collect()}
+        d = {r.k: r.n for r in dictionary.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+        joined = sorted(wide.join(dictionary, ["k", "_salt"], "left").select("k", "v", "code").collect())
+        return w, d, joined
+
+    w, d, joined = _with_conf(spark, {"wideflow.hotKeyMinRows": "10", "spark.sql.shuffle.partitions": "8"}, run)
+    # share = 400 // 8 = 50 rows, so the hot key gets ceil(300 / 50) = 6 salts
+    assert ("hot", 6) in w and d["hot"] == 6
+    assert all(n == 1 for k, n in w if k != "hot") and all(n == 1 for k, n in d.items() if k != "hot")
+    assert joined == sorted(df.join(resolved, "k", "left").select("k", "v", "code").collect())

@@ -79,12 +79,13 @@ def header_codes(df: DataFrame, by_name: DataFrame, by_tax: DataFrame,
         out = probe(names, out, _BK, "_b", broadcast=True)
         out = out.select(*keyed.columns, *codes)
     else:
-        # large lookups: resolve the distinct key triples, attach them once
-        keys = keyed.select(_NK, _TK, _BK).distinct()
+        # large lookups: resolve the distinct key triples (with their row
+        # counts, for hot-key salting), attach them once
+        keys = keyed.groupBy(_NK, _TK, _BK).agg(F.count(F.lit(1)).alias("_rows"))
         r = probe(names, keys, _NK, "_n")
         r = probe(taxes, r, _TK, "_t")
         r = probe(names, r, _BK, "_b")
-        out = attach(keyed, r.select(_NK, _TK, _BK, *codes), [_NK, _TK, _BK])
+        out = attach(keyed, r.select(_NK, _TK, _BK, *codes, "_rows"), [_NK, _TK, _BK], rows_col="_rows")
     if gate is not None:
         # rows outside the gate share the all-blank key; they carry no codes
         out = out.withColumns({c: F.when(gate, F.col(c)) for c in ("gfqybm", "xfqybm")})

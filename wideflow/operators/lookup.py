@@ -65,9 +65,57 @@ def size_checked(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def attach(df: DataFrame, resolved: DataFrame, on: list[str]) -> DataFrame:
-    """Left-join a one-row-per-key dictionary back onto the wide rows."""
-    return df.join(size_checked(resolved), on=on, how="left")
+def attach(df: DataFrame, resolved: DataFrame, on: list[str], rows_col: str | None = None) -> DataFrame:
+    """Left-join a one-row-per-key dictionary back onto the wide rows.
+
+    Small dictionary (measured): broadcast, the wide rows are not shuffled.
+    Otherwise a shuffle join; with ``rows_col`` (rows of ``df`` per key, as
+    counted when the dictionary was built) hot keys are salted first.
+    """
+    resolved, small = measure(resolved)
+    if small:
+        return df.join(F.broadcast(resolved.drop(rows_col) if rows_col else resolved), on=on, how="left")
+    if rows_col is None:
+        return df.join(resolved, on=on, how="left")
+    return _attach_salted(df, resolved, on, rows_col)
+
+
+DEFAULT_HOT_KEY_MIN_ROWS = 100_000
+_SALTS, _SALT = "_salts", "_salt"
+
+
+def _attach_salted(df: DataFrame, resolved: DataFrame, on: list[str], rows_col: str) -> DataFrame:
+    """Shuffle join that splits hot keys over several tasks (see ``salt_hot_keys``)."""
+    wide, dictionary = salt_hot_keys(df, resolved, on, rows_col)
+    return wide.join(dictionary, on=[*on, _SALT], how="left").drop(_SALT)
+
+
+def salt_hot_keys(df: DataFrame, resolved: DataFrame, on: list[str], rows_col: str) -> tuple[DataFrame, DataFrame]:
+    """Add a ``_salt`` column to both sides of a join on a one-row-per-key dictionary.
+
+    A key is hot when it holds more rows than a fair share per shuffle
+    partition (and at least ``wideflow.hotKeyMinRows``). Hot keys are fewer
+    than the shuffle partitions - their rows add up to at most all rows - so
+    their list is broadcast safely. A hot key's rows get a salt from a hash of
+    the whole row (deterministic on retry) in [0, salts); its dictionary entry
+    is repeated once per salt; every other key keeps salt 0. A join on
+    (key, salt) then spreads a hot key over ``salts`` tasks.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    min_rows = int(spark.conf.get("wideflow.hotKeyMinRows", None) or DEFAULT_HOT_KEY_MIN_ROWS)
+    total = resolved.agg(F.sum(rows_col)).first()[0] or 0
+    share = max(total // max(parts, 1), min_rows, 1)
+    hot = (resolved.filter(F.col(rows_col) > share)
+           .select(*on, F.ceil(F.col(rows_col) / F.lit(share)).cast("int").alias(_SALTS)))
+    wide = (df.join(F.broadcast(hot), on=on, how="left")
+            .withColumn(_SALT, F.when(F.col(_SALTS).isNull(), F.lit(0))
+                        .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col(_SALTS)).cast("int")))
+            .drop(_SALTS))
+    dictionary = (resolved.drop(rows_col).join(F.broadcast(hot), on=on, how="left")
+                  .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)))
+                  .drop(_SALTS))
+    return wide, dictionary
 
 
 def probe(lookup: DataFrame, keys: DataFrame, key_col: str, out_col: str,
