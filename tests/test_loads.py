@@ -200,3 +200,11 @@ def test_salting_spreads_only_hot_keys(spark):
     assert ("hot", 6) in w and d["hot"] == 6
     assert all(n == 1 for k, n in w if k != "hot") and all(n == 1 for k, n in d.items() if k != "hot")
     assert joined == sorted(df.join(resolved, "k", "left").select("k", "v", "code").collect())
+
+
+def test_detail_large_lookup_path_equals_broadcast_path(spark):
+    args = (fx.inv_detail(spark, SF_SMALL), fx.code_by_tax(spark, SF_SMALL))
+    small = sorted(loads.detail_keyed(*args).collect())
+    large = _with_conf(spark, dict(SHUFFLE_PATH, **{"wideflow.hotKeyMinRows": "10"}),
+                       lambda: sorted(loads.detail_keyed(*args).collect()))
+    assert small == large

@@ -100,6 +100,8 @@ def seller_code_by_tax(df: DataFrame, by_tax: DataFrame, tax_col: str = "xf_nsrs
     code = F.coalesce(nonblank_or_null(F.col("_t")), F.lit(MINUS_ONE)).alias(out_col)
     if small:
         return probe(taxes, keyed, _TK, "_t", broadcast=True).select(*keyed.columns, code).drop(_TK)
-    # a single-key lookup needs no key dictionary: one shuffle join on the key,
-    # AQE splitting skewed key partitions of the wide side
-    return probe(taxes, keyed, _TK, "_t").select(*keyed.columns, code).drop(_TK)
+    # large lookup: counted key dictionary, resolved, attached once with hot
+    # keys salted (rows outside the gate all share the '' key)
+    keys = keyed.groupBy(_TK).agg(F.count(F.lit(1)).alias("_rows"))
+    r = probe(taxes, keys, _TK, "_t").select(_TK, code, "_rows")
+    return attach(keyed, r, [_TK], rows_col="_rows").drop(_TK)

@@ -1,15 +1,16 @@
 """Key-value lookups as joins.
 
 The source jobs did two to six remote point reads per row. Here a lookup is a
-left equi-join on a unique right key, organised so that the wide input is
-shuffled at most once:
+left equi-join on a unique right key (``unique_lookup``), planned from measured
+sizes so that the wide input is shuffled at most once:
 
-1. the distinct lookup keys of the input are collected with a partial
-   (map-side) aggregate, so a hot key collapses before any shuffle;
-2. that key dictionary is resolved against the lookup tables (narrow joins);
-3. the resolved dictionary is attached back to the wide rows. It is broadcast
-   only after its measured size is below a bound; otherwise a sort-merge join
-   runs, with AQE splitting skewed partitions of the wide side.
+* every lookup measured small (``measure``): broadcast joins, no shuffle of
+  the wide rows at all;
+* otherwise the distinct key combinations of the input are collected with a
+  partial (map-side) aggregate that also counts rows per key, resolved against
+  the lookups with narrow joins, and attached back once (``attach``):
+  broadcast if that dictionary is measured small, else a shuffle join in which
+  hot keys are salted (``salt_hot_keys``), with AQE skew splitting behind it.
 
 Blank probe keys use the marker '' (never NULL): a trimmed, non-blank key can
 never be '', and lookup rows keyed '' are dropped, so the marker cannot match.
@@ -59,12 +60,6 @@ def measure(df: DataFrame, max_bytes: int | None = None, persist: bool = True) -
     return df, (limit > 0 and est <= limit)
 
 
-def size_checked(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Broadcast-hinted when measured small; otherwise left to a shuffle join."""
-    df, small = measure(df, max_bytes)
-    return F.broadcast(df) if small else df
-
-
 def attach(df: DataFrame, resolved: DataFrame, on: list[str], rows_col: str | None = None) -> DataFrame:
     """Left-join a one-row-per-key dictionary back onto the wide rows.
 
