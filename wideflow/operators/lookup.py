@@ -22,6 +22,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import work_dir
+
 NO_KEY = ""
 DEFAULT_BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
@@ -47,13 +49,18 @@ def measure(df: DataFrame, max_bytes: int | None = None, persist: bool = True) -
 
     The measurement is one aggregate over its rows (bytes of every column plus
     a per-row overhead); the bound is ``wideflow.broadcastMaxBytes``. With
-    ``persist`` the rows are kept for the join that follows (for tables that
-    are expensive to recompute, such as a key dictionary of the whole input).
+    ``persist`` the rows are written once to the session's checkpoint folder
+    (for tables that are expensive to recompute, such as a key dictionary of
+    the whole input): the join that follows reads them from there, the
+    lineage is cut, and no cache is left behind.
     """
     spark = df.sparkSession
     limit = broadcast_max_bytes(spark) if max_bytes is None else max_bytes
     if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        work_dir(spark)
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)   # computed once, then checkpointed
+        df = cached.checkpoint(eager=True)
+        cached.unpersist()
     width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns)
     n_rows, n_bytes = df.agg(F.count(F.lit(1)), F.sum(width)).first()
     est = (n_bytes or 0) + n_rows * (16 + 8 * len(df.columns))
