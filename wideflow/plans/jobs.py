@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession
 from ..operators import cells as C
 from ..operators.lookup import lookup_from_cells
 from ..sinks import files as S
-from ..sources.tables import open_table, scan_detail, scan_header
+from ..sources.tables import open_table, scan_detail, scan_header, spread
 from . import store
 
 
@@ -52,6 +52,7 @@ def build_parser() -> argparse.ArgumentParser:
     h.add_argument("--layout", choices=store.LAYOUTS, default="bulk")
     h.add_argument("--mode", choices=("compat", "intended"), default="compat")
     h.add_argument("--partitions", type=int)
+    h.add_argument("--max-records-per-file", type=int)
     h.add_argument("--lookup-cells", action="store_true")
 
     d = sub.add_parser("load-detail", help="invoice lines -> cell table")
@@ -62,6 +63,7 @@ def build_parser() -> argparse.ArgumentParser:
     d.add_argument("--layout", choices=store.LAYOUTS, default="put")
     d.add_argument("--mode", choices=("compat", "intended"), default="compat")
     d.add_argument("--partitions", type=int)
+    d.add_argument("--max-records-per-file", type=int)
     d.add_argument("--lookup-cells", action="store_true")
 
     m = sub.add_parser("merge", help="copy latest source cells into a target table")
@@ -75,6 +77,7 @@ def build_parser() -> argparse.ArgumentParser:
     m.add_argument("--ts-policy", choices=("write_time", "source"), default="write_time")
     m.add_argument("--layout", choices=store.LAYOUTS, default="bulk")
     m.add_argument("--partitions", type=int)
+    m.add_argument("--max-records-per-file", type=int)
 
     e = sub.add_parser("export", help="cells -> fixed columns -> SQL filter -> CSV")
     e.add_argument("--table", required=True)
@@ -97,6 +100,7 @@ def build_parser() -> argparse.ArgumentParser:
     k.add_argument("--source", required=True)
     k.add_argument("--target", required=True)
     k.add_argument("--partitions", type=int)
+    k.add_argument("--max-records-per-file", type=int)
     return p
 
 
@@ -104,16 +108,19 @@ def run(argv: list[str], spark: SparkSession | None = None):
     a = build_parser().parse_args(argv)
     spark = spark or SparkSession.builder.getOrCreate()
     if a.cmd == "load-header":
-        store.load_header(scan_header(spark, a.table), _lookup(spark, a.by_name, a.lookup_cells),
-                          _lookup(spark, a.by_tax, a.lookup_cells), a.year, a.target, a.rejects,
-                          layout=a.layout, mode=a.mode, num_partitions=a.partitions)
+        store.load_header(scan_header(spark, spread(open_table(spark, a.table))),
+                          _lookup(spark, a.by_name, a.lookup_cells), _lookup(spark, a.by_tax, a.lookup_cells),
+                          a.year, a.target, a.rejects, layout=a.layout, mode=a.mode,
+                          num_partitions=a.partitions, max_records_per_file=a.max_records_per_file)
     elif a.cmd == "load-detail":
-        store.load_detail(scan_detail(spark, a.table), _lookup(spark, a.by_tax, a.lookup_cells), a.target,
-                          a.rejects, layout=a.layout, mode=a.mode, num_partitions=a.partitions)
+        store.load_detail(scan_detail(spark, spread(open_table(spark, a.table))),
+                          _lookup(spark, a.by_tax, a.lookup_cells), a.target, a.rejects, layout=a.layout,
+                          mode=a.mode, num_partitions=a.partitions, max_records_per_file=a.max_records_per_file)
     elif a.cmd == "merge":
         store.sync_cells(_cells(spark, a.source), a.target, ts_policy=a.ts_policy, family=a.family,
                          start=a.start, stop=a.stop, ts_from=a.ts_from, ts_to=a.ts_to,
-                         layout=a.layout, num_partitions=a.partitions)
+                         layout=a.layout, num_partitions=a.partitions,
+                         max_records_per_file=a.max_records_per_file)
     elif a.cmd == "export":
         names = [c.strip() for c in a.columns.split(",")]
         wide = C.to_wide(_cells(spark, a.table), a.family, names)
@@ -131,7 +138,8 @@ def run(argv: list[str], spark: SparkSession | None = None):
         print(f"RowCount: {n}")
         return n
     elif a.cmd == "compact":
-        store.compact(spark, a.source, a.target, num_partitions=a.partitions)
+        store.compact(spark, a.source, a.target, num_partitions=a.partitions,
+                      max_records_per_file=a.max_records_per_file)
     return None
 
 
