@@ -20,6 +20,7 @@ from ..functions import text as X
 from ..operators import cells as C
 from ..operators import merge as M
 from ..operators.enrich import header_codes, seller_code_by_tax
+from ..operators.lookup import attach, probe, unique_lookup
 from ..schema import DETAIL_COLS, HEADER_COLS, HEADER_FAMILY, HEADER_STORED_COLS
 from ..session import fresh_path
 from ..sinks import bucketed as B
@@ -427,7 +428,7 @@ NAME_ONLY = W(O.lookups_cte() + ",\n" + O.fixtures_cte("inv_header"),
 
 @register("seller_by_name", NAME_ONLY)
 def q_seller_by_name(spark, sf_dir):
-    from ..operators.lookup import attach, probe, unique_lookup
+    """First lookup only (by trimmed name), through the key-dictionary path."""
     by_name, _ = _lk(spark, sf_dir)
     g = _gated(spark, sf_dir).withColumn("_k", F.coalesce(X.jtrim("xfmc"), F.lit("")))
     keys = g.select("_k").distinct()
