@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import MINUS_ONE, is_blank, jtrim, nonblank_or_null
-from .lookup import NO_KEY, attach, measure, probe, unique_lookup
+from .lookup import NO_KEY, attach, measured_lookup, probe
 
 RULES = ("standard", "keep_empty", "nullable")
 
@@ -68,8 +68,8 @@ def header_codes(df: DataFrame, by_name: DataFrame, by_tax: DataFrame,
         _TK: _key(F.col("xfsbh"), gate),
         _BK: _key(F.col("gfmc"), gate, blank_test=is_blank),
     })
-    names, names_small = measure(unique_lookup(by_name), persist=False)
-    taxes, taxes_small = measure(unique_lookup(by_tax), persist=False)
+    names, names_small = measured_lookup(by_name)
+    taxes, taxes_small = measured_lookup(by_tax)
     codes = [buyer_expr(F.col(_BK), F.col("_b"), rule).alias("gfqybm"),
              seller_expr(F.col("_n"), F.col("_t"), rule).alias("xfqybm")]
     if names_small and taxes_small:
@@ -96,7 +96,7 @@ def seller_code_by_tax(df: DataFrame, by_tax: DataFrame, tax_col: str = "xf_nsrs
                        out_col: str = "xfqybm", gate: Column | None = None) -> DataFrame:
     """Line-item seller code by trimmed tax id; blank or absent -> '-1'."""
     keyed = df.withColumn(_TK, _key(F.col(tax_col), gate))
-    taxes, small = measure(unique_lookup(by_tax), persist=False)
+    taxes, small = measured_lookup(by_tax)
     code = F.coalesce(nonblank_or_null(F.col("_t")), F.lit(MINUS_ONE)).alias(out_col)
     if small:
         return probe(taxes, keyed, _TK, "_t", broadcast=True).select(*keyed.columns, code).drop(_TK)

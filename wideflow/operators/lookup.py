@@ -28,15 +28,28 @@ NO_KEY = ""
 DEFAULT_BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 
+def _lookup_rows(lookup: DataFrame, key: str = "row_key", value: str = "qybm") -> DataFrame:
+    return lookup.select(key, value).filter(F.col(key).isNotNull() & (F.col(key) != NO_KEY))
+
+
 def unique_lookup(lookup: DataFrame, key: str = "row_key", value: str = "qybm") -> DataFrame:
     """One row per key; duplicates keep the greatest value (a data error upstream).
 
     The aggregate's output is hash-partitioned on the key, so a following
     sort-merge join on that key needs no second shuffle of the lookup side.
     """
-    return (lookup.select(key, value)
-            .filter(F.col(key).isNotNull() & (F.col(key) != NO_KEY))
-            .groupBy(key).agg(F.max(value).alias(value)))
+    return _lookup_rows(lookup, key, value).groupBy(key).agg(F.max(value).alias(value))
+
+
+def measured_lookup(lookup: DataFrame) -> tuple[DataFrame, bool]:
+    """The unique lookup, and whether it may be broadcast.
+
+    The bound is taken on the projected raw rows - a plain scan, no shuffle -
+    which are at least as large as the de-duplicated lookup, so a small raw
+    size proves a small unique lookup.
+    """
+    _, small = measure(_lookup_rows(lookup), persist=False)
+    return unique_lookup(lookup), small
 
 
 def broadcast_max_bytes(spark) -> int:
