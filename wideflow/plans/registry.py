@@ -511,12 +511,39 @@ def q_key_collisions(spark, sf_dir):
             .filter(F.col("n_invoices") > 1))
 
 
-@register("header_reject_counts", None)
+HEADER_OUTCOME = (
+    f"CASE WHEN {O.blank('xfmc')} THEN 'blank_seller_name' WHEN contains(xfmc, '?') THEN 'garbled_seller_name' "
+    f"WHEN {O.blank('xfsbh')} THEN 'blank_seller_tax_id' WHEN {O.seller('standard')} = '-1' THEN 'unresolved_seller' "
+    f"WHEN {O.blank('fpdm')} THEN 'blank_invoice_code' WHEN {O.blank('fphm')} THEN 'blank_invoice_no' "
+    f"WHEN {O.year('kpyf', YEAR)} IS NULL THEN 'bad_month' "
+    f"WHEN {O.fpbm(O.jt('fpdm'), O.jt('fphm'))} IS NULL THEN 'bad_invoice_no' ELSE 'accepted' END")
+
+
+@register("header_reject_counts", W(
+    O.lookups_cte() + ",\n" + O.fixtures_cte("inv_header") + ",\n"
+    "a AS (SELECT h.*, n.qybm AS n_code, t.qybm AS t_code FROM inv_header h "
+    f"LEFT JOIN nm n ON n.row_key = {O.jt('h.xfmc')} LEFT JOIN tx t ON t.row_key = {O.jt('h.xfsbh')})",
+    f"SELECT outcome, count(*) AS n FROM (SELECT {HEADER_OUTCOME} AS outcome FROM a) GROUP BY outcome"))
 def q_header_reject_counts(spark, sf_dir):
     return loads.reject_counts(loads.tag_header(_hdr(spark, sf_dir), *_lk(spark, sf_dir), YEAR))
 
 
-@register("detail_reject_counts", None)
+DETAIL_KEY = f"(xfqybm || {O.year('kpyf', None)} || {O.fpbm(O.jt('fpdm'), O.jt('fphm'))} || {O.jt('fpmxxh')})"
+DETAIL_OUTCOME = (
+    f"CASE WHEN {O.blank('xf_nsrsbh')} THEN 'blank_seller_tax_id' WHEN {O.blank('fpdm')} THEN 'blank_invoice_code' "
+    f"WHEN {O.blank('fphm')} THEN 'blank_invoice_no' WHEN {O.blank('fpmxxh')} THEN 'blank_line_no' "
+    f"WHEN {O.blank('kpyf')} OR length(kpyf) <= 4 THEN 'short_month' "
+    f"WHEN {O.year('kpyf', None)} IS NULL THEN 'bad_month' "
+    f"WHEN {O.fpbm(O.jt('fpdm'), O.jt('fphm'))} IS NULL THEN 'bad_invoice_no' "
+    f"WHEN xfqybm = '-1' THEN 'unresolved_seller' WHEN contains({DETAIL_KEY}, '-') THEN 'dash_in_key' "
+    "ELSE 'accepted' END")
+
+
+@register("detail_reject_counts", W(
+    O.lookups_cte() + ",\n" + O.fixtures_cte("inv_detail") + ",\n"
+    f"a AS (SELECT d.*, COALESCE({O.nb('t.qybm')}, '-1') AS xfqybm FROM inv_detail d "
+    f"LEFT JOIN tx t ON t.row_key = {O.jt('d.xf_nsrsbh')})",
+    f"SELECT outcome, count(*) AS n FROM (SELECT {DETAIL_OUTCOME} AS outcome FROM a) GROUP BY outcome"))
 def q_detail_reject_counts(spark, sf_dir):
     return loads.reject_counts(loads.tag_detail(_dtl(spark, sf_dir), fx.code_by_tax(spark, sf_dir)))
 
