@@ -208,3 +208,18 @@ def test_detail_large_lookup_path_equals_broadcast_path(spark):
     large = _with_conf(spark, dict(SHUFFLE_PATH, **{"wideflow.hotKeyMinRows": "10"}),
                        lambda: sorted(loads.detail_keyed(*args).collect()))
     assert small == large
+
+
+def test_lookup_from_cell_table_uses_latest_version(spark):
+    import datetime as dt
+    from wideflow.operators.enrich import seller_code_by_tax
+    from wideflow.operators.lookup import lookup_from_cells
+    t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    cells = spark.createDataFrame(
+        [("TX1", "qyxx", "qybm", t0, 1, "OLD"), ("TX1", "qyxx", "qybm", t1, 1, "NEW"),
+         ("TX2", "qyxx", "other", t1, 1, "IGNORED"), ("TX3", "qyxx", "qybm", t0, 1, "null")],
+        "row_key string, family string, qualifier string, ts timestamp_ntz, seq long, value string")
+    lk = lookup_from_cells(cells)
+    rows = spark.createDataFrame([("TX1",), ("TX2",), ("TX3",), (" TX1 ",)], "xf_nsrsbh string")
+    got = {r.xf_nsrsbh: r.xfqybm for r in seller_code_by_tax(rows, lk).collect()}
+    assert got == {"TX1": "NEW", "TX2": "-1", "TX3": "-1", " TX1 ": "NEW"}
