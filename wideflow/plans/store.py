@@ -19,7 +19,7 @@ import time
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.cells import stamp, unpivot
+from ..operators.cells import latest, stamp, unpivot
 from ..operators.merge import dedupe_rows, source_batch
 from ..schema import DETAIL_COLS, DETAIL_FAMILY, HEADER_FAMILY, HEADER_STORED_COLS
 from ..sinks.files import read_cells, write_cells, write_cells_sorted
@@ -121,6 +121,5 @@ def compact(spark: SparkSession, source_path: str, target_path: str, num_partiti
     Spark cannot overwrite a folder it is reading, so compaction always writes
     a new folder; readers switch to it once the job has committed.
     """
-    from ..operators.cells import latest
     write_cells_sorted(latest(read_cells(spark, source_path)), target_path, mode="errorifexists",
                        num_partitions=num_partitions, max_records_per_file=max_records_per_file)
