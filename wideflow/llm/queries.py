@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, text_or_empty
+from .jaccard import similar_components
 from .line_dedup import apply_bitmaps, keep_bitmaps
 from .mixing import mix
 from .packing import pack
@@ -23,6 +24,10 @@ from .warc_zip import read_packages, write_packages
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(table(spark, sf_dir, "documents"), words=4, similarity=(85, 100))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix(docs).select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
@@ -56,6 +61,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard": op1_jaccard,
     "op3_source_mix": op3_source_mix,
     "op6_packing": op6_packing,
     "op7_warc": op7_warc,
@@ -69,6 +75,16 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 ORACLE: dict[str, str] = {
+    "op1_jaccard": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} AS w FROM documents),
+h AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM d),
+x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM h),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared
+      FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM p WHERE 100 * shared >= 85 * (na + nb - shared)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT h.doc_id, len(s)::BIGINT AS n_shingles, (SELECT min(b) FROM r WHERE r.a = h.doc_id) AS component_id FROM h""",
     "op3_source_mix": f"""
 WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
