@@ -32,10 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import SPACE_CHARS, small_enough, staged, text_or_empty
-
-#: Bitmaps of up to so many documents are broadcast; beyond it the documents are shuffled.
-BROADCAST_DOCS = 100_000
+from .common import SPACE_CHARS, staged, text_or_empty
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _DROP, _PENDING, _MARK = 0, 1, 2
@@ -123,7 +120,8 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     got = (docs.where(F.col(id_col).isNotNull())
            .select(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text)).alias("row"), text_or_empty(text).alias("t")))
     kind = got.schema["id"].dataType.simpleString()
-    keys = got.mapInArrow(_key_rows(min_chars), f"h1 long, h2 long, id {kind}, row long, pos int, n_lines int")
+    # Written once: range partitioning reads its input twice, first to sample it.
+    keys = staged(got.mapInArrow(_key_rows(min_chars), f"h1 long, h2 long, id {kind}, row long, pos int, n_lines int"), "line-keys")
     found = staged(keys.repartitionByRange("h1", "h2", "id").sortWithinPartitions("h1", "h2", "id", "row", "pos")
                    .mapInArrow(_not_first, f"kind byte, h1 long, h2 long, id {kind}, row long, pos int, n_lines int"),
                    "line-runs")
@@ -155,10 +153,8 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
 
     A text that loses no line, null included, stays as it is.
     """
-    marks = staged(bitmaps, "line-bitmaps").select(F.col(id_col).alias("_ld_id"), F.col("text_hash").alias("_ld_row"),
-                                                   F.col("n_dropped").alias("_ld_n"), F.col("keep").alias("_ld_keep"))
-    if small_enough(marks, BROADCAST_DOCS):
-        marks = F.broadcast(marks)
+    marks = bitmaps.select(F.col(id_col).alias("_ld_id"), F.col("text_hash").alias("_ld_row"),
+                           F.col("n_dropped").alias("_ld_n"), F.col("keep").alias("_ld_keep"))
     joined = docs.join(marks, (F.col(id_col) == F.col("_ld_id"))
                        & (F.xxhash64(text_or_empty(text)) == F.col("_ld_row")), "left")
     hit = F.col("_ld_keep").isNotNull()
