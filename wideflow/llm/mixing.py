@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, words
+from .common import staged, text_or_empty, words
 
 
 def text_size(text: str = "text") -> Column:
@@ -64,7 +64,7 @@ def mix(docs: DataFrame, size: Column | None = None, id_col: str = "doc_id", sou
     # A null source becomes a key that joins and windows alike, so one shuffle serves both.
     d = d.withColumns({"_mx_null": F.col(source_col).isNull(), "_mx_source": F.coalesce(F.col(source_col), F.lit(""))})
     key = ["_mx_null", "_mx_source", "_mx_class", "_mx_bucket"]
-    cells = d.groupBy(key).agg(F.count("*").alias("n"), F.sum("_size").alias("s"))
+    cells = staged(d.groupBy(key).agg(F.count("*").alias("n"), F.sum("_size").alias("s")), "mix-cells")
     source = F.when(~F.col("_mx_null"), F.col("_mx_source"))
     goal = targets(cells.groupBy(source.alias("source")).agg(F.sum("s").alias("source_size")), weights, cap).select(
         F.col("source").isNull().alias("_mx_null"), F.coalesce("source", F.lit("")).alias("_mx_source"),
