@@ -17,6 +17,7 @@ from .jaccard import similar_components
 from .line_dedup import apply_bitmaps, keep_bitmaps
 from .mixing import mix
 from .packing import pack
+from .quality import judge, ratio_weights
 from .token_counts import count_tokens
 from .vantage import nearest
 from .warc_zip import read_packages, write_packages
@@ -28,6 +29,17 @@ def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(table(spark, sf_dir, "documents"), words=4, similarity=(85, 100))
 
 
+def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the documents that the labels call good."""
+    return table(spark, sf_dir, "labels").where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge(docs, ratio_weights(docs, trusted(spark, sf_dir))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix(docs).select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
@@ -62,6 +74,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": op1_jaccard,
+    "op2_quality": op2_quality,
     "op3_source_mix": op3_source_mix,
     "op6_packing": op6_packing,
     "op7_warc": op7_warc,
