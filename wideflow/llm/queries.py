@@ -18,6 +18,7 @@ from .line_dedup import apply_bitmaps, keep_bitmaps
 from .mixing import mix
 from .packing import pack
 from .quality import judge, ratio_weights
+from .secrets import BASE_RULES, scan, span_list
 from .token_counts import count_tokens
 from .vantage import nearest
 from .warc_zip import read_packages, write_packages
@@ -46,6 +47,15 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                             F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [r.kind for r in BASE_RULES]
+    kinds = F.transform("spans", lambda s: s["kind"])
+    count = {f"n_{k}": (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long") for k in base}
+    return found.select("doc_id", *(c.alias(n) for n, c in count.items()),
+                        F.sha2(span_list(F.col("spans"), base), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -76,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": op1_jaccard,
     "op2_quality": op2_quality,
     "op3_source_mix": op3_source_mix,
+    "op5_secrets": op5_secrets,
     "op6_packing": op6_packing,
     "op7_warc": op7_warc,
     "op8_nearest": op8_nearest,
