@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_slices
-from .pretokens import PretokenCache, id_bytes
+from .pretokens import IdEncoder, id_bytes
 
 #: Ids and documents that a task holds before it packs them.
 BLOCK_TOKENS, BLOCK_DOCS = 4_000_000, 50_000
@@ -104,7 +104,7 @@ def cut_short(sequence: list[tuple[int, int, int]], window: int, max_padding: in
     return out
 
 
-_CACHE: dict[str, PretokenCache] = {}
+_ENCODERS: dict[str, IdEncoder] = {}
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: str = "text", window: int = 1024,
@@ -136,9 +136,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: str
                 for i in range(0, len(rows), 20_000)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_path not in _CACHE:
-            _CACHE[tokenizer_path] = PretokenCache(tokenizer_path, id_bytes)
-        cache = _CACHE[tokenizer_path]
+        if tokenizer_path not in _ENCODERS:
+            _ENCODERS[tokenizer_path] = IdEncoder(tokenizer_path)
+        encode = _ENCODERS[tokenizer_path]
         numbers = [TaskContext.get().partitionId() << 36]
         ids: list = []
         buffers: list[bytes] = []
@@ -147,7 +147,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: str
             kind = b.column(0).type
             keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for i, j in text_slices(texts):
-                got = [x + end for x in cache.texts(texts[i:j], b"".join)]
+                got = [encode(t) + end for t in texts[i:j]]
                 ids += keys[i:j]
                 buffers += got
                 held += sum(map(len, got)) // 4

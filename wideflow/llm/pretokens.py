@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
+from itertools import chain, islice
 
 # A space before white space or at the end: the plain split at every space is then too fine.
 _ODD_SPACE = re.compile(r" (?:[\s\x1c-\x1f\x85]|$)")
@@ -39,63 +41,52 @@ def cut(text: str) -> list[str]:
     return _CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
 
 
-class PretokenCache:
-    """Two tiers: ``frequent`` is given and stays; misses are encoded and kept up to ``max_kept``.
+class PretokenCache(dict):
+    """What ``value`` makes of the ids of each pre-token; misses are encoded and kept.
 
-    ``value`` turns a list of ids into what is remembered (their number, or their
-    bytes), ``add`` joins the values of the parts of a text.
+    ``frequent`` is given and stays. When ``max_kept`` entries are held, they become the
+    old generation: looked up once more when missed, dropped when the next one is full.
+    ``value`` turns a list of ids into what is remembered (their number, or their bytes).
     """
 
-    def __init__(self, path: str, value: Callable, frequent: dict | None = None, max_kept: int = 400_000):
-        self.path, self.value, self.max_kept = path, value, max_kept
-        self.frequent = frequent or {}
-        self.kept: dict = dict(self.frequent)
-        self.long: set[str] = set()  # of the current call, forgotten after it
-        tok, _ = load(path)
-        self.mark = {p: value(tok.encode(p, add_special_tokens=False).ids) for p in ".,"}
-
-    def fill(self, parts: Iterable[list[str]]) -> dict:
-        """A dict that has every pre-token of ``parts`` except the first of each list."""
-        seen: set[str] = set()
-        for p in parts:
-            seen.update(p)
-        new = seen.difference(self.kept)
-        if not new:
-            return self.kept
-        if len(self.kept) + len(new) > self.max_kept:
-            self.kept = dict(self.frequent)
-            new = seen.difference(self.kept)
-        # A letter before a final mark ends a token, so "word," is "word" and ",".
-        marked = {c for c in new if c[-1:] in self.mark and c[-2:-1].isalpha()}
-        plain = list({c[:-1] if c in marked else c for c in new}.difference(self.kept))
-        tok, _ = load(self.path)
-        known = self.kept
-        for c, e in zip(plain, tok.encode_batch_fast([" " + c for c in plain], add_special_tokens=False), strict=True):
-            known[c] = self.value(e.ids)
-        for c in marked:
-            known[c] = known[c[:-1]] + self.mark[c[-1]]
-        self.long = {c for c in new | set(plain) if len(c) > MAX_KEPT_CHARS}
-        return known
+    def __init__(self, path: str, value: Callable, frequent: dict | None = None, max_kept: int = 300_000):
+        super().__init__(frequent or {})
+        self.frequent, self.value, self.max_kept = frequent or {}, value, max_kept
+        self.tok, self.special = load(path)
+        self.old: dict = {}
+        self.mark = {p: self.encoded(p) for p in ".,"}
+
+    def encoded(self, text: str):
+        return self.value(self.tok.encode(text, add_special_tokens=False).ids)
+
+    def __missing__(self, part: str):
+        if part in self.old:
+            got = self.old[part]
+        elif part[-1:] in self.mark and part[-2:-1].isalpha():
+            got = self[part[:-1]] + self.mark[part[-1]]  # a letter before a final mark ends a token
+        else:
+            got = self.encoded(" " + part)
+        if len(part) <= MAX_KEPT_CHARS:
+            self[part] = got
+        return got
 
     def texts(self, texts: list[str | None], join: Callable) -> list:
         """The joined value of each text; ``join`` takes an iterable of values."""
-        tok, special = load(self.path)
-        whole = [special is not None and bool(t) and special.search(t) is not None for t in texts]
-        parts = [[] if w or not t else cut(t) for t, w in zip(texts, whole, strict=True)]
-        known = self.fill(p[1:] for p in parts).__getitem__
-        out = []
-        for t, w, p in zip(texts, whole, parts, strict=True):
-            if w:
-                out.append(join([self.value(tok.encode(t, add_special_tokens=False).ids)]))
-            elif not p:
+        if len(self) > self.max_kept:
+            self.old = dict(self)
+            self.clear()
+            self.update(self.frequent)
+        out, known = [], self.__getitem__
+        for t in texts:
+            if not t:
                 out.append(join([]))
+            elif self.special is not None and self.special.search(t):
+                out.append(join([self.encoded(t)]))
             else:
-                first = [self.value(tok.encode(p[0], add_special_tokens=False).ids)] if p[0] else []
+                parts = cut(t)
+                first = parts[0]
                 # A text that starts with the cut space has an empty first part.
-                out.append(join([*first, *map(known, p[1:])]))
-        for c in self.long:
-            self.kept.pop(c, None)
-        self.long = set()
+                out.append(join(chain([self.encoded(first)] if first else [], map(known, islice(parts, 1, None)))))
         return out
 
 
@@ -104,7 +95,62 @@ def id_bytes(ids: list[int]) -> bytes:
     a = array("I", ids)
     if a.itemsize != 4:  # pragma: no cover - no such platform is supported
         raise RuntimeError("needs 4-byte unsigned int")
-    import sys
     if sys.byteorder == "big":  # pragma: no cover
         a.byteswap()
     return a.tobytes()
+
+
+class IdEncoder:
+    """Token ids of whole texts, as bytes, equal to those of the ``tokenizers`` file.
+
+    The file's merges are handed to the quicker rank encoder where they are plain byte-level
+    ranks (ids in merge order); a probe that differs, an added string, or a text with runs
+    that its pattern matcher may not bear goes to the library itself.
+    """
+
+    PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    PROBE = "It's  probed\n\n by 3 lines, isn't it? \t \u00e9\u00df\u4e2d\U0001f600 x\u00a0y 12a--b..\r\n end "
+
+    def __init__(self, path: str):
+        self.tok, self.special = load(path)
+        self.quick = self._ranks(path)
+        if self.quick is not None and self.quick.encode_ordinary(self.PROBE) != self._library(self.PROBE):
+            self.quick = None
+
+    def _library(self, text: str) -> list[int]:
+        return self.tok.encode(text, add_special_tokens=False).ids
+
+    @staticmethod
+    def _ranks(path: str):
+        import json
+
+        import tiktoken
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        if (spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space")
+                or not pre.get("use_regex", True) or model.get("type") != "BPE"):
+            return None
+        # The printable stand-ins of byte-level BPE: bytes without a visible character of their own follow from 256 on.
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        stand_in = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+        added = {t["content"] for t in spec.get("added_tokens", [])}
+        ranks = {bytes(stand_in[ch] for ch in w): i for w, i in model["vocab"].items() if w not in added}
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if merged != sorted(merged):
+            return None
+        return tiktoken.Encoding("from-file", pat_str=IdEncoder.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def __call__(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        # Hardly any spaces: some run is long.
+        odd = len(text) > 5_000 + 50 * text.count(" ")
+        if self.quick is None or odd or self.special is not None and self.special.search(text):
+            return id_bytes(self._library(text))
+        try:
+            return id_bytes(self.quick.encode_ordinary(text))
+        except BaseException as e:  # a panic of the pattern matcher is no Exception
+            if isinstance(e, KeyboardInterrupt | SystemExit | MemoryError | GeneratorExit):
+                raise
+            return id_bytes(self._library(text))
