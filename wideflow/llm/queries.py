@@ -20,6 +20,7 @@ from .packing import pack
 from .quality import judge, ratio_weights
 from .secrets import BASE_RULES, scan, span_list
 from .token_counts import count_tokens
+from .toxicity import fit, score
 from .vantage import nearest
 from .warc_zip import read_packages, write_packages
 
@@ -47,6 +48,11 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                             F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = [r.kind for r in BASE_RULES]
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": op1_jaccard,
     "op2_quality": op2_quality,
     "op3_source_mix": op3_source_mix,
+    "op4_toxicity": op4_toxicity,
     "op5_secrets": op5_secrets,
     "op6_packing": op6_packing,
     "op7_warc": op7_warc,
