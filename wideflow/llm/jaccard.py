@@ -19,12 +19,13 @@ signature goes to the shuffle, the others are noted under it, so a signature tha
 documents share arrives once per task and never as all its documents. Each
 signature thus becomes a star (or a star of stars) of pairs (centre, other).
 
-Verification is exact. Sizes and a count sketch (64 cells; its distance never exceeds
-that of the sets) rule out most pairs; sets with equal fingerprints need no look; the rest
-compare whole sets, made anew from the whole texts. Members of a signature
-whose star links all hold are connected, whatever their other links. Only for signatures
-with members in different components the pairs across components are made and verified too;
-so the components equal those of all links without making all pairs.
+Verification is exact. Sizes and a parity sketch (a bit for each of about as many cells as
+the set has elements; two sketches never differ in more bits than their sets do in elements) rule out
+most pairs; sets with equal fingerprints need no look; the rest compare whole sets, made
+anew from the whole texts. Members of a signature whose star links all hold are connected,
+whatever their other links. Only for signatures with members in different components, pairs across
+components are looked at too: in blocks of members, by their sketches, and only those that
+pass become rows. So the components equal those of all links without making all pairs.
 
 Defined cases: texts without words, null texts included, have an empty set and no links;
 rows with a null id are returned with a null component and link with nothing; rows that
@@ -55,7 +56,8 @@ GROUPED = 1_500_000
 REMEMBERED = 200_000
 #: Ids of up to so many documents are broadcast to fetch their texts; beyond it the documents are shuffled.
 BROADCAST_IDS = 300_000
-CELLS = 64
+#: Members of a signature that are compared with as many others in one block.
+BLOCK = 2_000
 #: Cost of the candidates that a segment of no elements would bring, in index entries.
 LIGHT_COST = 400.0
 _DOC, _COPY, _ENTRY, _STAR = 0, 1, 2, 3
@@ -184,9 +186,8 @@ def _index(k: int, num: int, den: int):
             n, info, same = [], [], []
             for doc, s in zip(ids, shingle_sets(b.column(1), k), strict=True):
                 mark = xxhash.xxh3_128_digest(s)
-                cells = np.minimum(np.bincount((s & _U(CELLS - 1)).astype(np.int64), minlength=CELLS), 65_535)
                 n.append(len(s))
-                info.append(mark + cells.astype("<u2").tobytes())
+                info.append(mark + sketch(s))
                 if not len(s) or doc is None:
                     continue
                 if mark in copies:
@@ -237,6 +238,23 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _rows(_STAR, int(other.sum()), key=sig[other], id=ids[other], centre=first[other], sig=sig[other])
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """A bit for each cell: whether an odd number of elements fall into it; cells are a power of two."""
+    cells = max(256, 1 << max(0, len(s) - 1).bit_length())
+    odd = np.bincount((s & _U(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def _folded(x: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (rows of bytes) as those of fewer cells."""
+    return np.bitwise_xor.reduce(x.reshape(len(x), -1, width), axis=1)
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many bits the rows differ; widths are multiples of 8."""
+    return np.bitwise_count(x.view(_U) ^ y.view(_U)).sum(1, dtype=np.int64)
+
+
 def _sketched(num: int, den: int):
     """Pairs with both sizes and infos -> those that may be similar; ``same`` where the sets are equal."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,16 +262,107 @@ def _sketched(num: int, den: int):
             if not b.num_rows:
                 continue
             r, s = (b.column(i).to_numpy().astype(np.int64) for i in (2, 3))
-            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint8).reshape(len(r), -1) for i in (4, 5))
-            same = (x[:, :16] == y[:, :16]).all(1)
-            u, v = (np.ascontiguousarray(z[:, 16:]).view("<u2").astype(np.int32) for z in (x, y))
-            apart = np.abs(u - v).sum(1)
+            x, y = (b.column(i).to_pylist() for i in (4, 5))
+            same = np.array([u[:16] == v[:16] for u, v in zip(x, y, strict=True)])
+            apart = np.zeros(len(r), np.int64)
+            widths = np.array([(len(u) - 16, len(v) - 16) for u, v in zip(x, y, strict=True)])
+            for w in np.unique(widths, axis=0):
+                at = np.flatnonzero((widths == w).all(1))
+                u, v = (np.frombuffer(b"".join(z[i][16:] for i in at), np.uint8).reshape(len(at), -1) for z in (x, y))
+                apart[at] = _apart(_folded(u, w.min()), _folded(v, w.min()))
             may = same | (apart * (den + num) <= (r + s) * (den - num))
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(may)), b.column(1).filter(pa.array(may)), pa.array(same[may])],
                                              names=["a", "b", "same"])
     return run
 
 
+def _across(num: int, den: int, at_once: int = 100_000):
+    """Sorted members (sig, i, j, part, id, c, n, info) of blocks -> distinct-enough pairs (a, b) of different
+    components that sizes and sketches leave possible. A block (i, j) has parts i and j of a signature's members."""
+    def pairs_of(part: np.ndarray, i: int, j: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if i == j:
+            left = right = np.arange(len(part))
+        else:
+            left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        step = max(1, at_once // max(1, len(right)))
+        for k in range(0, len(left), step):
+            x, y = np.repeat(left[k:k + step], len(right)), np.tile(right, len(left[k:k + step]))
+            yield (x[x < y], y[x < y]) if i == j else (x, y)
+
+    def checked(rows: list, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, c, n, info = rows
+        fine = (c[x] != c[y]) & (ids[x] != ids[y]) & (np.minimum(n[x], n[y]) * den >= np.maximum(n[x], n[y]) * num)
+        x, y = x[fine], y[fine]
+        width = np.array([len(z) for z in info])
+        keep = np.zeros(len(x), bool)
+        for w in np.unique(np.c_[width[x], width[y]], axis=0) if len(x) else ():
+            at = np.flatnonzero((width[x] == w[0]) & (width[y] == w[1]))
+            low = w.min() - 16
+            sides = []
+            for side, wide in ((x[at], w[0]), (y[at], w[1])):
+                used, where = np.unique(side, return_inverse=True)
+                raw = np.frombuffer(b"".join(info[k][16:] for k in used), np.uint8).reshape(len(used), wide - 16)
+                sides.append((_folded(raw, low), where))
+            for k in range(0, len(at), at_once):
+                u, v = (m[q[k:k + at_once]] for m, q in sides)
+                size = n[x[at[k:k + at_once]]] + n[y[at[k:k + at_once]]]
+                keep[at[k:k + at_once]] = _apart(u, v) * (den + num) <= size * (den - num)
+        return np.minimum(ids[x[keep]], ids[y[keep]]), np.maximum(ids[x[keep]], ids[y[keep]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+
+        def block(parts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+            """Whole blocks, together: their pairs are made and looked at in steps."""
+            t = pa.Table.from_batches(parts)
+            sig, i, j, part, ids, c, n = (t.column(k).to_numpy() for k in range(7))
+            rows = ids, c, n.astype(np.int64), t.column(7).to_pylist()
+            start = np.flatnonzero(np.r_[True, (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+            out, xs, ys, held = [], [], [], 0
+
+            def flush():
+                a, d = checked(rows, np.concatenate(xs), np.concatenate(ys))
+                new = [p for p in set(zip(a.tolist(), d.tolist(), strict=True)) if p not in seen]
+                if len(seen) > 500_000:
+                    seen.clear()
+                seen.update(new)
+                if new:
+                    a, d = zip(*new, strict=True)
+                    out.append(pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(d, pa.int64())], names=["a", "b"]))
+
+            for lo, hi in zip(start, np.r_[start[1:], len(sig)], strict=True):
+                for x, y in pairs_of(part[lo:hi], i[lo], j[lo]):
+                    xs.append(x + lo)
+                    ys.append(y + lo)
+                    held += len(x)
+                    if held >= 5 * at_once:
+                        flush()
+                        xs, ys, held = [], [], 0
+            if xs:
+                flush()
+            return out
+
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            # The last block of a batch may go on in the next one.
+            sig, i, j = (b.column(k).to_numpy() for k in range(3))
+            ends = np.flatnonzero((sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
+            if held and b.num_rows:
+                last = held[-1]
+                if any(last.column(k)[-1].as_py() != b.column(k)[0].as_py() for k in range(3)):
+                    yield from block(held)
+                    held = []
+            if len(ends):
+                cut = int(ends[-1]) + 1
+                yield from block([*held, b.slice(0, cut)])
+                held = [b.slice(cut)]
+            elif b.num_rows:
+                held.append(b)
+        if held:
+            yield from block(held)
+    return run
+
+
 def _verified(k: int, num: int, den: int):
     """Pairs with both texts -> the similar ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,14 +436,15 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     split = staged(open_stars.where("ca <> cb").select("sig").distinct(), "jaccard-split")
     if not split.isEmpty():
         members = open_stars.join(split, "sig", "left_semi")
-        members = (members.select("sig", F.col("a").alias("id"), F.col("ca").alias("c"))
-                   .union(members.select("sig", F.col("b").alias("id"), F.col("cb").alias("c"))).distinct()
-                   .join(known.select("id", "n"), "id"))
-        members = staged(members, "jaccard-members")
-        other = members.select("sig", *(F.col(c).alias(f"{c}2") for c in ("id", "c", "n")))
-        across = (members.join(other, "sig").where(f"id < id2 AND c <> c2 AND least(n, n2) * {den} >= greatest(n, n2) * {num}")
-                  .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
-                  .join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+        members = staged(members.select("sig", F.col("a").alias("id"), F.col("ca").alias("c"))
+                         .union(members.select("sig", F.col("b").alias("id"), F.col("cb").alias("c"))).distinct(), "jaccard-members")
+        parts = members.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+        parted = (members.join(parts, "sig").join(known, "id")
+                  .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+        across = (parted.select("sig", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "c", "n", "info")
+                  .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "id").mapInArrow(_across(num, den), "a long, b long")
+                  .distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
         across = staged(across, "jaccard-across")
         if not across.isEmpty():
             labels = merged(labels, verify(across))
