@@ -43,7 +43,8 @@ def text_or_empty(c: str = "text") -> Column:
 
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text, in order."""
-    return F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != "")
+    inner = F.btrim(text, F.lit(SPACE_CHARS))  # so that the split has no empty ends
+    return F.when(inner != "", F.split(inner, f"[{SPACE}]+")).otherwise(F.array().cast("array<string>"))
 
 
 def small_enough(df: DataFrame, max_rows: int) -> bool:

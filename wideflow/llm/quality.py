@@ -41,37 +41,35 @@ def _adjacent(h: Column, n: int) -> Column:
     return F.transform(runs, lambda r: F.xxhash64(r))
 
 
-def _repeated(runs: Column) -> Column:
-    """Number of elements in the windows (given by their hashes, in order) that occur twice or more."""
-    placed = F.sort_array(F.transform(runs, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    twice = F.filter(placed, lambda x, i: (x["h"] == F.get(placed, i - 1)["h"]) | (x["h"] == F.get(placed, i + 1)["h"]))
-    at = F.sort_array(F.transform(twice, lambda x: x["i"]))
+def _covered(at: Column) -> Column:
+    """Number of places that windows at the given ascending starts cover."""
     # Each window adds what lies behind the end of the one before.
-    covered = F.aggregate(
+    return F.aggregate(
         at, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")),
         lambda s, i: F.struct((s["n"] + (i + WINDOW) - F.greatest(s["end"], i)).cast("long").alias("n"), (i + WINDOW).cast("int").alias("end")),
         lambda s: s["n"])
-    return F.when(F.size(F.array_distinct(runs)) == F.size(runs), F.lit(0).cast("long")).otherwise(covered)
 
 
 def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``_q_hashes`` and the counts ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``."""
     t = text_or_empty(text)
-    lines = F.filter(F.split(t, "\n"), lambda x: F.translate(x, SPACE_CHARS, "") != "")
+    lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "")
     d = docs.withColumn("_q_hashes", _hashes(words(t)))
-    d = d.withColumn("_q_windows", _adjacent(F.col("_q_hashes"), WINDOW))
+    d = d.withColumn("_q_windows", _adjacent(F.col("_q_hashes"), WINDOW)).withColumn("_q_lines", lines)
+    # Windows in the order of their hashes, only where two are equal. They are a column of their own, as a
+    # lambda would make the array anew for each element.
+    placed = F.sort_array(F.transform("_q_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    d = d.withColumn("_q_placed", F.when(F.size(F.array_distinct("_q_windows")) < F.size("_q_windows"), placed))
+    h = F.transform("_q_placed", lambda x: x["h"])
+    d = d.withColumn("_q_sorted", h)
+    twice = F.filter("_q_placed", lambda x, i: (x["h"] == F.get("_q_sorted", i - 1)) | (x["h"] == F.get("_q_sorted", i + 1)))
     return d.withColumns({
         "n_words": F.size("_q_hashes").cast("long"),
         "word_chars": F.length(F.translate(t, SPACE_CHARS, "")).cast("long"),
         "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-        "n_repeat_words": _repeated(F.col("_q_windows")),
-    }).drop("_q_windows")
-
-
-def _grams(h: Column, buckets: int) -> Column:
-    """The buckets of the words and of the pairs of adjacent words."""
-    return F.transform(F.concat(h, _adjacent(h, 2)), lambda x: F.pmod(x, F.lit(buckets)).cast("int"))
+        "n_dup_lines": (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long"),
+        "n_repeat_words": F.coalesce(_covered(F.sort_array(F.transform(twice, lambda x: x["i"]))), F.lit(0).cast("long")),
+    }).drop("_q_windows", "_q_placed", "_q_sorted", "_q_lines")
 
 
 def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text: str = "text",
@@ -81,7 +79,11 @@ def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id
     ``trusted_ids`` names the trusted documents by distinct ids in a column like ``id_col``.
     """
     flagged = docs.select(id_col, text).join(trusted_ids.select(F.col(id_col), F.lit(1).alias("_q_t")), id_col, "left")
-    grams = flagged.select(F.explode(_grams(_hashes(words(text_or_empty(text))), buckets)).alias("g"), F.coalesce("_q_t", F.lit(0)).alias("t"))
+    w = words(text_or_empty(text))
+    pairs = flagged.select(F.coalesce("_q_t", F.lit(0)).alias("t"), F.inline(F.arrays_zip(w.alias("x"), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))).alias("y"))))
+    # The hash of a pair is that of its words' hashes, as in the scores.
+    hashes = F.array(F.xxhash64("x"), F.when(F.col("y").isNotNull(), F.xxhash64(F.xxhash64("x"), F.xxhash64("y"))))
+    grams = pairs.select("t", F.explode(hashes).alias("h")).where("h IS NOT NULL").select("t", F.pmod("h", F.lit(buckets)).cast("int").alias("g"))
     counts = staged(grams.groupBy("g").agg(F.count("*").cast("double").alias("raw"), F.sum("t").cast("double").alias("own")), "quality-counts")
     n_raw, n_own = (counts.agg(F.coalesce(F.sum(c), F.lit(0.0))).scalar() for c in ("raw", "own"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("g")).join(counts, "g", "left")
