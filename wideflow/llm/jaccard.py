@@ -25,7 +25,7 @@ most pairs; sets with equal fingerprints need no look; the rest compare whole se
 anew from the whole texts. Members of a signature whose star links all hold are connected,
 whatever their other links. Only for signatures with members in different components, pairs across
 components are looked at too: in blocks of members, by their sketches, and only those that
-pass become rows. So the components equal those of all links without making all pairs.
+pass become rows, after a round for each component's closest pairs alone has connected most. So the components equal those of all links without making all pairs.
 
 Defined cases: texts without words, null texts included, have an empty set and no links;
 rows with a null id are returned with a null component and link with nothing; rows that
@@ -276,9 +276,10 @@ def _sketched(num: int, den: int):
     return run
 
 
-def _across(num: int, den: int, at_once: int = 100_000):
-    """Sorted members (sig, i, j, part, id, c, n, info) of blocks -> distinct-enough pairs (a, b) of different
-    components that sizes and sketches leave possible. A block (i, j) has parts i and j of a signature's members."""
+def _across(num: int, den: int, only_best: bool, at_once: int = 100_000):
+    """Sorted members (sig, i, j, part, id, c, n, info) of blocks -> pairs (a, b) of different components that
+    sizes and sketches leave possible; with ``only_best``, of those looked at together each component's
+    closest pair alone. A block (i, j) has parts i and j of a signature's members."""
     def pairs_of(part: np.ndarray, i: int, j: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if i == j:
             left = right = np.arange(len(part))
@@ -294,7 +295,7 @@ def _across(num: int, den: int, at_once: int = 100_000):
         fine = (c[x] != c[y]) & (ids[x] != ids[y]) & (np.minimum(n[x], n[y]) * den >= np.maximum(n[x], n[y]) * num)
         x, y = x[fine], y[fine]
         width = np.array([len(z) for z in info])
-        keep = np.zeros(len(x), bool)
+        far = np.full(len(x), np.inf)  # of the sketches, against the sizes
         for w in np.unique(np.c_[width[x], width[y]], axis=0) if len(x) else ():
             at = np.flatnonzero((width[x] == w[0]) & (width[y] == w[1]))
             low = w.min() - 16
@@ -306,7 +307,11 @@ def _across(num: int, den: int, at_once: int = 100_000):
             for k in range(0, len(at), at_once):
                 u, v = (m[q[k:k + at_once]] for m, q in sides)
                 size = n[x[at[k:k + at_once]]] + n[y[at[k:k + at_once]]]
-                keep[at[k:k + at_once]] = _apart(u, v) * (den + num) <= size * (den - num)
+                far[at[k:k + at_once]] = _apart(u, v) * (den + num) / (size * (den - num))
+        keep = np.flatnonzero(far <= 1)
+        if only_best and len(keep):
+            keep = keep[np.argsort(far[keep], kind="stable")]
+            keep = keep[np.unique(np.r_[np.unique(c[x[keep]], return_index=True)[1], np.unique(c[y[keep]], return_index=True)[1]])]
         return np.minimum(ids[x[keep]], ids[y[keep]]), np.maximum(ids[x[keep]], ids[y[keep]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -431,10 +436,14 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     rest = staged(labelled(pairs.join(tried, ["a", "b"], "left_anti").select("a", "b"), labels).where("ca <> cb").select("a", "b"), "jaccard-rest")
     if not rest.isEmpty():
         labels = merged(labels, verify(rest))
-    # Then pairs across components of the signatures whose members are in several.
-    open_stars = labelled(stars.select("sig", F.col("centre").alias("a"), F.col("id").alias("b")), labels)
-    split = staged(open_stars.where("ca <> cb").select("sig").distinct(), "jaccard-split")
-    if not split.isEmpty():
+    # Then pairs across components of the signatures whose members are in several: first each component's
+    # closest, which settles most, then all that are left.
+    tried = pairs.select("a", "b")
+    for only_best in (True, False):
+        open_stars = labelled(stars.select("sig", F.col("centre").alias("a"), F.col("id").alias("b")), labels)
+        split = staged(open_stars.where("ca <> cb").select("sig").distinct(), "jaccard-split")
+        if split.isEmpty():
+            break
         members = open_stars.join(split, "sig", "left_semi")
         members = staged(members.select("sig", F.col("a").alias("id"), F.col("ca").alias("c"))
                          .union(members.select("sig", F.col("b").alias("id"), F.col("cb").alias("c"))).distinct(), "jaccard-members")
@@ -443,11 +452,13 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
                   .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
                   .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
         across = (parted.select("sig", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "c", "n", "info")
-                  .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "id").mapInArrow(_across(num, den), "a long, b long")
-                  .distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+                  .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "id")
+                  .mapInArrow(_across(num, den, only_best), "a long, b long")
+                  .distinct().join(tried, ["a", "b"], "left_anti"))
         across = staged(across, "jaccard-across")
         if not across.isEmpty():
             labels = merged(labels, verify(across))
+            tried = tried.union(across)
     return (infos.join(labels, "id", "left")
             .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
                     F.coalesce("component", "id").alias("component_id")))
