@@ -35,10 +35,10 @@ def _hashes(w: Column) -> Column:
     return F.transform(w, lambda x: F.xxhash64(x))
 
 
-def _adjacent(h: Column, n: int) -> Column:
-    """One hash for each run of n adjacent elements of an array of hashes."""
-    runs = F.arrays_zip(*[F.slice(h, i + 1, F.greatest(F.size(h) - (n - 1), F.lit(0))) for i in range(n)])
-    return F.transform(runs, lambda r: F.xxhash64(r))
+def _joined(h: Column, apart: int) -> Column:
+    """One hash for each two elements so far apart of an array of hashes."""
+    n = F.greatest(F.size(h) - apart, F.lit(0))
+    return F.transform(F.arrays_zip(F.slice(h, 1, n), F.slice(h, apart + 1, n)), lambda r: F.xxhash64(r))
 
 
 def _covered(at: Column) -> Column:
@@ -51,11 +51,12 @@ def _covered(at: Column) -> Column:
 
 
 def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``_q_hashes`` and the counts ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``."""
+    """``docs`` with ``_q_hashes``, ``_q_pairs`` and the counts ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``."""
     t = text_or_empty(text)
     lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "")
-    d = docs.withColumn("_q_hashes", _hashes(words(t)))
-    d = d.withColumn("_q_windows", _adjacent(F.col("_q_hashes"), WINDOW)).withColumn("_q_lines", lines)
+    d = docs.withColumn("_q_hashes", _hashes(words(t))).withColumn("_q_pairs", _joined(F.col("_q_hashes"), 1)).withColumn("_q_lines", lines)
+    # A window's hash is made of those of its halves, and theirs of pairs.
+    d = d.withColumn("_q_fours", _joined(F.col("_q_pairs"), 2)).withColumn("_q_windows", _joined(F.col("_q_fours"), 4))
     # Windows in the order of their hashes, only where two are equal. They are a column of their own, as a
     # lambda would make the array anew for each element.
     placed = F.sort_array(F.transform("_q_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -69,7 +70,7 @@ def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
         "n_dup_lines": (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long"),
         "n_repeat_words": F.coalesce(_covered(F.sort_array(F.transform(twice, lambda x: x["i"]))), F.lit(0).cast("long")),
-    }).drop("_q_windows", "_q_placed", "_q_sorted", "_q_lines")
+    }).drop("_q_fours", "_q_windows", "_q_placed", "_q_sorted", "_q_lines")
 
 
 def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text: str = "text",
@@ -78,13 +79,18 @@ def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id
 
     ``trusted_ids`` names the trusted documents by distinct ids in a column like ``id_col``.
     """
-    flagged = docs.select(id_col, text).join(trusted_ids.select(F.col(id_col), F.lit(1).alias("_q_t")), id_col, "left")
-    w = words(text_or_empty(text))
-    pairs = flagged.select(F.coalesce("_q_t", F.lit(0)).alias("t"), F.inline(F.arrays_zip(w.alias("x"), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))).alias("y"))))
-    # The hash of a pair is that of its words' hashes, as in the scores.
-    hashes = F.array(F.xxhash64("x"), F.when(F.col("y").isNotNull(), F.xxhash64(F.xxhash64("x"), F.xxhash64("y"))))
-    grams = pairs.select("t", F.explode(hashes).alias("h")).where("h IS NOT NULL").select("t", F.pmod("h", F.lit(buckets)).cast("int").alias("g"))
-    counts = staged(grams.groupBy("g").agg(F.count("*").cast("double").alias("raw"), F.sum("t").cast("double").alias("own")), "quality-counts")
+    def counted(texts: DataFrame, name: str) -> DataFrame:
+        w = words(text_or_empty(text))
+        pairs = texts.select(F.inline(F.arrays_zip(w.alias("x"), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))).alias("y"))))
+        # The hash of a pair is that of its words' hashes, as in the scores.
+        hashes = F.array(F.xxhash64("x"), F.when(F.col("y").isNotNull(), F.xxhash64(F.xxhash64("x"), F.xxhash64("y"))))
+        grams = pairs.select(F.explode(hashes).alias("h")).where("h IS NOT NULL").select(F.pmod("h", F.lit(buckets)).cast("int").alias("g"))
+        return grams.groupBy("g").agg(F.count("*").cast("double").alias(name))
+
+    # The trusted ids may be many, so they are joined by shuffle at every size; on a large scan the
+    # planner's runtime filter leaves little more than the trusted texts to shuffle.
+    trusted = docs.select(id_col, text).join(trusted_ids.select(id_col).hint("merge"), id_col, "left_semi").select(text)
+    counts = staged(counted(docs.select(text), "raw").join(counted(trusted, "own"), "g", "left"), "quality-counts")
     n_raw, n_own = (counts.agg(F.coalesce(F.sum(c), F.lit(0.0))).scalar() for c in ("raw", "own"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("g")).join(counts, "g", "left")
     p_raw = (F.coalesce("raw", F.lit(0.0)) + 1) / (n_raw + buckets)
@@ -98,9 +104,9 @@ def judge(docs: DataFrame, weights: DataFrame, text: str = "text", threshold: fl
     w = staged(weights, "quality-weights").scalar()  # a subquery's value: one array for all rows
     d = base_features(docs, text).withColumn("_q_weights", w)
     w = F.col("_q_weights")
-    score = F.aggregate(F.concat("_q_hashes", _adjacent(F.col("_q_hashes"), 2)), F.lit(0.0),
+    score = F.aggregate(F.concat("_q_hashes", "_q_pairs"), F.lit(0.0),
                         lambda s, x: s + F.get(w, F.pmod(x, F.size(w)).cast("int")))
     grams = F.greatest(F.lit(1), 2 * F.col("n_words") - 1)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return (d.withColumns({"base_failed": failed, "score": score / grams}).drop("_q_hashes", "_q_weights")
+    return (d.withColumns({"base_failed": failed, "score": score / grams}).drop("_q_hashes", "_q_pairs", "_q_weights")
             .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)))
