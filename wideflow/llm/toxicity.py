@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, text_slices
+from .common import staged, text_or_empty, text_slices
 
 #: Letters are 1 to 30, 0 stands for the ends of a word.
 LETTERS, DECAY = 32, 0.6
@@ -275,10 +275,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     known = (labels.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(id_col)
              .agg(F.min(label_col).alias("lo"), F.max(label_col).alias("hi")).where("lo = hi AND lo IN (0, 1)")
              .select(id_col, F.col("lo").cast("int").alias("_tox")))
-    sample = docs.where(F.length(text) <= max_chars).select(id_col, text).join(known, id_col)
-    rows = []
-    for kind, limit in ((1, max_toxic), (0, max_clean)):
-        rows += sample.where(F.col("_tox") == kind).orderBy(F.xxhash64(id_col), text).limit(limit).select(text, "_tox").collect()
+    # Ids are chosen first, without their texts; those of the few chosen are then broadcast to the scan.
+    short = docs.where(F.length(text) <= max_chars)
+    able = staged(short.select(id_col).distinct().join(known, id_col), "toxic-able")
+    chosen = [able.where(F.col("_tox") == kind).orderBy(F.xxhash64(id_col), id_col).limit(limit)
+              for kind, limit in ((1, max_toxic), (0, max_clean))]
+    chosen = staged(chosen[0].unionByName(chosen[1]), "toxic-chosen")  # at most max_toxic + max_clean rows
+    rows = (short.join(F.broadcast(chosen), id_col).groupBy(id_col, "_tox").agg(F.min(text).alias("t"))
+            .select("t", "_tox", id_col).collect())
+    rows = sorted(rows, key=lambda r: (r[1], r[2]))
     return train([r[0] for r in rows], [r[1] for r in rows])
 
 
