@@ -12,6 +12,7 @@ from conftest import SF_SMALL
 from wideflow.operators import cells as C
 from wideflow.operators import merge as M
 from wideflow.plans import store
+from wideflow.plans.registry import REGISTRY
 from wideflow.session import fresh_path
 from wideflow.sinks import files as S
 from wideflow.sources import fixtures as fx
@@ -47,7 +48,7 @@ def test_bulk_layout_sorted_and_disjoint(spark):
     S.write_cells_sorted(cells, path, num_partitions=4)
     ranges = []
     local = path[len("file:"):] if path.startswith("file:") else path
-    for f in sorted(glob.glob(os.path.join(local, "family=fpxx", "*.parquet"))):
+    for f in sorted(glob.glob(os.path.join(local, "family=fpxx", "batch=*", "*.parquet"))):
         t = pq.read_table(f, columns=["row_key", "qualifier"]).to_pylist()
         if not t:
             continue
@@ -106,7 +107,7 @@ def test_upsert_last_write_wins_across_batches(spark):
 
 
 def test_no_python_udfs_in_any_plan(spark):
-    for name, fn in E.queries().items():
+    for name, (fn, _sql) in REGISTRY.items():
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
 
@@ -126,7 +127,7 @@ def test_bucketed_table_reads_without_shuffle(spark):
     B.write_bucketed(cells, name, path, 4)
     B.write_bucketed(cells.filter(F.col("qualifier") == "view"), name, path, 4)   # a second batch
     t = B.read_bucketed(spark, name)
-    for df in (C.latest(t), C.to_wide(t, "ev", ["click", "view"])):
+    for df in (C.latest(t), C.to_wide(t, "ev", ["click", "view"], one_scan=True)):
         plan = plan_text(spark, df)
         assert "Exchange" not in plan, plan
     assert sorted(C.latest(t).collect()) == sorted(C.latest(cells).collect())
@@ -142,3 +143,36 @@ def test_bucketed_batch_writes_one_file_per_bucket(spark):
     local = path[len("file:"):] if path.startswith("file:") else path
     files = [f for f in glob.glob(os.path.join(local, "*.parquet"))]
     assert 0 < len(files) <= 4, files
+
+
+def test_wide_read_prunes_family_and_adds_bare_keys(spark):
+    path = fresh_path(spark, "t-wide")
+    S.write_cells_sorted(fx.cells(spark, SF_SMALL), path)
+    stored = S.read_cells(spark, path)
+    df = C.to_wide(stored, "ev", ["click", "view"])
+    plan = plan_text(spark, df)
+    assert "family" in plan.split("PartitionFilters:")[1][:200] and "In(qualifier, [click,view])" in plan, plan
+    assert "ReadSchema: struct<row_key:string>" in plan          # the key-only scan
+    assert plan.count("Arguments: hashpartitioning(row_key") == 1
+    assert sorted(df.collect(), key=str) == sorted(C.to_wide(fx.cells(spark, SF_SMALL), "ev", ["click", "view"], one_scan=True).collect(), key=str)
+    assert df.where("row_key >= '7'").count() > 0                 # rows of the other family only
+
+
+def test_multi_get_pushes_keys_to_the_scan(spark):
+    path = fresh_path(spark, "t-get")
+    S.write_cells_sorted(fx.cells(spark, SF_SMALL), path)
+    keys = spark.createDataFrame([("00000003",), ("00000001",), ("00000003",), ("99999999",), (None,)], "row_key string")
+    df = C.multi_get(S.read_cells(spark, path), keys, "ev", "click")
+    plan = plan_text(spark, df)
+    assert "GreaterThanOrEqual(row_key,00000001)" in plan and "LessThanOrEqual(row_key,99999999)" in plan, plan
+    tree = plan.split("\n\n")[0]
+    assert "LeftSemi" in plan and tree.rindex("HashJoin") > tree.index("Aggregate")  # printed from the top: the semi-join is below
+    assert len(df.collect()) == 5
+    assert C.multi_get(S.read_cells(spark, path), keys.limit(0), "ev", "click").collect() == []
+
+
+def test_put_writes_follow_the_number_of_partitions(spark):
+    path = fresh_path(spark, "t-put")
+    store.sync_cells(fx.cells(spark, SF_SMALL), path, run_ts=T0, family="ev", layout="put", num_partitions=3)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    assert 1 < len(glob.glob(os.path.join(local, "family=ev", "batch=*", "*.parquet"))) <= 3

@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_compare import compare
+from wideflow.plans.registry import REGISTRY
 
-SQL = E.oracle_sql()
-QUERIES = E.queries()
+SQL = {name: sql for name, (_fn, sql) in REGISTRY.items() if sql is not None}
+QUERIES = {name: fn for name, (fn, _sql) in REGISTRY.items()}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -16,17 +17,15 @@ def test_query_matches_oracle(spark, duck_small, name):
     assert r["ok"], r
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
-def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SF_SMALL).count() > 0
+def test_every_query_has_a_twin():
+    assert set(QUERIES) == set(SQL)
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(QUERIES) - set(SQL)
-    assert rows_only == {"partition_profile", "random_token"}
-
-
-def test_entry_smoke(spark):
+def test_entry_smoke(spark, duck_small):
     df = E.entry(spark)
-    assert df.count() == 1175
+    assert df.count() == len(duck_small.execute(SQL["header_keyed"]).fetchall()) > 1000
     assert df.columns[0] == "row_key"
+
+
+def test_entry_registers_all_queries():
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())

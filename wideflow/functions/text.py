@@ -77,14 +77,17 @@ def md5_hex(c, salt: str | None = None) -> Column:
 def token32(length: int, seed: int = 7, key: Column | None = None) -> Column:
     """A token of ``length`` symbols from the 32-symbol alphabet.
 
-    With ``key`` the token is a repeatable function of the key (xxhash64 per
-    position); without it each position draws from ``rand`` with seeds spread
+    With ``key`` the token is a repeatable function of the key (two hex digits of
+    the key's MD5 per position, for up to 16 symbols); without it each position draws from ``rand`` with seeds spread
     far apart, so neighbouring positions are not the same stream shifted.
     """
     picks = []
+    if key is not None and length > 16:
+        raise ValueError("a stable token has at most 16 symbols")
+    digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")).cast("binary")) if key is not None else None
     for i in range(length):
         if key is not None:
-            idx = F.pmod(F.xxhash64(key, F.lit(i), F.lit(seed)), F.lit(32))
+            idx = F.conv(F.substring(digest, 2 * i + 1, 2), 16, 10).cast("int") % 32
         else:
             idx = F.floor(F.rand(seed + i * 1000003) * 32).cast("int")
         picks.append(F.substr(F.lit(ALPHABET32), idx + 1, F.lit(1)))

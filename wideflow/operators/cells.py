@@ -1,7 +1,9 @@
 """Wide-column data as a cell table: (row_key, family, qualifier, ts, seq, value).
 
 A read returns the latest version of each cell, ordered by (ts, seq) with the
-value as the last tie-breaker, so every read is deterministic. Range and time
+value as the last tie-breaker, so every read is deterministic. Two writers that
+use the same (ts, seq) for one row key can therefore leave a mix of their cells:
+batches must not share a (ts, seq), and a batch holds one row per key. Range and time
 filters are applied to the raw versions first (they reach the Parquet scan as
 pushed filters), then versions are resolved.
 """
@@ -32,6 +34,10 @@ def unpivot(df: DataFrame, cols: list[str], family: str, key: str = "row_key",
     return cells.select(F.col(key).alias("row_key"), "family", "qualifier", "value")
 
 
+#: A key batch of up to so many keys is broadcast to the cell scan.
+MULTI_GET_BROADCAST_KEYS = 200_000
+
+
 def ts_lit(v) -> Column:
     """A wall-clock timestamp literal (no time-zone conversion on any session)."""
     if isinstance(v, Column):
@@ -89,17 +95,27 @@ def _ts(v) -> Column:
     return v if isinstance(v, Column) else ts_lit(v)
 
 
-def to_wide(cells: DataFrame, family: str, names: list[str]) -> DataFrame:
+def to_wide(cells: DataFrame, family: str, names: list[str], one_scan: bool = False) -> DataFrame:
     """Cells -> row_key + one column per name (latest value, NULL when absent).
 
-    One aggregation grouped by row_key only: every row key of the table appears,
-    also one with none of the names, and the latest version of each named cell
-    is picked inside the same pass (no separate version step, no join).
+    One aggregation grouped by row_key only, over two scans: the named cells
+    (family and qualifiers pruned at the scan, all columns) and the bare row
+    keys of the whole table, so that a row with none of the names appears too.
+    The latest version of each named cell is picked inside the same pass (no
+    separate version step, no join). ``one_scan`` reads everything once instead: for
+    bucketed tables, whose grouping by row_key then needs no shuffle.
     """
-    aggs = [F.max(F.when((F.col("family") == family) & (F.col("qualifier") == n),
-                         F.struct("ts", "seq", "value"))).alias(f"_w{i}")
-            for i, n in enumerate(names)]
-    return (cells.groupBy("row_key").agg(*aggs)
+    if one_scan:
+        aggs = [F.max(F.when((F.col("family") == family) & (F.col("qualifier") == n), F.struct("ts", "seq", "value"))).alias(f"_w{i}")
+                for i, n in enumerate(names)]
+        return (cells.groupBy("row_key").agg(*aggs)
+                .select("row_key", *[F.col(f"_w{i}.value").alias(n) for i, n in enumerate(names)]))
+    named = (select_versions(cells, families=[family], qualifiers=names)
+             .select("row_key", "qualifier", F.struct("ts", "seq", "value").alias("_v")))
+    bare = cells.select("row_key", F.lit(None).cast("string").alias("qualifier"),
+                        F.lit(None).cast(named.schema["_v"].dataType).alias("_v"))
+    aggs = [F.max(F.when(F.col("qualifier") == n, F.col("_v"))).alias(f"_w{i}") for i, n in enumerate(names)]
+    return (named.unionByName(bare).groupBy("row_key").agg(*aggs)
             .select("row_key", *[F.col(f"_w{i}.value").alias(n) for i, n in enumerate(names)]))
 
 
@@ -132,10 +148,17 @@ def multi_get(cells: DataFrame, keys: DataFrame, family: str, qualifier: str,
               key: str = "row_key") -> DataFrame:
     """A batch of point reads: every key row with the latest value of one cell (NULL if absent).
 
-    The cell side is reduced per row_key (partial aggregation) and the keys are
-    joined on row_key; AQE picks broadcast or sort-merge from real sizes.
+    The batch's smallest and greatest key bound the cell scan (pushed to the
+    files), and a semi-join with the distinct keys leaves only wanted versions
+    before anything is shuffled or aggregated. The keys are broadcast behind a
+    check of their number; a larger batch is joined by shuffle.
     """
-    hit = (select_versions(cells, families=[family], qualifiers=[qualifier])
+    wanted = keys.select(F.col(key).alias("row_key")).where("row_key IS NOT NULL").distinct()
+    n, low, high = wanted.agg(F.count(F.lit(1)), F.min("row_key"), F.max("row_key")).first()
+    found = select_versions(cells, start=low, families=[family], qualifiers=[qualifier])
+    if high is not None:
+        found = found.filter(F.col("row_key") <= F.lit(high))
+    hit = (found.join(F.broadcast(wanted) if n <= MULTI_GET_BROADCAST_KEYS else wanted, "row_key", "left_semi")
            .groupBy("row_key").agg(F.max(F.struct("ts", "seq", "value")).alias("_w"))
            .select(F.col("row_key").alias(key), F.col("_w.value").alias("value")))
     return keys.join(hit, on=key, how="left")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import MINUS_ONE, is_blank, jtrim, nonblank_or_null
-from .lookup import NO_KEY, attach, measured_lookup, probe
+from .lookup import NO_KEY, lookup_columns
 
 RULES = ("standard", "keep_empty", "nullable")
 
@@ -55,11 +55,12 @@ def buyer_expr(bk: Column, b: Column, rule: str) -> Column:
 
 
 def header_codes(df: DataFrame, by_name: DataFrame, by_tax: DataFrame,
-                 rule: str = "standard", gate: Column | None = None) -> DataFrame:
+                 rule: str = "standard", gate: Column | None = None, max_bytes: int | None = None) -> DataFrame:
     """Adds ``gfqybm`` (buyer) and ``xfqybm`` (seller) codes.
 
     ``gate`` marks the rows that will be looked up; rows outside it get NULL
-    codes and cost one shared dictionary entry.
+    codes and are looked up nowhere. ``max_bytes`` overrides the session's
+    bound for broadcasting a lookup.
     """
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule!r}")
@@ -68,26 +69,14 @@ def header_codes(df: DataFrame, by_name: DataFrame, by_tax: DataFrame,
         _TK: _key(F.col("xfsbh"), gate),
         _BK: _key(F.col("gfmc"), gate, blank_test=is_blank),
     })
-    names, names_small = measured_lookup(by_name)
-    taxes, taxes_small = measured_lookup(by_tax)
     codes = [buyer_expr(F.col(_BK), F.col("_b"), rule).alias("gfqybm"),
              seller_expr(F.col("_n"), F.col("_t"), rule).alias("xfqybm")]
-    if names_small and taxes_small:
-        # both lookups measured small: broadcast them, no shuffle of the wide rows
-        out = probe(names, keyed, _NK, "_n", broadcast=True)
-        out = probe(taxes, out, _TK, "_t", broadcast=True)
-        out = probe(names, out, _BK, "_b", broadcast=True)
-        out = out.select(*keyed.columns, *codes)
-    else:
-        # large lookups: resolve the distinct key triples (with their row
-        # counts, for hot-key salting), attach them once
-        keys = keyed.groupBy(_NK, _TK, _BK).agg(F.count(F.lit(1)).alias("_rows"))
-        r = probe(names, keys, _NK, "_n")
-        r = probe(taxes, r, _TK, "_t")
-        r = probe(names, r, _BK, "_b")
-        out = attach(keyed, r.select(_NK, _TK, _BK, *codes, "_rows"), [_NK, _TK, _BK], rows_col="_rows")
+    # each lookup is planned on its own; seller and buyer names share one dictionary
+    out = lookup_columns(keyed, by_name, {_NK: "_n", _BK: "_b"}, max_bytes)
+    out = lookup_columns(out, by_tax, {_TK: "_t"}, max_bytes)
+    out = out.select(*keyed.columns, *codes)
     if gate is not None:
-        # rows outside the gate share the all-blank key; they carry no codes
+        # rows outside the gate have blank keys; they carry no codes
         out = out.withColumns({c: F.when(gate, F.col(c)) for c in ("gfqybm", "xfqybm")})
     return out.drop(_NK, _TK, _BK)
 
@@ -96,12 +85,5 @@ def seller_code_by_tax(df: DataFrame, by_tax: DataFrame, tax_col: str = "xf_nsrs
                        out_col: str = "xfqybm", gate: Column | None = None) -> DataFrame:
     """Line-item seller code by trimmed tax id; blank or absent -> '-1'."""
     keyed = df.withColumn(_TK, _key(F.col(tax_col), gate))
-    taxes, small = measured_lookup(by_tax)
     code = F.coalesce(nonblank_or_null(F.col("_t")), F.lit(MINUS_ONE)).alias(out_col)
-    if small:
-        return probe(taxes, keyed, _TK, "_t", broadcast=True).select(*keyed.columns, code).drop(_TK)
-    # large lookup: counted key dictionary, resolved, attached once with hot
-    # keys salted (rows outside the gate all share the '' key)
-    keys = keyed.groupBy(_TK).agg(F.count(F.lit(1)).alias("_rows"))
-    r = probe(taxes, keys, _TK, "_t").select(_TK, code, "_rows")
-    return attach(keyed, r, [_TK], rows_col="_rows").drop(_TK)
+    return lookup_columns(keyed, by_tax, {_TK: "_t"}).select(*keyed.columns, code).drop(_TK)

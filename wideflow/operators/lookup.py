@@ -1,28 +1,28 @@
 """Key-value lookups as joins.
 
 The source jobs did two to six remote point reads per row. Here a lookup is a
-left equi-join on a unique right key (``unique_lookup``), planned from measured
-sizes so that the wide input is shuffled at most once:
+left equi-join on a unique right key (``unique_lookup``), planned for each
+lookup on its own from its measured size (``lookup_columns``):
 
-* every lookup measured small (``measure``): broadcast joins, no shuffle of
-  the wide rows at all;
-* otherwise the distinct key combinations of the input are collected with a
-  partial (map-side) aggregate that also counts rows per key, resolved against
-  the lookups with narrow joins, and attached back once (``attach``):
-  broadcast if that dictionary is measured small, else a shuffle join in which
-  hot keys are salted (``salt_hot_keys``), with AQE skew splitting behind it.
+* measured small (``measure``): broadcast joins, no shuffle of the wide rows;
+* otherwise the distinct keys of the input (of all columns that probe this
+  lookup together) are collected with a partial (map-side) aggregate that also
+  counts rows per key, resolved against the lookup - unique on both sides, so
+  no task is hot - written to the shared work folder, and attached to the wide
+  rows: broadcast if that dictionary is measured small, else a shuffle join in
+  which hot keys and blank keys are salted (``salt_hot_keys``).
 
 Blank probe keys use the marker '' (never NULL): a trimmed, non-blank key can
 never be '', and lookup rows keyed '' are dropped, so the marker cannot match.
+Blank keys take no part in the dictionary and are spread over all tasks.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import work_dir
+from ..session import fresh_path
 
 NO_KEY = ""
 DEFAULT_BROADCAST_MAX_BYTES = 32 * 1024 * 1024
@@ -41,17 +41,6 @@ def unique_lookup(lookup: DataFrame, key: str = "row_key", value: str = "qybm")
     return _lookup_rows(lookup, key, value).groupBy(key).agg(F.max(value).alias(value))
 
 
-def measured_lookup(lookup: DataFrame) -> tuple[DataFrame, bool]:
-    """The unique lookup, and whether it may be broadcast.
-
-    The bound is taken on the projected raw rows - a plain scan, no shuffle -
-    which are at least as large as the de-duplicated lookup, so a small raw
-    size proves a small unique lookup.
-    """
-    _, small = measure(_lookup_rows(lookup), persist=False)
-    return unique_lookup(lookup), small
-
-
 def broadcast_max_bytes(spark) -> int:
     v = spark.conf.get("wideflow.broadcastMaxBytes", None)
     return int(v) if v else DEFAULT_BROADCAST_MAX_BYTES
@@ -62,49 +51,51 @@ def measure(df: DataFrame, max_bytes: int | None = None, persist: bool = True) -
 
     The measurement is one aggregate over its rows (bytes of every column plus
     a per-row overhead); the bound is ``wideflow.broadcastMaxBytes``. With
-    ``persist`` the rows are written once to the session's checkpoint folder
-    (for tables that are expensive to recompute, such as a key dictionary of
-    the whole input): the join that follows reads them from there, the
-    lineage is cut, and no cache is left behind.
+    ``persist`` the rows are written once to the shared work folder (for tables
+    that are expensive to recompute, such as a key dictionary of the whole
+    input): the join that follows reads them from there and the lineage is cut.
     """
     spark = df.sparkSession
     limit = broadcast_max_bytes(spark) if max_bytes is None else max_bytes
     if persist:
-        work_dir(spark)
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)   # computed once, then checkpointed
-        df = cached.checkpoint(eager=True)
-        cached.unpersist()
+        path, schema = fresh_path(spark, "dictionary"), df.schema
+        df.write.parquet(path)
+        df = spark.read.schema(schema).parquet(path)
     width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns)
     n_rows, n_bytes = df.agg(F.count(F.lit(1)), F.sum(width)).first()
     est = (n_bytes or 0) + n_rows * (16 + 8 * len(df.columns))
     return df, (limit > 0 and est <= limit)
 
 
-def attach(df: DataFrame, resolved: DataFrame, on: list[str], rows_col: str | None = None) -> DataFrame:
-    """Left-join a one-row-per-key dictionary back onto the wide rows.
+def lookup_columns(df: DataFrame, lookup: DataFrame, columns: dict[str, str], max_bytes: int | None = None) -> DataFrame:
+    """``df`` with the looked-up value of each probe column (key column -> new column; NULL if absent).
 
-    Small dictionary (measured): broadcast, the wide rows are not shuffled.
-    Otherwise a shuffle join; with ``rows_col`` (rows of ``df`` per key, as
-    counted when the dictionary was built) hot keys are salted first.
+    ``max_bytes`` overrides the session's bound for broadcasting.
     """
-    resolved, small = measure(resolved)
+    _, small = measure(_lookup_rows(lookup), max_bytes, persist=False)
+    unique = unique_lookup(lookup)
     if small:
-        return df.join(F.broadcast(resolved.drop(rows_col) if rows_col else resolved), on=on, how="left")
-    if rows_col is None:
-        return df.join(resolved, on=on, how="left")
-    return _attach_salted(df, resolved, on, rows_col)
+        for key, out in columns.items():
+            df = probe(unique, df, key, out, broadcast=True)
+        return df
+    which = F.explode(F.array(*[F.struct(F.col(k).alias("k"), F.lit(i).alias("i")) for i, k in enumerate(columns)]))
+    rows = [F.count(F.when(F.col("p.i") == i, 1)).alias(f"_rows{i}") for i in range(len(columns))]
+    keys = df.select(which.alias("p")).where(F.col("p.k") != NO_KEY).groupBy(F.col("p.k").alias("row_key")).agg(*rows)
+    found, small = measure(keys.join(unique, "row_key"), max_bytes)
+    for i, (key, out) in enumerate(columns.items()):
+        entry = found.where(F.col(f"_rows{i}") > 0).select(F.col("row_key").alias(key), F.col("qybm").alias(out), F.col(f"_rows{i}").alias("_rows"))
+        if small:
+            df = df.join(F.broadcast(entry.drop("_rows")), key, "left")
+        else:
+            wide, entry = salt_hot_keys(df, entry, [key], "_rows")
+            df = wide.join(entry, on=[key, _SALT], how="left").drop(_SALT)
+    return df
 
 
 DEFAULT_HOT_KEY_MIN_ROWS = 100_000
 _SALTS, _SALT = "_salts", "_salt"
 
 
-def _attach_salted(df: DataFrame, resolved: DataFrame, on: list[str], rows_col: str) -> DataFrame:
-    """Shuffle join that splits hot keys over several tasks (see ``salt_hot_keys``)."""
-    wide, dictionary = salt_hot_keys(df, resolved, on, rows_col)
-    return wide.join(dictionary, on=[*on, _SALT], how="left").drop(_SALT)
-
-
 def salt_hot_keys(df: DataFrame, resolved: DataFrame, on: list[str], rows_col: str) -> tuple[DataFrame, DataFrame]:
     """Add a ``_salt`` column to both sides of a join on a one-row-per-key dictionary.
 
@@ -114,7 +105,8 @@ def salt_hot_keys(df: DataFrame, resolved: DataFrame, on: list[str], rows_col: s
     their list is broadcast safely. A hot key's rows get a salt from a hash of
     the whole row (deterministic on retry) in [0, salts); its dictionary entry
     is repeated once per salt; every other key keeps salt 0. A join on
-    (key, salt) then spreads a hot key over ``salts`` tasks.
+    (key, salt) then spreads a hot key over ``salts`` tasks. Rows with a blank
+    key, which match nothing, get any salt.
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -123,9 +115,13 @@ def salt_hot_keys(df: DataFrame, resolved: DataFrame, on: list[str], rows_col: s
     share = max(total // max(parts, 1), min_rows, 1)
     hot = (resolved.filter(F.col(rows_col) > share)
            .select(*on, F.ceil(F.col(rows_col) / F.lit(share)).cast("int").alias(_SALTS)))
+    blank = F.lit(False)
+    for c in on:
+        if dict(df.dtypes)[c] == "string":
+            blank = blank | (F.col(c) == NO_KEY)
     wide = (df.join(F.broadcast(hot), on=on, how="left")
-            .withColumn(_SALT, F.when(F.col(_SALTS).isNull(), F.lit(0))
-                        .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col(_SALTS)).cast("int")))
+            .withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
+                                      F.when(blank, F.lit(max(parts, 1))).otherwise(F.coalesce(_SALTS, F.lit(1)))).cast("int"))
             .drop(_SALTS))
     dictionary = (resolved.drop(rows_col).join(F.broadcast(hot), on=on, how="left")
                   .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)))

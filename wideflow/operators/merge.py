@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import CELL_COLS
@@ -23,26 +23,40 @@ def dedupe_rows(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
     """Last write wins per key inside one batch.
 
     The source system leaves the order of same-key writes undefined; here the
-    row with the greatest ``order_cols`` tuple wins. One grouped max over a
-    struct: partial aggregation collapses hot keys before the shuffle.
+    row with the greatest ``order_cols`` tuple wins, as a whole. One exchange on
+    the key and one sort; the planner's rank limit also drops losers before the
+    exchange, so a hot key does not travel. Input already partitioned by the
+    key (by hash or range) is not shuffled again. The rows leave sorted by key.
     """
     others = [c for c in df.columns if c != key and c not in order_cols]
-    w = F.max(F.struct(*order_cols, *others)).alias("_w")
-    return df.groupBy(key).agg(w).select(key, *[F.col(f"_w.{c}").alias(c) for c in df.columns if c != key])
+    best = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in [*order_cols, *others]])
+    return df.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
 
 
-def source_batch(source: DataFrame, run_ts: dt.datetime | None = None, ts_policy: str = "write_time",
-                 family: str | None = None, start=None, stop=None, ts_from=None, ts_to=None) -> DataFrame:
-    """The cells a merge copies: latest source cells in the scan range, restamped."""
+def key_collisions(keyed: DataFrame, identity: list[str], key: str = "row_key") -> DataFrame:
+    """Keys that more than one distinct ``identity`` shares: (key, n rows, n_invoices)."""
+    return (keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n"),
+                                   F.count_distinct(F.concat_ws("|", *identity)).alias("n_invoices"))
+            .filter(F.col("n_invoices") > 1))
+
+
+def restamp(cells: DataFrame, run_ts: dt.datetime | None, ts_policy: str) -> DataFrame:
+    """Source cells as a merge writes them: with the write time, or with their own timestamps."""
     if ts_policy not in TS_POLICIES:
         raise ValueError(f"unknown ts_policy {ts_policy!r}")
-    src = scan(source, start=start, stop=stop, ts_from=ts_from, ts_to=ts_to,
-               families=[family] if family else None)
     if ts_policy == "write_time":
         if run_ts is None:
             raise ValueError("run_ts is required for ts_policy='write_time'")
-        src = src.withColumn("ts", ts_lit(run_ts))
-    return src.select(*CELL_COLS)
+        cells = cells.withColumn("ts", ts_lit(run_ts))
+    return cells.select(*CELL_COLS)
+
+
+def source_batch(source: DataFrame, run_ts: dt.datetime | None = None, ts_policy: str = "write_time",
+                 family: str | None = None, start=None, stop=None, ts_from=None, ts_to=None) -> DataFrame:
+    """The cells a merge copies: latest source cells in the scan range, restamped."""
+    src = scan(source, start=start, stop=stop, ts_from=ts_from, ts_to=ts_to,
+               families=[family] if family else None)
+    return restamp(src, run_ts, ts_policy)
 
 
 def merge_cells(target: DataFrame, source: DataFrame, run_ts: dt.datetime | None = None,

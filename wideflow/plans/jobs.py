@@ -5,6 +5,7 @@
     python -m wideflow merge --source S --target P --family F [--start A --stop B | --ts-from .. --ts-to ..]
     python -m wideflow export --table P --family F --columns a,b --where "a = b" --csv OUT
     python -m wideflow qualifiers --table P --family F --out OUT
+    python -m wideflow key-collisions --table T --by-name N --by-tax X --year 16 --out OUT
     python -m wideflow count-rows --table P
     python -m wideflow compact --source P --target Q
 
@@ -23,6 +24,9 @@ from pyspark.sql import SparkSession
 
 from ..operators import cells as C
 from ..operators.lookup import lookup_from_cells
+from ..operators.merge import key_collisions
+from ..plans import loads
+from ..session import release
 from ..sinks import files as S
 from ..sources.tables import open_table, scan_detail, scan_header, spread
 from . import store
@@ -93,6 +97,15 @@ def build_parser() -> argparse.ArgumentParser:
     q.add_argument("--out", required=True)
     q.add_argument("--show", type=int, default=0)
 
+    x = sub.add_parser("key-collisions", help="row keys that several invoices share")
+    x.add_argument("--table", required=True)
+    x.add_argument("--by-name", required=True)
+    x.add_argument("--by-tax", required=True)
+    x.add_argument("--year", required=True)
+    x.add_argument("--mode", choices=("compat", "intended"), default="compat")
+    x.add_argument("--out", required=True)
+    x.add_argument("--lookup-cells", action="store_true")
+
     c = sub.add_parser("count-rows", help="number of row keys")
     c.add_argument("--table", required=True)
 
@@ -133,6 +146,10 @@ def run(argv: list[str], spark: SparkSession | None = None):
         out.write.mode("overwrite").parquet(a.out)
         if a.show:
             S.preview(out, a.show, ["row_key", "qualifier"]).show(a.show, truncate=False)
+    elif a.cmd == "key-collisions":
+        keyed = loads.header_keyed(scan_header(spark, spread(open_table(spark, a.table))), _lookup(spark, a.by_name, a.lookup_cells),
+                                   _lookup(spark, a.by_tax, a.lookup_cells), a.year, a.mode)
+        key_collisions(keyed, ["fpdm", "fphm"]).write.mode("overwrite").parquet(a.out)
     elif a.cmd == "count-rows":
         n = C.count_rows(_cells(spark, a.table)).first()["n_rows"]
         print(f"RowCount: {n}")
@@ -144,7 +161,11 @@ def run(argv: list[str], spark: SparkSession | None = None):
 
 
 def main() -> None:
-    run(sys.argv[1:])
+    spark = SparkSession.builder.getOrCreate()
+    try:
+        run(sys.argv[1:], spark)
+    finally:
+        release(spark)  # scratch folders of this run
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ These are test artefacts: the Spark code never parses or runs them.
 
 from __future__ import annotations
 
+from ..schema import DETAIL_COLS, HEADER_COLS, HEADER_STORED_COLS
 from ..sources.fixtures import fixture_sql
 
 JT_RE = r"'^[\x00-\x20]+|[\x00-\x20]+$'"
@@ -76,10 +77,9 @@ def lookups_cte() -> str:
             "tx AS (SELECT row_key, max(qybm) AS qybm FROM code_by_tax WHERE row_key IS NOT NULL AND row_key <> '' GROUP BY row_key)")
 
 
-HEADER21 = ("xfmc, xfsbh, xfdzdh, xfyhzh, gfmc, gfsbh, gfdzdh, gfyhzh, fpdm, fphm, fp_lb, je, se, "
-            "jshj, kpr, kprq, kpyf, kpjh, qdbz, zfbz, zfsj")
-HEADER24 = HEADER21 + ", source, gfqybm, xfqybm"
-DETAIL16 = "xf_nsrsbh, gf_nsrsbh, fpdm, fphm, fpmxxh, flbm, kprq, kpyf, spmc, jldw, je, se, slv, zfbz, sjly, ext"
+HEADER21 = ", ".join(HEADER_COLS)
+HEADER24 = ", ".join(HEADER_STORED_COLS)
+DETAIL16 = ", ".join(DETAIL_COLS)
 
 
 def seller(rule: str) -> str:

@@ -20,13 +20,13 @@ from ..functions import text as X
 from ..operators import cells as C
 from ..operators import merge as M
 from ..operators.enrich import header_codes, seller_code_by_tax
-from ..operators.lookup import attach, probe, unique_lookup
+from ..operators.lookup import lookup_columns
 from ..schema import DETAIL_COLS, HEADER_COLS, HEADER_FAMILY, HEADER_STORED_COLS
 from ..session import fresh_path
 from ..sinks import bucketed as B
 from ..sinks import files as S
 from ..sources import fixtures as fx
-from ..sources.tables import scan_detail, scan_header
+from ..sources.tables import scan_detail, scan_header, scan_tasks
 from ..streaming import sync as stream_sync
 from . import loads, store
 from . import oracle as O
@@ -42,7 +42,7 @@ RANGE_FROM, RANGE_TO = "00000010", "00000020"
 T_FROM, T_TO = dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 15)
 EV_NAMES = ["click", "error", "purchase", "signup", "view"]
 PREVIEW_N = 10
-SALT = "9599TA7MVH42"
+SALT = "wideflow-demo-salt"
 
 W = O.with_
 
@@ -130,8 +130,7 @@ def q_cells_time_range(spark, sf_dir):
 @register("cells_at_ts", W(CELLS, O.latest_sql("(SELECT * FROM cells WHERE ts = (SELECT min(ts) FROM cells))")))
 def q_cells_at_ts(spark, sf_dir):
     cells = fx.cells(spark, sf_dir)
-    first_ts = cells.agg(F.min("ts")).first()[0]  # one scalar
-    return C.scan(cells, at_ts=first_ts)
+    return C.scan(cells, at_ts=cells.agg(F.min("ts")).scalar())  # a subquery, run with the query
 
 
 @register("multi_get", W(CELLS + ",\nk AS (SELECT lpad(CAST(c_custkey AS STRING), 8, '0') AS row_key FROM customer),\n"
@@ -150,14 +149,23 @@ def _cells_out(df):
     return df.select("row_key", "family", "qualifier", "value")
 
 
-@register("upsert_header", W(HK, O.unpivot_sql("hk", O.HEADER24, "fpxx", O.fill_nw)))
+HK_LWW = O.dedupe_sql("hk", "row_key", O.HEADER24, "row_key, " + O.HEADER24)
+HK1 = HK + f",\nh1 AS ({HK_LWW})"
+
+
+@register("dedupe_header_keys", W(HK, HK_LWW))
+def q_dedupe_header_keys(spark, sf_dir):
+    return store.header_rows_lww(_header_keyed(spark, sf_dir))
+
+
+@register("upsert_header", W(HK1, O.unpivot_sql("h1", O.HEADER24, "fpxx", O.fill_nw)))
 def q_upsert_header(spark, sf_dir):
     path = fresh_path(spark, "upsert_header")
     store.load_header(_hdr(spark, sf_dir), *_lk(spark, sf_dir), YEAR, path, layout="put")
     return _cells_out(C.latest(S.read_cells(spark, path)))
 
 
-@register("stream_header_upsert", W(HK, O.unpivot_sql("hk", O.HEADER24, "fpxx", O.fill_nw)))
+@register("stream_header_upsert", W(HK1, O.unpivot_sql("h1", O.HEADER24, "fpxx", O.fill_nw)))
 def q_stream_header_upsert(spark, sf_dir):
     """Orders arrive as a file stream; the header view is a stream-static join;
     each micro-batch is loaded into the cell table (run to completion here)."""
@@ -165,7 +173,7 @@ def q_stream_header_upsert(spark, sf_dir):
                                      file_glob="orders.parquet")
     sql, _ = fx.FIXTURES["inv_header"]
     header = spark.sql(sql, orders=orders, customer=fx.read_table(spark, sf_dir, "customer"),
-                       supplier=fx.read_table(spark, sf_dir, "supplier"))
+                       lineitem=fx.read_table(spark, sf_dir, "lineitem"), supplier=fx.read_table(spark, sf_dir, "supplier"))
     path, ckpt = fresh_path(spark, "stream_header"), fresh_path(spark, "stream_ckpt")
     q = stream_sync.start_header_load(header, *_lk(spark, sf_dir), YEAR, path, ckpt, available_now=True)
     q.awaitTermination()
@@ -182,7 +190,7 @@ def q_upsert_detail(spark, sf_dir):
     return _cells_out(C.latest(S.read_cells(spark, path)))
 
 
-@register("bulk_header_cells", W(HK, O.unpivot_sql("hk", O.HEADER24, "fpxx", O.fill_m1)))
+@register("bulk_header_cells", W(HK1, O.unpivot_sql("h1", O.HEADER24, "fpxx", O.fill_m1)))
 def q_bulk_header_cells(spark, sf_dir):
     path = fresh_path(spark, "bulk_header")
     store.load_header(_hdr(spark, sf_dir), *_lk(spark, sf_dir), YEAR, path, layout="bulk")
@@ -234,7 +242,7 @@ def q_merge_insert_new_cells(spark, sf_dir):
 def _stored_sync(spark, sf_dir, **kw):
     tpath = fresh_path(spark, "sync_target")
     S.write_cells(_target(spark, sf_dir), tpath)
-    store.sync_cells(kw.pop("source"), tpath, run_ts=RUN_TS, family="ev", layout="bulk", **kw)
+    store.sync_cells(kw.pop("source"), tpath, run_ts=RUN_TS, family="ev", **{"layout": "bulk", **kw})
     return C.latest(S.read_cells(spark, tpath))
 
 
@@ -244,6 +252,12 @@ def q_merge_bulk_from_key(spark, sf_dir):
     return _stored_sync(spark, sf_dir, source=_source(spark, sf_dir), start=KEY_FROM)
 
 
+@register("merge_put_stored", _merge_sql(TGT, SRC_KEYS))
+def q_merge_put_stored(spark, sf_dir):
+    """A Put-style merge into a stored table, with the caller's number of tasks."""
+    return _stored_sync(spark, sf_dir, source=_source(spark, sf_dir), start=KEY_FROM, stop=KEY_TO, layout="put", num_partitions=4)
+
+
 @register("merge_bulk_time_range", _merge_sql(
     TGT, f"(SELECT * FROM cells WHERE family = 'ev' AND ts >= {TS(T_FROM)} AND ts < {TS(T_TO)})"))
 def q_merge_bulk_time_range(spark, sf_dir):
@@ -261,8 +275,9 @@ def q_compact_cells(spark, sf_dir):
     return S.read_cells(spark, dst)
 
 
-def _bucketed_cells(spark, sf_dir, buckets: int = 8):
-    """The cells stored as a bucketed table in two batches (older, newer)."""
+def _bucketed_cells(spark, sf_dir):
+    """The cells stored as a bucketed table in two batches (older, newer); buckets follow the input's size."""
+    buckets = max(8, 4 * scan_tasks(fx.read_table(spark, sf_dir, "events")))
     name = "wf_cells_" + fresh_path(spark, "b").rsplit("-", 1)[-1]
     path = fresh_path(spark, "bucketed_cells")
     cells = fx.cells(spark, sf_dir)
@@ -280,7 +295,7 @@ def q_bucketed_cells_latest(spark, sf_dir):
 @register("bucketed_cells_to_wide", W(CELLS + ",\nl AS (" + O.latest_sql("cells") + ")",
                                       f"SELECT row_key, {WIDE_SQL} FROM l GROUP BY row_key"))
 def q_bucketed_cells_to_wide(spark, sf_dir):
-    return C.to_wide(_bucketed_cells(spark, sf_dir), "ev", EV_NAMES)
+    return C.to_wide(_bucketed_cells(spark, sf_dir), "ev", EV_NAMES, one_scan=True)
 
 
 DETAIL_SQL_FILTER = "fpdm = fphm AND flbm = ''"
@@ -428,12 +443,16 @@ NAME_ONLY = W(O.lookups_cte() + ",\n" + O.fixtures_cte("inv_header"),
 
 @register("seller_by_name", NAME_ONLY)
 def q_seller_by_name(spark, sf_dir):
-    """First lookup only (by trimmed name), through the key-dictionary path."""
+    """First lookup only (by trimmed name), through the key-dictionary path with salted hot keys."""
     by_name, _ = _lk(spark, sf_dir)
     g = _gated(spark, sf_dir).withColumn("_k", F.coalesce(X.jtrim("xfmc"), F.lit("")))
-    keys = g.select("_k").distinct()
-    r = probe(unique_lookup(by_name), keys, "_k", "name_code")
-    return attach(g, r, ["_k"]).select(*HEADER_COLS, "name_code")
+    return lookup_columns(g, by_name, {"_k": "name_code"}, max_bytes=0).select(*HEADER_COLS, "name_code")
+
+
+@register("codes_by_large_lookups", W(O.enriched_cte(), f"SELECT {O.HEADER21}, gfqybm, xfqybm FROM enr"))
+def q_codes_by_large_lookups(spark, sf_dir):
+    """Both codes with no lookup broadcast: distinct-key dictionaries attached by salted joins."""
+    return header_codes(_gated(spark, sf_dir), *_lk(spark, sf_dir), max_bytes=0).select(*HEADER_COLS, "gfqybm", "xfqybm")
 
 
 @register("seller_fallback", W(O.enriched_cte(), f"SELECT {O.HEADER21}, xfqybm FROM enr"))
@@ -489,26 +508,39 @@ def q_dedupe_detail_keys(spark, sf_dir):
     return store.detail_rows_lww(_detail_keyed(spark, sf_dir)).select("row_key", *DETAIL_COLS, "xfqybm")
 
 
-@register("partition_profile", None)
+@register("partition_profile", W(HK, "SELECT count(*)::BIGINT AS n, true AS every_row_once FROM hk"))
 def q_partition_profile(spark, sf_dir):
-    return (_header_keyed(spark, sf_dir).groupBy(F.spark_partition_id().alias("partition"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    """Rows per task, reduced to what does not depend on the layout: the total, and that each task is listed once."""
+    hk = _header_keyed(spark, sf_dir)
+    profile = hk.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("n"))
+    return profile.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                       (F.count(F.lit(1)) == F.count_distinct("partition")).alias("every_row_once"))
 
 
-COLL = O.fpbm(O.jt("fpdm"), f"right({O.jt('fphm')}, 3)")
+@register("key_collisions", W(HK, "SELECT row_key, count(*) AS n, count(DISTINCT fpdm || '|' || fphm) AS n_invoices "
+                              "FROM hk GROUP BY row_key HAVING count(DISTINCT fpdm || '|' || fphm) > 1"))
+def q_key_collisions(spark, sf_dir):
+    """Row keys as the load writes them that two or more invoices share."""
+    return M.key_collisions(_header_keyed(spark, sf_dir), ["fpdm", "fphm"])
 
 
-@register("key_collisions", W(HK, f"SELECT row_key, count(*) AS n, count(DISTINCT fpdm || '|' || fphm) AS n_invoices "
-                              f"FROM (SELECT {O.jt('xfqybm')} || {O.year('kpyf', YEAR)} || {COLL} AS row_key, fpdm, fphm "
-                              "FROM hk) GROUP BY row_key HAVING count(DISTINCT fpdm || '|' || fphm) > 1"))
-def q_key_collisions(spark, sf_dir):
-    hk = _header_keyed(spark, sf_dir)
-    key = K.header_row_key(X.jtrim("xfqybm"), K.year_part("kpyf", YEAR),
-                           K.packed_invoice_no(X.jtrim("fpdm"), F.right(X.jtrim("fphm"), F.lit(3))))
-    return (hk.select(key.alias("row_key"), "fpdm", "fphm").groupBy("row_key")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.count_distinct(F.concat_ws("|", "fpdm", "fphm")).alias("n_invoices"))
-            .filter(F.col("n_invoices") > 1))
+@register("header_keyed_intended", W(O.header_keyed_cte(YEAR, mode="intended"), "SELECT * FROM hk"))
+def q_header_keyed_intended(spark, sf_dir):
+    return _header_keyed(spark, sf_dir, mode="intended")
+
+
+@register("detail_keyed_intended", W(O.detail_keyed_cte(mode="intended"), "SELECT * FROM dk"))
+def q_detail_keyed_intended(spark, sf_dir):
+    return loads.detail_keyed(_dtl(spark, sf_dir), fx.code_by_tax(spark, sf_dir), mode="intended")
+
+
+@register("scan_catalogue", W(O.fixtures_cte("inv_detail"), f"SELECT {O.DETAIL16} FROM inv_detail"))
+def q_scan_catalogue(spark, sf_dir):
+    """The line scan through a catalogue table (stored in the shared work folder, read by name)."""
+    path = fresh_path(spark, "catalogue")
+    name = "wf_lines_" + path.rsplit("-", 1)[-1]
+    _dtl(spark, sf_dir).write.format("parquet").option("path", path).saveAsTable(name)
+    return scan_detail(spark, name)
 
 
 HEADER_OUTCOME = (
@@ -556,9 +588,9 @@ def q_detail_reject_counts(spark, sf_dir):
                            f"l AS ({O.latest_sql('u')})",
                            f"SELECT row_key, {WIDE_SQL} FROM l GROUP BY row_key"))
 def q_merged_wide(spark, sf_dir):
-    merged = M.merge_cells(_target(spark, sf_dir), _source(spark, sf_dir), RUN_TS, family="ev",
-                           start=KEY_FROM, stop=KEY_TO)
-    return C.to_wide(merged, "ev", EV_NAMES)
+    """The pivot resolves versions itself, so target and source batch are only put together."""
+    batch = M.source_batch(_source(spark, sf_dir), RUN_TS, family="ev", start=KEY_FROM, stop=KEY_TO)
+    return C.to_wide(_target(spark, sf_dir).unionByName(batch), "ev", EV_NAMES)
 
 
 # ============================================================ keys (KEY, SCL)
@@ -583,14 +615,11 @@ def q_pack_invoice_no(spark, sf_dir):
 
 
 @register("pack_invoice_no_intended", W(O.fixtures_cte("inv_header"),
-                                        f"SELECT fpdm, right({O.jt('fphm')}, 3) AS fphm3, "
-                                        f"{O.fpbm(O.jt('fpdm'), 'right(' + O.jt('fphm') + ', 3)', 'intended')} AS fpbm "
+                                        f"SELECT fpdm, fphm, {O.fpbm(O.jt('fpdm'), O.jt('fphm'), 'intended')} AS fpbm "
                                         f"FROM inv_header WHERE NOT {O.blank('fpdm')} AND NOT {O.blank('fphm')}"))
 def q_pack_invoice_no_intended(spark, sf_dir):
     h = scan_header(spark, _hdr(spark, sf_dir)).filter(X.not_blank("fpdm") & X.not_blank("fphm"))
-    fphm3 = F.right(X.jtrim("fphm"), F.lit(3))
-    return h.select("fpdm", fphm3.alias("fphm3"),
-                    K.packed_invoice_no(X.jtrim("fpdm"), fphm3, mode="intended").alias("fpbm"))
+    return h.select("fpdm", "fphm", K.packed_invoice_no(X.jtrim("fpdm"), X.jtrim("fphm"), mode="intended").alias("fpbm"))
 
 
 @register("detail_keyed", W(DK, "SELECT * FROM dk"))
@@ -603,10 +632,16 @@ def q_year_part(spark, sf_dir):
     return scan_header(spark, _hdr(spark, sf_dir)).select("kpyf", K.year_part("kpyf", YEAR).alias("yy"))
 
 
-@register("random_token", None)
+STABLE = " || ".join(f"substr('{X.ALPHABET32}', (('0x' || substr(md5(row_key || ':7'), {2 * i + 1}, 2))::INTEGER % 32) + 1, 1)"
+                     for i in range(8))
+
+
+@register("random_token", W(HK, f"SELECT row_key, {STABLE} AS stable_token, 8 AS token_length, true AS token_fits FROM hk"))
 def q_random_token(spark, sf_dir):
-    return _header_keyed(spark, sf_dir).select("row_key", X.token32(8).alias("token"),
-                                               X.token32(8, key=F.col("row_key")).alias("stable_token"))
+    """The repeatable token, and of the random one what does not depend on chance: length and alphabet."""
+    return (_header_keyed(spark, sf_dir).select("row_key", X.token32(8).alias("token"), X.token32(8, key=F.col("row_key")).alias("stable_token"))
+            .select("row_key", "stable_token", F.length("token").alias("token_length"),
+                    F.col("token").rlike(f"^[{X.ALPHABET32}]+$").alias("token_fits")))
 
 
 @register("pseudonymize", W(O.fixtures_cte("inv_header"),

@@ -1,14 +1,15 @@
 """Load and sync jobs that write cell tables.
 
-* ``load_header`` / ``load_detail``: accepted rows -> cells -> one appended
-  batch (key-sorted bulk layout or plain Put-style), rejects to their own folder.
+* ``load_header`` / ``load_detail``: accepted rows, one per key -> cells -> one
+  new batch (key-sorted bulk layout or plain Put-style), rejects to their own folder.
 * ``sync_tables``: copy the latest cells of a source table (key range or time
   range) into a target table as a new batch.
 
-The tagged plan is persisted while it is read more than once (the range
-sampling of the bulk layout, the cell write, the rejects write) and released
-afterwards; a lost executor only costs recomputing its cached blocks from the
-lineage.
+Wide rows, not cells, are exchanged (once, on row_key), de-duplicated and sorted
+there, and unpivoted in qualifier order, so cells leave each task sorted. A plan
+that is read more than once (range sampling and write, or write and rejects) is
+written to the shared work folder first and removed after the load; nothing
+is cached on executors.
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ from __future__ import annotations
 import datetime as dt
 import time
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.cells import latest, stamp, unpivot
-from ..operators.merge import dedupe_rows, source_batch
+from ..operators.cells import latest, select_versions, stamp, unpivot
+from ..operators.merge import dedupe_rows, restamp
 from ..schema import DETAIL_COLS, DETAIL_FAMILY, HEADER_FAMILY, HEADER_STORED_COLS
-from ..sinks.files import read_cells, write_cells, write_cells_sorted
+from ..session import fresh_path, remove_path
+from ..sinks.files import by_key_range, new_batch, read_cells, write_cells, write_family_batch
 from . import loads
 
 LAYOUTS = ("bulk", "put")
@@ -36,9 +37,9 @@ def batch_seq() -> int:
     return time.time_ns() // 1000
 
 
-def header_cells(rows: DataFrame, fill: str = "-1") -> DataFrame:
-    """Accepted header rows -> 24 cells per key in family fpxx."""
-    return unpivot(rows, HEADER_STORED_COLS, HEADER_FAMILY, fill=fill)
+def header_rows_lww(rows: DataFrame) -> DataFrame:
+    """Header rows, one per key: colliding invoices resolve to one whole invoice, the greatest value tuple."""
+    return dedupe_rows(rows, "row_key", HEADER_STORED_COLS)
 
 
 def detail_rows_lww(rows: DataFrame) -> DataFrame:
@@ -46,67 +47,82 @@ def detail_rows_lww(rows: DataFrame) -> DataFrame:
     return dedupe_rows(rows, "row_key", DETAIL_COLS)
 
 
+def header_cells(rows: DataFrame, fill: str = "-1") -> DataFrame:
+    """Accepted header rows -> 24 cells per key in family fpxx, in qualifier order."""
+    return unpivot(header_rows_lww(rows), sorted(HEADER_STORED_COLS), HEADER_FAMILY, fill=fill)
+
+
 def detail_cells(rows: DataFrame, fill: str = "-1") -> DataFrame:
-    return unpivot(detail_rows_lww(rows).select("row_key", *DETAIL_COLS), DETAIL_COLS, DETAIL_FAMILY, fill=fill)
+    return unpivot(detail_rows_lww(rows).select("row_key", *DETAIL_COLS), sorted(DETAIL_COLS), DETAIL_FAMILY, fill=fill)
 
 
-def _write(cells: DataFrame, path: str, layout: str, num_partitions=None, max_records_per_file=None):
+def _arranged(df: DataFrame, layout: str, num_partitions: int | None) -> DataFrame:
+    """By key range for the bulk layout; by hash into the caller's number of tasks, if given, for Put-style."""
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}")
     if layout == "bulk":
-        write_cells_sorted(cells, path, num_partitions=num_partitions, max_records_per_file=max_records_per_file)
-    else:
-        write_cells(cells, path, max_records_per_file=max_records_per_file)
+        return by_key_range(df, num_partitions)
+    return df.repartition(num_partitions, "row_key") if num_partitions else df
 
 
-def _load(tagged: DataFrame, to_cells, table_path: str, rejects_path: str | None, layout: str,
-          run_ts, seq, num_partitions, max_records_per_file) -> None:
+def _load(tagged: DataFrame, to_cells, family: str, table_path: str, rejects_path: str | None, layout: str,
+          run_ts, seq, replace: bool, num_partitions, max_records_per_file) -> None:
+    spark = tagged.sparkSession
     run_ts = run_ts or now_utc()
     seq = batch_seq() if seq is None else seq
-    # Kept for the job when it is read more than once: by the range sampling of
-    # the bulk layout and the write itself, and by the rejects output.
-    keep = bool(rejects_path) or layout == "bulk"
-    if keep:
-        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        cells = stamp(to_cells(loads.accepted(tagged)), run_ts, seq)
-        _write(cells, table_path, layout, num_partitions, max_records_per_file)
-        if rejects_path:
-            loads.rejected(tagged).write.mode("append").parquet(rejects_path)
-    finally:
-        if keep:
-            tagged.unpersist()
+    batch = f"b{seq}"
+    kept = fresh_path(spark, "tagged") if rejects_path or layout == "bulk" else None
+    if kept:
+        tagged.write.parquet(kept)
+        tagged = spark.read.schema(tagged.schema).parquet(kept)
+    rows = _arranged(loads.accepted(tagged), layout, num_partitions)
+    write_family_batch(stamp(to_cells(rows), run_ts, seq), table_path, family, batch, replace, max_records_per_file)
+    if rejects_path:
+        (loads.rejected(tagged).write.mode("overwrite" if replace else "errorifexists")
+         .option("partitionOverwriteMode", "static").parquet(f"{rejects_path}/batch={batch}"))
+    if kept:
+        remove_path(spark, kept)
 
 
 def load_header(header: DataFrame, by_name: DataFrame, by_tax: DataFrame, year: str,
                 table_path: str, rejects_path: str | None = None, layout: str = "bulk",
-                fill: str | None = None, mode: str = "compat", run_ts=None, seq=None,
+                fill: str | None = None, mode: str = "compat", run_ts=None, seq=None, replace: bool = False,
                 num_partitions=None, max_records_per_file=None) -> None:
-    """Header load. Bulk layout stores blanks as '-1', Put-style as 'null' (unless ``fill``)."""
+    """Header load. Bulk layout stores blanks as '-1', Put-style as 'null' (unless ``fill``).
+
+    A rerun with the same ``run_ts`` and ``seq`` and with ``replace`` overwrites its own
+    batch (cells and rejects) and leaves all others alone.
+    """
     fill = fill or ("-1" if layout == "bulk" else "null")
     tagged = loads.tag_header(header, by_name, by_tax, year, mode)
-    _load(tagged, lambda rows: header_cells(rows, fill), table_path, rejects_path, layout,
-          run_ts, seq, num_partitions, max_records_per_file)
+    _load(tagged, lambda rows: header_cells(rows, fill), HEADER_FAMILY, table_path, rejects_path, layout,
+          run_ts, seq, replace, num_partitions, max_records_per_file)
 
 
 def load_detail(detail: DataFrame, by_tax: DataFrame, table_path: str, rejects_path: str | None = None,
-                layout: str = "put", mode: str = "compat", run_ts=None, seq=None,
+                layout: str = "put", mode: str = "compat", run_ts=None, seq=None, replace: bool = False,
                 num_partitions=None, max_records_per_file=None) -> None:
     tagged = loads.tag_detail(detail, by_tax, mode)
-    _load(tagged, detail_cells, table_path, rejects_path, layout, run_ts, seq,
+    _load(tagged, detail_cells, DETAIL_FAMILY, table_path, rejects_path, layout, run_ts, seq, replace,
           num_partitions, max_records_per_file)
 
 
 def sync_cells(source: DataFrame, target_path: str, run_ts=None, ts_policy: str = "write_time",
                family: str | None = None, start=None, stop=None, ts_from=None, ts_to=None,
-               layout: str = "bulk", num_partitions=None, max_records_per_file=None) -> None:
+               layout: str = "bulk", num_partitions=None, max_records_per_file=None, batch: str | None = None) -> None:
     """Merge source cells (any cell DataFrame) into the target table as one new batch.
 
     Only the latest source cell per id in the scan range travels; readers of
-    the target resolve versions, so the target is never rewritten.
+    the target resolve versions, so the target is never rewritten. The selected
+    versions are exchanged by row_key once; resolving them needs no other exchange.
     """
-    batch = source_batch(source, run_ts or now_utc(), ts_policy, family, start, stop, ts_from, ts_to)
-    _write(batch, target_path, layout, num_partitions, max_records_per_file)
+    versions = select_versions(source, start, stop, ts_from, ts_to, families=[family] if family else None)
+    cells = restamp(latest(_arranged(versions, layout, num_partitions)), run_ts or now_utc(), ts_policy)
+    if family:
+        write_family_batch(cells.sortWithinPartitions("row_key", "qualifier"), target_path, family, batch or new_batch(),
+                           bool(batch), max_records_per_file)
+    else:
+        write_cells(cells, target_path, max_records_per_file=max_records_per_file, batch=batch)
 
 
 def sync_tables(spark: SparkSession, source_path: str, target_path: str, **kw) -> None:
@@ -121,5 +137,5 @@ def compact(spark: SparkSession, source_path: str, target_path: str, num_partiti
     Spark cannot overwrite a folder it is reading, so compaction always writes
     a new folder; readers switch to it once the job has committed.
     """
-    write_cells_sorted(latest(read_cells(spark, source_path)), target_path, mode="errorifexists",
-                       num_partitions=num_partitions, max_records_per_file=max_records_per_file)
+    write_cells(latest(by_key_range(read_cells(spark, source_path), num_partitions)), target_path,
+                mode="errorifexists", max_records_per_file=max_records_per_file)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections import defaultdict
 
 from pyspark.sql import SparkSession
 
@@ -52,8 +53,9 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written tables.
 
-    Uses the checkpoint folder the cluster names in ``spark.checkpoint.dir``;
-    only when it is unset (local tests) a scratch folder is created and set.
+    Uses the checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+    When it is unset, a scratch folder is created and set in local mode only: on
+    a cluster each executor would write to its own disk, so that raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +65,8 @@ def work_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="wideflow-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -71,4 +75,26 @@ def work_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared work folder."""
     base = work_dir(spark).rstrip("/")
-    return f"{base}/wideflow/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/wideflow/{name}-{uuid.uuid4().hex[:12]}"
+    _USED[spark.sparkContext.applicationId].append(path)
+    return path
+
+
+# Paths handed out per application, so that ``release`` can remove them.
+_USED: dict[str, list[str]] = defaultdict(list)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's file system API (any store Spark can write)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every scratch folder this application got from ``fresh_path``.
+
+    For the end of a job: results that are still to be read must have been
+    written elsewhere.
+    """
+    for path in _USED.pop(spark.sparkContext.applicationId, []):
+        remove_path(spark, path)

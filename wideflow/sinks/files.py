@@ -1,13 +1,16 @@
 """Writers: cell-table batches (plain or key-sorted bulk layout), CSV, text, previews.
 
-A cell table is a Parquet folder partitioned by ``family``. Every write
-appends a batch; reads resolve versions (``operators.cells.latest``). Spark's
-file commit protocol makes each batch appear whole, and failed tasks are
-retried without duplicates, so a lost executor does not corrupt the table.
+A cell table is a Parquet folder partitioned by ``family`` and then by
+``batch``, one folder per write. Reads resolve versions
+(``operators.cells.latest``). Spark's file commit protocol makes each batch
+appear whole, failed tasks are retried without duplicates, and a write that
+is repeated under the same batch name replaces its own folder only.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,34 +20,59 @@ from ..schema import CELL_COLS, CELL_SCHEMA
 SORT_KEY = ["family", "row_key", "qualifier"]
 
 
+def new_batch() -> str:
+    return "b" + uuid.uuid4().hex[:16]
+
+
+def _capped(writer, max_records_per_file: int | None):
+    return writer.option("maxRecordsPerFile", max_records_per_file) if max_records_per_file else writer
+
+
 def write_cells(cells: DataFrame, path: str, mode: str = "append",
-                max_records_per_file: int | None = None) -> None:
-    """Append a cell batch without moving rows between tasks (the Put-style load).
+                max_records_per_file: int | None = None, batch: str | None = None) -> None:
+    """Append a cell batch without moving rows between tasks.
 
     The family-partitioned writer sorts each task's rows by family anyway;
     sorting by (family, row_key, qualifier) instead costs little more and gives
-    every file tight row-key min/max statistics for key-range pruning.
+    every file tight row-key min/max statistics for key-range pruning. With a
+    ``batch`` name the write replaces an earlier one of that name.
     """
-    w = cells.select(*CELL_COLS).sortWithinPartitions(*SORT_KEY).write.mode(mode).partitionBy("family")
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.parquet(path)
+    w = (cells.select(*CELL_COLS).withColumn("batch", F.lit(batch or new_batch()))
+         .sortWithinPartitions(*SORT_KEY).write.partitionBy("family", "batch"))
+    if batch:
+        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        w = w.mode(mode)
+    _capped(w, max_records_per_file).parquet(path)
 
 
-def write_cells_sorted(cells: DataFrame, path: str, mode: str = "append",
-                       num_partitions: int | None = None,
+def write_family_batch(cells: DataFrame, path: str, family: str, batch: str, replace: bool = False,
                        max_records_per_file: int | None = None) -> None:
-    """Bulk layout: globally key-ordered files with disjoint key ranges.
+    """Write cells of one family, already sorted by (row_key, qualifier) in each task, as they come.
+
+    They go straight to the batch's folder, so the writer adds no sort of its own.
+    """
+    w = cells.select(*[c for c in CELL_COLS if c != "family"]).write.mode("overwrite" if replace else "errorifexists")
+    if replace:
+        w = w.option("partitionOverwriteMode", "static")
+    _capped(w, max_records_per_file).parquet(f"{path}/family={family}/batch={batch}")
+
 
-    A range exchange on row_key - Spark samples the keys to pick balanced
-    bounds, and all cells of one row stay in one task, like a region - then a
-    local sort per task with the family first, which the partitioned writer
-    needs, then row key and qualifier. Without ``num_partitions`` AQE may merge
-    small neighbouring ranges.
+def by_key_range(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """A range exchange on row_key - Spark samples the keys to pick balanced bounds.
+
+    All rows of one key stay in one task, like a region. Without
+    ``num_partitions`` AQE may merge small neighbouring ranges.
     """
-    parts = (cells.repartitionByRange(num_partitions, "row_key") if num_partitions
-             else cells.repartitionByRange("row_key"))
-    write_cells(parts, path, mode, max_records_per_file)
+    return (df.repartitionByRange(num_partitions, "row_key") if num_partitions
+            else df.repartitionByRange("row_key"))
+
+
+def write_cells_sorted(cells: DataFrame, path: str, mode: str = "append",
+                       num_partitions: int | None = None,
+                       max_records_per_file: int | None = None) -> None:
+    """Bulk layout of any cells: files sorted by key, with disjoint key ranges."""
+    write_cells(by_key_range(cells, num_partitions), path, mode, max_records_per_file)
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,8 @@ data has none, so these views produce the same schemas from ``orders``,
 ``customer``, ``supplier``, ``lineitem``, ``part`` and ``events``. The SQL text
 is shared verbatim with the DuckDB oracle (``{table}`` placeholders are filled
 with DataFrames on Spark and with view names on DuckDB), so both engines read
-identical inputs.
+identical inputs. Header numbers of either length repeat under different codes
+(every twelfth order), so real key collisions are present.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from .tables import read_table, spread
 INV_HEADER_SQL = """
 SELECT CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderkey % 43 = 0 THEN '' WHEN o_orderkey % 47 = 0 THEN 'null'
             WHEN o_orderkey % 53 = 0 THEN concat('?', s_name) WHEN o_orderkey % 59 = 0 THEN 'no'
-            WHEN o_orderkey % 61 = 0 THEN concat('  ', s_name, ' ') ELSE s_name END AS xfmc,
+            WHEN o_orderkey % 61 = 0 THEN concat(chr(9), '  ', s_name, ' ', chr(1)) ELSE s_name END AS xfmc,
        CASE WHEN o_orderkey % 67 = 0 THEN NULL ELSE concat('TX', lpad(CAST(s_suppkey AS STRING), 8, '0')) END AS xfsbh,
        concat('addr-', CAST(s_nationkey AS STRING)) AS xfdzdh,
        CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS STRING) AS xfyhzh,
@@ -26,7 +27,8 @@ SELECT CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderkey % 43 = 0 THEN ''
        concat('addr-', CAST(c_nationkey AS STRING)) AS gfdzdh,
        CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) AS gfyhzh,
        CASE WHEN o_orderkey % 71 = 0 THEN '' ELSE concat('33021', lpad(CAST(c_custkey AS STRING), 7, '0')) END AS fpdm,
-       CASE WHEN o_orderkey % 73 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN lpad(CAST(o_orderkey AS STRING), 8, '0')
+       CASE WHEN o_orderkey % 73 = 0 THEN NULL WHEN o_orderkey % 12 = 0 THEN lpad(CAST(o_orderkey % 5 AS STRING), 8, '0')
+            WHEN o_orderkey % 12 = 7 THEN lpad(CAST(o_orderkey % 5 AS STRING), 18, '0') WHEN o_orderkey % 2 = 0 THEN lpad(CAST(o_orderkey AS STRING), 8, '0')
             ELSE lpad(CAST(o_orderkey AS STRING), 12, '0') END AS fphm,
        substr(o_orderpriority, 1, 1) AS fp_lb,
        CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS je,
@@ -38,7 +40,9 @@ SELECT CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderkey % 43 = 0 THEN ''
        CASE WHEN o_orderkey % 5 = 0 THEN 'null' ELSE 'M1' END AS kpjh,
        'N' AS qdbz, CASE WHEN o_orderstatus = 'F' THEN 'Y' ELSE 'N' END AS zfbz, CAST(NULL AS STRING) AS zfsj
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey
-     JOIN {supplier} ON s_suppkey = o_orderkey % 10
+     LEFT JOIN (SELECT l_orderkey, min(l_suppkey) AS first_supp FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey
+                GROUP BY l_orderkey) ON l_orderkey = o_orderkey
+     JOIN {supplier} ON s_suppkey = COALESCE(first_supp, o_orderkey % 10)
 """
 
 INV_DETAIL_SQL = """
@@ -74,14 +78,18 @@ FROM {supplier} WHERE s_suppkey % 10 <> 0
 CELLS_SQL = """
 SELECT lpad(CAST(user_id AS STRING), 8, '0') AS row_key, 'ev' AS family, event_type AS qualifier, ts, event_id AS seq,
        CAST(CAST(value AS DECIMAL(18,2)) AS STRING) AS value FROM {events}
+UNION ALL
+SELECT lpad(CAST(CASE WHEN event_id % 9 = 0 THEN user_id + 70000000 ELSE user_id END AS STRING), 8, '0'), 'meta',
+       CASE WHEN event_id % 2 = 0 THEN 'click' ELSE 'origin' END, ts, event_id, CAST(event_id AS STRING)
+FROM {events} WHERE event_id % 3 = 0
 """
 
 FIXTURES = {
-    "inv_header": (INV_HEADER_SQL, ("orders", "customer", "supplier")),
+    "inv_header": (INV_HEADER_SQL, ("orders", "customer", "lineitem", "supplier")),
     "inv_detail": (INV_DETAIL_SQL, ("lineitem", "orders", "part")),
     "code_by_name": (CODE_BY_NAME_SQL, ("supplier", "customer")),
     "code_by_tax": (CODE_BY_TAX_SQL, ("supplier",)),
-    "cells": (CELLS_SQL, ("events",)),
+    "cells": (CELLS_SQL, ("events",)),  # two families; some rows have one of them only
 }
 # the fact table that drives each invoice view (spread when it scans as too few tasks)
 DRIVING = {"inv_header": "orders", "inv_detail": "lineitem"}

@@ -18,11 +18,21 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
     The source jobs reshuffle right after reading (a fixed 400-way shuffle);
     here it happens only when needed: a big table split into thousands of
-    files is left alone, a single large file (one Parquet row group, one task)
-    is spread round-robin over the default parallelism.
+    files is left alone, a small or single file (one task) is spread round-robin
+    over the default parallelism. The number of tasks is taken from the planner's
+    size estimate, so nothing runs to find it out.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    return df.repartition(target) if scan_tasks(df) < target else df
+
+
+def scan_tasks(df: DataFrame) -> int:
+    """About how many tasks a plan's input splits into, from its estimated bytes."""
+    spark = df.sparkSession
+    n_bytes = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return -(-n_bytes // split)
 
 
 def open_table(spark: SparkSession, table: str | DataFrame) -> DataFrame:

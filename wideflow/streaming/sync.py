@@ -5,15 +5,19 @@ load (clean -> resolve codes -> key -> cells -> append to the cell table).
 ``foreachBatch`` gives every micro-batch a static DataFrame, so the batch plan
 (broadcast or shuffle lookups, staged keys) is reused unchanged.
 
-Delivery: a micro-batch replayed after a failure appends the same cells again
-with the same ``seq`` (the epoch id); reads resolve versions, so a replay
-cannot change what readers see. The checkpoint folder tracks consumed files.
+Delivery: an epoch's time stamp is recorded beside the stream's checkpoint
+before its first write, and cells and rejects go to folders named by the
+epoch, which a replay overwrites. So a micro-batch that is replayed after a
+failure leaves the same cells, stamps and rejects as one that ran once (unless
+the lookup tables changed in between). The checkpoint tracks consumed files.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,6 +37,19 @@ def read_stream(spark: SparkSession, folder: str, schema, file_glob: str | None
     return r.parquet(folder)
 
 
+def epoch_stamp(spark: SparkSession, checkpoint: str, epoch_id: int) -> dt.datetime:
+    """The time stamp of an epoch: recorded when it first runs, read when it is replayed."""
+    path = f"{checkpoint}/wideflow-epochs/epoch={epoch_id}"
+    try:
+        if row := spark.read.schema("ts timestamp_ntz").parquet(path).first():
+            return row["ts"]
+    except AnalysisException:
+        pass  # never recorded
+    stamp = store.now_utc()
+    spark.createDataFrame([(stamp,)], "ts timestamp_ntz").coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return stamp
+
+
 def _start(stream: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,
            available_now: bool, processing_time: str | None) -> StreamingQuery:
     w = stream.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint)
@@ -50,7 +67,8 @@ def start_header_load(stream: DataFrame, by_name: DataFrame, by_tax: DataFrame,
     """Stream invoice headers into a cell table (Put-style by default)."""
     def batch(df: DataFrame, epoch_id: int) -> None:
         store.load_header(df, by_name, by_tax, year, table_path, rejects_path, layout=layout,
-                          mode=mode, seq=epoch_id)
+                          mode=mode, seq=epoch_id, replace=True,
+                          run_ts=epoch_stamp(df.sparkSession, checkpoint, epoch_id))
     return _start(stream, batch, checkpoint, available_now, processing_time)
 
 
@@ -59,5 +77,6 @@ def start_detail_load(stream: DataFrame, by_tax: DataFrame, table_path: str, che
                       available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
     """Stream invoice lines into a cell table."""
     def batch(df: DataFrame, epoch_id: int) -> None:
-        store.load_detail(df, by_tax, table_path, rejects_path, layout=layout, mode=mode, seq=epoch_id)
+        store.load_detail(df, by_tax, table_path, rejects_path, layout=layout, mode=mode, seq=epoch_id,
+                          replace=True, run_ts=epoch_stamp(df.sparkSession, checkpoint, epoch_id))
     return _start(stream, batch, checkpoint, available_now, processing_time)
