@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, staged, text_or_empty, words
+from .common import SPACE_CHARS, computed_once, staged, text_or_empty, words
 
 #: Buckets of the n-gram hash, and the least kept score (natural logarithm per n-gram).
 BUCKETS, THRESHOLD = 16_384, -0.12
@@ -60,7 +60,7 @@ def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
     # Windows in the order of their hashes, only where two are equal. They are a column of their own, as a
     # lambda would make the array anew for each element.
     placed = F.sort_array(F.transform("_q_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    d = d.withColumn("_q_placed", F.when(F.size(F.array_distinct("_q_windows")) < F.size("_q_windows"), placed))
+    d = d.withColumn("_q_placed", computed_once(F.when(F.size(F.array_distinct("_q_windows")) < F.size("_q_windows"), placed)))
     h = F.transform("_q_placed", lambda x: x["h"])
     d = d.withColumn("_q_sorted", h)
     twice = F.filter("_q_placed", lambda x, i: (x["h"] == F.get("_q_sorted", i - 1)) | (x["h"] == F.get("_q_sorted", i + 1)))
@@ -109,4 +109,4 @@ def judge(docs: DataFrame, weights: DataFrame, text: str = "text", threshold: fl
     grams = F.greatest(F.lit(1), 2 * F.col("n_words") - 1)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return (d.withColumns({"base_failed": failed, "score": score / grams}).drop("_q_hashes", "_q_pairs", "_q_weights")
-            .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)))
+            .withColumn("kept", computed_once(~F.col("base_failed") & (F.col("score") >= threshold))))
