@@ -44,17 +44,12 @@ def digits_to_long(s) -> Column:
     return F.when(s.rlike(_DIGITS_RE), s.try_cast("bigint"))
 
 
-def packed_digits(fpdm, fphm, mode: str = "compat") -> Column:
-    """Digit string behind the packed invoice number.
+def _code10(fpdm: Column) -> Column:
+    return F.when(F.length(fpdm) > 10, F.right(fpdm, F.lit(10))).otherwise(fpdm)
 
-    compat: the code is cut to its last 10 characters; then, for a number
-    longer than 8, the code is cut again from position len(number)-8 and the
-    whole number appended; for a shorter number the number is doubled (the
-    code is ignored). NULL where the cut would start past the end of the code.
-    intended: last 10 of the code followed by the last 8 of the number.
-    """
-    fpdm, fphm = _c(fpdm), _c(fphm)
-    code10 = F.when(F.length(fpdm) > 10, F.right(fpdm, F.lit(10))).otherwise(fpdm)
+
+def _digits(code10: Column, fphm: Column, mode: str) -> Column:
+    """The packed digits from the cut code and the number (the one statement of the rule)."""
     if mode == "intended":
         return F.concat(code10, F.right(fphm, F.lit(8)))
     if mode != "compat":
@@ -65,22 +60,37 @@ def packed_digits(fpdm, fphm, mode: str = "compat") -> Column:
     return F.when(F.length(fphm) > 8, long_no).otherwise(F.concat(fphm, fphm))
 
 
+def packed_digits(fpdm, fphm, mode: str = "compat") -> Column:
+    """Digit string behind the packed invoice number.
+
+    compat: the code is cut to its last 10 characters; then, for a number
+    longer than 8, the code is cut again from position len(number)-8 and the
+    whole number appended; for a shorter number the number is doubled (the
+    code is ignored). NULL where the cut would start past the end of the code.
+    intended: last 10 of the code followed by the last 8 of the number.
+    """
+    return _digits(_code10(_c(fpdm)), _c(fphm), mode)
+
+
 def packed_invoice_no(fpdm, fphm, mode: str = "compat") -> Column:
     """Base-32 packed invoice number, NULL when it cannot be built."""
     return base32(digits_to_long(packed_digits(fpdm, fphm, mode)))
 
 
+def _year(kpyf: Column, trimmed: Column, default_year: str | None) -> Column:
+    cut = F.when(F.length(trimmed) >= 4, F.substr(trimmed, F.lit(3), F.lit(2)))
+    if default_year is None:
+        return F.when(~is_blank(kpyf), cut)
+    return F.when(is_blank(kpyf), F.lit(default_year)).otherwise(cut)
+
+
 def year_part(kpyf, default_year: str | None = None) -> Column:
     """Characters 3-4 of the trimmed month; the default when the month is blank.
 
     NULL (a reject) when the trimmed month is shorter than 4 characters.
     """
     kpyf = _c(kpyf)
-    t = jtrim(kpyf)
-    cut = F.when(F.length(t) >= 4, F.substr(t, F.lit(3), F.lit(2)))
-    if default_year is None:
-        return F.when(~is_blank(kpyf), cut)
-    return F.when(is_blank(kpyf), F.lit(default_year)).otherwise(cut)
+    return _year(kpyf, jtrim(kpyf), default_year)
 
 
 def header_row_key(code, yy, fpbm) -> Column:
@@ -105,19 +115,8 @@ def with_packed_invoice_no(df: DataFrame, fpdm: Column, fphm: Column, out: str,
                            mode: str = "compat") -> DataFrame:
     """Adds ``out`` = packed_invoice_no(fpdm, fphm, mode), computed in stages."""
     df = df.withColumns({_D: fpdm, _M: fphm})
-    d, m = F.col(_D), F.col(_M)
-    df = df.withColumn(_A, F.when(F.length(d) > 10, F.right(d, F.lit(10))).otherwise(d))
-    a = F.col(_A)
-    if mode == "intended":
-        digits = F.concat(a, F.right(m, F.lit(8)))
-    elif mode == "compat":
-        cut = F.length(m) - 8
-        digits = F.when(F.length(m) > 8,
-                        F.when(cut <= F.length(a), F.concat(F.substr(a, cut + 1, F.length(a) + 1), m))
-                        ).otherwise(F.concat(m, m))
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    df = df.withColumn(_G, digits)
+    df = df.withColumn(_A, _code10(F.col(_D)))
+    df = df.withColumn(_G, _digits(F.col(_A), F.col(_M), mode))
     df = df.withColumn(out, base32(digits_to_long(F.col(_G))))
     return df.drop(_D, _M, _A, _G)
 
@@ -125,10 +124,4 @@ def with_packed_invoice_no(df: DataFrame, fpdm: Column, fphm: Column, out: str,
 def with_year_part(df: DataFrame, kpyf: Column, out: str, default_year: str | None = None) -> DataFrame:
     """Adds ``out`` = year_part(kpyf, default_year), trimming once."""
     df = df.withColumn(_T, jtrim(kpyf))
-    t = F.col(_T)
-    cut = F.when(F.length(t) >= 4, F.substr(t, F.lit(3), F.lit(2)))
-    if default_year is None:
-        y = F.when(~is_blank(kpyf), cut)
-    else:
-        y = F.when(is_blank(kpyf), F.lit(default_year)).otherwise(cut)
-    return df.withColumn(out, y).drop(_T)
+    return df.withColumn(out, _year(kpyf, F.col(_T), default_year)).drop(_T)

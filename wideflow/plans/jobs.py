@@ -28,7 +28,7 @@ from ..operators.merge import key_collisions
 from ..plans import loads
 from ..session import release
 from ..sinks import files as S
-from ..sources.tables import open_table, scan_detail, scan_header, spread
+from ..sources.tables import open_table, scan_detail, scan_header, scan_tasks, spread
 from . import store
 
 
@@ -42,8 +42,15 @@ def _cells(spark, table: str):
     return S.read_cells(spark, table) if "/" in table else spark.table(table)
 
 
+def _size_shuffles(spark, df, width: int | None) -> None:
+    """Shuffle width of a job: as given, or at least the tasks of its input and the cluster's cores."""
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.shuffle.partitions", width or max(now, scan_tasks(df), spark.sparkContext.defaultParallelism))
+
+
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="wideflow")
+    p.add_argument("--shuffle-partitions", type=int, help="default: from the input's size")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     h = sub.add_parser("load-header", help="invoice headers -> cell table")
@@ -120,6 +127,20 @@ def build_parser() -> argparse.ArgumentParser:
 def run(argv: list[str], spark: SparkSession | None = None):
     a = build_parser().parse_args(argv)
     spark = spark or SparkSession.builder.getOrCreate()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    source = getattr(a, "table", None) or a.source
+    _size_shuffles(spark, _cells(spark, source) if a.cmd in CELL_JOBS else open_table(spark, source), a.shuffle_partitions)
+    try:
+        return _run(a, spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+#: Jobs whose input is a cell table.
+CELL_JOBS = ("merge", "export", "qualifiers", "count-rows", "compact")
+
+
+def _run(a: argparse.Namespace, spark: SparkSession):
     if a.cmd == "load-header":
         store.load_header(scan_header(spark, spread(open_table(spark, a.table))),
                           _lookup(spark, a.by_name, a.lookup_cells), _lookup(spark, a.by_tax, a.lookup_cells),
