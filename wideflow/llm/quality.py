@@ -4,9 +4,10 @@ Words and pairs of adjacent words are hashed into ``buckets``. Two multinomials
 buckets are counted, one from all documents, one from a trusted part of them; the
 trusted one is smoothed towards the other. A document's score is the mean, over its
 n-grams, of the logarithm of the ratio of the two: about 0 for text like the trusted
-one, far below for text that the trusted part lacks. Documents with a score of at
-least ``threshold`` are kept, unless a base rule fails; nothing depends on order,
-partitions or other documents' outcome.
+one, far below for text that the trusted part lacks. The threshold lies ``MARGIN`` below
+0, and lower by the sampling error of the trusted counts: ``ERROR`` times the root of the buckets
+per trusted n-gram (about 0.02 with 10 million of them). Documents that reach it are kept,
+unless a base rule fails; nothing depends on order, partitions or other documents' outcome.
 
 Only DataFrame functions are used: n-grams are counted by a partial aggregate over at
 most ``buckets`` keys, so their shuffle is small at any input size; the weights come back
@@ -14,7 +15,7 @@ as one array of ``buckets`` doubles, which is the bound of what is sent to execu
 
 Defined cases: a null or empty text, or one without words, has no n-grams, a score of 0 and
 fails a base rule; null ids and repeated rows are scored like any other; without trusted
-documents every ratio is 1 and all scores are 0; an empty table gives no rows; columns
+documents every ratio is 1, all scores are 0 and only base rules decide; an empty table gives no rows; columns
 other than the text pass through unread.
 """
 
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import SPACE_CHARS, computed_once, staged, text_or_empty, words
 
-#: Buckets of the n-gram hash, and the least kept score (natural logarithm per n-gram).
-BUCKETS, THRESHOLD = 16_384, -0.12
+#: Buckets of the n-gram hash.
+BUCKETS = 16_384
+#: How far below 0 a kept score may lie (natural logarithm per n-gram), and its share for sampling error.
+MARGIN, ERROR = 0.07, 0.5
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 
@@ -75,7 +78,7 @@ def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text: str = "text",
                   buckets: int = BUCKETS) -> DataFrame:
-    """One row, one column ``weights``: the log ratio of each bucket, in order.
+    """One row: ``weights``, the log ratio of each bucket in order, and ``n_trusted``, the trusted n-grams.
 
     ``trusted_ids`` names the trusted documents by distinct ids in a column like ``id_col``.
     """
@@ -96,17 +99,20 @@ def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id
     p_raw = (F.coalesce("raw", F.lit(0.0)) + 1) / (n_raw + buckets)
     p_own = (F.coalesce("own", F.lit(0.0)) + buckets * p_raw) / (n_own + buckets)
     return (every.select("g", F.log(p_own / p_raw).alias("w"))
-            .agg(F.transform(F.sort_array(F.collect_list(F.struct("g", "w"))), lambda x: x["w"]).alias("weights")))
+            .agg(F.transform(F.sort_array(F.collect_list(F.struct("g", "w"))), lambda x: x["w"]).alias("weights"))
+            .withColumn("n_trusted", n_own))
 
 
-def judge(docs: DataFrame, weights: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def judge(docs: DataFrame, weights: DataFrame, text: str = "text", margin: float = MARGIN, error: float = ERROR) -> DataFrame:
     """All of ``docs`` with the base counts, ``base_failed``, ``score`` and ``kept``."""
-    w = staged(weights, "quality-weights").scalar()  # a subquery's value: one array for all rows
-    d = base_features(docs, text).withColumn("_q_weights", w)
+    known = staged(weights, "quality-weights")
+    least = known.select(-(margin + error * F.sqrt(F.size("weights") / F.greatest("n_trusted", F.lit(1.0))))).scalar()
+    # A subquery's value: one array for all rows.
+    d = base_features(docs, text).withColumn("_q_weights", known.select("weights").scalar()).withColumn("_q_least", least)
     w = F.col("_q_weights")
     score = F.aggregate(F.concat("_q_hashes", "_q_pairs"), F.lit(0.0),
                         lambda s, x: s + F.get(w, F.pmod(x, F.size(w)).cast("int")))
     grams = F.greatest(F.lit(1), 2 * F.col("n_words") - 1)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return (d.withColumns({"base_failed": failed, "score": score / grams}).drop("_q_hashes", "_q_pairs", "_q_weights")
-            .withColumn("kept", computed_once(~F.col("base_failed") & (F.col("score") >= threshold))))
+            .withColumn("kept", computed_once(~F.col("base_failed") & (F.col("score") >= F.col("_q_least")))).drop("_q_least"))
