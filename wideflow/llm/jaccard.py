@@ -58,6 +58,8 @@ REMEMBERED = 200_000
 BROADCAST_IDS = 300_000
 #: Members of a signature that are compared with as many others in one block.
 BLOCK = 2_000
+#: Smallest signatures that each member carries along there.
+LOW = 4
 #: Cost of the candidates that a segment of no elements would bring, in index entries.
 LIGHT_COST = 400.0
 _DOC, _COPY, _ENTRY, _STAR = 0, 1, 2, 3
@@ -277,9 +279,10 @@ def _sketched(num: int, den: int):
 
 
 def _across(num: int, den: int, only_best: bool, at_once: int = 100_000):
-    """Sorted members (sig, i, j, part, id, c, n, info) of blocks -> pairs (a, b) of different components that
+    """Sorted members (sig, i, j, part, id, c, n, info, low) of blocks -> pairs (a, b) of different components that
     sizes and sketches leave possible; with ``only_best``, of those looked at together each component's
-    closest pair alone. A block (i, j) has parts i and j of a signature's members."""
+    closest pair alone. A block (i, j) has parts i and j of a signature's members. ``low`` has a member's
+    smallest signatures: a pair that shares a smaller one than this is left to that one's block."""
     def pairs_of(part: np.ndarray, i: int, j: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if i == j:
             left = right = np.arange(len(part))
@@ -291,19 +294,24 @@ def _across(num: int, den: int, only_best: bool, at_once: int = 100_000):
             yield (x[x < y], y[x < y]) if i == j else (x, y)
 
     def checked(rows: list, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ids, c, n, info = rows
+        ids, c, n, info, low, sig = rows
         fine = (c[x] != c[y]) & (ids[x] != ids[y]) & (np.minimum(n[x], n[y]) * den >= np.maximum(n[x], n[y]) * num)
         x, y = x[fine], y[fine]
+        elsewhere = np.zeros(len(x), bool)
+        for k in range(LOW):
+            mine = low[x, k]
+            elsewhere |= (mine < sig[x]) & (low[y] == mine[:, None]).any(1)
+        x, y = x[~elsewhere], y[~elsewhere]
         width = np.array([len(z) for z in info])
         far = np.full(len(x), np.inf)  # of the sketches, against the sizes
         for w in np.unique(np.c_[width[x], width[y]], axis=0) if len(x) else ():
             at = np.flatnonzero((width[x] == w[0]) & (width[y] == w[1]))
-            low = w.min() - 16
+            width_now = w.min() - 16
             sides = []
             for side, wide in ((x[at], w[0]), (y[at], w[1])):
                 used, where = np.unique(side, return_inverse=True)
                 raw = np.frombuffer(b"".join(info[k][16:] for k in used), np.uint8).reshape(len(used), wide - 16)
-                sides.append((_folded(raw, low), where))
+                sides.append((_folded(raw, width_now), where))
             for k in range(0, len(at), at_once):
                 u, v = (m[q[k:k + at_once]] for m, q in sides)
                 size = n[x[at[k:k + at_once]]] + n[y[at[k:k + at_once]]]
@@ -321,7 +329,10 @@ def _across(num: int, den: int, only_best: bool, at_once: int = 100_000):
             """Whole blocks, together: their pairs are made and looked at in steps."""
             t = pa.Table.from_batches(parts)
             sig, i, j, part, ids, c, n = (t.column(k).to_numpy() for k in range(7))
-            rows = ids, c, n.astype(np.int64), t.column(7).to_pylist()
+            low = np.full((len(sig), LOW), np.iinfo(np.int64).max)
+            for k, v in enumerate(t.column(8).to_pylist()):
+                low[k, :len(v)] = v
+            rows = ids, c, n.astype(np.int64), t.column(7).to_pylist(), low, sig
             start = np.flatnonzero(np.r_[True, (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
             out, xs, ys, held = [], [], [], 0
 
@@ -436,22 +447,24 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     rest = staged(labelled(pairs.join(tried, ["a", "b"], "left_anti").select("a", "b"), labels).where("ca <> cb").select("a", "b"), "jaccard-rest")
     if not rest.isEmpty():
         labels = merged(labels, verify(rest))
-    # Then pairs across components of the signatures whose members are in several: first each component's
-    # closest, which settles most, then all that are left.
+    # Then pairs across components of the signatures whose members are in several: first, for a part of the
+    # signatures, each component's closest, which settles most; then all that are left, for all signatures.
     tried = pairs.select("a", "b")
     for only_best in (True, False):
         open_stars = labelled(stars.select("sig", F.col("centre").alias("a"), F.col("id").alias("b")), labels)
-        split = staged(open_stars.where("ca <> cb").select("sig").distinct(), "jaccard-split")
+        split = open_stars.where("ca <> cb").select("sig").distinct()
+        split = staged(split.where("pmod(sig, 8) = 0") if only_best else split, "jaccard-split")
         if split.isEmpty():
-            break
+            continue
         members = open_stars.join(split, "sig", "left_semi")
         members = staged(members.select("sig", F.col("a").alias("id"), F.col("ca").alias("c"))
                          .union(members.select("sig", F.col("b").alias("id"), F.col("cb").alias("c"))).distinct(), "jaccard-members")
         parts = members.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-        parted = (members.join(parts, "sig").join(known, "id")
+        low = members.groupBy("id").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, LOW).alias("low"))
+        parted = (members.join(parts, "sig").join(known.join(low, "id"), "id")
                   .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
                   .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
-        across = (parted.select("sig", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "c", "n", "info")
+        across = (parted.select("sig", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "c", "n", "info", "low")
                   .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "id")
                   .mapInArrow(_across(num, den, only_best), "a long, b long")
                   .distinct().join(tried, ["a", "b"], "left_anti"))
