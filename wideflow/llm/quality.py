@@ -82,18 +82,15 @@ def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id
 
     ``trusted_ids`` names the trusted documents by distinct ids in a column like ``id_col``.
     """
-    def counted(texts: DataFrame, name: str) -> DataFrame:
-        w = words(text_or_empty(text))
-        pairs = texts.select(F.inline(F.arrays_zip(w.alias("x"), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))).alias("y"))))
-        # The hash of a pair is that of its words' hashes, as in the scores.
-        hashes = F.array(F.xxhash64("x"), F.when(F.col("y").isNotNull(), F.xxhash64(F.xxhash64("x"), F.xxhash64("y"))))
-        grams = pairs.select(F.explode(hashes).alias("h")).where("h IS NOT NULL").select(F.pmod("h", F.lit(buckets)).cast("int").alias("g"))
-        return grams.groupBy("g").agg(F.count("*").cast("double").alias(name))
-
-    # The trusted ids may be many, so they are joined by shuffle at every size; on a large scan the
-    # planner's runtime filter leaves little more than the trusted texts to shuffle.
-    trusted = docs.select(id_col, text).join(trusted_ids.select(id_col).hint("merge"), id_col, "left_semi").select(text)
-    counts = staged(counted(docs.select(text), "raw").join(counted(trusted, "own"), "g", "left"), "quality-counts")
+    # The trusted ids may be many, so they are joined by shuffle at every size: one shuffle of the texts.
+    flags = trusted_ids.select(F.col(id_col), F.lit(1).alias("_q_t")).hint("merge")
+    w = words(text_or_empty(text))
+    pairs = docs.select(id_col, text).join(flags, id_col, "left").select(
+        F.coalesce("_q_t", F.lit(0)).alias("t"), F.inline(F.arrays_zip(w.alias("x"), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))).alias("y"))))
+    # The hash of a pair is that of its words' hashes, as in the scores.
+    hashes = F.array(F.xxhash64("x"), F.when(F.col("y").isNotNull(), F.xxhash64(F.xxhash64("x"), F.xxhash64("y"))))
+    grams = pairs.select("t", F.explode(hashes).alias("h")).where("h IS NOT NULL").select("t", F.pmod("h", F.lit(buckets)).cast("int").alias("g"))
+    counts = staged(grams.groupBy("g").agg(F.count("*").cast("double").alias("raw"), F.sum("t").cast("double").alias("own")), "quality-counts")
     n_raw, n_own = (counts.agg(F.coalesce(F.sum(c), F.lit(0.0))).scalar() for c in ("raw", "own"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("g")).join(counts, "g", "left")
     p_raw = (F.coalesce("raw", F.lit(0.0)) + 1) / (n_raw + buckets)
