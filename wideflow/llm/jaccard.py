@@ -51,7 +51,7 @@ from .shingles import mix, shingle_sets
 
 _U = np.uint64
 #: Index entries that a map task groups at a time.
-GROUPED = 1_500_000
+GROUPED = 800_000
 #: Sets whose fingerprints a map task remembers to find copies early.
 REMEMBERED = 200_000
 #: Ids of up to so many documents are broadcast to fetch their texts; beyond it the documents are shuffled.
@@ -339,7 +339,7 @@ def _across(num: int, den: int, only_best: bool, at_once: int = 100_000):
             def flush():
                 a, d = checked(rows, np.concatenate(xs), np.concatenate(ys))
                 new = [p for p in set(zip(a.tolist(), d.tolist(), strict=True)) if p not in seen]
-                if len(seen) > 500_000:
+                if len(seen) > 100_000:
                     seen.clear()
                 seen.update(new)
                 if new:
@@ -351,7 +351,7 @@ def _across(num: int, den: int, only_best: bool, at_once: int = 100_000):
                     xs.append(x + lo)
                     ys.append(y + lo)
                     held += len(x)
-                    if held >= 5 * at_once:
+                    if held >= 3 * at_once:
                         flush()
                         xs, ys, held = [], [], 0
             if xs:
