@@ -20,6 +20,8 @@ each on its own; null ids order before others; an empty table gives no rows; col
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,7 +58,7 @@ def mix(docs: DataFrame, size: Column | None = None, id_col: str = "doc_id", sou
     d = docs.withColumn("_size", size)
     # Buckets grow with the root of the rows: cells stay small, and so does their number.
     n = d.select(F.count("*")).first()[0]
-    buckets = int(-(-(n ** 0.5) // 8)) or 1
+    buckets = math.ceil(math.sqrt(n) / 32) or 1
     d = d.withColumns({
         "_mx_class": F.when(F.col("_size") > 0, F.floor(F.log2(F.col("_size").cast("double")) * 4)).otherwise(-1).cast("long"),
         "_mx_bucket": F.pmod(F.coalesce(F.col(id_col).cast("long"), F.lit(0)), F.lit(buckets).cast("long")),

@@ -127,7 +127,7 @@ l AS (SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER o
 g AS (SELECT source, source_size, least(3.0::DOUBLE * source_size,
              (SELECT arg_min(level, full_at) FROM l WHERE level <= full_at) * w) AS target FROM l),
 p AS (SELECT d.*, CASE WHEN size > 0 THEN floor(log2(size::DOUBLE) * 4) ELSE -1 END::BIGINT AS c,
-             coalesce(doc_id, 0) % (SELECT greatest(1, ceil(floor(sqrt(count(*))) / 8)) FROM documents)::BIGINT AS b FROM d),
+             coalesce(doc_id, 0) % (SELECT greatest(1, ceil(sqrt(count(*)) / 32)) FROM documents)::BIGINT AS b FROM d),
 q AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY c, b, size, doc_id NULLS FIRST) AS place FROM p),
 e AS (SELECT q.doc_id, q.size, g.source_size, g.target, q.place::DOUBLE AS place,
              CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS rate,
