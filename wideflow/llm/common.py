@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def find_package(df: DataFrame) -> None:
+    """Lets Python workers import this package from where the driver did.
+
+    A cluster gets the package with the job (``--py-files``); a session on one machine may
+    have been started elsewhere, without this folder on its path.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = df.sparkSession.sparkContext.environment
+    path = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in path:
+        env["PYTHONPATH"] = os.pathsep.join([*path, root])
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to a fresh folder under the shared work folder and rereads it.
 

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_enough, staged, text_or_empty
+from .common import find_package, small_enough, staged, text_or_empty
 from .components import components
 from .shingles import mix, shingle_sets
 
@@ -398,6 +398,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     shingles is at least ``similarity`` (numerator, denominator); ``component_id`` is the
     smallest id that links reach.
     """
+    find_package(docs)
     num, den = similarity
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text).alias("t"))
     found = staged(texts.mapInArrow(_index(words, num, den), _SCHEMA).repartition("key")

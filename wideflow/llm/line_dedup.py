@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import SPACE_CHARS, staged, text_or_empty
+from .common import SPACE_CHARS, find_package, staged, text_or_empty
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _DROP, _PENDING, _MARK = 0, 1, 2
@@ -117,6 +117,7 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     ``keep`` is a zlib-compressed bitmap, one bit per line from the first on, padded with
     zero bits; ``text_hash`` (xxhash64) tells rows apart that repeat an id.
     """
+    find_package(docs)
     got = (docs.where(F.col(id_col).isNotNull())
            .select(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text)).alias("row"), text_or_empty(text).alias("t")))
     kind = got.schema["id"].dataType.simpleString()
@@ -153,6 +154,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
 
     A text that loses no line, null included, stays as it is.
     """
+    find_package(docs)
     marks = bitmaps.select(F.col(id_col).alias("_ld_id"), F.col("text_hash").alias("_ld_row"),
                            F.col("n_dropped").alias("_ld_n"), F.col("keep").alias("_ld_keep"))
     joined = docs.join(marks, (F.col(id_col) == F.col("_ld_id"))

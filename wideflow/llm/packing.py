@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import find_package, text_slices
 from .pretokens import IdEncoder, id_bytes
 
 #: Ids and documents that a task holds before it packs them.
@@ -117,6 +117,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: str
     to be padded to ``window`` unless its length is a power of two; at most
     ``max_padding`` ids of padding are needed in any.
     """
+    find_package(docs)
     end = id_bytes([end_id])
 
     def block(ids: list, buffers: list[bytes], numbers: list[int], kind: pa.DataType) -> pa.RecordBatch:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, text_slices
+from .common import find_package, text_or_empty, text_slices
 from .pretokens import MAX_KEPT_CHARS, PretokenCache, cut, load
 
 #: Pre-tokens that a task counts at a time, and that it names.
@@ -65,6 +65,7 @@ def _cache(path: str, key: int, table) -> PretokenCache:
 def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: str = "text",
                  limit: int = 512) -> DataFrame:
     """``(id_col, n_bytes, n_tokens, over_limit)`` of every document's whole text."""
+    find_package(docs)
     spark = docs.sparkSession
     lengths = frequent_lengths(docs, tokenizer_path, text)
     # One string and one byte per entry: parts never hold \0 (kept out) nor 256 tokens or more.

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, text_or_empty, text_slices
+from .common import find_package, staged, text_or_empty, text_slices
 
 #: Letters are 1 to 30, 0 stands for the ends of a word.
 LETTERS, DECAY = 32, 0.6
@@ -289,6 +289,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id_col, held_out, score, predicted)`` of every document's whole text."""
+    find_package(docs)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import find_package
+
 #: Vectors in a shard and queries in a block, about; they bound a group's memory.
 SHARD_ROWS, BLOCK_ROWS = 20_000, 8_000
 LEAF = 256
@@ -157,6 +159,8 @@ def usable(vector: Column) -> Column:
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = 1.0, id_col: str = "vec_id",
             vector_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` vectors of largest inner product, never the query's own row."""
+    find_package(vectors)
+
     def clean(df: DataFrame) -> DataFrame:
         v = F.col(vector_col)
         return df.where(F.col(id_col).isNotNull() & F.coalesce(usable(v), F.lit(False))).select(

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from wideflow.session import fresh_path
 
-from .common import small_enough, staged
+from .common import find_package, small_enough, staged
 
 ARCHIVE, INDEX = "archive/data.warc", "indexes/index.cdxj"
 #: Payload bytes after which a package is closed and the next one begun.
@@ -76,6 +76,7 @@ def _write_package(folder: str, name: str, records: list[tuple]) -> tuple[str, i
 def write_packages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
                    min_revisit: int = 100) -> DataFrame:
     """Writes a record per row to packages in the shared folder; the manifest ``(path, bytes, records)``."""
+    find_package(pages)
     spark = pages.sparkSession
     folder = fresh_path(spark, "warc")
     if "://" not in folder:
@@ -228,6 +229,7 @@ def read_packages(manifest: DataFrame, id_col: str = "page_id") -> DataFrame:
     ``payload`` is null for revisits; ``payload_bytes`` and the digest are always of the
     full payload (a response's is checked against its digest).
     """
+    find_package(manifest)
     return (manifest.select("path").repartition(max(1, manifest.count()), "path")
             .mapInArrow(_read, "id long, url string, record_type string, payload binary, payload_bytes long, "
                                "payload_digest string, refers_to long").withColumnRenamed("id", id_col))
