@@ -11,8 +11,8 @@ by that band's m as well. A segment can be indexed
    unless the segment differs in two elements or more).
 A pair is never missed when the levels sum to H + 1 or more. The allocation is chosen for
 each band by estimated cost: index entries against the candidates that light segments
-bring. Each set skips its ``skip`` lightest segments (empty ones first), which the sum pays
-for twice, once for each side.
+bring. Each set skips its ``skip`` lightest segments (empty ones first), and may later
+leave its ``heavy`` most frequent ones; the sum pays for both twice, once for each side.
 
 Candidates: index entries are first grouped within each map task: one representative per
 signature goes to the shuffle, the others are noted under it, so a signature that many
@@ -24,7 +24,8 @@ the set has elements; two sketches never differ in more bits than their sets do
 most pairs; sets with equal fingerprints need no look; the rest compare whole sets, made
 anew from the whole texts. Members of a signature whose star links all hold are connected,
 whatever their other links. Only for signatures with members in different components, pairs across
-components are looked at too: in blocks of members, by their sketches, and only those that
+components are looked at too, where each set first leaves its most frequent signatures
+(passages that many documents share): in blocks of members, by their sketches, and only those that
 pass become rows, after a round for each component's closest pairs alone has connected most. So the components equal those of all links without making all pairs.
 
 Defined cases: texts without words, null texts included, have an empty set and no links;
@@ -42,7 +43,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import find_package, small_enough, staged, text_or_empty
@@ -58,6 +59,8 @@ REMEMBERED = 200_000
 BROADCAST_IDS = 300_000
 #: Members of a signature that are compared with as many others in one block.
 BLOCK = 2_000
+#: Most frequent signatures that a member may leave there, in each band; and how many bands a signature tells apart.
+MOST_HEAVY, SCHEMES = 16, 128
 #: Smallest signatures that each member carries along there.
 LOW = 4
 #: Cost of the candidates that a segment of no elements would bring, in index entries.
@@ -75,14 +78,15 @@ class Plan:
             self.low.append(max(self.low[-1] + 1, self.low[-1] * den * den // (num * num)))
         self.bands = [self._allocate(a, b - 1) for a, b in zip(self.low[:-1], self.low[1:], strict=True)]
 
-    def _allocate(self, low: int, high: int) -> tuple[int, int, int]:
-        """(segments, of them at level 2, skipped ones) of least cost for a band."""
+    def _allocate(self, low: int, high: int) -> tuple[int, int, int, int]:
+        """(segments, of them at level 2, skipped ones, heavy ones) of least cost for a band."""
         differ = (high + high * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
         size, best = (low + high) / 2, None
+        heavy = min(MOST_HEAVY, differ // 5)
         for skip in range(0, 9):
             for two in range(0, 4):
-                m = differ + 1 + 2 * skip - two
-                if m < 1 or two > m or 2 * skip > m - two:
+                m = differ + 1 + 2 * (skip + heavy) - two
+                if m < 1 or two > m or 2 * (skip + heavy) > m - two:
                     continue
                 mean = size / m
                 # Segments with none, one or two elements are light; the skipped ones are the lightest.
@@ -90,7 +94,7 @@ class Plan:
                 rest = max(0.0, 1 - skip / max(1e-9, (m - two) * math.exp(-mean) * (1 + mean)))
                 cost = (m - two - skip) * (1 + light * rest) + two * (2 + mean) * (1 + light)
                 if best is None or cost < best[0]:
-                    best = cost, (m, two, skip)
+                    best = cost, (m, two, skip, heavy)
         return best[1]
 
     def schemes(self, n: int) -> list[int]:
@@ -106,13 +110,13 @@ class Plan:
         return shared > 0 and shared * self.den >= self.num * (r + s - shared)
 
     def entries(self, s: np.ndarray) -> np.ndarray:
-        """The signatures of a sorted set."""
+        """The signatures of a sorted set; their lowest bits tell the band by whose segments it was cut."""
         inner = mix(s + _U(0x632BE59BD9B4E019))
         sums = np.zeros(len(s) + 1, _U)
         np.cumsum(inner, out=sums[1:])
         out = []
         for b in self.schemes(len(s)):
-            m, two, skip = self.bands[b]
+            m, two, skip, _ = self.bands[b]
             # Segments are equal ranges of the hash space, so those of a sorted set are contiguous.
             cuts = np.searchsorted(s, _edges(m))
             content = sums[cuts[1:]] - sums[cuts[:-1]]
@@ -121,11 +125,12 @@ class Plan:
             if skip:
                 sizes = np.diff(cuts)
                 keep[two + np.argsort(sizes[two:], kind="stable")[:skip]] = False
-            out.append(mix(content[keep] * _U(0x9FB21C651E98DF25) + tag[keep]))
+            mark = _U(b % SCHEMES)
+            out.append(mix(content[keep] * _U(0x9FB21C651E98DF25) + tag[keep]) & ~_U(SCHEMES - 1) | mark)
             if two:
                 seg = np.repeat(np.arange(two), np.diff(cuts[:two + 1]))
                 less = content[seg] - inner[:len(seg)]
-                out.append(mix(less * _U(0x9FB21C651E98DF25) + tag[seg]))
+                out.append(mix(less * _U(0x9FB21C651E98DF25) + tag[seg]) & ~_U(SCHEMES - 1) | mark)
         return np.concatenate(out)
 
 
@@ -458,8 +463,16 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
         if split.isEmpty():
             continue
         members = open_stars.join(split, "sig", "left_semi")
-        members = staged(members.select("sig", F.col("a").alias("id"), F.col("ca").alias("c"))
-                         .union(members.select("sig", F.col("b").alias("id"), F.col("cb").alias("c"))).distinct(), "jaccard-members")
+        members = (members.select("sig", F.col("a").alias("id"), F.col("ca").alias("c"))
+                   .union(members.select("sig", F.col("b").alias("id"), F.col("cb").alias("c"))).distinct())
+        # A member leaves its most frequent signatures of each band; the plan's levels allow for that.
+        often = members.groupBy("sig").agg(F.count("*").alias("k"))
+        allowed = F.element_at(F.array(*[F.lit(b[3]) for b in plan_for(num, den).bands]), (F.col("sig").bitwiseAND(SCHEMES - 1) + 1).cast("int"))
+        rank = Window.partitionBy("id", F.col("sig").bitwiseAND(SCHEMES - 1)).orderBy(F.desc("k"), "sig")
+        members = members.join(often, "sig").withColumn("rank", F.row_number().over(rank)).where(F.col("rank") > allowed).select("sig", "id", "c")
+        members = staged(members, "jaccard-members")
+        across_sigs = members.groupBy("sig").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("sig")
+        members = members.join(across_sigs, "sig", "left_semi")
         parts = members.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
         low = members.groupBy("id").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, LOW).alias("low"))
         parted = (members.join(parts, "sig").join(known.join(low, "id"), "id")
