@@ -457,27 +457,27 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     # signatures, each component's closest, which settles most; then all that are left, for all signatures.
     tried = pairs.select("a", "b")
     for only_best in (True, False):
-        open_stars = labelled(stars.select("sig", F.col("centre").alias("a"), F.col("id").alias("b")), labels)
-        split = open_stars.where("ca <> cb").select("sig").distinct()
-        split = staged(split.where("pmod(sig, 8) = 0") if only_best else split, "jaccard-split")
+        near = stars.where("pmod(sig, 8) = 0") if only_best else stars
+        loose = staged(labelled(pairs.select("a", "b"), labels).where("ca <> cb").select("a", "b"), "jaccard-loose")
+        split = staged(near.join(loose, (F.col("centre") == F.col("a")) & (F.col("id") == F.col("b"))).select("sig").distinct(), "jaccard-split")
         if split.isEmpty():
             continue
-        members = open_stars.join(split, "sig", "left_semi")
-        members = (members.select("sig", F.col("a").alias("id"), F.col("ca").alias("c"))
-                   .union(members.select("sig", F.col("b").alias("id"), F.col("cb").alias("c"))).distinct())
-        # A member leaves its most frequent signatures of each band; the plan's levels allow for that.
-        often = members.groupBy("sig").agg(F.count("*").alias("k"))
-        allowed = F.element_at(F.array(*[F.lit(b[3]) for b in plan_for(num, den).bands]), (F.col("sig").bitwiseAND(SCHEMES - 1) + 1).cast("int"))
-        rank = Window.partitionBy("id", F.col("sig").bitwiseAND(SCHEMES - 1)).orderBy(F.desc("k"), "sig")
-        members = members.join(often, "sig").withColumn("rank", F.row_number().over(rank)).where(F.col("rank") > allowed).select("sig", "id", "c")
-        members = staged(members, "jaccard-members")
-        across_sigs = members.groupBy("sig").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("sig")
-        members = members.join(across_sigs, "sig", "left_semi")
-        parts = members.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-        low = members.groupBy("id").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, LOW).alias("low"))
-        parted = (members.join(parts, "sig").join(known.join(low, "id"), "id")
-                  .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+        # By signature: its members, once each, and their number.
+        members = (near.join(split.hint("merge"), "sig", "left_semi").select("sig", F.explode(F.array("centre", "id")).alias("id"))
+                   .dropDuplicates(["sig", "id"]).withColumn("k", F.count("*").over(Window.partitionBy("sig"))))
+        # By member: it leaves its most frequent signatures of each band (the plan's levels allow for that), and
+        # gets its smallest ones of the others, its component, size and sketch.
+        band = F.col("sig").bitwiseAND(SCHEMES - 1)
+        allowed = F.element_at(F.array(*[F.lit(b[3]) for b in plan_for(num, den).bands]), (band + 1).cast("int"))
+        rank = F.row_number().over(Window.partitionBy("id", band).orderBy(F.desc("k"), "sig"))
+        own = Window.partitionBy("id").orderBy("sig").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        members = (members.repartition("id").withColumn("rank", rank).where(F.col("rank") > allowed)
+                   .withColumn("low", F.array_compact(F.array(*[F.nth_value("sig", n + 1).over(own) for n in range(LOW)])))
+                   .join(known, "id").join(labels, "id", "left").withColumn("c", F.coalesce("component", "id")))
+        # By block: parts of a signature's members against each other.
+        parts = F.ceil(F.col("k") / BLOCK).cast("int")
+        parted = (members.withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))))
         across = (parted.select("sig", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "c", "n", "info", "low")
                   .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "id")
                   .mapInArrow(_across(num, den, only_best), "a long, b long")
