@@ -457,7 +457,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     # signatures, each component's closest, which settles most; then all that are left, for all signatures.
     tried = pairs.select("a", "b")
     for only_best in (True, False):
-        near = stars.where("pmod(sig, 8) = 0") if only_best else stars
+        near = stars.where(F.pmod(F.shiftright("sig", 7), F.lit(8)) == 0) if only_best else stars  # above the band
         loose = staged(labelled(pairs.select("a", "b"), labels).where("ca <> cb").select("a", "b"), "jaccard-loose")
         split = staged(near.join(loose, (F.col("centre") == F.col("a")) & (F.col("id") == F.col("b"))).select("sig").distinct(), "jaccard-split")
         if split.isEmpty():
@@ -468,7 +468,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
         # By member: it leaves its most frequent signatures of each band (the plan's levels allow for that), and
         # gets its smallest ones of the others, its component, size and sketch.
         band = F.col("sig").bitwiseAND(SCHEMES - 1)
-        allowed = F.element_at(F.array(*[F.lit(b[3]) for b in plan_for(num, den).bands]), (band + 1).cast("int"))
+        heavy = [b[3] // 8 if only_best else b[3] for b in plan_for(num, den).bands]
+        allowed = F.element_at(F.array(*map(F.lit, heavy)), (band + 1).cast("int"))
         rank = F.row_number().over(Window.partitionBy("id", band).orderBy(F.desc("k"), "sig"))
         own = Window.partitionBy("id").orderBy("sig").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         members = (members.repartition("id").withColumn("rank", rank).where(F.col("rank") > allowed)
