@@ -17,7 +17,7 @@ from data import SCHEMA, WORD, lower, rows
 from wideflow.llm import secrets
 from wideflow.llm.line_dedup import apply_bitmaps, keep_bitmaps
 from wideflow.llm.mixing import mix
-from wideflow.llm.quality import judge, ratio_weights
+from wideflow.llm.quality import gram_counts, judge, judge_by_counts, ratio_weights
 from wideflow.llm.toxicity import fit, kernel, score, train, _table_of
 
 
@@ -82,6 +82,43 @@ def test_quality_without_trusted_or_rows(spark, docs, empty):
     assert judge(empty, ratio_weights(empty, none)).collect() == []
 
 
+def exact_grams(text):
+    return grams(text, 2 ** 64)
+
+
+@pytest.mark.parametrize("frequent", [1, 300, 131_072])
+def test_quality_by_counts_equals_a_plain_version(spark, docs, frequent):
+    trusted = spark.createDataFrame([(i,) for i in range(0, 60, 2)], "doc_id long")
+    got = judge_by_counts(docs, gram_counts(docs, trusted), frequent=frequent).collect()
+    raw, own = collections.Counter(), collections.Counter()
+    for r in rows():
+        raw.update(exact_grams(r[1]))
+        if r[0] is not None and r[0] < 60 and r[0] % 2 == 0:
+            own.update(exact_grams(r[1]))
+    share = sum(own.values()) / sum(raw.values())
+    want = []
+    for r in rows():
+        f, g = base(r[1]), exact_grams(r[1])
+        s = sum(math.log((own[x] + 4) / (share * raw[x] + 4)) for x in g) / max(1, len(g))
+        failed = f[0] < 20 or 100 * f[4] > 30 * f[0]
+        want.append((r[0], *f, failed, round(s, 9), not failed and s >= -0.15))
+    assert bag((r.doc_id, int(r.n_words), r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, round(r.score, 9), r.kept) for r in got) == bag(want)
+
+
+def test_quality_by_counts_without_trusted_or_rows(spark, docs, empty):
+    none = spark.createDataFrame([], "doc_id long")
+    got = judge_by_counts(docs, gram_counts(docs, none))
+    assert {round(r.score, 9) for r in got.collect()} == {0.0} and got.count() == len(rows())
+    assert judge_by_counts(empty, gram_counts(empty, none)).collect() == []
+    assert "Python" not in got._jdf.queryExecution().toString() and "Arrow" not in got._jdf.queryExecution().toString()
+
+
+def test_quality_counts_every_distinct_gram(spark):
+    texts = [(i, " ".join(f"w{i * 40 + j}" for j in range(40))) for i in range(1_000)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert gram_counts(df, df.select("doc_id").limit(0)).count() == 1_000 * 79  # more than 16,384
+
+
 def test_quality_has_no_python_in_its_plan(spark, docs):
     got = judge(docs, ratio_weights(docs, spark.createDataFrame([(2,)], "doc_id long")))
     assert "Python" not in got._jdf.queryExecution().toString() and "Arrow" not in got._jdf.queryExecution().toString()

@@ -1,22 +1,25 @@
-"""Quality rules: fixed base rules and a log-likelihood ratio of hashed n-grams.
+"""Quality rules: fixed base rules and a log-likelihood ratio of n-grams.
 
-Words and pairs of adjacent words are hashed into ``buckets``. Two multinomials over the
-buckets are counted, one from all documents, one from a trusted part of them; the
-trusted one is smoothed towards the other. A document's score is the mean, over its
-n-grams, of the logarithm of the ratio of the two: about 0 for text like the trusted
-one, far below for text that the trusted part lacks. The threshold lies ``MARGIN`` below
-0, and lower by the sampling error of the trusted counts: ``ERROR`` times the root of the buckets
-per trusted n-gram (about 0.02 with 10 million of them). Documents that reach it are kept,
-unless a base rule fails; nothing depends on order, partitions or other documents' outcome.
+Words and pairs of adjacent words are n-grams, told apart by their 64-bit hashes. Each distinct one is
+counted in all documents and in a trusted part of them. Where the trusted part would hold ``e`` of its
+occurrences if it were like the rest and holds ``own``, its weight is log((own + ``PRIOR``) / (e + ``PRIOR``)):
+near 0 for n-grams too rare to tell, which is how sampling error enters, far below 0 for frequent ones that
+the trusted part lacks. A document's score is the mean weight of its n-grams. Documents of at least
+``-LEAST`` are kept, unless a base rule fails; the threshold is the same at every size, and
+nothing depends on order, partitions or other documents' outcome.
 
-Only DataFrame functions are used: n-grams are counted by a partial aggregate over at
-most ``buckets`` keys, so their shuffle is small at any input size; the weights come back
-as one array of ``buckets`` doubles, which is the bound of what is sent to executors.
+Only DataFrame functions are used. The table of counts grows with the distinct n-grams, is written once
+and stays distributed. N-grams above a ``1 / FREQUENT`` share of all occurrences, fewer than ``FREQUENT``
+by that, are broadcast with their weights; the documents' other n-grams meet theirs in a shuffle join, in which
+no key holds more than that share.
+
+``ratio_weights`` and ``judge`` are the form with a fixed number of buckets, for callers that want one
+array of weights; its threshold moves with the trusted part's size. The queries do not use it.
 
 Defined cases: a null or empty text, or one without words, has no n-grams, a score of 0 and
 fails a base rule; null ids and repeated rows are scored like any other; without trusted
-documents every ratio is 1, all scores are 0 and only base rules decide; an empty table gives no rows; columns
-other than the text pass through unread.
+documents all weights and scores are 0 and only base rules decide; an empty table gives no rows; columns
+other than the text pass through as they are (``judge_by_counts`` joins by hashes of the row).
 """
 
 from __future__ import annotations
@@ -24,12 +27,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, computed_once, staged, text_or_empty, words
+from .common import SPACE_CHARS, computed_once, small_enough, staged, text_or_empty, words
 
 #: Buckets of the n-gram hash.
 BUCKETS = 16_384
 #: How far below 0 a kept score may lie (natural logarithm per n-gram), and its share for sampling error.
 MARGIN, ERROR = 0.07, 0.5
+#: Occurrences by which an n-gram's trusted and expected counts are drawn together, and how far below 0 a kept score may lie.
+PRIOR, LEAST = 4.0, 0.15
+#: At most so many n-grams are broadcast.
+FREQUENT = 131_072
+#: Up to so many trusted ids are broadcast.
+BROADCAST_IDS = 500_000
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 
@@ -76,6 +85,47 @@ def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
     }).drop("_q_fours", "_q_windows", "_q_placed", "_q_sorted", "_q_lines")
 
 
+def _grams(docs: DataFrame, text: str, *cols: str) -> DataFrame:
+    """One row for each n-gram of each text: its hash ``h``, beside ``cols``."""
+    w = words(text_or_empty(text))
+    pairs = docs.select(*cols, F.inline(F.arrays_zip(w.alias("x"), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))).alias("y"))))
+    # The hash of a pair is that of its words' hashes, as in the scores.
+    hashes = F.array(F.xxhash64("x"), F.when(F.col("y").isNotNull(), F.xxhash64(F.xxhash64("x"), F.xxhash64("y"))))
+    return pairs.select(*cols, F.explode(hashes).alias("h")).where("h IS NOT NULL")
+
+
+def gram_counts(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(h, raw, own)`` of each distinct n-gram: how often all and how often the trusted documents hold it.
+
+    ``trusted_ids`` names the trusted documents by distinct ids in a column like ``id_col``.
+    """
+    # Beyond a number of trusted ids the texts are shuffled to meet them.
+    flags = trusted_ids.select(F.col(id_col), F.lit(1).alias("_q_t")).hint("broadcast" if small_enough(trusted_ids, BROADCAST_IDS) else "merge")
+    flagged = docs.select(id_col, text).join(flags, id_col, "left").select(F.coalesce("_q_t", F.lit(0)).alias("t"), text)
+    return staged(_grams(flagged, text, "t").groupBy("h").agg(F.count("*").alias("raw"), F.sum("t").alias("own")), "quality-grams")
+
+
+def judge_by_counts(docs: DataFrame, counts: DataFrame, text: str = "text", prior: float = PRIOR, least: float = LEAST,
+                    frequent: int = FREQUENT) -> DataFrame:
+    """All of ``docs`` with the base counts, ``base_failed``, ``score`` and ``kept``, by the table of ``gram_counts``."""
+    n_raw, n_own = (counts.agg(F.coalesce(F.sum(c), F.lit(0)).cast("double")).first()[0] for c in ("raw", "own"))
+    expected = F.col("raw") * F.lit(n_own / max(n_raw, 1.0))
+    weights = counts.select("h", F.log((F.col("own") + prior) / (expected + prior)).alias("w"), (F.col("raw") * F.lit(frequent) > n_raw).alias("often"))
+    often, seldom = (weights.where(c).select("h", "w") for c in ("often", "NOT often"))
+    # Rows are told apart by 128 bits: of the text, and of all columns, so that copies of a text spread over tasks.
+    hashable = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    keyed = docs.withColumns({"_q_k1": F.xxhash64(text_or_empty(text)), "_q_k2": F.xxhash64(F.lit(1), *hashable)})
+    grams = _grams(keyed, text, "_q_k1", "_q_k2")
+    parts = grams.join(F.broadcast(often), "h").unionByName(
+        grams.join(F.broadcast(often.select("h")), "h", "left_anti").join(seldom.hint("merge"), "h"))
+    # Repeated rows share a key and add equal parts to sum and count.
+    scores = parts.groupBy("_q_k1", "_q_k2").agg(F.avg("w").alias("_q_score"))
+    d = base_features(keyed, text).drop("_q_hashes", "_q_pairs").join(scores, ["_q_k1", "_q_k2"], "left")
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return (d.withColumns({"base_failed": failed, "score": F.coalesce("_q_score", F.lit(0.0))}).drop("_q_k1", "_q_k2", "_q_score")
+            .withColumn("kept", computed_once(~F.col("base_failed") & (F.col("score") >= -least))))
+
+
 def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text: str = "text",
                   buckets: int = BUCKETS) -> DataFrame:
     """One row: ``weights``, the log ratio of each bucket in order, and ``n_trusted``, the trusted n-grams.
@@ -84,12 +134,8 @@ def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id
     """
     # The trusted ids may be many, so they are joined by shuffle at every size: one shuffle of the texts.
     flags = trusted_ids.select(F.col(id_col), F.lit(1).alias("_q_t")).hint("merge")
-    w = words(text_or_empty(text))
-    pairs = docs.select(id_col, text).join(flags, id_col, "left").select(
-        F.coalesce("_q_t", F.lit(0)).alias("t"), F.inline(F.arrays_zip(w.alias("x"), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))).alias("y"))))
-    # The hash of a pair is that of its words' hashes, as in the scores.
-    hashes = F.array(F.xxhash64("x"), F.when(F.col("y").isNotNull(), F.xxhash64(F.xxhash64("x"), F.xxhash64("y"))))
-    grams = pairs.select("t", F.explode(hashes).alias("h")).where("h IS NOT NULL").select("t", F.pmod("h", F.lit(buckets)).cast("int").alias("g"))
+    flagged = docs.select(id_col, text).join(flags, id_col, "left").select(F.coalesce("_q_t", F.lit(0)).alias("t"), text)
+    grams = _grams(flagged, text, "t").select("t", F.pmod("h", F.lit(buckets)).cast("int").alias("g"))
     counts = staged(grams.groupBy("g").agg(F.count("*").cast("double").alias("raw"), F.sum("t").cast("double").alias("own")), "quality-counts")
     n_raw, n_own = (counts.agg(F.coalesce(F.sum(c), F.lit(0.0))).scalar() for c in ("raw", "own"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("g")).join(counts, "g", "left")

@@ -17,7 +17,7 @@ from .jaccard import similar_components
 from .line_dedup import apply_bitmaps, keep_bitmaps
 from .mixing import mix
 from .packing import pack
-from .quality import judge, ratio_weights
+from .quality import gram_counts, judge_by_counts
 from .secrets import BASE_RULES, scan, span_list
 from .token_counts import count_tokens
 from .toxicity import fit, score
@@ -38,7 +38,7 @@ def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return judge(docs, ratio_weights(docs, trusted(spark, sf_dir))).select(
+    return judge_by_counts(docs, gram_counts(docs, trusted(spark, sf_dir))).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
