@@ -12,11 +12,12 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from conftest import SF_MID, SF_SMALL
 from data import SCHEMA, WORD, lower, rows
 from wideflow.llm import secrets
 from wideflow.llm.line_dedup import apply_bitmaps, keep_bitmaps
 from wideflow.llm.mixing import mix
+from wideflow.llm.queries import QUERIES
 from wideflow.llm.quality import gram_counts, judge, judge_by_counts, ratio_weights
 from wideflow.llm.toxicity import fit, kernel, score, train, _table_of
 
@@ -113,6 +114,14 @@ def test_quality_by_counts_without_trusted_or_rows(spark, docs, empty):
     assert "Python" not in got._jdf.queryExecution().toString() and "Arrow" not in got._jdf.queryExecution().toString()
 
 
+@pytest.mark.parametrize("sf_dir", [SF_SMALL, SF_MID])
+def test_quality_tells_labels_apart_at_every_size(spark, sf_dir):
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    rest = [(label.get(r.doc_id), r.kept) for r in QUERIES["op2_quality"](spark, sf_dir).collect() if not r.base_failed]
+    bad, good = ([k for q, k in rest if q == kind] for kind in (0, 1))
+    assert bad and sum(bad) <= 0.02 * len(bad) and sum(good) >= 0.98 * len(good)
+
+
 def test_quality_counts_every_distinct_gram(spark):
     texts = [(i, " ".join(f"w{i * 40 + j}" for j in range(40))) for i in range(1_000)]
     df = spark.createDataFrame(texts, "doc_id long, text string")
