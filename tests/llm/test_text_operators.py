@@ -19,7 +19,7 @@ from wideflow.llm.line_dedup import apply_bitmaps, keep_bitmaps
 from wideflow.llm.mixing import mix
 from wideflow.llm.queries import QUERIES
 from wideflow.llm.quality import gram_counts, judge, judge_by_counts, ratio_weights
-from wideflow.llm.toxicity import fit, kernel, score, train, _table_of
+from wideflow.llm.toxicity import fit, kernel, normal_words, score, train, _table_of
 
 
 @pytest.fixture(scope="module")
@@ -209,6 +209,28 @@ def test_toxicity_planted_forms():
     assert (m.score(m.margins([w for t in clean[:50] for w in t.split()])) < 0.5).mean() > 0.99
 
 
+def test_toxicity_reads_all_of_long_tokens():
+    rnd = random.Random(2)
+    letters = {"latin": "anthreotishubl", "greek": "αβγδεζηθικλμνξ", "han": "的一是不了人我在有他这中大来"}
+    insults = {"latin": "kruxxer", "greek": "φψωχρστ", "han": "坏蛋笨猪滚开"}
+    for script, known in letters.items():
+        word = lambda: "".join(rnd.choice(known) for _ in range(rnd.choice([2, 4, 6])))  # noqa: E731, B023
+        clean = [" ".join(word() for _ in range(80)) for _ in range(200)]
+        toxic = [" ".join([*(word() for _ in range(80)), insults[script], *(word() for _ in range(9))]) for _ in range(60)]
+        m = train(clean + toxic, [0] * 200 + [1] * 60)
+        worst = lambda t: m.score(m.margins(normal_words(t)).max())  # noqa: E731, B023
+        for join in (",", "/", "-", "_", "</b><b>", ""):
+            plain = [word() for _ in range(60)]
+            assert worst(join.join([*plain, insults[script], *plain])) >= 0.5 > worst(join.join(plain)), (script, join)
+
+
+def test_toxicity_words_hold_every_letter():
+    text = "".join(chr(0x4E00 + i) for i in range(1_000))
+    assert set().union(*normal_words(text)) == set(text) and normal_words("x" * 40) == ["x" * 40]
+    far = kernel(["的一是不了", "ваша"], _table_of(["人我在有他", "дело"]))
+    assert far.max() < 0.1  # letters of other scripts are told apart
+
+
 def test_toxicity_edges(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (4, 0)], "doc_id long, toxic int")
     assert fit(docs, labels) is None  # contradicting, null and one-sided labels

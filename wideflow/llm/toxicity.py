@@ -15,6 +15,8 @@ is fitted several times, each time with the clean words that look most toxic so
 driver over at most ``max_toxic`` + ``max_clean`` labelled documents of up to ``max_chars``
 characters, chosen by a hash of the id. Kernel, landmarks and machine then fold into one table of
 a weight for each subsequence, of fixed size, which is broadcast; whole texts are scored in one scan.
+Tokens are split at white space and, besides, at all that is no letter; runs of more than ``MAX_WORD`` letters, as in
+scripts without spaces, are read by overlapping windows, of which the most toxic counts.
 
 Defined cases: a null or empty text, or one without letters, has the margin of a text without
 toxic words; a null id is scored and never trained on; rows that repeat are scored each;
@@ -36,32 +38,69 @@ from pyspark.sql import functions as F
 
 from .common import find_package, staged, text_or_empty, text_slices
 
-#: Letters are 1 to 30, 0 stands for the ends of a word.
+#: a to z are 1 to 26, 0 stands for the ends of a word; other letters are their code points, whose
+#: subsequences are hashed to as many places behind those of a to z.
 LETTERS, DECAY = 32, 0.6
+PLACES = 2 * LETTERS ** 3
 #: Offsets of the second and third letter, and the weight of the gaps they leave.
 OFFSETS = [(a, b, DECAY ** (b - 2)) for b in range(2, 5) for a in range(1, b)]
 #: The margin of a document without words, and the least of any.
 NO_WORDS = -2.0
-MAX_WORD = 40
+#: Longer runs of letters are read by windows, of these lengths and steps.
+MAX_WORD, WINDOWS = 40, ((40, 20), (12, 2))
 
 _SENTENCE = re.compile(r"[.!?\n]+")
 _SPELLED = re.compile(r"(?<!\S)(?:\w[\s.*_-]){2,}\w(?!\w)")
+_RUN = re.compile(r"[^\W\d_]+")
 _LOOKS = str.maketrans("013457@", "oieasta")
 _CACHED = 300_000
 
 
 def normal_words(text: str) -> list[str]:
-    """Lower-case words of letters only; digits that look like letters count as such, spelled-out words are joined too."""
+    """Lower-case words; digits that look like letters count as such, spelled-out words are joined too.
+
+    A token with other characters between letters stands for itself, joined, and for each of its runs of
+    letters; more than ``MAX_WORD`` letters are replaced by all their windows.
+    """
     low = text.lower()
     words = low.split()
     if m := _SPELLED.findall(low):
         words += ["".join(ch for ch in x if ch.isalnum()) for x in m]
-    return words
+    out = []
+    for w in set(words):
+        if w.isalpha() and len(w) <= MAX_WORD:
+            out.append(w)
+            continue
+        runs = _RUN.findall(w.translate(_LOOKS))
+        letters = "".join(runs)
+        out += _windows(letters) if len(letters) > MAX_WORD else [w]
+        if len(runs) > 1:
+            for r in set(runs):
+                if len(r) > 1:
+                    out += _windows(r)
+    return out
+
+
+def _windows(letters: str) -> list[str]:
+    """A run of letters, or overlapping windows that together hold all of it."""
+    if len(letters) <= MAX_WORD:
+        return [letters]
+    return [letters[i:i + n] for n, step in WINDOWS for i in [*range(0, len(letters) - n, step), len(letters) - n]]
 
 
 def _codes(word: str) -> list[int]:
     letters = word if word.isalpha() else "".join(ch for ch in word.translate(_LOOKS) if ch.isalpha())
-    return [ord(ch) - 96 if "a" <= ch <= "z" else 27 + ord(ch) % 4 for ch in letters[:MAX_WORD]]
+    return [ord(ch) - 96 if "a" <= ch <= "z" else ord(ch) for ch in letters]
+
+
+def _places(x: np.ndarray, y: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """The place of each three letters in tables of weights."""
+    out = (x * LETTERS + y) * LETTERS + z
+    wide = np.flatnonzero((x > 26) | (y > 26) | (z > 26))
+    if len(wide):
+        h = ((x[wide] * 2_097_169 + y[wide]) * 2_097_169 + z[wide]) * 0x9E3779B97F4A7C1  # wraps around
+        out[wide] = LETTERS ** 3 + ((h >> 32) & (LETTERS ** 3 - 1))
+    return out
 
 
 def _subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -74,7 +113,7 @@ def _subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     code, weight, owner = [], [], []
     for a, b, w in OFFSETS:
         at = np.flatnonzero(left > b)
-        code.append((flat[at] * LETTERS + flat[at + a]) * LETTERS + flat[at + b])
+        code.append(_places(flat[at], flat[at + a], flat[at + b]))
         weight.append(np.full(len(at), w))
         owner.append(word[at])
     norm2 = sum(np.maximum(length - b, 0) * w * w for _, b, w in OFFSETS)
@@ -84,7 +123,7 @@ def _subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 def _table_of(landmarks: list[str]) -> np.ndarray:
     """The normalised feature vectors of landmarks, as columns."""
     code, weight, word, norm = _subsequences(landmarks)
-    t = np.zeros((LETTERS ** 3, len(landmarks)), np.float32)
+    t = np.zeros((PLACES, len(landmarks)), np.float32)
     np.add.at(t, (code, word), weight / norm[word])
     return t
 
@@ -160,9 +199,9 @@ def _log_ratio(n: np.ndarray, toxic: int, clean: int) -> np.ndarray:
 
 def _contrast(words: list[set[str]], toxic: list[int]) -> np.ndarray:
     """Log ratio of the share of toxic and of clean documents that hold each subsequence."""
-    n = np.zeros((2, LETTERS ** 3))
+    n = np.zeros((2, PLACES))
     for s, k in zip(words, toxic, strict=True):
-        held = np.zeros(LETTERS ** 3, bool)
+        held = np.zeros(PLACES, bool)
         held[_subsequences(list(s))[0]] = True
         n[1 - k] += held
     return _log_ratio(n, sum(toxic), len(toxic) - sum(toxic))
