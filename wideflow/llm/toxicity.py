@@ -8,6 +8,8 @@ support vector machine on the landmark features gives a word's margin, a sentenc
 that of its most toxic word, a document that of its most toxic sentence, and a logistic
 curve turns the margin into a score.
 
+Sentences are not instances of their own: phrases toxic only by ordinary words together are missed.
+
 Training is by witnesses, as a toxic document need only have some toxic sentence: words whose
 forms (by the kernel) occur in several toxic and next to no clean documents are landmarks,
 their forms in toxic documents are positives, words of clean documents negatives. The machine
