@@ -34,6 +34,15 @@ def test_latest_tie_breaks(spark):
     assert got == {"k1": "b", "k2": "b", "k3": "c", "k4": None}
 
 
+def test_partition_profile_lists_rows_per_partition(spark):
+    df = spark.range(0, 103, 1, 4)
+    got = {r.partition: r.n for r in C.partition_profile(df).collect()}
+    assert got == {i: len(p) for i, p in enumerate(df.rdd.glom().collect())}
+    assert len(got) == 4 and sum(got.values()) == 103
+    some = C.partition_profile(df.where("id < 30")).collect()
+    assert sum(r.n for r in some) == 30 and len(some) == 2
+
+
 def test_to_wide_keeps_rows_without_named_cells(spark):
     rows = [("k1", "f", "a", T0, 1, "1"), ("k1", "f", "a", T1, 1, "2"), ("k2", "g", "x", T0, 1, "9"),
             ("k3", "f", "b", T0, 1, "3")]

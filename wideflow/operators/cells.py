@@ -144,6 +144,11 @@ def count_rows(cells: DataFrame) -> DataFrame:
     return cells.agg(F.count_distinct("row_key").alias("n_rows"))
 
 
+def partition_profile(df: DataFrame) -> DataFrame:
+    """``(partition, n)``: the rows of each partition that has any."""
+    return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def multi_get(cells: DataFrame, keys: DataFrame, family: str, qualifier: str,
               key: str = "row_key") -> DataFrame:
     """A batch of point reads: every key row with the latest value of one cell (NULL if absent).

@@ -510,9 +510,8 @@ def q_dedupe_detail_keys(spark, sf_dir):
 
 @register("partition_profile", W(HK, "SELECT count(*)::BIGINT AS n, true AS every_row_once FROM hk"))
 def q_partition_profile(spark, sf_dir):
-    """Rows per task, reduced to what does not depend on the layout: the total, and that each task is listed once."""
-    hk = _header_keyed(spark, sf_dir)
-    profile = hk.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("n"))
+    """The total of the rows per task (``cells.partition_profile``), as the rows themselves depend on the layout."""
+    profile = C.partition_profile(_header_keyed(spark, sf_dir))
     return profile.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
                        (F.count(F.lit(1)) == F.count_distinct("partition")).alias("every_row_once"))
 
