@@ -17,6 +17,9 @@ COLUMNS = {
     "op8_nearest": ["query_id", "rank", "vec_id", "score"],
     "op9_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op10_line_dedup": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
+    "op11_word_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op12_vector_codes": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
+    "op13_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 
 
@@ -30,7 +33,7 @@ def test_query_matches_sql(spark, duck_small, name):
 def test_contract_columns(spark, name):
     got = QUERIES[name](spark, SF_SMALL)
     assert [c for c in COLUMNS[name] if c not in got.columns] == []
-    key, rows = (("page_id", "pages") if name == "op7_warc" else ("doc_id", "documents"))
+    key, rows = {"op7_warc": ("page_id", "pages"), "op12_vector_codes": ("vec_id", "embeddings")}.get(name, ("doc_id", "documents"))
     if name not in ("op6_packing", "op8_nearest"):
         ids = [r[0] for r in got.select(key).collect()]
         want = [r[0] for r in spark.read.parquet(f"{SF_SMALL}/{rows}.parquet").select(key).collect()]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .common import table, text_or_empty
 from .jaccard import similar_components
 from .line_dedup import apply_bitmaps, keep_bitmaps
+from .merkle import folded, leaf_digest, proof, prove
 from .mixing import mix
 from .packing import pack
 from .quality import gram_counts, judge_by_counts
@@ -22,9 +23,11 @@ from .secrets import BASE_RULES, scan, span_list
 from .token_counts import count_tokens
 from .toxicity import fit, score
 from .vantage import nearest
+from .vector_codes import books_digest, compress, with_label_errors
 from .warc_zip import read_packages, write_packages
+from .word_table_bpe import decode, encode
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, WORD_TOKENIZER = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
 def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +91,30 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(text_or_empty(), 256).alias("kept_sha256"))
 
 
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_TOKENIZER)
+    whole = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    return whole.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = compress(table(spark, sf_dir, "embeddings"))
+    return with_label_errors(codes).select(F.col("id").alias("vec_id"), F.lower(F.hex("codes")).alias("code"), "error", "label_error",
+                                           F.lit(books_digest(books)).alias("codebooks_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    leaves = docs.select("doc_id", "source", leaf_digest(*fields, F.col("text")).alias("leaf"),
+                         F.when(tampered, leaf_digest(*fields, F.translate("text", "\n", ""))).alias("tampered"))
+    proven = prove(leaves).select("doc_id", "leaf", "subroot", "root", proof(F.col("path")).alias("proof_sha256"),
+                                  folded(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"))
+    return proven.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": op1_jaccard,
     "op2_quality": op2_quality,
@@ -99,12 +126,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest": op8_nearest,
     "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
+    "op11_word_bpe": op11_word_bpe,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
+
+def _codes_round(n: int) -> str:
+    """Assignment ``a{n}`` by codebook ``b{n}``, and the next codebook."""
+    return f"""
+m{n} AS MATERIALIZED (SELECT r, p, min(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 256 + j) AS m
+      FROM x JOIN b{n} USING (p) GROUP BY r, p),
+a{n} AS MATERIALIZED (SELECT r, p, m % 256 AS j, m // 256 AS d FROM m{n}),
+s{n} AS (SELECT p, j, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM a{n} JOIN x USING (r, p)),
+t{n} AS (SELECT p, j, i, sum(c)::BIGINT AS s, count(*) AS n FROM s{n} GROUP BY p, j, i),
+f{n} AS (SELECT p, j, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM t{n} GROUP BY p, j),
+b{n + 1} AS MATERIALIZED (SELECT p, j, coalesce(f{n}.c, b{n}.c) AS c FROM b{n} LEFT JOIN f{n} USING (p, j))"""
+
+
+def _hash_field(v: str) -> str:
+    return f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen({v}::VARCHAR) || ':' || {v}::VARCHAR END"
+
+
+def _leaf_sql(text: str) -> str:
+    return f"sha256({' || '.join(_hash_field(v) for v in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
 ORACLE: dict[str, str] = {
     "op1_jaccard": f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} AS w FROM documents),
@@ -160,4 +211,38 @@ x AS (SELECT k.doc_id, line, pos, f.first IS NOT NULL AND k.doc_id <> f.first AS
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE dropped)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM x GROUP BY doc_id""",
+    "op12_vector_codes": f"""
+WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, e) AS r, vec_id, label,
+                   list_transform(e, lambda x: floor(1024 * x)::BIGINT) AS q FROM e),
+x AS MATERIALIZED (SELECT r, p, q[p * (len(q) // 4) + 1:(p + 1) * (len(q) // 4)] AS x FROM v, (SELECT unnest(range(4)) AS p)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS j, x AS c FROM x WHERE r <= 256),{",".join(_codes_round(n) for n in range(5))},
+k AS (SELECT p, j, unnest(c) AS c, generate_subscripts(c, 1) AS i FROM b4),
+o AS (SELECT r, string_agg(printf('%02x', j), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a4 GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, j, i)) FROM k) AS codebooks_sha256 FROM o JOIN v USING (r)""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+       lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS crc),
+d AS MATERIALIZED (SELECT doc_id, source, lang, n_chars, text, row_number() OVER () AS id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s,
+     {_leaf_sql('text')} AS leaf, doc_id IS NOT NULL AND list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+       lambda c, x: xor(c // 256, crc[(xor(c, x) % 256) + 1]), 4294967295) % 2 = 1 AS tampered FROM documents, crc_table),
+r AS MATERIALIZED (SELECT id, s, doc_id, leaf, CASE WHEN tampered THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE leaf END AS given,
+     row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY s) AS n FROM d),
+t AS (SELECT s, 0 AS l, i, n, leaf AS h FROM r
+      UNION ALL SELECT s, l + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1 GROUP BY s, l, i // 3, n),
+subroots AS (SELECT s, h FROM t WHERE n = 1),
+u AS (SELECT 0 AS l, s AS i, (SELECT count(*) FROM subroots) AS n, h FROM subroots
+      UNION ALL SELECT l + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE n > 1 GROUP BY l, i // 3, n),
+p AS (SELECT id, s, 0 AS l, i, n, given AS h, '' AS proof FROM r
+      UNION ALL SELECT p.id, p.s, p.l + 1, p.i // 3, (p.n + 2) // 3, sha256(string_agg(CASE WHEN t.i = p.i THEN p.h ELSE t.h END, '' ORDER BY t.i)),
+                p.proof || coalesce(string_agg(t.h, '' ORDER BY t.i) FILTER (WHERE t.i <> p.i), '')
+      FROM p JOIN t ON t.s = p.s AND t.l = p.l AND t.i // 3 = p.i // 3 WHERE p.n > 1 GROUP BY p.id, p.s, p.l, p.i, p.n, p.proof),
+q AS (SELECT id, 0 AS l, s AS i, (SELECT count(*) FROM subroots) AS n, h, proof FROM p WHERE n = 1
+      UNION ALL SELECT q.id, q.l + 1, q.i // 3, (q.n + 2) // 3, sha256(string_agg(CASE WHEN u.i = q.i THEN q.h ELSE u.h END, '' ORDER BY u.i)),
+                q.proof || coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (WHERE u.i <> q.i), '')
+      FROM q JOIN u ON u.l = q.l AND u.i // 3 = q.i // 3 WHERE q.n > 1 GROUP BY q.id, q.l, q.i, q.n, q.proof)
+SELECT doc_id, leaf, subroots.h AS subroot, u.h AS root, sha256(q.proof) AS proof_sha256, q.h AS folded_root, q.h = u.h AS verified
+FROM r JOIN subroots USING (s) JOIN q ON q.id = r.id AND q.n = 1 JOIN u ON u.n = 1""",
 }
