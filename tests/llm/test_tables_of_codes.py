@@ -9,14 +9,15 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from data import SCHEMA, rows
-from wideflow.llm import vector_codes
+from wideflow.llm import vector_codes, word_table_bpe
 from wideflow.llm.merkle import folded, leaf_digest, proof, prove
 from wideflow.llm.vector_codes import Bounds, books_digest, compress, squared_to_all, with_label_errors
-from wideflow.llm.word_table_bpe import Words, decode, encode, word_table
+from wideflow.llm.word_table_bpe import WordIndex, Words, decode, encode, word_table
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", " ", "It's WE'LL they'Re", "a  b\n\n c", "x" * 3000, "İstanbul ΑΣ ΑΣ. ẖ H̱ 각 각", "<|endoftext|>a<|startoftext|>", "<|ENDOFTEXT|> <|endoftext|",
@@ -36,15 +37,16 @@ def test_words_equal_the_library():
         assert [i for w in words.split(t) for i in words.ids(w)] == words.tok.encode(t, add_special_tokens=False).ids, t
 
 
-@pytest.mark.parametrize("units", [8_000_000, 3_000, 1])
-def test_ids_and_texts_equal_the_library(docs, units):
-    """With all words broadcast, with some, and with none."""
+@pytest.mark.parametrize("size", [128_000_000, 3_000, 1])
+def test_ids_and_texts_equal_the_library(docs, size, monkeypatch):
+    """With all words broadcast, with some, and with none; with workers that remember few."""
+    monkeypatch.setattr(word_table_bpe, "REMEMBERED", 50)
     tok = Words(PATH).tok
     want = collections.Counter()
     for r in docs.collect():
         ids = tok.encode(r.text or "", add_special_tokens=False).ids
         want[r.doc_id, array.array("I", ids).tobytes(), tok.decode(ids, skip_special_tokens=False)] += 1
-    got = decode(encode(docs, PATH, broadcast_units=units), PATH)
+    got = decode(encode(docs, PATH, broadcast_bytes=size), PATH)
     assert got.columns == ["doc_id", "ids", "text"]
     assert collections.Counter((r.doc_id, bytes(r.ids), r.text) for r in got.collect()) == want
 
@@ -58,6 +60,13 @@ def test_each_word_is_in_the_table_once(docs, spark):
     assert decode(encode(docs.limit(0), PATH), PATH).collect() == []
 
 
+def test_index_tells_words_with_equal_hashes_apart(monkeypatch):
+    monkeypatch.setattr(word_table_bpe.xxhash, "xxh3_64_intdigest", lambda w: len(w) % 2)
+    words = ["a", "bb", "c", "dddd", "é", ""]
+    index = WordIndex(pa.table({"word": words, "ids": pa.array([[i] * i for i in range(6)], pa.list_(pa.int32()))}), "H")
+    assert index.find([*words, "x", "yy"]) == [*(array.array("H", [i] * i).tobytes() for i in range(6)), None, None]
+
+
 def test_decoding_leaves_out_unknown_ids_and_keeps_columns(spark):
     ids = array.array("I", [49407, 5, 60000, 1000, 4_000_000_000]).tobytes()
     got = decode(spark.createDataFrame([(1, ids, "old"), (2, None, "old"), (3, b"", None)], "k int, ids binary, text string"), PATH).collect()

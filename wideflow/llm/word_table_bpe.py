@@ -2,15 +2,12 @@
 
 For tokenizers that never merge across the words of their pre-tokenizer. A first scan splits texts into words and
 counts them; each distinct word is encoded once, into a written table ``(word, n, ids)``. A second scan splits again
-and puts ids in place of words: those of frequent words come from a broadcast part of the table, the others leave
-their position open and travel as ``(row, position, word)`` to a join with the table, whose ids come back to the row
-and are spliced in by position. Decoding joins ids with the pieces of the vocabulary, which is broadcast as it is
-as small as the tokenizer's file, and joins the pieces as the library does.
-
-A word is frequent when its occurrences reach a ``1 / BROADCAST_UNITS`` share of the corpus, measured in units (an
-occurrence counts its UTF-8 bytes plus 8). Frequent words have at most ``BROADCAST_UNITS`` units together, whatever
-the corpus, and no other word holds more than that share of it, so that no key of the join is hot. Only rows
-with open positions are shuffled, as packed ids; texts never are.
+and puts ids in place of words. The most frequent words, as many as ``BROADCAST_BYTES`` hold, are broadcast as a compact
+index with their ids. Where the index holds the whole table nothing else moves. Otherwise the other words
+leave their position open and travel as ``(row, position, word)`` to a join with the table, whose ids come back to the row
+and are spliced in by position; rows with open positions are shuffled as compressed ids, texts never. No word of the join is
+hot, as all that are more frequent fill the index. Decoding joins ids with the pieces of the vocabulary, which is broadcast
+as it is as small as the tokenizer's file, and joins the pieces as the library does.
 
 Defined cases: a null or empty text, or one of white space alone, has no tokens and decodes to an empty text; null
 ids and repeated rows give a row each; added strings of the tokenizer inside a text become their own ids, as the
@@ -31,16 +28,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import find_package, staged, text_slices
 
-#: UTF-8 bytes plus 8 for each word, of all broadcast words together.
-BROADCAST_UNITS = 8_000_000
-#: Distinct words that a task counts before it hands them on.
-COUNTED = 300_000
+#: Of the broadcast index: the words' UTF-8 bytes, two for each id and 16 for each word.
+BROADCAST_BYTES = 128_000_000
+#: Distinct words that a task counts before it hands them on, and words that a worker remembers.
+COUNTED, REMEMBERED = 300_000, 150_000
 
 #: The normalizer and word pattern whose quick form is known here.
 QUICK_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -152,78 +151,147 @@ def word_table(docs: DataFrame, tokenizer_path: str, text: str = "text") -> Data
     return staged(counted.mapInArrow(encode, "word string, n long, ids array<int>"), "bpe-words")
 
 
-def _frequent(table: DataFrame, units: int) -> tuple[list[str], list[list[int]]]:
-    """Words whose occurrences reach a ``1 / units`` share of the corpus, and their ids; ``units`` together at most."""
-    size = F.octet_length("word") + 8
-    total = table.agg(F.sum(F.col("n") * size)).first()[0] or 0
-    rows = table.where((F.col("n") * F.lit(units)) >= F.lit(total)).select("word", "ids").toArrow()
-    return rows["word"].to_pylist(), rows["ids"].to_pylist()
+def _frequent(table: DataFrame, most: int) -> tuple[pa.Table, bool]:
+    """The most frequent words with their ids, ``most`` bytes together at the utmost; whether they are all."""
+    # Words are taken by classes of about equal frequency, 16 to a doubling: a thousand classes at most.
+    size = F.octet_length("word") + 2 * F.size("ids") + 16
+    classed = table.withColumn("class", F.floor(F.log2("n") * 16))
+    least, left, whole = 1 << 20, most, True
+    for r in sorted(classed.groupBy("class").agg(F.sum(size).alias("size")).collect(), reverse=True):
+        left -= r["size"]
+        if left < 0:
+            whole = False
+            break
+        least = r["class"]
+    return classed.where(F.col("class") >= least).select("word", "ids").toArrow(), whole
+
+
+class WordIndex:
+    """Ids of words, packed: sorted hashes, and words and ids in one buffer each."""
+
+    def __init__(self, words: pa.Table, code: str):
+        names, ids = (words[c].combine_chunks() for c in ("word", "ids"))
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, names.to_pylist()), np.uint64, len(names))
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, take = hashes[order], pa.array(order)
+        self.names, self.name_ends = self._joined(names.cast(pa.large_binary()).take(take))
+        ids = ids.cast(pa.large_list(pa.int32())).take(take)
+        self.width = array(code).itemsize
+        self.ids = ids.flatten().to_numpy().astype(code).tobytes()
+        self.id_ends = ids.offsets.to_numpy() * self.width
+
+    @staticmethod
+    def _joined(column: pa.LargeBinaryArray) -> tuple[bytes, np.ndarray]:
+        return b"".join(column.to_pylist()), np.concatenate([[0], np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))]).astype(np.int64)
+
+    def find(self, words: list[str]) -> list[bytes | None]:
+        """The packed ids of each word; None where the index does not hold it."""
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        out: list[bytes | None] = []
+        for w, h, i in zip(words, hashes.tolist(), np.searchsorted(self.hashes, hashes).tolist(), strict=True):
+            got, name = None, w.encode()
+            while got is None and i < len(self.hashes) and self.hashes[i] == h:  # other words may share a hash
+                if self.names[self.name_ends[i]:self.name_ends[i + 1]] == name:
+                    got = self.ids[self.id_ends[i]:self.id_ends[i + 1]]
+                i += 1
+            out.append(got)
+        return out
+
+
+class _Known(dict):
+    """Words that a worker met lately with what the index says of them."""
+
+    def __init__(self, index: WordIndex):
+        super().__init__()
+        self.index = index
+
+    def learn(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self]
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+            new = list(words)
+        self.update(zip(new, self.index.find(new), strict=True))
 
 
 _KNOWN: dict = {}
 
 
-def _known(key: int, sent, code: str) -> dict[str, bytes]:
-    """The broadcast words with their packed ids; once per worker and broadcast."""
+def _known(key: int, sent) -> _Known:
+    """Once per worker and broadcast."""
     if _KNOWN.get("key") != key:
-        words, ids = sent.value
-        _KNOWN.update(key=key, ids={w: array(code, i).tobytes() for w, i in zip(words, ids, strict=True)})
-    return _KNOWN["ids"]
+        _KNOWN.update(key=key, words=_Known(sent.value))
+    return _KNOWN["words"]
 
 
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: str = "text",
-           broadcast_units: int = BROADCAST_UNITS) -> DataFrame:
+           broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``(id_col, ids)`` of every row: its token ids as little-endian unsigned 32-bit integers."""
     find_package(docs)
     spark = docs.sparkSession
     table = word_table(docs, tokenizer_path, text)
     # Ids travel packed: in two bytes each where the vocabulary allows.
     code, kind = ("H", "<u2") if len(_words(tokenizer_path).pieces()) <= 1 << 16 else ("I", "<u4")
-    sent = spark.sparkContext.broadcast(_frequent(table, broadcast_units))
+    words, whole = _frequent(table, broadcast_bytes)
+    sent = spark.sparkContext.broadcast(WordIndex(words, code))
     key = sent._jbroadcast.id() if sent._jbroadcast is not None else 0
+    del words
 
-    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, known = _words(tokenizer_path).split, _known(key, sent, code)
-        row = TaskContext.get().partitionId() << 33
+    def slices(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple]:
+        """``(batch, first row, last, words of the texts, their ids)`` for slices of the texts in column ``at``."""
+        split, known = _words(tokenizer_path).split, _known(key, sent)
         for b in batches:
-            keys, texts = b.column(0), b.column(1).to_pylist()
+            texts = b.column(at).to_pylist()
             for i, j in text_slices(texts):
-                packed, opened = [], []
-                for t in texts[i:j]:
-                    words = split(t)
-                    got = [known.get(w) for w in words]
-                    here = None
-                    if None in got:
-                        here, at = [], 0
-                        for p, g in enumerate(got):
-                            if g is None:
-                                here.append({"at": at, "word": words[p]})
-                                got[p] = b""
-                            else:
-                                at += len(g)
-                    packed.append(b"".join(got))
-                    opened.append(here)
-                n = j - i
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(row, row + n), pa.int64()), keys.slice(i, n), pa.array(packed, pa.binary()),
-                     pa.array(opened, pa.list_(pa.struct([("at", pa.int32()), ("word", pa.string())])))], names=["row", "id", "packed", "open"])
-                row += n
+                words = [split(t) for t in texts[i:j]]
+                known.learn(set().union(*words))
+                yield b, i, j, words, [list(map(known.__getitem__, w)) for w in words]
+
+    def four_bytes(packed: bytes) -> bytes:
+        return np.frombuffer(packed, kind).astype("<u4").tobytes()
+
+    def put_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, i, j, _, got in slices(batches, 1):
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array([four_bytes(b"".join(g)) for g in got], pa.binary())], names=["id", "ids"])
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, small = TaskContext.get().partitionId() << 33, zstandard.ZstdCompressor(1)
+        for b, i, j, words, found in slices(batches, 1):
+            packed, opened = [], []
+            for here, got in zip(words, found, strict=True):
+                places, at = [], 0
+                for p, g in enumerate(got):
+                    if g is None:
+                        places.append({"at": at, "word": here[p]})
+                        got[p] = b""
+                    else:
+                        at += len(g)
+                packed.append(small.compress(b"".join(got)))
+                opened.append(places or None)
+            n = j - i
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(row, row + n), pa.int64()), b.column(0).slice(i, n), pa.array(packed, pa.binary()),
+                 pa.array(opened, pa.list_(pa.struct([("at", pa.int32()), ("word", pa.string())])))], names=["row", "id", "packed", "open"])
+            row += n
 
     def splice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = zstandard.ZstdDecompressor()
         for b in batches:
             out = []
             for packed, filled in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                packed = whole.decompress(packed)
                 if filled:
                     parts, end = [], 0
                     for f in filled:  # in the order of their places
                         parts += [packed[end:f["at"]], array(code, f["ids"]).tobytes()]
                         end = f["at"]
                     packed = b"".join([*parts, packed[end:]])
-                out.append(np.frombuffer(packed, kind).astype("<u4").tobytes())
+                out.append(four_bytes(packed))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["id", "ids"])
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
     id_kind = source.schema["id"].dataType.simpleString()
+    if whole:
+        return source.mapInArrow(put_all, f"id {id_kind}, ids binary").withColumnRenamed("id", id_col)
     rows = staged(source.mapInArrow(put, f"row long, id {id_kind}, packed binary, open array<struct<at:int,word:string>>"), "bpe-rows")
     # ``nth`` orders the open words of a row that share a place.
     wanted = rows.select("row", F.posexplode("open").alias("nth", "o")).select("row", "nth", "o.at", "o.word")
@@ -231,8 +299,8 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: s
     found = wanted.join(table.select("word", "ids").hint("merge"), "word").groupBy("row").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("nth", "at", "ids"))), lambda x: F.struct(x["at"].alias("at"), x["ids"].alias("ids"))).alias("filled"))
     filled = rows.where("open IS NOT NULL").select("row", "id", "packed").join(found.hint("merge"), "row").select("id", "packed", "filled")
-    whole = rows.where("open IS NULL").select("id", "packed", F.lit(None).cast(found.schema["filled"].dataType).alias("filled"))
-    return filled.unionByName(whole).mapInArrow(splice, f"id {id_kind}, ids binary").withColumnRenamed("id", id_col)
+    closed = rows.where("open IS NULL").select("id", "packed", F.lit(None).cast(found.schema["filled"].dataType).alias("filled"))
+    return filled.unionByName(closed).mapInArrow(splice, f"id {id_kind}, ids binary").withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "text") -> DataFrame:
