@@ -18,7 +18,8 @@ from wideflow.llm import secrets
 from wideflow.llm.line_dedup import apply_bitmaps, keep_bitmaps
 from wideflow.llm.mixing import mix
 from wideflow.llm.queries import QUERIES
-from wideflow.llm.quality import gram_counts, judge, judge_by_counts, ratio_weights
+from wideflow.llm import quality
+from wideflow.llm.quality import bucket_count, gram_counts, judge, judge_against
 from wideflow.llm.toxicity import fit, kernel, normal_words, score, train, _table_of
 
 
@@ -56,61 +57,35 @@ def grams(text, buckets):
     return [(x - 2 ** 64 if x >= 2 ** 63 else x) % buckets for x in h + pairs]
 
 
-def test_quality_equals_a_plain_version(spark, docs):
+@pytest.mark.parametrize("packed,frequent", [(64_000_000, 1), (0, 1), (0, 300), (0, 131_072)])
+def test_quality_equals_a_plain_version(spark, docs, packed, frequent):
+    """With one array of weights, and by joins with none, some and all of them broadcast."""
     trusted = spark.createDataFrame([(i,) for i in range(0, 60, 2)], "doc_id long")
-    buckets = 512
-    got = judge(docs, ratio_weights(docs, trusted, buckets=buckets), margin=0.02, error=0.1).collect()
+    buckets = 5_000
+    got = judge(docs, gram_counts(docs, trusted, buckets), buckets, packed_bytes=packed, frequent=frequent, least=0.3).collect()
     raw, own = collections.Counter(), collections.Counter()
     for r in rows():
         raw.update(grams(r[1], buckets))
         if r[0] is not None and r[0] < 60 and r[0] % 2 == 0:
             own.update(grams(r[1], buckets))
-    p_raw = [(raw[b] + 1) / (sum(raw.values()) + buckets) for b in range(buckets)]
-    weight = [math.log((own[b] + buckets * p_raw[b]) / (sum(own.values()) + buckets) / p_raw[b]) for b in range(buckets)]
+    share = sum(own.values()) / sum(raw.values())
     want = []
     for r in rows():
         f, g = base(r[1]), grams(r[1], buckets)
-        s = sum(weight[x] for x in g) / max(1, len(g))
+        s = sum(round(2048 * math.log((own[x] + 4) / (share * raw[x] + 4))) for x in g) / max(1, len(g)) / 2048
         failed = f[0] < 20 or 100 * f[4] > 30 * f[0]
-        want.append((r[0], *f, failed, round(s, 9), not failed and s >= -(0.02 + 0.1 * math.sqrt(buckets / sum(own.values())))))
+        want.append((r[0], *f, failed, round(s, 9), not failed and s >= -0.3))
     assert bag((r.doc_id, int(r.n_words), r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, round(r.score, 9), r.kept) for r in got) == bag(want)
     assert len({w[-1] for w in want}) == 2
 
 
-def test_quality_without_trusted_or_rows(spark, docs, empty):
-    none = spark.createDataFrame([], "doc_id long")
-    assert {round(r.score, 9) for r in judge(docs, ratio_weights(docs, none)).collect()} == {0.0}
-    assert judge(empty, ratio_weights(empty, none)).collect() == []
-
-
-def exact_grams(text):
-    return grams(text, 2 ** 64)
-
-
-@pytest.mark.parametrize("frequent", [1, 300, 131_072])
-def test_quality_by_counts_equals_a_plain_version(spark, docs, frequent):
-    trusted = spark.createDataFrame([(i,) for i in range(0, 60, 2)], "doc_id long")
-    got = judge_by_counts(docs, gram_counts(docs, trusted), frequent=frequent).collect()
-    raw, own = collections.Counter(), collections.Counter()
-    for r in rows():
-        raw.update(exact_grams(r[1]))
-        if r[0] is not None and r[0] < 60 and r[0] % 2 == 0:
-            own.update(exact_grams(r[1]))
-    share = sum(own.values()) / sum(raw.values())
-    want = []
-    for r in rows():
-        f, g = base(r[1]), exact_grams(r[1])
-        s = sum(math.log((own[x] + 4) / (share * raw[x] + 4)) for x in g) / max(1, len(g))
-        failed = f[0] < 20 or 100 * f[4] > 30 * f[0]
-        want.append((r[0], *f, failed, round(s, 9), not failed and s >= -0.15))
-    assert bag((r.doc_id, int(r.n_words), r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, round(r.score, 9), r.kept) for r in got) == bag(want)
-
-
-def test_quality_by_counts_without_trusted_or_rows(spark, docs, empty):
+@pytest.mark.parametrize("packed", [0, 64_000_000])
+def test_quality_without_trusted_or_rows(spark, docs, empty, packed):
     none = spark.createDataFrame([], "doc_id long")
-    got = judge_by_counts(docs, gram_counts(docs, none))
-    assert {round(r.score, 9) for r in got.collect()} == {0.0} and got.count() == len(rows())
-    assert judge_by_counts(empty, gram_counts(empty, none)).collect() == []
+    got = judge(docs, gram_counts(docs, none, 1000), 1000, packed_bytes=packed)
+    assert {r.score for r in got.collect()} == {0.0} and got.count() == len(rows())
+    assert judge(empty, gram_counts(empty, none, 1000), 1000, packed_bytes=packed).collect() == []
+    assert judge_against(empty, none).collect() == []
     assert "Python" not in got._jdf.queryExecution().toString() and "Arrow" not in got._jdf.queryExecution().toString()
 
 
@@ -122,15 +97,13 @@ def test_quality_tells_labels_apart_at_every_size(spark, sf_dir):
     assert bad and sum(bad) <= 0.02 * len(bad) and sum(good) >= 0.98 * len(good)
 
 
-def test_quality_counts_every_distinct_gram(spark):
-    texts = [(i, " ".join(f"w{i * 40 + j}" for j in range(40))) for i in range(1_000)]
-    df = spark.createDataFrame(texts, "doc_id long, text string")
-    assert gram_counts(df, df.select("doc_id").limit(0)).count() == 1_000 * 79  # more than 16,384
-
-
-def test_quality_has_no_python_in_its_plan(spark, docs):
-    got = judge(docs, ratio_weights(docs, spark.createDataFrame([(2,)], "doc_id long")))
-    assert "Python" not in got._jdf.queryExecution().toString() and "Arrow" not in got._jdf.queryExecution().toString()
+def test_quality_buckets_grow_with_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LEAST_BUCKETS", 1 << 14)
+    df = spark.createDataFrame([(i, "x" * 100_000) for i in range(10)], "doc_id long, text string")
+    n = [bucket_count(d) for d in (df, df.unionByName(df).unionByName(df).unionByName(df))]
+    assert n[0] == 80_000 and n[1] == 160_000 and bucket_count(df.limit(0)) == 1 << 14
+    counts = gram_counts(df, df.select("doc_id").limit(0), n[0])
+    assert counts.count() == 80_000 and counts.agg({"raw": "sum"}).first()[0] == 10
 
 
 # --- mixing ------------------------------------------------------------------

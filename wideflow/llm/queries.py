@@ -18,7 +18,7 @@ from .line_dedup import apply_bitmaps, keep_bitmaps
 from .merkle import folded, leaf_digest, proof, prove
 from .mixing import mix
 from .packing import pack
-from .quality import gram_counts, judge_by_counts
+from .quality import judge_against
 from .secrets import BASE_RULES, scan, span_list
 from .token_counts import count_tokens
 from .toxicity import fit, score
@@ -41,7 +41,7 @@ def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return judge_by_counts(docs, gram_counts(docs, trusted(spark, sf_dir))).select(
+    return judge_against(docs, trusted(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
