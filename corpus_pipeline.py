@@ -11,7 +11,7 @@ from wideflow.llm.jaccard import similar_components
 from wideflow.llm.line_dedup import apply_bitmaps, keep_bitmaps
 from wideflow.llm.mixing import mix
 from wideflow.llm.packing import pack
-from wideflow.llm.quality import gram_counts, judge_by_counts
+from wideflow.llm.quality import judge_against
 from wideflow.llm.queries import trusted
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -19,7 +19,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a base rule or read unlike the trusted ones go."""
-    return judge_by_counts(docs, gram_counts(docs, trusted(spark, sf_dir))).where("kept").select(COLUMNS)
+    return judge_against(docs, trusted(spark, sf_dir)).where("kept").select(COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
