@@ -17,7 +17,7 @@ from data import SCHEMA, rows
 from wideflow.llm import vector_codes, word_table_bpe
 from wideflow.llm.merkle import folded, leaf_digest, proof, prove
 from wideflow.llm.vector_codes import Bounds, books_digest, compress, squared_to_all, with_label_errors
-from wideflow.llm.word_table_bpe import WordIndex, Words, decode, encode, word_table
+from wideflow.llm.word_table_bpe import WordIndex, Words, decode, encode, with_ids, word_table
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", " ", "It's WE'LL they'Re", "a  b\n\n c", "x" * 3000, "İstanbul ΑΣ ΑΣ. ẖ H̱ 각 각", "<|endoftext|>a<|startoftext|>", "<|ENDOFTEXT|> <|endoftext|",
@@ -37,10 +37,10 @@ def test_words_equal_the_library():
         assert [i for w in words.split(t) for i in words.ids(w)] == words.tok.encode(t, add_special_tokens=False).ids, t
 
 
-@pytest.mark.parametrize("size", [128_000_000, 3_000, 1])
+@pytest.mark.parametrize("size", [80_000_000, 3_000, 1])
 def test_ids_and_texts_equal_the_library(docs, size, monkeypatch):
-    """With all words broadcast, with some, and with none; with workers that remember few."""
-    monkeypatch.setattr(word_table_bpe, "REMEMBERED", 50)
+    """With all repeated words broadcast, with some, and with none; with few words at hand."""
+    monkeypatch.setattr(word_table_bpe, "AT_HAND", 50)
     tok = Words(PATH).tok
     want = collections.Counter()
     for r in docs.collect():
@@ -56,15 +56,16 @@ def test_each_word_is_in_the_table_once(docs, spark):
     want = collections.Counter(w for r in docs.collect() for w in words.split(r.text))
     got = word_table(docs, PATH).collect()
     assert len(got) == len(want) and {r.word: r.n for r in got} == want
-    assert all(r.ids == words.ids(r.word) for r in got)
+    assert all(array.array("H", bytes(r.ids)).tolist() == words.ids(r.word) for r in with_ids(word_table(docs, PATH), PATH, "H").collect())
     assert decode(encode(docs.limit(0), PATH), PATH).collect() == []
 
 
 def test_index_tells_words_with_equal_hashes_apart(monkeypatch):
     monkeypatch.setattr(word_table_bpe.xxhash, "xxh3_64_intdigest", lambda w: len(w) % 2)
-    words = ["a", "bb", "c", "dddd", "é", ""]
-    index = WordIndex(pa.table({"word": words, "ids": pa.array([[i] * i for i in range(6)], pa.list_(pa.int32()))}), "H")
-    assert index.find([*words, "x", "yy"]) == [*(array.array("H", [i] * i).tobytes() for i in range(6)), None, None]
+    words, ids = ["a", "bb", "c", "dddd", "é", ""], [bytes([i] * i) for i in range(6)]
+    index = WordIndex(pa.table({"word": words, "n": [1, 5, 3, 2, 9, 4], "ids": ids, "hash": [len(w) % 2 for w in words]}), 2)
+    assert index.find([*words, "x", "yy"]) == [*ids, None, None] and index.find([]) == []
+    assert {index.at(i)[0].decode() for i in index.often} == {"é", "bb"}
 
 
 def test_decoding_leaves_out_unknown_ids_and_keeps_columns(spark):

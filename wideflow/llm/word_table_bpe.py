@@ -1,13 +1,14 @@
 """BPE encoding and decoding of whole texts through a table of distinct words.
 
 For tokenizers that never merge across the words of their pre-tokenizer. A first scan splits texts into words and
-counts them; each distinct word is encoded once, into a written table ``(word, n, ids)``. A second scan splits again
-and puts ids in place of words. The most frequent words, as many as ``BROADCAST_BYTES`` hold, are broadcast as a compact
-index with their ids. Where the index holds the whole table nothing else moves. Otherwise the other words
-leave their position open and travel as ``(row, position, word)`` to a join with the table, whose ids come back to the row
-and are spliced in by position; rows with open positions are shuffled as compressed ids, texts never. No word of the join is
-hot, as all that are more frequent fill the index. Decoding joins ids with the pieces of the vocabulary, which is broadcast
-as it is as small as the tokenizer's file, and joins the pieces as the library does.
+counts them in a written table ``(word, n)``. Each distinct word is encoded once: the most frequent words, as many as
+``BROADCAST_BYTES`` hold, into a compact index that is broadcast. A second scan splits again and puts ids in place of words.
+Where the index holds every word that occurs twice, a word that it lacks occurs nowhere else and is encoded where it
+stands. Otherwise the words that it lacks leave their position open and travel as ``(row, position, word)`` to a join
+with the rest of the table, encoded; their ids come back to the row and are spliced in by position. Rows with open positions are
+shuffled as compressed ids, texts never. No word of the join is hot, as all that are more frequent fill the index. Decoding joins
+ids with the pieces of the vocabulary, which is broadcast as it is as small as the tokenizer's file, and joins the
+pieces as the library does.
 
 Defined cases: a null or empty text, or one of white space alone, has no tokens and decodes to an empty text; null
 ids and repeated rows give a row each; added strings of the tokenizer inside a text become their own ids, as the
@@ -31,15 +32,15 @@ import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import find_package, staged, text_slices
 
-#: Of the broadcast index: the words' UTF-8 bytes, two for each id and 16 for each word.
-BROADCAST_BYTES = 128_000_000
-#: Distinct words that a task counts before it hands them on, and words that a worker remembers.
-COUNTED, REMEMBERED = 300_000, 150_000
+#: Of the broadcast index, as a bound: three for each UTF-8 byte of a word (a byte has one id at most) and 16 for the word.
+BROADCAST_BYTES = 80_000_000
+#: Distinct words that a task counts before it hands them on, and words whose ids a worker holds at hand.
+COUNTED, AT_HAND = 300_000, 50_000
 
 #: The normalizer and word pattern whose quick form is known here.
 QUICK_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -85,7 +86,7 @@ class Words:
         return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{space}{letters}{numbers}]+")
 
     def _of_segment(self, text: str) -> list[str]:
-        if self.quick is not None and not self.outside.search(text):
+        if self.quick is not None and (text.isascii() or not self.outside.search(text)):
             return self.quick.findall(text.lower())
         normal = self.tok.normalizer.normalize_str(text) if self.tok.normalizer else text
         return [normal[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(normal)]
@@ -93,7 +94,7 @@ class Words:
     def split(self, text: str | None) -> list[str]:
         if not text:
             return []
-        if self.at_added is None or not self.at_added.search(text):
+        if not any(map(text.__contains__, self.added)):
             return self._of_segment(text)
         out = []
         for i, part in enumerate(self.at_added.split(text)):
@@ -125,7 +126,7 @@ def _words(path: str) -> Words:
 
 
 def word_table(docs: DataFrame, tokenizer_path: str, text: str = "text") -> DataFrame:
-    """``(word, n, ids)``: each distinct word of all texts, its occurrences and its ids, encoded once."""
+    """``(word, n)``: each distinct word of all texts and its occurrences."""
     find_package(docs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,86 +142,89 @@ def word_table(docs: DataFrame, tokenizer_path: str, text: str = "text") -> Data
                     n.clear()
         yield hand_on()
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counted = docs.select(F.col(text).alias("t")).mapInArrow(count, "word string, n long")
+    return staged(counted.groupBy("word").agg(F.sum("n").alias("n")), "bpe-words")
+
+
+def with_ids(words: DataFrame, tokenizer_path: str, code: str) -> DataFrame:
+    """``(word, n, ids, hash)``: the packed ids and a hash of each word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _words(tokenizer_path).ids
         for b in batches:
-            got = pa.array([ids(w) for w in b.column(0).to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), got], names=["word", "n", "ids"])
+            names = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([array(code, ids(w)).tobytes() for w in names], pa.binary()),
+                 pa.array(np.fromiter(map(xxhash.xxh3_64_intdigest, names), np.uint64, len(names)).view(np.int64))], names=["word", "n", "ids", "hash"])
+    return words.select("word", "n").mapInArrow(run, "word string, n long, ids binary, hash long")
 
-    counted = docs.select(F.col(text).alias("t")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return staged(counted.mapInArrow(encode, "word string, n long, ids array<int>"), "bpe-words")
 
+def _class() -> Column:
+    """Words are taken by classes of about equal frequency, 16 to a doubling: a thousand classes at most."""
+    return F.floor(F.log2("n") * 16)
 
-def _frequent(table: DataFrame, most: int) -> tuple[pa.Table, bool]:
-    """The most frequent words with their ids, ``most`` bytes together at the utmost; whether they are all."""
-    # Words are taken by classes of about equal frequency, 16 to a doubling: a thousand classes at most.
-    size = F.octet_length("word") + 2 * F.size("ids") + 16
-    classed = table.withColumn("class", F.floor(F.log2("n") * 16))
-    least, left, whole = 1 << 20, most, True
-    for r in sorted(classed.groupBy("class").agg(F.sum(size).alias("size")).collect(), reverse=True):
+
+def _least_class(table: DataFrame, most: int) -> int:
+    """The least class so that its words and all of higher ones take ``most`` bytes at the utmost."""
+    size = F.sum(3 * F.octet_length("word") + 16)
+    left, least = most, 1 << 20
+    for r in sorted(table.groupBy(_class().alias("class")).agg(size.alias("size")).collect(), reverse=True):
         left -= r["size"]
         if left < 0:
-            whole = False
             break
         least = r["class"]
-    return classed.where(F.col("class") >= least).select("word", "ids").toArrow(), whole
+    return least
 
 
 class WordIndex:
-    """Ids of words, packed: sorted hashes, and words and ids in one buffer each."""
+    """Ids of words, packed: sorted hashes, words and ids in one buffer each, and the places of the most frequent words."""
 
-    def __init__(self, words: pa.Table, code: str):
-        names, ids = (words[c].combine_chunks() for c in ("word", "ids"))
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, names.to_pylist()), np.uint64, len(names))
+    def __init__(self, words: pa.Table, at_hand: int):
+        hashes = words["hash"].to_numpy().view(np.uint64)
         order = np.argsort(hashes, kind="stable")
         self.hashes, take = hashes[order], pa.array(order)
-        self.names, self.name_ends = self._joined(names.cast(pa.large_binary()).take(take))
-        ids = ids.cast(pa.large_list(pa.int32())).take(take)
-        self.width = array(code).itemsize
-        self.ids = ids.flatten().to_numpy().astype(code).tobytes()
-        self.id_ends = ids.offsets.to_numpy() * self.width
+        self.names, self.name_ends = self._joined(words["word"], take)
+        self.ids, self.id_ends = self._joined(words["ids"], take)
+        n = words["n"].to_numpy()[order]
+        self.often = np.argpartition(-n, at_hand)[:at_hand] if at_hand < len(n) else np.arange(len(n))
 
     @staticmethod
-    def _joined(column: pa.LargeBinaryArray) -> tuple[bytes, np.ndarray]:
-        return b"".join(column.to_pylist()), np.concatenate([[0], np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    def _joined(column: pa.ChunkedArray, take: pa.Array) -> tuple[bytes, np.ndarray]:
+        column = column.cast(pa.large_binary()).combine_chunks().take(take)
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        data = column.buffers()[2]
+        return data.to_pybytes()[:ends[-1]] if data is not None else b"", ends
+
+    def at(self, i: int) -> tuple[bytes, bytes]:
+        """A word and its ids."""
+        return self.names[self.name_ends[i]:self.name_ends[i + 1]], self.ids[self.id_ends[i]:self.id_ends[i + 1]]
 
     def find(self, words: list[str]) -> list[bytes | None]:
         """The packed ids of each word; None where the index does not hold it."""
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-        out: list[bytes | None] = []
-        for w, h, i in zip(words, hashes.tolist(), np.searchsorted(self.hashes, hashes).tolist(), strict=True):
-            got, name = None, w.encode()
-            while got is None and i < len(self.hashes) and self.hashes[i] == h:  # other words may share a hash
-                if self.names[self.name_ends[i]:self.name_ends[i + 1]] == name:
-                    got = self.ids[self.id_ends[i]:self.id_ends[i + 1]]
+        first = np.searchsorted(self.hashes, hashes)
+        held = np.append(self.hashes, 0)[first] == hashes
+        held &= first < len(self.hashes)
+        out: list[bytes | None] = [None] * len(words)
+        for k in np.flatnonzero(held).tolist():
+            i, name = int(first[k]), words[k].encode()
+            while i < len(self.hashes) and self.hashes[i] == hashes[k]:  # other words may share a hash
+                word, ids = self.at(i)
+                if word == name:
+                    out[k] = ids
+                    break
                 i += 1
-            out.append(got)
         return out
 
 
-class _Known(dict):
-    """Words that a worker met lately with what the index says of them."""
-
-    def __init__(self, index: WordIndex):
-        super().__init__()
-        self.index = index
-
-    def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
-            new = list(words)
-        self.update(zip(new, self.index.find(new), strict=True))
-
-
 _KNOWN: dict = {}
 
 
-def _known(key: int, sent) -> _Known:
-    """Once per worker and broadcast."""
+def _known(key: int, sent) -> tuple[dict[str, bytes], WordIndex]:
+    """The most frequent words with their ids, and the index; once per worker and broadcast."""
     if _KNOWN.get("key") != key:
-        _KNOWN.update(key=key, words=_Known(sent.value))
-    return _KNOWN["words"]
+        index = sent.value
+        _KNOWN.update(key=key, words={w.decode(): ids for w, ids in map(index.at, index.often.tolist())}, index=index)
+    return _KNOWN["words"], _KNOWN["index"]
 
 
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: str = "text",
@@ -231,31 +235,40 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: s
     table = word_table(docs, tokenizer_path, text)
     # Ids travel packed: in two bytes each where the vocabulary allows.
     code, kind = ("H", "<u2") if len(_words(tokenizer_path).pieces()) <= 1 << 16 else ("I", "<u4")
-    words, whole = _frequent(table, broadcast_bytes)
-    sent = spark.sparkContext.broadcast(WordIndex(words, code))
+    least = _least_class(table, broadcast_bytes)
+    whole = least <= 16  # log2(2) * 16: all words that occur twice
+    least = max(least, 16) if whole else least
+    kept = with_ids(table.where(_class() >= least), tokenizer_path, code)
+    sent = spark.sparkContext.broadcast(WordIndex(kept.toArrow(), AT_HAND))
     key = sent._jbroadcast.id() if sent._jbroadcast is not None else 0
-    del words
 
-    def slices(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple]:
-        """``(batch, first row, last, words of the texts, their ids)`` for slices of the texts in column ``at``."""
-        split, known = _words(tokenizer_path).split, _known(key, sent)
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """``(batch, first row, last, words of the texts, their ids)`` for slices of the texts in the second column."""
+        words_of, (at_hand, index) = _words(tokenizer_path), _known(key, sent)
         for b in batches:
-            texts = b.column(at).to_pylist()
+            texts = b.column(1).to_pylist()
             for i, j in text_slices(texts):
-                words = [split(t) for t in texts[i:j]]
-                known.learn(set().union(*words))
-                yield b, i, j, words, [list(map(known.__getitem__, w)) for w in words]
+                words = [words_of.split(t) for t in texts[i:j]]
+                rare = list(set().union(*words).difference(at_hand))
+                found = index.find(rare)
+                if whole:  # the only place of each
+                    found = [array(code, words_of.ids(w)).tobytes() if f is None else f for w, f in zip(rare, found, strict=True)]
+                at_hand.update(zip(rare, found, strict=True))
+                got = [list(map(at_hand.__getitem__, w)) for w in words]
+                for w in rare:
+                    del at_hand[w]
+                yield b, i, j, words, got
 
     def four_bytes(packed: bytes) -> bytes:
         return np.frombuffer(packed, kind).astype("<u4").tobytes()
 
     def put_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, i, j, _, got in slices(batches, 1):
+        for b, i, j, _, got in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array([four_bytes(b"".join(g)) for g in got], pa.binary())], names=["id", "ids"])
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, small = TaskContext.get().partitionId() << 33, zstandard.ZstdCompressor(1)
-        for b, i, j, words, found in slices(batches, 1):
+        for b, i, j, words, found in slices(batches):
             packed, opened = [], []
             for here, got in zip(words, found, strict=True):
                 places, at = [], 0
@@ -282,7 +295,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: s
                 if filled:
                     parts, end = [], 0
                     for f in filled:  # in the order of their places
-                        parts += [packed[end:f["at"]], array(code, f["ids"]).tobytes()]
+                        parts += [packed[end:f["at"]], f["ids"]]
                         end = f["at"]
                     packed = b"".join([*parts, packed[end:]])
                 out.append(four_bytes(packed))
@@ -295,8 +308,8 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: s
     rows = staged(source.mapInArrow(put, f"row long, id {id_kind}, packed binary, open array<struct<at:int,word:string>>"), "bpe-rows")
     # ``nth`` orders the open words of a row that share a place.
     wanted = rows.select("row", F.posexplode("open").alias("nth", "o")).select("row", "nth", "o.at", "o.word")
-    # Words with no id at all leave their places empty.
-    found = wanted.join(table.select("word", "ids").hint("merge"), "word").groupBy("row").agg(
+    rest = with_ids(table.where(_class() < least), tokenizer_path, code).select("word", "ids")
+    found = wanted.join(rest.hint("merge"), "word").groupBy("row").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("nth", "at", "ids"))), lambda x: F.struct(x["at"].alias("at"), x["ids"].alias("ids"))).alias("filled"))
     filled = rows.where("open IS NOT NULL").select("row", "id", "packed").join(found.hint("merge"), "row").select("id", "packed", "filled")
     closed = rows.where("open IS NULL").select("id", "packed", F.lit(None).cast(found.schema["filled"].dataType).alias("filled"))
