@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wideflow.llm.common import staged, table
+from wideflow.llm.common import SPACE_CHARS, staged, table, text_or_empty
 from wideflow.llm.jaccard import similar_components
 from wideflow.llm.line_dedup import apply_bitmaps, keep_bitmaps
 from wideflow.llm.mixing import mix
@@ -23,8 +23,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go from all documents but the first; ``n_chars`` follows the text."""
+    """Repeated lines go from all documents but the first, and with them a document that held no others; ``n_chars`` follows the text.
+
+    Documents that were without words before stay.
+    """
     kept = apply_bitmaps(docs, keep_bitmaps(docs))
+    kept = kept.where((F.col("_n_dropped") == 0) | (F.btrim(text_or_empty(), F.lit(SPACE_CHARS)) != ""))
     return kept.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
 
 
