@@ -326,18 +326,18 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", text: str
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pa.array(vocabulary.value, pa.large_string())
         for b in batches:
-            column, out = b.column(b.schema.get_field_index(ids)).to_pylist(), []
+            column = b.column(b.schema.get_field_index(ids))
             # Slices bound the text that is held at a time.
-            for i, j in text_slices(column, 1_000_000):
-                numbers = [np.frombuffer(x or b"", "<u4") for x in column[i:j]]
+            for i, j in text_slices([range(n or 0) for n in pc.binary_length(column).to_pylist()], 1_000_000):
+                numbers = [np.frombuffer(x or b"", "<u4") for x in column.slice(i, j - i).to_pylist()]
                 numbers = [x[x < len(pieces)] for x in numbers]
                 ends = np.cumsum([0, *map(len, numbers)])
                 found = pieces.take(pa.array(np.concatenate(numbers).astype(np.int64)))
                 if found.null_count:
                     there = np.concatenate([[0], np.cumsum(found.is_valid().to_numpy(zero_copy_only=False))])
                     ends, found = there[ends], found.drop_null()
-                out.append(pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), found), pa.scalar(" ", pa.large_string())).cast(pa.string()))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.chunked_array(out, pa.string()).combine_chunks()], names=[*b.schema.names, "_decoded"])
+                joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), found), pa.scalar(" ", pa.large_string())).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in b.columns), joined], names=[*b.schema.names, "_decoded"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     got = encoded.mapInArrow(join, f"{kinds}, _decoded string")
