@@ -7,7 +7,7 @@
     python -m wideflow qualifiers --table P --family F --out OUT
     python -m wideflow key-collisions --table T --by-name N --by-tax X --year 16 --out OUT
     python -m wideflow count-rows --table P
-    python -m wideflow compact --source P --target Q
+    python -m wideflow compact --source P [--target Q]
 
 Tables are catalogue names or Parquet paths. Lookups are either (row_key, qybm)
 tables or cell tables (``--lookup-cells``: family qyxx, qualifier qybm).
@@ -116,9 +116,9 @@ def build_parser() -> argparse.ArgumentParser:
     c = sub.add_parser("count-rows", help="number of row keys")
     c.add_argument("--table", required=True)
 
-    k = sub.add_parser("compact", help="rewrite the latest view into a new folder")
+    k = sub.add_parser("compact", help="rewrite the latest view, in place or into a new table")
     k.add_argument("--source", required=True)
-    k.add_argument("--target", required=True)
+    k.add_argument("--target")
     k.add_argument("--partitions", type=int)
     k.add_argument("--max-records-per-file", type=int)
     return p

@@ -239,6 +239,28 @@ def q_merge_insert_new_cells(spark, sf_dir):
     return M.merge_cells(target, _source(spark, sf_dir), RUN_TS, family="ev", start=KEY_FROM, stop=KEY_TO)
 
 
+@register("stream_detail_upsert", W(DK + f",\nd1 AS ({DK_LWW})", O.unpivot_sql("d1", O.DETAIL16, "fpmx", O.fill_m1)))
+def q_stream_detail_upsert(spark, sf_dir):
+    """Order lines arrive as a file stream, joined with the static tables of the line view; each micro-batch is loaded."""
+    lines = stream_sync.read_stream(spark, sf_dir, fx.read_table(spark, sf_dir, "lineitem").schema, file_glob="lineitem.parquet")
+    sql, tables = fx.FIXTURES["inv_detail"]
+    detail = spark.sql(sql, **{t: lines if t == "lineitem" else fx.read_table(spark, sf_dir, t) for t in tables})
+    path, ckpt = fresh_path(spark, "stream_detail"), fresh_path(spark, "stream_ckpt")
+    q = stream_sync.start_detail_load(detail, fx.code_by_tax(spark, sf_dir), path, ckpt, available_now=True)
+    q.awaitTermination()
+    return _cells_out(C.latest(S.read_cells(spark, path)))
+
+
+@register("compact_in_place", W(CELLS, O.latest_sql("cells")))
+def q_compact_in_place(spark, sf_dir):
+    """Cells stored in two batches (older and newer half), compacted into one batch of the same table."""
+    path = fresh_path(spark, "compact_in_place")
+    S.write_cells(_target(spark, sf_dir), path)
+    S.write_cells(fx.cells(spark, sf_dir).filter(F.col("ts") < C.ts_lit(SPLIT_TS)), path)
+    store.compact(spark, path)
+    return S.read_cells(spark, path)
+
+
 def _stored_sync(spark, sf_dir, **kw):
     tpath = fresh_path(spark, "sync_target")
     S.write_cells(_target(spark, sf_dir), tpath)

@@ -23,7 +23,8 @@ from ..operators.cells import latest, select_versions, stamp, unpivot
 from ..operators.merge import dedupe_rows, restamp
 from ..schema import DETAIL_COLS, DETAIL_FAMILY, HEADER_FAMILY, HEADER_STORED_COLS
 from ..session import fresh_path, remove_path
-from ..sinks.files import by_key_range, new_batch, read_cells, write_cells, write_family_batch
+from ..sinks import live
+from ..sinks.files import by_key_range, new_batch, read_cells, replace_batch, write_cells, write_family_batch
 from . import loads
 
 LAYOUTS = ("bulk", "put")
@@ -66,11 +67,11 @@ def _arranged(df: DataFrame, layout: str, num_partitions: int | None) -> DataFra
 
 
 def _load(tagged: DataFrame, to_cells, family: str, table_path: str, rejects_path: str | None, layout: str,
-          run_ts, seq, replace: bool, num_partitions, max_records_per_file) -> None:
+          run_ts, seq, replace: bool, num_partitions, max_records_per_file, batch: str | None) -> None:
     spark = tagged.sparkSession
     run_ts = run_ts or now_utc()
     seq = batch_seq() if seq is None else seq
-    batch = f"b{seq}"
+    batch = batch or f"b{seq}"
     kept = fresh_path(spark, "tagged") if rejects_path or layout == "bulk" else None
     if kept:
         tagged.write.parquet(kept)
@@ -87,24 +88,24 @@ def _load(tagged: DataFrame, to_cells, family: str, table_path: str, rejects_pat
 def load_header(header: DataFrame, by_name: DataFrame, by_tax: DataFrame, year: str,
                 table_path: str, rejects_path: str | None = None, layout: str = "bulk",
                 fill: str | None = None, mode: str = "compat", run_ts=None, seq=None, replace: bool = False,
-                num_partitions=None, max_records_per_file=None) -> None:
+                num_partitions=None, max_records_per_file=None, batch: str | None = None) -> None:
     """Header load. Bulk layout stores blanks as '-1', Put-style as 'null' (unless ``fill``).
 
-    A rerun with the same ``run_ts`` and ``seq`` and with ``replace`` overwrites its own
-    batch (cells and rejects) and leaves all others alone.
+    A rerun with the same ``run_ts``, ``seq`` and ``batch`` name (by default from ``seq``) and with ``replace``
+    replaces its own batch (cells and rejects) and leaves all others alone.
     """
     fill = fill or ("-1" if layout == "bulk" else "null")
     tagged = loads.tag_header(header, by_name, by_tax, year, mode)
     _load(tagged, lambda rows: header_cells(rows, fill), HEADER_FAMILY, table_path, rejects_path, layout,
-          run_ts, seq, replace, num_partitions, max_records_per_file)
+          run_ts, seq, replace, num_partitions, max_records_per_file, batch)
 
 
 def load_detail(detail: DataFrame, by_tax: DataFrame, table_path: str, rejects_path: str | None = None,
                 layout: str = "put", mode: str = "compat", run_ts=None, seq=None, replace: bool = False,
-                num_partitions=None, max_records_per_file=None) -> None:
+                num_partitions=None, max_records_per_file=None, batch: str | None = None) -> None:
     tagged = loads.tag_detail(detail, by_tax, mode)
     _load(tagged, detail_cells, DETAIL_FAMILY, table_path, rejects_path, layout, run_ts, seq, replace,
-          num_partitions, max_records_per_file)
+          num_partitions, max_records_per_file, batch)
 
 
 def sync_cells(source: DataFrame, target_path: str, run_ts=None, ts_policy: str = "write_time",
@@ -130,12 +131,18 @@ def sync_tables(spark: SparkSession, source_path: str, target_path: str, **kw) -
     sync_cells(read_cells(spark, source_path), target_path, **kw)
 
 
-def compact(spark: SparkSession, source_path: str, target_path: str, num_partitions=None,
+def compact(spark: SparkSession, source_path: str, target_path: str | None = None, num_partitions=None,
             max_records_per_file=None) -> None:
-    """Rewrite the latest version of every cell into a new folder, in bulk layout.
+    """Rewrite the latest version of every cell in bulk layout: into a new table, or in place.
 
-    Spark cannot overwrite a folder it is reading, so compaction always writes
-    a new folder; readers switch to it once the job has committed.
+    In place, the new batch and the end of the batches it was made of become visible at once; batches that were
+    published meanwhile stay as they are.
     """
-    write_cells(latest(by_key_range(read_cells(spark, source_path), num_partitions)), target_path,
-                mode="errorifexists", max_records_per_file=max_records_per_file)
+    if target_path in (None, source_path):
+        live.begin(spark, source_path)
+        read = live.live(spark, source_path)
+        cells = latest(by_key_range(read_cells(spark, source_path, read), num_partitions))
+        replace_batch(cells, source_path, new_batch(), set(read).__contains__, max_records_per_file)
+    else:
+        write_cells(latest(by_key_range(read_cells(spark, source_path), num_partitions)), target_path,
+                    mode="errorifexists", max_records_per_file=max_records_per_file)

@@ -1,10 +1,10 @@
 """Writers: cell-table batches (plain or key-sorted bulk layout), CSV, text, previews.
 
 A cell table is a Parquet folder partitioned by ``family`` and then by
-``batch``, one folder per write. Reads resolve versions
-(``operators.cells.latest``). Spark's file commit protocol makes each batch
-appear whole, failed tasks are retried without duplicates, and a write that
-is repeated under the same batch name replaces its own folder only.
+``batch``, one folder per write; a pointer file names the live ones
+(``sinks.live``), so a write becomes visible whole, when it is published, and a
+write that is repeated under the same batch name replaces its own batch only.
+Reads resolve versions (``operators.cells.latest``).
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import CELL_COLS, CELL_SCHEMA
+from . import live
 
 SORT_KEY = ["family", "row_key", "qualifier"]
 
@@ -35,15 +36,23 @@ def write_cells(cells: DataFrame, path: str, mode: str = "append",
     The family-partitioned writer sorts each task's rows by family anyway;
     sorting by (family, row_key, qualifier) instead costs little more and gives
     every file tight row-key min/max statistics for key-range pruning. With a
-    ``batch`` name the write replaces an earlier one of that name.
+    ``batch`` name the write replaces an earlier one of that name. With the mode
+    ``errorifexists`` the table must be new.
     """
-    w = (cells.select(*CELL_COLS).withColumn("batch", F.lit(batch or new_batch()))
-         .sortWithinPartitions(*SORT_KEY).write.partitionBy("family", "batch"))
-    if batch:
-        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        w = w.mode(mode)
+    spark = cells.sparkSession
+    if mode == "errorifexists" and live.live(spark, path) is not None:
+        raise FileExistsError(path)
+    replace_batch(cells, path, batch or new_batch(), lambda f: batch is not None and live.batch_of(f) == batch, max_records_per_file)
+
+
+def replace_batch(cells: DataFrame, path: str, batch: str, gone, max_records_per_file: int | None = None) -> None:
+    """Write a batch of any families and publish it in place of the live folders that are ``gone``."""
+    spark, own = cells.sparkSession, live.attempt(batch)
+    live.begin(spark, path)
+    w = (cells.select(*CELL_COLS).withColumn("batch", F.lit(own))
+         .sortWithinPartitions(*SORT_KEY).write.partitionBy("family", "batch").mode("append"))
     _capped(w, max_records_per_file).parquet(path)
+    live.publish(spark, path, own, gone)
 
 
 def write_family_batch(cells: DataFrame, path: str, family: str, batch: str, replace: bool = False,
@@ -52,10 +61,16 @@ def write_family_batch(cells: DataFrame, path: str, family: str, batch: str, rep
 
     They go straight to the batch's folder, so the writer adds no sort of its own.
     """
-    w = cells.select(*[c for c in CELL_COLS if c != "family"]).write.mode("overwrite" if replace else "errorifexists")
-    if replace:
-        w = w.option("partitionOverwriteMode", "static")
-    _capped(w, max_records_per_file).parquet(f"{path}/family={family}/batch={batch}")
+    spark, own = cells.sparkSession, live.attempt(batch)
+
+    def earlier(folder: str) -> bool:
+        return folder.startswith(f"family={family}/") and live.batch_of(folder) == batch
+    live.begin(spark, path)
+    if not replace and any(map(earlier, live.live(spark, path))):
+        raise FileExistsError(f"{path}: batch {batch} of family {family}")
+    w = cells.select(*[c for c in CELL_COLS if c != "family"]).write
+    _capped(w, max_records_per_file).parquet(f"{path}/family={family}/batch={own}")
+    live.publish(spark, path, own, earlier)
 
 
 def by_key_range(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -75,9 +90,14 @@ def write_cells_sorted(cells: DataFrame, path: str, mode: str = "append",
     write_cells(by_key_range(cells, num_partitions), path, mode, max_records_per_file)
 
 
-def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    """All stored versions; family is a partition column (pruned by family filters)."""
-    return spark.read.schema(CELL_SCHEMA).parquet(path).select(*CELL_COLS)
+def read_cells(spark: SparkSession, path: str, folders: list[str] | None = None) -> DataFrame:
+    """All stored versions of the live batches (or of the given ones); family is a partition column (pruned by family filters)."""
+    folders = live.live(spark, path) if folders is None else folders
+    if folders == []:
+        return spark.createDataFrame([], CELL_SCHEMA)
+    reader = spark.read.schema(CELL_SCHEMA)
+    found = reader.parquet(path) if folders is None else reader.option("basePath", path).parquet(*[f"{path}/{f}" for f in folders])
+    return found.select(*CELL_COLS)
 
 
 # CSV: '' and NULL are told apart only with explicit markers.

@@ -6,10 +6,12 @@ load (clean -> resolve codes -> key -> cells -> append to the cell table).
 (broadcast or shuffle lookups, staged keys) is reused unchanged.
 
 Delivery: an epoch's time stamp is recorded beside the stream's checkpoint
-before its first write, and cells and rejects go to folders named by the
-epoch, which a replay overwrites. So a micro-batch that is replayed after a
+before its first write, and cells and rejects go to a batch named by the
+stream's id and the epoch, which a replay replaces. So a micro-batch that is replayed after a
 failure leaves the same cells, stamps and rejects as one that ran once (unless
-the lookup tables changed in between). The checkpoint tracks consumed files.
+the lookup tables changed in between), and no stream touches a batch of another
+one or of a load. The id is the one that Spark keeps in the checkpoint: it stays over
+restarts, and a new checkpoint is a new stream. The checkpoint tracks consumed files.
 """
 
 from __future__ import annotations
@@ -50,9 +52,22 @@ def epoch_stamp(spark: SparkSession, checkpoint: str, epoch_id: int) -> dt.datet
     return stamp
 
 
-def _start(stream: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,
-           available_now: bool, processing_time: str | None) -> StreamingQuery:
-    w = stream.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint)
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that owns a checkpoint, as Spark recorded it when the stream first started."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"].replace("-", "")
+
+
+def epoch_batch(owner: str, epoch_id: int) -> tuple[str, int]:
+    """Name and sequence number of an epoch's batch: both tell streams apart, and epochs of one stream keep their order."""
+    return f"s{owner}e{epoch_id}", (int(owner[:7], 16) << 32) + epoch_id
+
+
+def _start(stream: DataFrame, load: Callable[..., None], checkpoint: str, available_now: bool, processing_time: str | None) -> StreamingQuery:
+    """Runs ``load(rows, run_ts=, seq=, batch=, replace=)`` for every micro-batch."""
+    def batch(df: DataFrame, epoch_id: int) -> None:
+        name, seq = epoch_batch(stream_id(df.sparkSession, checkpoint), epoch_id)
+        load(df, run_ts=epoch_stamp(df.sparkSession, checkpoint, epoch_id), seq=seq, batch=name, replace=True)
+    w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
@@ -65,18 +80,15 @@ def start_header_load(stream: DataFrame, by_name: DataFrame, by_tax: DataFrame,
                       layout: str = "put", mode: str = "compat", available_now: bool = False,
                       processing_time: str | None = None) -> StreamingQuery:
     """Stream invoice headers into a cell table (Put-style by default)."""
-    def batch(df: DataFrame, epoch_id: int) -> None:
-        store.load_header(df, by_name, by_tax, year, table_path, rejects_path, layout=layout,
-                          mode=mode, seq=epoch_id, replace=True,
-                          run_ts=epoch_stamp(df.sparkSession, checkpoint, epoch_id))
-    return _start(stream, batch, checkpoint, available_now, processing_time)
+    def load(df: DataFrame, **batch) -> None:
+        store.load_header(df, by_name, by_tax, year, table_path, rejects_path, layout=layout, mode=mode, **batch)
+    return _start(stream, load, checkpoint, available_now, processing_time)
 
 
 def start_detail_load(stream: DataFrame, by_tax: DataFrame, table_path: str, checkpoint: str,
                       rejects_path: str | None = None, layout: str = "put", mode: str = "compat",
                       available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
     """Stream invoice lines into a cell table."""
-    def batch(df: DataFrame, epoch_id: int) -> None:
-        store.load_detail(df, by_tax, table_path, rejects_path, layout=layout, mode=mode, seq=epoch_id,
-                          replace=True, run_ts=epoch_stamp(df.sparkSession, checkpoint, epoch_id))
-    return _start(stream, batch, checkpoint, available_now, processing_time)
+    def load(df: DataFrame, **batch) -> None:
+        store.load_detail(df, by_tax, table_path, rejects_path, layout=layout, mode=mode, **batch)
+    return _start(stream, load, checkpoint, available_now, processing_time)
