@@ -148,3 +148,34 @@ def test_epochs_of_a_stream_keep_their_order():
     a, b = "f" * 32, "0" * 31 + "1"
     assert sync.epoch_batch(a, 3)[1] < sync.epoch_batch(a, 4)[1] < 1 << 63
     assert len({sync.epoch_batch(o, e) for o in (a, b) for e in range(3)}) == 6
+
+
+def test_hot_key_leaves_each_task_as_one_row(spark):
+    from wideflow.operators import merge as M
+    rows = spark.range(9_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN concat('k', id % 500) ELSE NULL END AS row_key",
+                                         "cast(id * 7919 % 9001 AS string) AS v", "id AS other").repartition(6)
+    settled = M.settle_hot_keys(rows, "row_key", ["v"], min_rows=1_000)
+    count = {r.row_key: r.n for r in settled.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert count.pop("hot") == 1 and count.pop(None) == 1 and sum(count.values()) == 3_000  # a null key is a key
+    assert sorted(M.dedupe_rows(settled, "row_key", ["v"]).collect(), key=str) == sorted(M.dedupe_rows(rows, "row_key", ["v"]).collect(), key=str)
+    tree = S.by_key_range(settled, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in tree and tree.index("rangepartitioning") < tree.index("WindowGroupLimit") and "Partial" in tree
+    assert M.settle_hot_keys(rows, "row_key", ["v"]) is rows and M.settle_hot_keys(rows, "row_key", ["v"], min_rows=5_000).count() == 9_000
+
+
+@pytest.mark.parametrize("layout", ["put", "bulk"])
+def test_load_with_a_hot_key(spark, layout):
+    header = fx.inv_header(spark, SF_SMALL)
+    one = header.where("NOT contains(xfmc, '?') AND length(fphm) = 8").limit(1)
+    rows = header.unionByName(one.crossJoin(spark.range(1_000)).withColumn("je", F.col("id").cast("string")).drop("id")).repartition(4)
+    args = (fx.code_by_name(spark, SF_SMALL), fx.code_by_tax(spark, SF_SMALL), "16")
+    found = []
+    for least in ("100000", "100"):
+        spark.conf.set("wideflow.hotKeyMinRows", least)
+        try:
+            path = fresh_path(spark, "t-hot")
+            store.load_header(rows, *args, path, layout=layout, num_partitions=3, run_ts=T, seq=1)
+        finally:
+            spark.conf.unset("wideflow.hotKeyMinRows")
+        found.append(sorted(S.read_cells(spark, path).collect(), key=str))
+    assert found[0] == found[1]

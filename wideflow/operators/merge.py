@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..schema import CELL_COLS
 from .cells import latest, scan, ts_lit
+from .lookup import DEFAULT_HOT_KEY_MIN_ROWS
 
 TS_POLICIES = ("write_time", "source")
 
@@ -33,6 +34,29 @@ def dedupe_rows(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
 
 
+def settle_hot_keys(df: DataFrame, key: str, order_cols: list[str], min_rows: int | None = None) -> DataFrame:
+    """``df`` with only the winners (``dedupe_rows``) of its hot keys; all rows of other keys stay.
+
+    For input that is exchanged by ranges of the key (or into a given number of tasks) before it is
+    de-duplicated: there a hot key's rows would all travel to one task. A key is hot when it holds
+    more rows than a fair share per shuffle partition, and at least ``wideflow.hotKeyMinRows``; hot keys are therefore
+    fewer than the partitions. Finding them shuffles one count per key and task, and the hot rows leave each task
+    as one row per key. ``df`` is read up to three times and should lie on disk.
+    """
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    least = min_rows if min_rows is not None else int(spark.conf.get("wideflow.hotKeyMinRows", None) or DEFAULT_HOT_KEY_MIN_ROWS)
+    total = df.count()
+    if total <= least:
+        return df
+    often = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max(total // parts, least, 1)).select(key)
+    hot = F.broadcast(spark.createDataFrame(often.collect(), often.schema))
+    if hot.isEmpty():
+        return df
+    same = df[key].eqNullSafe(hot[key])
+    return df.join(hot, same, "left_anti").unionByName(dedupe_rows(df.join(hot, same, "left_semi"), key, order_cols))
+
+
 def key_collisions(keyed: DataFrame, identity: list[str], key: str = "row_key") -> DataFrame:
     """Keys that more than one distinct ``identity`` shares: (key, n rows, n_invoices)."""
     return (keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n"),

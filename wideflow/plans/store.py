@@ -20,7 +20,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cells import latest, select_versions, stamp, unpivot
-from ..operators.merge import dedupe_rows, restamp
+from ..operators.merge import dedupe_rows, restamp, settle_hot_keys
 from ..schema import DETAIL_COLS, DETAIL_FAMILY, HEADER_FAMILY, HEADER_STORED_COLS
 from ..session import fresh_path, remove_path
 from ..sinks import live
@@ -66,17 +66,19 @@ def _arranged(df: DataFrame, layout: str, num_partitions: int | None) -> DataFra
     return df.repartition(num_partitions, "row_key") if num_partitions else df
 
 
-def _load(tagged: DataFrame, to_cells, family: str, table_path: str, rejects_path: str | None, layout: str,
+def _load(tagged: DataFrame, to_cells, order_cols: list[str], family: str, table_path: str, rejects_path: str | None, layout: str,
           run_ts, seq, replace: bool, num_partitions, max_records_per_file, batch: str | None) -> None:
     spark = tagged.sparkSession
     run_ts = run_ts or now_utc()
     seq = batch_seq() if seq is None else seq
     batch = batch or f"b{seq}"
-    kept = fresh_path(spark, "tagged") if rejects_path or layout == "bulk" else None
+    exchanged = layout == "bulk" or bool(num_partitions)  # before the rows are de-duplicated
+    kept = fresh_path(spark, "tagged") if rejects_path or exchanged else None
     if kept:
         tagged.write.parquet(kept)
         tagged = spark.read.schema(tagged.schema).parquet(kept)
-    rows = _arranged(loads.accepted(tagged), layout, num_partitions)
+    accepted = loads.accepted(tagged)
+    rows = _arranged(settle_hot_keys(accepted, "row_key", order_cols) if exchanged else accepted, layout, num_partitions)
     write_family_batch(stamp(to_cells(rows), run_ts, seq), table_path, family, batch, replace, max_records_per_file)
     if rejects_path:
         (loads.rejected(tagged).write.mode("overwrite" if replace else "errorifexists")
@@ -96,7 +98,7 @@ def load_header(header: DataFrame, by_name: DataFrame, by_tax: DataFrame, year:
     """
     fill = fill or ("-1" if layout == "bulk" else "null")
     tagged = loads.tag_header(header, by_name, by_tax, year, mode)
-    _load(tagged, lambda rows: header_cells(rows, fill), HEADER_FAMILY, table_path, rejects_path, layout,
+    _load(tagged, lambda rows: header_cells(rows, fill), HEADER_STORED_COLS, HEADER_FAMILY, table_path, rejects_path, layout,
           run_ts, seq, replace, num_partitions, max_records_per_file, batch)
 
 
@@ -104,7 +106,7 @@ def load_detail(detail: DataFrame, by_tax: DataFrame, table_path: str, rejects_p
                 layout: str = "put", mode: str = "compat", run_ts=None, seq=None, replace: bool = False,
                 num_partitions=None, max_records_per_file=None, batch: str | None = None) -> None:
     tagged = loads.tag_detail(detail, by_tax, mode)
-    _load(tagged, detail_cells, DETAIL_FAMILY, table_path, rejects_path, layout, run_ts, seq, replace,
+    _load(tagged, detail_cells, DETAIL_COLS, DETAIL_FAMILY, table_path, rejects_path, layout, run_ts, seq, replace,
           num_partitions, max_records_per_file, batch)
 
 
