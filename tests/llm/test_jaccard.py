@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import wideflow.llm.jaccard as jaccard
@@ -107,3 +108,13 @@ def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3), (500, 501), (501, 500)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 160)}, 500: 500, 501: 500}
+
+
+def test_long_words_that_collide_modulo_powers_of_two_differ():
+    """Thue-Morse words have equal polynomial hashes modulo 2**64 whatever the base."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    b = a.translate(str.maketrans("ab", "ba"))
+    x, y = shingle_sets(pa.array([f"{a} one two three four", f"{b} one two three four"]), 4)
+    assert len(np.intersect1d(x, y)) == 1 and len(x) == len(y) == 2
+    x, y = shingle_sets(pa.array([f"{a} one two three four", f"{a.upper()}  one two three four"]), 4)
+    assert (x == y).all()
