@@ -40,7 +40,9 @@ from .common import find_package, staged, text_slices
 #: Of the broadcast index, as a bound: three for each UTF-8 byte of a word (a byte has one id at most) and 16 for the word.
 BROADCAST_BYTES = 80_000_000
 #: Distinct words that a task counts before it hands them on, and words whose ids a worker holds at hand.
-COUNTED, AT_HAND = 300_000, 50_000
+COUNTED, AT_HAND = 100_000, 50_000
+#: Characters of text that a task splits and encodes at a time.
+SLICE_CHARS = 400_000
 
 #: The normalizer and word pattern whose quick form is known here.
 QUICK_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -247,7 +249,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: s
         words_of, (at_hand, index) = _words(tokenizer_path), _known(key, sent)
         for b in batches:
             texts = b.column(1).to_pylist()
-            for i, j in text_slices(texts):
+            for i, j in text_slices(texts, SLICE_CHARS):
                 words = [words_of.split(t) for t in texts[i:j]]
                 rare = list(set().union(*words).difference(at_hand))
                 found = index.find(rare)
