@@ -182,6 +182,32 @@ def test_neighbours_equal_all_pairs(spark, monkeypatch):
     assert nearest(df.limit(0), df.limit(0)).collect() == []
 
 
+def test_neighbours_are_exact_for_norms_of_any_size_and_many_ties(spark, monkeypatch):
+    import wideflow.llm.vantage as vantage
+    monkeypatch.setattr(vantage, "SHARD_ROWS", 200)
+    monkeypatch.setattr(vantage, "LEAF", 16)
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(500, 6))
+    v /= np.sqrt((v * v).sum(1))[:, None]
+    v[::7] *= 10.0 ** rng.integers(0, 13, len(v[::7]))[:, None]
+    v[3] *= 1e150
+    v[200:400, 1:] = rng.integers(-2, 3, (200, 5))
+    v[200:400, 0] = 1.0
+    v[420:440] = 0.0
+    v[420:440, 0] = [2.0 ** n for n in range(20)]  # ties of 200 different vectors with the queries among these
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(v)] + [(7, [1e200] * 6), (7, v[7].tolist())],
+                               "vec_id long, embedding array<double>").repartition(3)
+    got = nearest(df, df.where("vec_id % 20 = 0"), k=20).collect()
+    want = []
+    for q in range(0, 500, 20):
+        s = np.zeros(500)
+        for d in range(6):
+            s += v[q, d] * v[:, d]
+        best = sorted((-x, i) for i, x in enumerate(s) if i != q)[:20]
+        want += [(q, n + 1, i, -x) for n, (x, i) in enumerate(best)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+
+
 def test_larger_factor_prunes_more_and_one_is_exact():
     rng = np.random.default_rng(5)
     points, q = rng.normal(size=(2000, 3)), rng.normal(size=(40, 3))

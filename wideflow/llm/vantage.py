@@ -1,11 +1,15 @@
 """Nearest neighbours by inner product with vantage-point trees, one per shard.
 
-Vectors are spread over shards by their id; queries come in blocks, and each (shard,
-block) pair is one group. Within a shard the vectors get one more coordinate that makes all
-norms equal, so that the largest inner product is the smallest Euclidean distance, for
-which the triangle inequality holds. A subtree is left out when ``factor`` times its
+Vectors are spread over shards by the power of two of their largest component (their size class) and
+then by their id; queries come in blocks, and each (shard, block) pair is one group. Within a shard the vectors,
+divided by the greatest norm, get one more coordinate that makes all
+norms 1, so that the largest inner product with a query (of norm 1 too) is the smallest Euclidean distance, for
+which the triangle inequality holds. As norms of a shard differ by a factor of 2 * sqrt(dimensions) at most, that coordinate
+keeps the digits of small vectors beside huge ones. A subtree is left out when ``factor`` times its
 lower bound exceeds the distance of the k-th best so far: a factor of 1 is exact, a larger
-one prunes more. The winners' scores are then computed anew on the original vectors.
+one prunes more. The winners' scores are then computed anew on the original vectors. The search tells products apart that
+differ by 4e-12 of the product of the norms or more, and takes nearer ones as tied, smaller ids first; ``SPARE`` more points
+than needed are kept, so that the scores settle their order.
 
 Equal vectors of a shard become one point that keeps its k + 1 smallest ids, all
 that any query can need from them, so large groups of copies cost nothing.
@@ -13,7 +17,7 @@ that any query can need from them, so large groups of copies cost nothing.
 Defined cases: a null id, a null or empty vector, a null, NaN or infinite component and a zero
 vector take no part; vectors of other lengths than a query's are not its candidates;
 of rows that repeat an id the smallest vector counts, once; ties of score go to the smaller
-id; with fewer candidates than k all are returned; an empty table gives no rows; other columns are not read.
+id, however many there are; with fewer candidates than k all are returned; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import find_package
+from .common import find_package, staged
 
 #: Vectors in a shard and queries in a block, about; they bound a group's memory.
 SHARD_ROWS, BLOCK_ROWS = 20_000, 8_000
@@ -59,17 +63,27 @@ class VantageTree:
         return np.sqrt(np.maximum(d2, 0))
 
     def search(self, q: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-        """Distances and indexes of the k nearest found of each query, unordered; (inf, -1) where there are fewer."""
-        best = np.full((len(q), k), np.inf)
-        found = np.full((len(q), k), -1)
+        """Distances and indexes of the k nearest found of each query, unordered; (inf, -1) where there are fewer.
+
+        Equal distances go to the smaller index. Distance and index of a candidate are one integer: the squared distance
+        on a grid in its upper bits, the index in the lower ones.
+        """
+        width = np.sqrt((self.points * self.points).sum(1).max()) + np.sqrt((q * q).sum(1).max())  # no distance exceeds it
+        bits = len(self.points).bit_length()
+        unit = max(width * width, np.finfo(float).tiny) / 2.0 ** min(40, 61 - bits)
+        slack = 1e-7 * width
+        none = np.iinfo(np.int64).max
+        best = np.full((len(q), k), none)
         done = {}
 
+        def kth(at):
+            last = best[at].max(1)
+            return np.where(last == none, np.inf, np.sqrt(((last >> bits) + 1) * unit))
+
         def leaf(index, at):
             d = self._distance(q[at], index)
-            every = np.concatenate([best[at], d], 1)
-            names = np.concatenate([found[at], np.broadcast_to(index, d.shape)], 1)
-            top = np.argpartition(every, k - 1, axis=1)[:, :k]
-            best[at], found[at] = np.take_along_axis(every, top, 1), np.take_along_axis(names, top, 1)
+            keys = np.rint(d * d / unit).astype(np.int64) << bits | index[None, :]
+            best[at] = np.partition(np.concatenate([best[at], keys], 1), k - 1, axis=1)[:, :k]
 
         def seed(node, at):  # down to the nearest leaf, for a first k-th distance
             if not len(at):
@@ -94,14 +108,13 @@ class VantageTree:
                 return
             v, in_max, out_min, inner, outer = node
             d = self._distance(q[at], np.array([v]))[:, 0]
-            slack = 1e-9 * (1 + d)
-            visit(inner, at[factor * (d - in_max) <= best[at].max(1) + slack])
-            kth = best[at].max(1)
-            visit(outer, at[factor * (out_min - d) <= kth + slack])
+            visit(inner, at[factor * (d - in_max) <= kth(at) + slack])
+            visit(outer, at[factor * (out_min - d) <= kth(at) + slack])
 
         seed(self.root, np.arange(len(q)))
         visit(self.root, np.arange(len(q)))
-        return best, found
+        missing = best == none
+        return np.where(missing, np.inf, np.sqrt((best >> bits) * unit)), np.where(missing, -1, best & ((1 << bits) - 1))
 
 
 def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -125,20 +138,24 @@ def _once(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def _search_group(k: int, factor: float):
     empty = pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
 
-    def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if vectors.empty or queries.empty:
             return empty
         ids, v = _once(vectors)
         q_ids, q = _once(queries)
-        points, which = np.unique(v, axis=0, return_inverse=True)
-        which = which.ravel()
+        # Points in the order of their smallest ids, which settles ties.
+        _, first, which = np.unique(v, axis=0, return_index=True, return_inverse=True)
+        by_id = np.argsort(first)
+        points, which = v[first[by_id]], np.argsort(by_id)[which.ravel()]
         order = np.argsort(which, kind="stable")  # ids stay ascending within a point
         begin = np.r_[0, np.cumsum(np.bincount(which, minlength=len(points)))]
-        norms = (points * points).sum(1)
-        lifted = np.c_[points, np.sqrt(np.maximum(norms.max() - norms, 0))]
-        tree = VantageTree(lifted)
+        scaled = np.ldexp(points, -int(key[1]))
+        scaled /= np.sqrt((scaled * scaled).sum(1).max())
+        tree = VantageTree(np.c_[scaled, np.sqrt(np.maximum(1 - (scaled * scaled).sum(1), 0))])
+        unit = np.ldexp(q, -np.frexp(np.abs(q).max(1))[1][:, None])
+        unit /= np.sqrt((unit * unit).sum(1))[:, None]
         n = min(k + 1 + SPARE, len(points))
-        _, found = tree.search(np.c_[q, np.zeros(len(q))], n, factor)
+        _, found = tree.search(np.c_[unit, np.zeros(len(q))], n, factor)
         row, col = np.nonzero(found >= 0)
         point = found[row, col]
         score = exact_products(q[row], points[point])
@@ -166,14 +183,21 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
         return df.where(F.col(id_col).isNotNull() & F.coalesce(usable(v), F.lit(False))).select(
             F.col(id_col).cast("long").alias("id"), F.size(v).alias("dims"), v.alias("v"))
 
-    c, q = clean(vectors), clean(queries)
-    shards = -(-c.count() // SHARD_ROWS) or 1
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
+    c, q = clean(vectors).withColumn("class", F.floor(F.log2(largest)).cast("int")), clean(queries)
+    torn = staged(c.groupBy("dims", "id").agg(F.min("class").alias("a"), F.max("class").alias("b"))
+                  .where("a < b").select("dims", "id"), "ids-of-two-classes")
+    if not torn.isEmpty():  # such an id would come from several shards
+        one = c.join(torn, ["dims", "id"], "left_semi").groupBy("dims", "id").agg(F.min(F.struct("v", "class")).alias("s"))
+        c = c.join(torn, ["dims", "id"], "left_anti").unionByName(one.select("id", "dims", "s.v", "s.class"))
+    sizes = staged(c.groupBy("dims", "class").agg(F.ceil(F.count("*") / SHARD_ROWS).alias("shards")), "size-classes")
     blocks = -(-q.count() // BLOCK_ROWS) or 1
-    c = (c.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
+    c = (c.join(sizes, ["dims", "class"])
+         .withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards"))).drop("shards")
          .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-    q = (q.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"))
-         .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>"))))
-    keys = ["dims", "shard", "block"]
+    q = (q.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int")).join(sizes, "dims")
+         .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shards") - 1))).drop("shards"))
+    keys = ["dims", "class", "shard", "block"]
     got = (c.groupBy(keys).cogroup(q.groupBy(keys))
            .applyInPandas(_search_group(k, factor), "query_id long, vec_id long, score double"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
