@@ -6,6 +6,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 
 import pytest
@@ -240,6 +241,44 @@ def test_secrets_equal_a_plain_version(spark):
     assert {"private_key", "code_host", "login_url"} <= kinds
 
 
+#: The formats beside the base kinds, written out once more.
+FORMATS = {"private_key": "-----BEGIN ([A-Z0-9]+ ){0,3}PRIVATE KEY-----", "code_host": "gh[opsur]_[A-Za-z0-9]{36,}",
+           "chat": "xox[abprs]-[A-Za-z0-9-]{10,}", "web_token": r"eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}", "maps": r"AIza[\w-]{35}",
+           "payment": "sk_live_[A-Za-z0-9]{16,}", "login_url": r"[a-z]{2,8}://[\w.-]{1,64}:[\w.-]{3,64}@"}
+
+
+def test_secrets_of_all_kinds_and_the_query_columns(spark, tmp_path):
+    rnd = random.Random(9)
+    forms = SECRETS + ["xoxb-1234567890-abc", "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSM_eK", "AIza" + "b-9_Z" * 7, "sk_live_" + "4" * 20,
+                       "ftp://user.x:secret=abcdef@h", "-----BEGIN PRIVATE KEY-----token: 0123456789abcdef0123456789"]
+    texts = forms + [rnd.choice([" ", "\n", ""]).join(rnd.choice([*forms, "x", "中"]) for _ in range(8)) for _ in range(80)] + [None, ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in QUERIES["op5_secrets"](spark, str(tmp_path)).collect()}
+    order = [r.kind for r in secrets.RULES]
+    seen = set()
+    for i, t in enumerate(texts):
+        base = spans_of(t or "")
+        more = [(m.start(), order.index(k), m.end(), k) for k, p in FORMATS.items() for m in re.compile(p, re.A).finditer(t or "")]
+        seen |= {m[3] for m in more}
+        line = ["%s:%d:%d" % (k, a, b) for a, _, b, k in base]
+        assert (got[i].n_assign, got[i].n_access, got[i].n_hex) == tuple(sum(s[3] == k for s in base) for k in ("assign", "access", "hex"))
+        assert got[i].base_sha256 == hashlib.sha256(",".join(line).encode()).hexdigest()
+        assert got[i].spans == ",".join("%s:%d:%d" % (k, a, b) for a, _, b, k in sorted(base + more))
+    assert seen == set(FORMATS)
+
+
+def test_secrets_of_a_text_full_of_them(spark):
+    texts = ["token=abcdef%d\n" % (n % 10) * n + "x" * (n % 3) for n in (255, 256, 257, 512, 1000, 200_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    secrets.scan(df.where("doc_id < 2")).collect()
+    start = time.monotonic()
+    got = secrets.scan(df).selectExpr("doc_id", "size(spans) AS n", "sha2(to_json(transform(spans, s -> array(s.start, s.end))), 256) AS h").collect()
+    assert time.monotonic() - start < 60
+    for r in got:
+        places = [[m.start(), m.end()] for m in re.finditer(r"token=abcdef\d", texts[r.doc_id])]
+        assert r.n == len(places) and r.h == hashlib.sha256(str(places).replace(" ", "").encode()).hexdigest()
+
+
 def test_trigram_queries():
     q = secrets.trigram_query
     assert q("abcd") == frozenset([frozenset(["abc", "bcd"])])

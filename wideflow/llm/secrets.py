@@ -27,6 +27,9 @@ from .common import ascii_lower, small_enough, staged, text_or_empty
 BROADCAST_CANDIDATES = 500_000
 #: Alternatives that a query keeps apart; beyond it a part of the pattern asks for nothing.
 MAX_STRINGS = 16
+#: Matches of a text whose spans are gathered in one array before they are joined to the others. Growing an array copies it, so
+#: a text of n matches costs n * RUN / 2 + (n / RUN) ** 2 / 2 copied elements instead of n * n / 2.
+RUN = 256
 
 
 @dataclass(frozen=True)
@@ -149,15 +152,37 @@ def _rule_spans(rule: Rule, number: int, text: Column) -> Column:
     sizes = F.transform(F.arrays_zip(found.alias("m"), between.alias("g"), F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("v")),
                         lambda z: F.struct(F.length(z["m"]).alias("m"), F.length(z["g"]).alias("g"), F.length(z["v"]).alias("v")))
     none = F.array().cast("array<struct<start:int,rule:int,end:int,kind:string>>")
-    state = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+    begins = F.array().cast("array<int>")
 
     def step(s, z):
         start = s["at"] + z["g"]
         span = F.struct(start.alias("start"), F.lit(number).alias("rule"), (start + z["m"]).alias("end"), F.lit(rule.kind).alias("kind"))
         return F.struct((start + z["m"]).alias("at"), F.when(z["v"] >= rule.min_chars, F.concat(s["spans"], F.array(span))).otherwise(s["spans"]).alias("spans"))
 
+    def run_of(run):  # the spans of a run of matches that follow a place
+        return F.aggregate(run["z"], F.struct(run["at"].alias("at"), none.alias("spans")), step, lambda s: s["spans"])
+
+    def place(s, run):
+        long = F.aggregate(run, F.lit(0), lambda n, z: n + z["m"] + z["g"])
+        return F.struct((s["at"] + long).alias("at"), F.concat(s["begins"], F.array(s["at"])).alias("begins"))
+
+    def spans_of(runs):
+        at = F.aggregate(runs, F.struct(F.lit(0).alias("at"), begins.alias("begins")), place, lambda s: s["begins"])
+        return F.flatten(F.transform(F.arrays_zip(runs.alias("z"), at.alias("at")), run_of))
+
+    def runs_of(z):
+        count = F.ceil(F.size(z) / RUN).cast("int")
+        return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.slice(z, i * RUN + 1, RUN))).otherwise(
+            F.array().cast("array<array<struct<m:int,g:int,v:int>>>"))
+
     # The last part between matches has no match: its sizes are null there and end the sum.
-    return F.aggregate(F.filter(sizes, lambda z: z["m"].isNotNull()), state, step, lambda s: s["spans"])
+    matches = F.filter(sizes, lambda z: z["m"].isNotNull())
+    return _bound(_bound(matches, runs_of), spans_of)
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once, however often it is used, in lambdas too."""
+    return F.transform(F.array(value), use)[0]
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text: str = "text") -> DataFrame:
