@@ -36,6 +36,9 @@ def unpivot(df: DataFrame, cols: list[str], family: str, key: str = "row_key",
 
 #: A key batch of up to so many keys is broadcast to the cell scan.
 MULTI_GET_BROADCAST_KEYS = 200_000
+#: A key batch of up to so many keys is also given to the scan as a list (``spark.sql.parquet.pushdown.inFilterThreshold`` lets
+#: Parquet look for each of them in the statistics of row groups and pages).
+MULTI_GET_LISTED_KEYS = 200
 
 
 def ts_lit(v) -> Column:
@@ -154,7 +157,7 @@ def multi_get(cells: DataFrame, keys: DataFrame, family: str, qualifier: str,
     """A batch of point reads: every key row with the latest value of one cell (NULL if absent).
 
     The batch's smallest and greatest key bound the cell scan (pushed to the
-    files), and a semi-join with the distinct keys leaves only wanted versions
+    files, with the keys themselves if they are few), and a semi-join with the distinct keys leaves only wanted versions
     before anything is shuffled or aggregated. The keys are broadcast behind a
     check of their number; a larger batch is joined by shuffle.
     """
@@ -163,6 +166,8 @@ def multi_get(cells: DataFrame, keys: DataFrame, family: str, qualifier: str,
     found = select_versions(cells, start=low, families=[family], qualifiers=[qualifier])
     if high is not None:
         found = found.filter(F.col("row_key") <= F.lit(high))
+    if 0 < n <= MULTI_GET_LISTED_KEYS:
+        found = found.filter(F.col("row_key").isin([r.row_key for r in wanted.collect()]))
     hit = (found.join(F.broadcast(wanted) if n <= MULTI_GET_BROADCAST_KEYS else wanted, "row_key", "left_semi")
            .groupBy("row_key").agg(F.max(F.struct("ts", "seq", "value")).alias("_w"))
            .select(F.col("row_key").alias(key), F.col("_w.value").alias("value")))

@@ -90,6 +90,13 @@ def build_parser() -> argparse.ArgumentParser:
     m.add_argument("--partitions", type=int)
     m.add_argument("--max-records-per-file", type=int)
 
+    n = sub.add_parser("sync-new", help="copy what the source table got since the last such run")
+    n.add_argument("--source", required=True)
+    n.add_argument("--target", required=True)
+    n.add_argument("--ts-policy", choices=("write_time", "source"), default="write_time")
+    n.add_argument("--partitions", type=int)
+    n.add_argument("--max-records-per-file", type=int)
+
     e = sub.add_parser("export", help="cells -> fixed columns -> SQL filter -> CSV")
     e.add_argument("--table", required=True)
     e.add_argument("--family", required=True)
@@ -119,6 +126,7 @@ def build_parser() -> argparse.ArgumentParser:
     k = sub.add_parser("compact", help="rewrite the latest view, in place or into a new table")
     k.add_argument("--source", required=True)
     k.add_argument("--target")
+    k.add_argument("--deeper-than", type=int, help="in place, and only files with keys that more files than this may hold")
     k.add_argument("--partitions", type=int)
     k.add_argument("--max-records-per-file", type=int)
     return p
@@ -137,7 +145,7 @@ def run(argv: list[str], spark: SparkSession | None = None):
 
 
 #: Jobs whose input is a cell table.
-CELL_JOBS = ("merge", "export", "qualifiers", "count-rows", "compact")
+CELL_JOBS = ("merge", "sync-new", "export", "qualifiers", "count-rows", "compact")
 
 
 def _run(a: argparse.Namespace, spark: SparkSession):
@@ -175,6 +183,13 @@ def _run(a: argparse.Namespace, spark: SparkSession):
         n = C.count_rows(_cells(spark, a.table)).first()["n_rows"]
         print(f"RowCount: {n}")
         return n
+    elif a.cmd == "sync-new":
+        return store.sync_new(spark, a.source, a.target, ts_policy=a.ts_policy, num_partitions=a.partitions,
+                              max_records_per_file=a.max_records_per_file)
+    elif a.cmd == "compact" and a.deeper_than is not None:
+        if a.target not in (None, a.source):
+            raise ValueError("--deeper-than works in place: it takes no --target")
+        return store.compact_ranges(spark, a.source, a.deeper_than, a.partitions, a.max_records_per_file)
     elif a.cmd == "compact":
         store.compact(spark, a.source, a.target, num_partitions=a.partitions,
                       max_records_per_file=a.max_records_per_file)

@@ -261,6 +261,56 @@ def q_compact_in_place(spark, sf_dir):
     return S.read_cells(spark, path)
 
 
+def _stored_in_batches(spark, sf_dir, name: str) -> str:
+    """The cells stored in bulk layout as four batches that follow each other in time."""
+    path, cells = fresh_path(spark, name), fx.cells(spark, sf_dir)
+    bounds = [None, *sorted((T_FROM, SPLIT_TS, T_TO), key=str), None]
+    for low, high in zip(bounds, bounds[1:]):
+        S.write_cells_sorted(C.select_versions(cells, ts_from=low, ts_to=high), path)
+    return path
+
+
+@register("stored_time_range", W(CELLS, O.latest_sql(f"(SELECT * FROM cells WHERE ts >= {TS(T_FROM)} AND ts < {TS(T_TO)})")))
+def q_stored_time_range(spark, sf_dir):
+    """A time range of a stored table: files of batches outside it are not opened."""
+    return store.scan_stored(spark, _stored_in_batches(spark, sf_dir, "stored_time_range"), ts_from=T_FROM, ts_to=T_TO)
+
+
+@register("multi_get_stored", W(CELLS + ",\nk AS (SELECT lpad(CAST(c_custkey AS STRING), 8, '0') AS row_key FROM customer),\n"
+                                "l AS (" + O.latest_sql("(SELECT * FROM cells WHERE family = 'ev' AND qualifier = 'click')") + ")",
+                                "SELECT k.row_key, l.value FROM k LEFT JOIN l ON k.row_key = l.row_key"))
+def q_multi_get_stored(spark, sf_dir):
+    """A batch of point reads on a stored table: only files whose key ranges hold some of the keys are opened."""
+    keys = fx.read_table(spark, sf_dir, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("row_key"))
+    return store.multi_get_stored(spark, _stored_in_batches(spark, sf_dir, "multi_get_stored"), keys, "ev", "click")
+
+
+@register("compact_ranges", W(CELLS, O.latest_sql("cells")))
+def q_compact_ranges(spark, sf_dir):
+    """Four batches of a stored table, of which the files that overlap more than two deep are compacted."""
+    path = _stored_in_batches(spark, sf_dir, "compact_ranges")
+    store.compact_ranges(spark, path, depth=2)
+    return C.latest(S.read_cells(spark, path))
+
+
+LATE_TS = dt.datetime(2031, 1, 1)
+
+
+@register("merge_incremental", W(
+    CELLS + f",\nl AS ({O.latest_sql('cells')})",
+    f"SELECT row_key, family, qualifier, CASE WHEN ts >= {TS(SPLIT_TS)} THEN {TS(RUN_TS)} ELSE {TS(LATE_TS)} END AS ts, seq, value FROM l"))
+def q_merge_incremental(spark, sf_dir):
+    """The newer half is synced, then the older half arrives late and is synced: it adds cells, but brings no older value back.
+    A third run finds nothing to copy."""
+    source, target = fresh_path(spark, "incremental_source"), fresh_path(spark, "incremental_target")
+    S.write_cells(_target(spark, sf_dir), source)
+    store.sync_new(spark, source, target, RUN_TS)
+    S.write_cells(fx.cells(spark, sf_dir).filter(F.col("ts") < C.ts_lit(SPLIT_TS)), source)
+    store.sync_new(spark, source, target, LATE_TS)
+    store.sync_new(spark, source, target, LATE_TS + dt.timedelta(days=1))
+    return C.latest(S.read_cells(spark, target))
+
+
 def _stored_sync(spark, sf_dir, **kw):
     tpath = fresh_path(spark, "sync_target")
     S.write_cells(_target(spark, sf_dir), tpath)

@@ -3,7 +3,9 @@
 * ``load_header`` / ``load_detail``: accepted rows, one per key -> cells -> one
   new batch (key-sorted bulk layout or plain Put-style), rejects to their own folder.
 * ``sync_tables``: copy the latest cells of a source table (key range or time
-  range) into a target table as a new batch.
+  range) into a target table as a new batch; ``sync_new`` copies what no earlier run has copied.
+* ``multi_get_stored`` / ``scan_stored``: reads that open only the files that may hold what they ask for.
+* ``compact`` / ``compact_ranges``: rewrite the latest view of a table, or of its overlapping files only.
 
 Wide rows, not cells, are exchanged (once, on row_key), de-duplicated and sorted
 there, and unpivoted in qualifier order, so cells leave each task sorted. A plan
@@ -18,12 +20,13 @@ import datetime as dt
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.cells import latest, select_versions, stamp, unpivot
+from ..operators.cells import latest, multi_get, scan, select_versions, stamp, unpivot
 from ..operators.merge import dedupe_rows, restamp, settle_hot_keys
-from ..schema import DETAIL_COLS, DETAIL_FAMILY, HEADER_FAMILY, HEADER_STORED_COLS
+from ..schema import CELL_ID, DETAIL_COLS, DETAIL_FAMILY, HEADER_FAMILY, HEADER_STORED_COLS
 from ..session import fresh_path, remove_path
-from ..sinks import live
+from ..sinks import live, ranges
 from ..sinks.files import by_key_range, new_batch, read_cells, replace_batch, write_cells, write_family_batch
 from . import loads
 
@@ -138,13 +141,80 @@ def compact(spark: SparkSession, source_path: str, target_path: str | None = Non
     """Rewrite the latest version of every cell in bulk layout: into a new table, or in place.
 
     In place, the new batch and the end of the batches it was made of become visible at once; batches that were
-    published meanwhile stay as they are.
+    published meanwhile stay as they are. If a batch that was read is replaced meanwhile, ``live.Replaced`` is raised.
     """
     if target_path in (None, source_path):
         live.begin(spark, source_path)
         read = live.live(spark, source_path)
         cells = latest(by_key_range(read_cells(spark, source_path, read), num_partitions))
-        replace_batch(cells, source_path, new_batch(), set(read).__contains__, max_records_per_file)
+        replace_batch(cells, source_path, new_batch(), set(read).__contains__, max_records_per_file, live.Change(made_of=read))
     else:
         write_cells(latest(by_key_range(read_cells(spark, source_path), num_partitions)), target_path,
                     mode="errorifexists", max_records_per_file=max_records_per_file)
+
+
+def compact_ranges(spark: SparkSession, path: str, depth: int = 8, num_partitions=None, max_records_per_file=None) -> list[str]:
+    """Rewrite, in bulk layout, only the files that may hold a key which more than ``depth`` files of their family may hold.
+
+    All other files stay as they are. Returns the files that were rewritten. As after ``compact``, of the rewritten files only the latest
+    versions remain.
+    """
+    rows = ranges.file_ranges(spark, path)
+    deep = set((r.entry, r.file) for r in ranges.too_deep(rows, depth).select("entry", "file").collect())
+    if not deep:
+        return []
+    files = sorted(f"{live.folder_of(e)}/{f}" for e, f in deep)
+    parts: dict[str, list[str]] = {e: [] for e, _ in deep}
+    for r in rows.select("entry", "file").collect():
+        if r.entry in parts and (r.entry, r.file) not in deep:
+            parts[r.entry].append(f"{live.folder_of(r.entry)}/{r.file}")
+    cells = latest(by_key_range(read_cells(spark, path, files), num_partitions))
+    replace_batch(cells, path, new_batch(), lambda f: False, max_records_per_file, live.Change(sorted(parts), parts))
+    return files
+
+
+def multi_get_stored(spark: SparkSession, path: str, keys: DataFrame, family: str, qualifier: str, key: str = "row_key") -> DataFrame:
+    """``operators.cells.multi_get`` on the files whose key ranges hold some of the keys."""
+    files = ranges.choose(spark, path, keys, key, families=[family])
+    return multi_get(read_cells(spark, path, files), keys, family, qualifier, key)
+
+
+def scan_stored(spark: SparkSession, path: str, start=None, stop=None, ts_from=None, ts_to=None, families=None, qualifiers=None) -> DataFrame:
+    """``operators.cells.scan`` on the files whose key and time ranges meet the asked ones."""
+    files = ranges.choose(spark, path, start=start, stop=stop, ts_from=ts_from, ts_to=ts_to, families=families)
+    return scan(read_cells(spark, path, files), start, stop, ts_from, ts_to, families=families, qualifiers=qualifiers)
+
+
+def sync_new(spark: SparkSession, source_path: str, target_path: str, run_ts=None, ts_policy: str = "write_time",
+             num_partitions=None, max_records_per_file=None) -> list[str]:
+    """Copy into the target what the source got since the last such run; returns the source's entries that were new.
+
+    The target's pointer names the source folders that were copied and changes together with the copied batch, so a killed run
+    is done again and a finished one is not, whatever time stamps its cells have. A cell is copied if its latest version in
+    the whole source lies in a new folder: a late batch does not bring older values back. Folders that a compaction made
+    of copied ones are not new; one made of copied and other folders is copied whole.
+    """
+    live.begin(spark, source_path)
+    live.begin(spark, target_path)
+    entries, made = live.live(spark, source_path), live.lineage(spark, source_path)
+    before = set(live.synced(spark, target_path, source_path))
+
+    def known(entry: str) -> bool:
+        folder = live.folder_of(entry)
+        return folder in before or (folder in made and set(made[folder]) <= before)
+    new = [e for e in entries if not known(e)]
+    if not new:
+        return []
+    fresh = read_cells(spark, source_path, new)
+    others = ranges.choose(spark, source_path, keys=fresh, entries=[e for e in entries if known(e)])
+    old = read_cells(spark, source_path, others)
+    old = old.join(fresh.select(*CELL_ID).distinct(), CELL_ID, "left_semi")
+    both = fresh.withColumn("_old", F.lit(False)).unionByName(old.withColumn("_old", F.lit(True)))
+    winners = (both.groupBy(*CELL_ID).agg(F.max(F.struct("ts", "seq", "value", "_old")).alias("_w"))
+               .where("NOT _w._old").select(*CELL_ID, "_w.ts", "_w.seq", "_w.value"))
+    cells = restamp(by_key_range(winners, num_partitions), run_ts or now_utc(), ts_policy)
+    seen = set(map(live.folder_of, entries))
+    seen |= {x for f in seen for x in made.get(f, [])}
+    replace_batch(cells, target_path, new_batch(), lambda f: False, max_records_per_file,
+                  live.Change(copied={source_path: sorted(seen)}))
+    return new

@@ -25,6 +25,8 @@ SCALE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A list of keys reaches Parquet's statistics key by key, not as one range from the least to the greatest.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "200",
     # The load stages fuse scan, lookups, key building and the accept filter
     # into one generated method that can exceed HotSpot's 8000-byte JIT limit;
     # uncompiled, it runs interpreted and 2-3x slower. Let the JIT compile it.

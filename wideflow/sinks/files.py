@@ -45,14 +45,15 @@ def write_cells(cells: DataFrame, path: str, mode: str = "append",
     replace_batch(cells, path, batch or new_batch(), lambda f: batch is not None and live.batch_of(f) == batch, max_records_per_file)
 
 
-def replace_batch(cells: DataFrame, path: str, batch: str, gone, max_records_per_file: int | None = None) -> None:
+def replace_batch(cells: DataFrame, path: str, batch: str, gone, max_records_per_file: int | None = None,
+                  change: live.Change | None = None) -> None:
     """Write a batch of any families and publish it in place of the live folders that are ``gone``."""
     spark, own = cells.sparkSession, live.attempt(batch)
     live.begin(spark, path)
     w = (cells.select(*CELL_COLS).withColumn("batch", F.lit(own))
          .sortWithinPartitions(*SORT_KEY).write.partitionBy("family", "batch").mode("append"))
     _capped(w, max_records_per_file).parquet(path)
-    live.publish(spark, path, own, gone)
+    live.publish(spark, path, own, gone, *([change] if change else []))
 
 
 def write_family_batch(cells: DataFrame, path: str, family: str, batch: str, replace: bool = False,
@@ -91,7 +92,7 @@ def write_cells_sorted(cells: DataFrame, path: str, mode: str = "append",
 
 
 def read_cells(spark: SparkSession, path: str, folders: list[str] | None = None) -> DataFrame:
-    """All stored versions of the live batches (or of the given ones); family is a partition column (pruned by family filters)."""
+    """All stored versions of the live batches (or of the given folders or files); family is a partition column (pruned by family filters)."""
     folders = live.live(spark, path) if folders is None else folders
     if folders == []:
         return spark.createDataFrame([], CELL_SCHEMA)
