@@ -60,9 +60,12 @@ def _winner() -> Column:
     return F.max(F.struct("ts", "seq", "value")).alias("_w")
 
 
-def latest(cells: DataFrame) -> DataFrame:
-    """Latest version per (row_key, family, qualifier); partial aggregation runs map-side."""
-    return (cells.groupBy(*CELL_ID).agg(_winner())
+def latest(cells: DataFrame, within: str | None = None) -> DataFrame:
+    """Latest version per (row_key, family, qualifier); partial aggregation runs map-side.
+
+    Cells already partitioned by a column ``within`` that the row key determines are not shuffled again.
+    """
+    return (cells.groupBy(*([within] if within else []), *CELL_ID).agg(_winner())
             .select(*CELL_ID, "_w.ts", "_w.seq", "_w.value"))
 
 
@@ -143,7 +146,10 @@ def qualifiers_for_keys(cells: DataFrame, keys: DataFrame, family: str, key: str
 
 
 def count_rows(cells: DataFrame) -> DataFrame:
-    """Number of row keys (not cells); two-phase distinct count."""
+    """Number of row keys (not cells); two-phase distinct count. A null key is not counted.
+
+    On a bucketed table each task counts the keys of its own buckets and only these counts are exchanged.
+    """
     return cells.agg(F.count_distinct("row_key").alias("n_rows"))
 
 

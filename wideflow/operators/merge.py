@@ -20,17 +20,18 @@ from .lookup import DEFAULT_HOT_KEY_MIN_ROWS
 TS_POLICIES = ("write_time", "source")
 
 
-def dedupe_rows(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
+def dedupe_rows(df: DataFrame, key: str, order_cols: list[str], within: str | None = None) -> DataFrame:
     """Last write wins per key inside one batch.
 
     The source system leaves the order of same-key writes undefined; here the
     row with the greatest ``order_cols`` tuple wins, as a whole. One exchange on
     the key and one sort; the planner's rank limit also drops losers before the
     exchange, so a hot key does not travel. Input already partitioned by the
-    key (by hash or range) is not shuffled again. The rows leave sorted by key.
+    key (by hash or range) is not shuffled again, nor is input partitioned by a column ``within`` that the
+    key determines. The rows leave sorted by key.
     """
-    others = [c for c in df.columns if c != key and c not in order_cols]
-    best = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in [*order_cols, *others]])
+    others = [c for c in df.columns if c not in (key, within) and c not in order_cols]
+    best = Window.partitionBy(*([within] if within else []), key).orderBy(*[F.col(c).desc_nulls_last() for c in [*order_cols, *others]])
     return df.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
 
 

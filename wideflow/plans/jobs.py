@@ -28,6 +28,7 @@ from ..operators.merge import key_collisions
 from ..plans import loads
 from ..session import release
 from ..sinks import files as S
+from ..sinks import ranges
 from ..sources.tables import open_table, scan_detail, scan_header, scan_tasks, spread
 from . import store
 
@@ -64,6 +65,8 @@ def build_parser() -> argparse.ArgumentParser:
     h.add_argument("--mode", choices=("compat", "intended"), default="compat")
     h.add_argument("--partitions", type=int)
     h.add_argument("--max-records-per-file", type=int)
+    h.add_argument("--rows-per-range", type=int, help="aligned layout: rows of a batch beyond which a range is split")
+    h.add_argument("--counted", action="store_true", help="stage the rows to count them by outcome where the load would not")
     h.add_argument("--lookup-cells", action="store_true")
 
     d = sub.add_parser("load-detail", help="invoice lines -> cell table")
@@ -75,6 +78,8 @@ def build_parser() -> argparse.ArgumentParser:
     d.add_argument("--mode", choices=("compat", "intended"), default="compat")
     d.add_argument("--partitions", type=int)
     d.add_argument("--max-records-per-file", type=int)
+    d.add_argument("--rows-per-range", type=int, help="aligned layout: rows of a batch beyond which a range is split")
+    d.add_argument("--counted", action="store_true", help="stage the rows to count them by outcome where the load would not")
     d.add_argument("--lookup-cells", action="store_true")
 
     m = sub.add_parser("merge", help="copy latest source cells into a target table")
@@ -89,6 +94,7 @@ def build_parser() -> argparse.ArgumentParser:
     m.add_argument("--layout", choices=store.LAYOUTS, default="bulk")
     m.add_argument("--partitions", type=int)
     m.add_argument("--max-records-per-file", type=int)
+    m.add_argument("--rows-per-range", type=int)
 
     n = sub.add_parser("sync-new", help="copy what the source table got since the last such run")
     n.add_argument("--source", required=True)
@@ -122,6 +128,7 @@ def build_parser() -> argparse.ArgumentParser:
 
     c = sub.add_parser("count-rows", help="number of row keys")
     c.add_argument("--table", required=True)
+    c.add_argument("--estimate", action="store_true", help="from the key sketches of a stored table's files")
 
     k = sub.add_parser("compact", help="rewrite the latest view, in place or into a new table")
     k.add_argument("--source", required=True)
@@ -129,9 +136,19 @@ def build_parser() -> argparse.ArgumentParser:
     k.add_argument("--deeper-than", type=int, help="in place, and only files with keys that more files than this may hold")
     k.add_argument("--partitions", type=int)
     k.add_argument("--max-records-per-file", type=int)
+    k.add_argument("--layout", choices=("bulk", "aligned"), default="bulk")
+    k.add_argument("--rows-per-range", type=int)
     return p
 
 
+def _told(counts: store.LoadCounts | None) -> store.LoadCounts | None:
+    if counts:
+        print(f"Rows: {counts.rows}, accepted: {counts.accepted}, rejected: {sum(counts.rejected.values())}")
+        for reason, n in sorted(counts.rejected.items()):
+            print(f"  {reason}: {n}")
+    return counts
+
+
 def run(argv: list[str], spark: SparkSession | None = None):
     a = build_parser().parse_args(argv)
     spark = spark or SparkSession.builder.getOrCreate()
@@ -150,19 +167,23 @@ CELL_JOBS = ("merge", "sync-new", "export", "qualifiers", "count-rows", "compact
 
 def _run(a: argparse.Namespace, spark: SparkSession):
     if a.cmd == "load-header":
-        store.load_header(scan_header(spark, spread(open_table(spark, a.table))),
+        return _told(store.load_header(
+                          scan_header(spark, spread(open_table(spark, a.table))),
                           _lookup(spark, a.by_name, a.lookup_cells), _lookup(spark, a.by_tax, a.lookup_cells),
                           a.year, a.target, a.rejects, layout=a.layout, mode=a.mode,
-                          num_partitions=a.partitions, max_records_per_file=a.max_records_per_file)
+                          num_partitions=a.partitions, max_records_per_file=a.max_records_per_file,
+                          rows_per_range=a.rows_per_range, counted=a.counted))
     elif a.cmd == "load-detail":
-        store.load_detail(scan_detail(spark, spread(open_table(spark, a.table))),
+        return _told(store.load_detail(
+                          scan_detail(spark, spread(open_table(spark, a.table))),
                           _lookup(spark, a.by_tax, a.lookup_cells), a.target, a.rejects, layout=a.layout,
-                          mode=a.mode, num_partitions=a.partitions, max_records_per_file=a.max_records_per_file)
+                          mode=a.mode, num_partitions=a.partitions, max_records_per_file=a.max_records_per_file,
+                          rows_per_range=a.rows_per_range, counted=a.counted))
     elif a.cmd == "merge":
         store.sync_cells(_cells(spark, a.source), a.target, ts_policy=a.ts_policy, family=a.family,
                          start=a.start, stop=a.stop, ts_from=a.ts_from, ts_to=a.ts_to,
                          layout=a.layout, num_partitions=a.partitions,
-                         max_records_per_file=a.max_records_per_file)
+                         max_records_per_file=a.max_records_per_file, rows_per_range=a.rows_per_range)
     elif a.cmd == "export":
         names = [c.strip() for c in a.columns.split(",")]
         wide = C.to_wide(_cells(spark, a.table), a.family, names)
@@ -180,8 +201,8 @@ def _run(a: argparse.Namespace, spark: SparkSession):
                                    _lookup(spark, a.by_tax, a.lookup_cells), a.year, a.mode)
         key_collisions(keyed, ["fpdm", "fphm"]).write.mode("overwrite").parquet(a.out)
     elif a.cmd == "count-rows":
-        n = C.count_rows(_cells(spark, a.table)).first()["n_rows"]
-        print(f"RowCount: {n}")
+        n = ranges.estimate_rows(spark, a.table) if a.estimate else C.count_rows(_cells(spark, a.table)).first()["n_rows"]
+        print(f"RowCount: {n}" + (" (estimate)" if a.estimate else ""))
         return n
     elif a.cmd == "sync-new":
         return store.sync_new(spark, a.source, a.target, ts_policy=a.ts_policy, num_partitions=a.partitions,
@@ -192,7 +213,7 @@ def _run(a: argparse.Namespace, spark: SparkSession):
         return store.compact_ranges(spark, a.source, a.deeper_than, a.partitions, a.max_records_per_file)
     elif a.cmd == "compact":
         store.compact(spark, a.source, a.target, num_partitions=a.partitions,
-                      max_records_per_file=a.max_records_per_file)
+                      max_records_per_file=a.max_records_per_file, layout=a.layout, rows_per_range=a.rows_per_range)
     return None
 
 

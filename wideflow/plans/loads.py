@@ -7,7 +7,7 @@ rule in the source jobs' evaluation order, so accepted + rejected = input.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.keys import detail_row_key, header_row_key, with_packed_invoice_no, with_year_part
@@ -16,6 +16,9 @@ from ..operators.enrich import header_codes, seller_code_by_tax
 from ..schema import DETAIL_COLS, HEADER_STORED_COLS, SOURCE_TAG
 
 REJECT = "reject_reason"
+#: Every reason that a load may give.
+REASONS = ("blank_seller_name", "garbled_seller_name", "blank_seller_tax_id", "unresolved_seller", "blank_invoice_code", "blank_invoice_no",
+           "blank_line_no", "short_month", "bad_month", "bad_invoice_no", "dash_in_key")
 
 
 def header_gate(variant: str = "load") -> Column:
@@ -127,6 +130,17 @@ def detail_keyed(detail, by_tax, mode: str = "compat") -> DataFrame:
     return accepted(tag_detail(detail, by_tax, mode))
 
 
+def observed(tagged: DataFrame) -> tuple[DataFrame, Observation]:
+    """``tagged`` with its outcomes counted by the pass that writes it: ``rows``, ``accepted`` and one count per reason.
+
+    Observe what a write's last stage produces: Spark counts a task of that stage once, however often it is run.
+    """
+    counts = Observation()
+    reason = F.col(REJECT)
+    return tagged.observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if(reason.isNull()).alias("accepted"),
+                          *[F.count_if(reason == r).alias(r) for r in REASONS]), counts
+
+
 def reject_counts(tagged: DataFrame) -> DataFrame:
     """Rows per outcome ('accepted' or the reject reason)."""
     return (tagged.groupBy(F.coalesce(F.col(REJECT), F.lit("accepted")).alias("outcome"))

@@ -23,6 +23,7 @@ from ..operators.enrich import header_codes, seller_code_by_tax
 from ..operators.lookup import lookup_columns
 from ..schema import DETAIL_COLS, HEADER_COLS, HEADER_FAMILY, HEADER_STORED_COLS
 from ..session import fresh_path
+from ..sinks import bounds
 from ..sinks import bucketed as B
 from ..sinks import files as S
 from ..sources import fixtures as fx
@@ -197,6 +198,17 @@ def q_bulk_header_cells(spark, sf_dir):
     return _cells_out(C.latest(S.read_cells(spark, path)))
 
 
+@register("aligned_header_cells", W(HK1, O.unpivot_sql("h1", O.HEADER24, "fpxx", O.fill_m1)))
+def q_aligned_header_cells(spark, sf_dir):
+    """The header load run twice in the aligned layout: the second batch's files are cut at the split points that the first one left."""
+    path = fresh_path(spark, "aligned_header")
+    eighth = -(-fx.read_table(spark, sf_dir, "orders").count() // 8)  # at least eight ranges, also of small tables
+    for _ in range(2):
+        store.load_header(_hdr(spark, sf_dir), *_lk(spark, sf_dir), YEAR, path, layout="aligned",
+                          rows_per_range=max(1, min(eighth, bounds.ROWS_PER_RANGE)))
+    return _cells_out(C.latest(S.read_cells(spark, path)))
+
+
 TGT = f"(SELECT * FROM cells WHERE ts >= {TS(SPLIT_TS)})"
 SRC = f"(SELECT * FROM cells WHERE ts < {TS(SPLIT_TS)} AND qualifier IN ('click', 'view'))"
 
@@ -570,6 +582,19 @@ def q_count_rows(spark, sf_dir):
     return C.count_rows(fx.cells(spark, sf_dir))
 
 
+@register("bucketed_count_rows", W(CELLS, "SELECT count(DISTINCT row_key) AS n_rows FROM cells"))
+def q_bucketed_count_rows(spark, sf_dir):
+    """Row keys of a bucketed cell table: exact, and no key is exchanged."""
+    return C.count_rows(_bucketed_cells(spark, sf_dir))
+
+
+@register("header_load_counts", W(O.header_keyed_cte(YEAR), "SELECT (SELECT count(*) FROM inv_header) AS n_rows, (SELECT count(*) FROM hk) AS n_accepted"))
+def q_header_load_counts(spark, sf_dir):
+    """Input and accepted rows of a stored header load, as the load counted them while it wrote; rejected ones are the difference (tested)."""
+    got = store.load_header(_hdr(spark, sf_dir), *_lk(spark, sf_dir), YEAR, fresh_path(spark, "load_counts"), counted=True)
+    return spark.createDataFrame([(got.rows, got.accepted)], "n_rows bigint, n_accepted bigint")
+
+
 @register("count_header_rows", W(HK, "SELECT count(*) AS n_rows FROM hk"))
 def q_count_header_rows(spark, sf_dir):
     return _header_keyed(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_rows"))

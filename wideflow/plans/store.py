@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,11 +27,22 @@ from ..operators.cells import latest, multi_get, scan, select_versions, stamp, u
 from ..operators.merge import dedupe_rows, restamp, settle_hot_keys
 from ..schema import CELL_ID, DETAIL_COLS, DETAIL_FAMILY, HEADER_FAMILY, HEADER_STORED_COLS
 from ..session import fresh_path, remove_path
-from ..sinks import live, ranges
+from ..sinks import bounds, live, ranges
 from ..sinks.files import by_key_range, new_batch, read_cells, replace_batch, write_cells, write_family_batch
 from . import loads
 
-LAYOUTS = ("bulk", "put")
+#: ``bulk``: files of a batch sorted by key, in disjoint key ranges. ``aligned``: the same, cut at the table's own split points, which all its
+#: aligned batches share. ``put``: no range exchange.
+LAYOUTS = ("bulk", "put", "aligned")
+
+
+@dataclass(frozen=True)
+class LoadCounts:
+    """What a load did with its input rows, counted while they were written."""
+
+    rows: int
+    accepted: int
+    rejected: dict[str, int]
 
 
 def now_utc() -> dt.datetime:
@@ -41,14 +53,18 @@ def batch_seq() -> int:
     return time.time_ns() // 1000
 
 
+def _within(df: DataFrame) -> str | None:
+    return bounds.TASK if bounds.TASK in df.columns else None
+
+
 def header_rows_lww(rows: DataFrame) -> DataFrame:
     """Header rows, one per key: colliding invoices resolve to one whole invoice, the greatest value tuple."""
-    return dedupe_rows(rows, "row_key", HEADER_STORED_COLS)
+    return dedupe_rows(rows, "row_key", HEADER_STORED_COLS, _within(rows))
 
 
 def detail_rows_lww(rows: DataFrame) -> DataFrame:
     """Line rows, one per key: same-key writes in one batch resolve to the greatest value tuple."""
-    return dedupe_rows(rows, "row_key", DETAIL_COLS)
+    return dedupe_rows(rows, "row_key", DETAIL_COLS, _within(rows))
 
 
 def header_cells(rows: DataFrame, fill: str = "-1") -> DataFrame:
@@ -60,62 +76,81 @@ def detail_cells(rows: DataFrame, fill: str = "-1") -> DataFrame:
     return unpivot(detail_rows_lww(rows).select("row_key", *DETAIL_COLS), sorted(DETAIL_COLS), DETAIL_FAMILY, fill=fill)
 
 
-def _arranged(df: DataFrame, layout: str, num_partitions: int | None) -> DataFrame:
-    """By key range for the bulk layout; by hash into the caller's number of tasks, if given, for Put-style."""
+def _arranged(df: DataFrame, layout: str, num_partitions: int | None, table_path: str,
+              rows_per_range: int | None = None) -> tuple[DataFrame, list[str]]:
+    """By key range for the bulk layout; by the table's ranges for the aligned one, with the split points that the batch adds;
+    by hash into the caller's number of tasks, if given, for Put-style."""
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}")
+    if layout == "aligned":
+        if num_partitions:
+            raise ValueError("the aligned layout has one task per range: give rows_per_range instead of num_partitions")
+        return bounds.split_and_align(df, live.points(df.sparkSession, table_path), rows_per_range or bounds.ROWS_PER_RANGE)
     if layout == "bulk":
-        return by_key_range(df, num_partitions)
-    return df.repartition(num_partitions, "row_key") if num_partitions else df
+        return by_key_range(df, num_partitions), []
+    return (df.repartition(num_partitions, "row_key") if num_partitions else df), []
 
 
 def _load(tagged: DataFrame, to_cells, order_cols: list[str], family: str, table_path: str, rejects_path: str | None, layout: str,
-          run_ts, seq, replace: bool, num_partitions, max_records_per_file, batch: str | None) -> None:
+          run_ts, seq, replace: bool, num_partitions, max_records_per_file, batch: str | None, rows_per_range: int | None,
+          counted: bool) -> LoadCounts | None:
     spark = tagged.sparkSession
     run_ts = run_ts or now_utc()
     seq = batch_seq() if seq is None else seq
     batch = batch or f"b{seq}"
-    exchanged = layout == "bulk" or bool(num_partitions)  # before the rows are de-duplicated
-    kept = fresh_path(spark, "tagged") if rejects_path or exchanged else None
+    exchanged = layout != "put" or bool(num_partitions)  # before the rows are de-duplicated
+    kept = fresh_path(spark, "tagged") if rejects_path or exchanged or counted else None
+    counts = None
     if kept:
-        tagged.write.parquet(kept)
+        watched, observation = loads.observed(tagged)
+        watched.write.parquet(kept)
+        got = observation.get
+        counts = LoadCounts(got["rows"], got["accepted"], {r: got[r] for r in loads.REASONS if got[r]})
         tagged = spark.read.schema(tagged.schema).parquet(kept)
     accepted = loads.accepted(tagged)
-    rows = _arranged(settle_hot_keys(accepted, "row_key", order_cols) if exchanged else accepted, layout, num_partitions)
-    write_family_batch(stamp(to_cells(rows), run_ts, seq), table_path, family, batch, replace, max_records_per_file)
+    rows, points = _arranged(settle_hot_keys(accepted, "row_key", order_cols) if exchanged else accepted, layout, num_partitions,
+                             table_path, rows_per_range)
+    write_family_batch(stamp(to_cells(rows), run_ts, seq), table_path, family, batch, replace, max_records_per_file,
+                       live.Change(points=points) if points else None)
     if rejects_path:
         (loads.rejected(tagged).write.mode("overwrite" if replace else "errorifexists")
          .option("partitionOverwriteMode", "static").parquet(f"{rejects_path}/batch={batch}"))
     if kept:
         remove_path(spark, kept)
+    return counts
 
 
 def load_header(header: DataFrame, by_name: DataFrame, by_tax: DataFrame, year: str,
                 table_path: str, rejects_path: str | None = None, layout: str = "bulk",
                 fill: str | None = None, mode: str = "compat", run_ts=None, seq=None, replace: bool = False,
-                num_partitions=None, max_records_per_file=None, batch: str | None = None) -> None:
-    """Header load. Bulk layout stores blanks as '-1', Put-style as 'null' (unless ``fill``).
+                num_partitions=None, max_records_per_file=None, batch: str | None = None, rows_per_range: int | None = None,
+                counted: bool = False) -> LoadCounts | None:
+    """Header load. Bulk and aligned layouts store blanks as '-1', Put-style as 'null' (unless ``fill``).
 
     A rerun with the same ``run_ts``, ``seq`` and ``batch`` name (by default from ``seq``) and with ``replace``
-    replaces its own batch (cells and rejects) and leaves all others alone.
+    replaces its own batch (cells and rejects) and leaves all others alone. Returns the input's rows by outcome
+    wherever they are staged before the write, which they always are with ``counted``; else None.
     """
-    fill = fill or ("-1" if layout == "bulk" else "null")
+    fill = fill or ("null" if layout == "put" else "-1")
     tagged = loads.tag_header(header, by_name, by_tax, year, mode)
-    _load(tagged, lambda rows: header_cells(rows, fill), HEADER_STORED_COLS, HEADER_FAMILY, table_path, rejects_path, layout,
-          run_ts, seq, replace, num_partitions, max_records_per_file, batch)
+    return _load(tagged, lambda rows: header_cells(rows, fill), HEADER_STORED_COLS, HEADER_FAMILY, table_path, rejects_path, layout,
+                 run_ts, seq, replace, num_partitions, max_records_per_file, batch, rows_per_range, counted)
 
 
 def load_detail(detail: DataFrame, by_tax: DataFrame, table_path: str, rejects_path: str | None = None,
                 layout: str = "put", mode: str = "compat", run_ts=None, seq=None, replace: bool = False,
-                num_partitions=None, max_records_per_file=None, batch: str | None = None) -> None:
+                num_partitions=None, max_records_per_file=None, batch: str | None = None, rows_per_range: int | None = None,
+                counted: bool = False) -> LoadCounts | None:
+    """Line load; see ``load_header``."""
     tagged = loads.tag_detail(detail, by_tax, mode)
-    _load(tagged, detail_cells, DETAIL_COLS, DETAIL_FAMILY, table_path, rejects_path, layout, run_ts, seq, replace,
-          num_partitions, max_records_per_file, batch)
+    return _load(tagged, detail_cells, DETAIL_COLS, DETAIL_FAMILY, table_path, rejects_path, layout, run_ts, seq, replace,
+                 num_partitions, max_records_per_file, batch, rows_per_range, counted)
 
 
 def sync_cells(source: DataFrame, target_path: str, run_ts=None, ts_policy: str = "write_time",
                family: str | None = None, start=None, stop=None, ts_from=None, ts_to=None,
-               layout: str = "bulk", num_partitions=None, max_records_per_file=None, batch: str | None = None) -> None:
+               layout: str = "bulk", num_partitions=None, max_records_per_file=None, batch: str | None = None,
+               rows_per_range: int | None = None) -> None:
     """Merge source cells (any cell DataFrame) into the target table as one new batch.
 
     Only the latest source cell per id in the scan range travels; readers of
@@ -123,10 +158,15 @@ def sync_cells(source: DataFrame, target_path: str, run_ts=None, ts_policy: str
     versions are exchanged by row_key once; resolving them needs no other exchange.
     """
     versions = select_versions(source, start, stop, ts_from, ts_to, families=[family] if family else None)
-    cells = restamp(latest(_arranged(versions, layout, num_partitions)), run_ts or now_utc(), ts_policy)
+    arranged, points = _arranged(versions, layout, num_partitions, target_path, rows_per_range)
+    cells = restamp(latest(arranged, _within(arranged)), run_ts or now_utc(), ts_policy)
+    change = live.Change(points=points) if points else None
     if family:
         write_family_batch(cells.sortWithinPartitions("row_key", "qualifier"), target_path, family, batch or new_batch(),
-                           bool(batch), max_records_per_file)
+                           bool(batch), max_records_per_file, change)
+    elif change:
+        replace_batch(cells, target_path, batch or new_batch(), lambda f: batch is not None and live.batch_of(f) == batch,
+                      max_records_per_file, change)
     else:
         write_cells(cells, target_path, max_records_per_file=max_records_per_file, batch=batch)
 
@@ -137,8 +177,8 @@ def sync_tables(spark: SparkSession, source_path: str, target_path: str, **kw) -
 
 
 def compact(spark: SparkSession, source_path: str, target_path: str | None = None, num_partitions=None,
-            max_records_per_file=None) -> None:
-    """Rewrite the latest version of every cell in bulk layout: into a new table, or in place.
+            max_records_per_file=None, layout: str = "bulk", rows_per_range: int | None = None) -> None:
+    """Rewrite the latest version of every cell in bulk (or aligned) layout: into a new table, or in place.
 
     In place, the new batch and the end of the batches it was made of become visible at once; batches that were
     published meanwhile stay as they are. If a batch that was read is replaced meanwhile, ``live.Replaced`` is raised.
@@ -146,11 +186,14 @@ def compact(spark: SparkSession, source_path: str, target_path: str | None = Non
     if target_path in (None, source_path):
         live.begin(spark, source_path)
         read = live.live(spark, source_path)
-        cells = latest(by_key_range(read_cells(spark, source_path, read), num_partitions))
-        replace_batch(cells, source_path, new_batch(), set(read).__contains__, max_records_per_file, live.Change(made_of=read))
+        rows, points = _arranged(read_cells(spark, source_path, read), layout, num_partitions, source_path, rows_per_range)
+        replace_batch(latest(rows, _within(rows)), source_path, new_batch(), set(read).__contains__, max_records_per_file,
+                      live.Change(made_of=read, points=points))
     else:
-        write_cells(latest(by_key_range(read_cells(spark, source_path), num_partitions)), target_path,
-                    mode="errorifexists", max_records_per_file=max_records_per_file)
+        if live.live(spark, target_path) is not None:
+            raise FileExistsError(target_path)
+        rows, points = _arranged(read_cells(spark, source_path), layout, num_partitions, target_path, rows_per_range)
+        replace_batch(latest(rows, _within(rows)), target_path, new_batch(), lambda f: False, max_records_per_file, live.Change(points=points))
 
 
 def compact_ranges(spark: SparkSession, path: str, depth: int = 8, num_partitions=None, max_records_per_file=None) -> list[str]:

@@ -57,7 +57,7 @@ def replace_batch(cells: DataFrame, path: str, batch: str, gone, max_records_per
 
 
 def write_family_batch(cells: DataFrame, path: str, family: str, batch: str, replace: bool = False,
-                       max_records_per_file: int | None = None) -> None:
+                       max_records_per_file: int | None = None, change: live.Change | None = None) -> None:
     """Write cells of one family, already sorted by (row_key, qualifier) in each task, as they come.
 
     They go straight to the batch's folder, so the writer adds no sort of its own.
@@ -71,7 +71,7 @@ def write_family_batch(cells: DataFrame, path: str, family: str, batch: str, rep
         raise FileExistsError(f"{path}: batch {batch} of family {family}")
     w = cells.select(*[c for c in CELL_COLS if c != "family"]).write
     _capped(w, max_records_per_file).parquet(f"{path}/family={family}/batch={own}")
-    live.publish(spark, path, own, earlier)
+    live.publish(spark, path, own, earlier, *([change] if change else []))
 
 
 def by_key_range(df: DataFrame, num_partitions: int | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Key and time ranges of a cell table's files, so that a read opens only the files that may hold what it asks for.
 
-One small row per file: ``(family, batch, file, low, high, ts_low, ts_high, n)``, kept in ``_ranges`` beside the table. A file never
+One small row per file: ``(family, batch, file, low, high, ts_low, ts_high, n, keys)``, kept in ``_ranges`` beside the table; ``keys`` is a
+sketch of the file's distinct row keys (HyperLogLog, some 4 KB), which merges to an estimate for any set of files. A file never
 changes, so each folder is looked through once, over the columns ``row_key`` and ``ts`` alone, by the first read that asks
 (``refresh``); readers that do so at once write equal rows. Rows of folders that are no longer live are passed over. An
 index folder counts only when Spark's commit has marked it whole. The driver gets the names of the files to read and of the live
@@ -21,7 +22,10 @@ from ..schema import CELL_SCHEMA
 from . import live
 
 RANGES = "_ranges"
-SCHEMA = ("family string, batch string, file string, low string, high string, ts_low timestamp_ntz, ts_high timestamp_ntz, n bigint")
+SCHEMA = ("family string, batch string, file string, low string, high string, ts_low timestamp_ntz, ts_high timestamp_ntz, n bigint, "
+          "keys binary")
+#: Registers of a file's key sketch (2 to this power): estimates have a relative standard error of 1.04 / sqrt(4096) = 1.6 %.
+SKETCH_BITS = 12
 #: A key batch is looked up in the files' ranges as at most so many ranges of its own.
 KEY_RANGES = 1_000
 
@@ -36,7 +40,8 @@ def _named(entry: str) -> tuple[str | None, str, str | None]:
 def _stored(spark: SparkSession, table: str) -> DataFrame:
     whole = live._fs(spark, table).globStatus(live._path(spark, f"{table}/{RANGES}/*/_SUCCESS"))
     paths = [str(f.getPath().getParent()) for f in whole or []]
-    return spark.read.schema(SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], SCHEMA)
+    rows = spark.read.schema(SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], SCHEMA)
+    return rows.where("keys IS NOT NULL")  # rows of an index without sketches are made anew
 
 
 def refresh(spark: SparkSession, table: str) -> list[str]:
@@ -50,7 +55,7 @@ def refresh(spark: SparkSession, table: str) -> list[str]:
         cells = spark.read.schema(schema).option("basePath", table).parquet(*[f"{table}/{f}" for f in new])
         (cells.groupBy("family", "batch", F.col("_metadata.file_name").alias("file"))
          .agg(F.min("row_key").alias("low"), F.max("row_key").alias("high"), F.min("ts").alias("ts_low"), F.max("ts").alias("ts_high"),
-              F.count(F.lit(1)).alias("n"))
+              F.count(F.lit(1)).alias("n"), F.hll_sketch_agg("row_key", SKETCH_BITS).alias("keys"))
          .write.parquet(f"{table}/{RANGES}/{uuid.uuid4().hex}"))
     return entries
 
@@ -60,7 +65,7 @@ def file_ranges(spark: SparkSession, table: str, entries: list[str] | None = Non
     known = refresh(spark, table)
     entries = known if entries is None else entries
     named = spark.createDataFrame([(e, *_named(e)) for e in entries], "entry string, _f string, _b string, _file string")
-    rows = _stored(spark, table).distinct()
+    rows = _stored(spark, table).dropDuplicates(["family", "batch", "file"])
     mine = rows["family"].eqNullSafe(named["_f"]) & (rows["batch"] == named["_b"])
     return rows.join(named, mine & (named["_file"].isNull() | (named["_file"] == rows["file"]))).select("entry", *rows.columns)
 
@@ -111,3 +116,14 @@ def too_deep(rows: DataFrame, depth: int) -> DataFrame:
     hot = opened.withColumn("_hot", F.min(F.when(F.col("_open") > depth, F.col("_e.at"))).over(
         order.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
     return hot.where("_e.closes = 0 AND _hot <= high").select(*rows.columns)
+
+
+def estimate_rows(spark: SparkSession, table: str, families: list[str] | None = None) -> int:
+    """The number of row keys of the live files, estimated from their sketches: no cell is read that a refresh has read before.
+
+    Keys that several files hold count once. The relative standard error is 1.6 % (``SKETCH_BITS``).
+    """
+    rows = file_ranges(spark, table)
+    if families:
+        rows = rows.where(F.col("family").isin(*families))
+    return rows.agg(F.hll_sketch_estimate(F.hll_union_agg("keys"))).first()[0] or 0
