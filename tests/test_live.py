@@ -90,6 +90,22 @@ def test_writers_at_once_lose_nothing(spark):
     assert not live._put(spark, path, live._numbers(spark, path)[-1], {"folders": []}) and len(values(spark, path)) == 6
 
 
+def test_write_killed_before_its_folders_are_placed(spark, monkeypatch):
+    path = fresh_path(spark, "t-live-staged")
+    S.write_cells(batch(spark, ("a", "1")), path)
+    with monkeypatch.context() as m:
+        def killed(*args):
+            raise KeyboardInterrupt
+        m.setattr(live, "place", killed)
+        with pytest.raises(KeyboardInterrupt):
+            S.write_cells(batch(spark, ("b", "1")), path)
+    assert values(spark, path) == [("a", "1")]
+    gone = live.remove_unlisted(spark, path, dt.timedelta(0))
+    assert len(gone) == 1 and gone[0].startswith("_staged/") and values(spark, path) == [("a", "1")]
+    S.write_cells(batch(spark, ("b", "1")), path)
+    assert values(spark, path) == [("a", "1"), ("b", "1")] and live.remove_unlisted(spark, path, dt.timedelta(0)) == []
+
+
 def test_compaction_in_place_keeps_batches_published_meanwhile(spark, monkeypatch):
     path = fresh_path(spark, "t-live-compact")
     S.write_cells(batch(spark, ("a", "1")), path)

@@ -47,12 +47,17 @@ def write_cells(cells: DataFrame, path: str, mode: str = "append",
 
 def replace_batch(cells: DataFrame, path: str, batch: str, gone, max_records_per_file: int | None = None,
                   change: live.Change | None = None) -> None:
-    """Write a batch of any families and publish it in place of the live folders that are ``gone``."""
+    """Write a batch of any families and publish it in place of the live folders that are ``gone``.
+
+    It is written to a folder of its own first: Spark's commit clears the work area of the folder it writes to, also that of
+    other writers. Its family folders are then moved to their places, where no reader sees them before they are published.
+    """
     spark, own = cells.sparkSession, live.attempt(batch)
     live.begin(spark, path)
-    w = (cells.select(*CELL_COLS).withColumn("batch", F.lit(own))
-         .sortWithinPartitions(*SORT_KEY).write.partitionBy("family", "batch").mode("append"))
-    _capped(w, max_records_per_file).parquet(path)
+    staged = f"{path}/{live.STAGED}/{own}"
+    w = cells.select(*CELL_COLS).sortWithinPartitions(*SORT_KEY).write.partitionBy("family")
+    _capped(w, max_records_per_file).parquet(staged)
+    live.place(spark, path, staged, own)
     live.publish(spark, path, own, gone, *([change] if change else []))
 
 
