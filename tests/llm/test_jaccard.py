@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import wideflow.llm.common as common
 import wideflow.llm.jaccard as jaccard
 from data import SCHEMA, rows, shingles
 from wideflow.llm.components import components
@@ -110,6 +111,43 @@ def test_components_of_chains_stars_and_loops(spark):
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 160)}, 500: 500, 501: 500}
 
 
+def test_hot_ids_and_components(spark, monkeypatch):
+    """A hub with a third of all links, and components relabelled while one holds most rows, by the way for hot keys."""
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    rnd = random.Random(5)
+    edges = [(9000, i) for i in range(400)] + [(3, 1000 + i) for i in range(300)] + [(2000 + rnd.randrange(600), 2000 + rnd.randrange(600)) for _ in range(500)]
+    used = []
+    join = common.join_unique
+    monkeypatch.setattr("wideflow.llm.components.join_unique", lambda *a, **k: used.append(join(*a, **k)) or used[-1])
+    got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        if a != b:
+            u, v = sorted((root(a), root(b)))
+            parent[v] = u
+    assert got == {x: root(x) for x in parent} and got[9000] == got[1000] == 0
+    assert any("Union" in d._jdf.queryExecution().optimizedPlan().toString() and "broadcast" in d._jdf.queryExecution().optimizedPlan().toString()
+               for d in used)
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join([*words, f"x{i % 40}"])) for i in range(120)] + [(500 + i, " ".join(f"{i}y{j}" for j in range(20))) for i in range(40)]
+    check(spark, docs, 5, 4, 5)
+
+
+def test_unique_join_equals_the_plain_one(spark, monkeypatch):
+    rows_ = spark.createDataFrame([(i % 3 and 7, i) for i in range(90)] + [(None, 1), (8, 2), (9, 3)], "k long, v long")
+    side = spark.createDataFrame([(7, "a"), (8, "b"), (10, "c")], "k long, w string")
+    for how in ("inner", "left"):
+        want = sorted(map(str, rows_.join(side, "k", how).collect()))
+        for least in (10, 1000):
+            monkeypatch.setattr(common, "HOT_ROWS", least)
+            assert sorted(map(str, common.join_unique(rows_, side, "k", how).collect())) == want
+
+
 def test_long_words_that_collide_modulo_powers_of_two_differ():
     """Thue-Morse words have equal polynomial hashes modulo 2**64 whatever the base."""
     a = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))

@@ -79,6 +79,30 @@ def small_enough(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+#: A join key of ``join_unique`` needs at least so many rows (and more than a fair share of all for each shuffle partition) to be hot.
+HOT_ROWS = 100_000
+
+
+def join_unique(rows: DataFrame, side: DataFrame, key: str, how: str = "inner", n: int | None = None) -> DataFrame:
+    """``rows.join(side, key, how)`` for a ``side`` that has each key once, without sending a hot key's rows to one task.
+
+    Keys that hold more than a fair share of the rows are fewer than the shuffle partitions: their rows of ``side`` are broadcast and
+    the rows stay where they are. ``rows`` should lie on disk; ``n`` is a bound of their number, if one is known.
+    """
+    spark = rows.sparkSession
+    n = rows.count() if n is None else n
+    share = max(n // max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), HOT_ROWS)
+    if n <= share:
+        return rows.join(side, key, how)
+    often = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > share).select(key)
+    hot = spark.createDataFrame(often.collect(), often.schema)
+    if hot.isEmpty():
+        return rows.join(side, key, how)
+    few = side.join(F.broadcast(hot), key, "left_semi")
+    return (rows.join(F.broadcast(hot), key, "left_anti").join(side, key, how)
+            .unionByName(rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(few), key, how)))
+
+
 def text_slices(texts: list[str | None], max_chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Index ranges over ``texts`` of about ``max_chars`` characters each (one text at least)."""
     start, held = 0, 0

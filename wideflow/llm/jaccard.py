@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import find_package, small_enough, staged, text_or_empty
+from .common import find_package, join_unique, small_enough, staged, text_or_empty
 from .components import components
 from .shingles import mix, shingle_sets
 
@@ -439,7 +439,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
         """Components after further links: those of the graph whose nodes are the components so far."""
         to = components(labelled(links, labels).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         to = to.select(F.col("id").alias("component"), F.col("component").alias("to"))
-        old = labels.join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+        old = join_unique(labels, to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
         new = to.select(F.col("component").alias("id"), F.col("to").alias("component")).join(labels, "id", "left_anti")
         return staged(old.union(new), "jaccard-labels")
 
