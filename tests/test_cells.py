@@ -185,3 +185,26 @@ def test_put_writes_follow_the_number_of_partitions(spark):
     store.sync_cells(fx.cells(spark, SF_SMALL), path, run_ts=T0, family="ev", layout="put", num_partitions=3)
     local = path[len("file:"):] if path.startswith("file:") else path
     assert 1 < len(glob.glob(os.path.join(local, "family=ev", "batch=*", "*.parquet"))) <= 3
+
+
+def test_latest_by_row_is_latest(spark):
+    rows = [(f"k{i % 7}", "f" if i % 3 else "g", f"q{i % 4}", T0 if i % 5 else T1, i % 6, None if i % 11 == 0 else f"v{i % 13}") for i in range(400)]
+    rows += [("k1", "f", "q0", T1, 9, None), ("k1", "f", "q0", T1, 9, "a"), ("k1", "f", "q0", T1, 9, "a"), (None, "f", "q", T0, 1, "a"),
+             (None, "f", "q", T0, 1, "b"), ("k", None, "q", T0, None, "a"), ("k", None, "q", None, 3, "b"), ("k", "f", None, T0, 1, "é"), ("", "f", "", T0, 1, "")]
+    for cells in (_cells(spark, rows), _cells(spark, rows).coalesce(1).sort("family", "row_key", "qualifier"), _cells(spark, [])):
+        want = sorted(map(repr, C.latest(cells).collect()))
+        assert sorted(map(repr, C.latest_by_row(cells).collect())) == want
+        assert sorted(map(repr, C.latest_by_row(cells, pack=False).collect())) == want
+
+
+def test_latest_by_row_exchanges_a_row_once(spark):
+    """24 cells of a row travel as one row, by row key alone, into tasks whose number follows the stored bytes."""
+    path = fresh_path(spark, "runs")
+    rows = [(f"k{i:05d}", "f", f"q{q:02d}", T0, 1, f"v{i % 10}") for i in range(500) for q in range(24)]
+    S.write_cells_sorted(_cells(spark, rows), path)
+    cells = S.read_cells(spark, path)
+    runs = sum(b.num_rows for b in C._runs(iter(cells.coalesce(1).sort("row_key", "qualifier").toArrow().to_batches())))
+    assert 500 <= runs <= 510
+    for pack in (True, False):
+        plan = C.latest_by_row(cells, pack)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "hashpartitioning(row_key" in plan and "REPARTITION_BY_NUM" in plan

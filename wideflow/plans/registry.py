@@ -188,7 +188,7 @@ DK_LWW = O.dedupe_sql("dk", "row_key", O.DETAIL16, "row_key, " + O.DETAIL16 + ",
 def q_upsert_detail(spark, sf_dir):
     path = fresh_path(spark, "upsert_detail")
     store.load_detail(_dtl(spark, sf_dir), fx.code_by_tax(spark, sf_dir), path, layout="put")
-    return _cells_out(C.latest(S.read_cells(spark, path)))
+    return _cells_out(C.latest_by_row(S.read_cells(spark, path)))
 
 
 @register("bulk_header_cells", W(HK1, O.unpivot_sql("h1", O.HEADER24, "fpxx", O.fill_m1)))

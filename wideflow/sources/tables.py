@@ -27,11 +27,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if scan_tasks(df) < target else df
 
 
-def scan_tasks(df: DataFrame) -> int:
-    """About how many tasks a plan's input splits into, from its estimated bytes."""
+def scan_tasks(df: DataFrame, split: int | None = None) -> int:
+    """About how many tasks a plan's input splits into, from its estimated bytes (by default as Spark splits files)."""
     spark = df.sparkSession
     n_bytes = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    split = split or spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     return -(-n_bytes // split)
 
 
