@@ -73,7 +73,7 @@ def header_codes(df: DataFrame, by_name: DataFrame, by_tax: DataFrame,
              seller_expr(F.col("_n"), F.col("_t"), rule).alias("xfqybm")]
     # each lookup is planned on its own; seller and buyer names share one dictionary
     out = lookup_columns(keyed, by_name, {_NK: "_n", _BK: "_b"}, max_bytes)
-    out = lookup_columns(out, by_tax, {_TK: "_t"}, max_bytes)
+    out = lookup_columns(out, by_tax, {_TK: "_t"}, max_bytes, probes=keyed)
     out = out.select(*keyed.columns, *codes)
     if gate is not None:
         # rows outside the gate have blank keys; they carry no codes

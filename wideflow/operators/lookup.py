@@ -67,11 +67,25 @@ def measure(df: DataFrame, max_bytes: int | None = None, persist: bool = True) -
     return df, (limit > 0 and est <= limit)
 
 
-def lookup_columns(df: DataFrame, lookup: DataFrame, columns: dict[str, str], max_bytes: int | None = None) -> DataFrame:
+#: HotSpot does not compile methods of more bytes than this.
+HUGE_METHOD = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+def compiled(spark) -> None:
+    """Stages of a load fuse cleaning, key building and lookups into one generated method that HotSpot would only interpret;
+    with this limit Spark runs such a stage operator by operator, in methods that are compiled. A limit set by the caller stays."""
+    if spark.conf.get(HUGE_METHOD[0], None) is None:
+        spark.conf.set(*HUGE_METHOD)
+
+
+def lookup_columns(df: DataFrame, lookup: DataFrame, columns: dict[str, str], max_bytes: int | None = None,
+                   probes: DataFrame | None = None) -> DataFrame:
     """``df`` with the looked-up value of each probe column (key column -> new column; NULL if absent).
 
-    ``max_bytes`` overrides the session's bound for broadcasting.
+    ``max_bytes`` overrides the session's bound for broadcasting. ``probes``: a frame with the same probe keys that is cheaper to
+    compute than ``df`` (``df`` before an earlier lookup); the key dictionary is made from it.
     """
+    compiled(df.sparkSession)
     _, small = measure(_lookup_rows(lookup), max_bytes, persist=False)
     unique = unique_lookup(lookup)
     if small:
@@ -80,7 +94,7 @@ def lookup_columns(df: DataFrame, lookup: DataFrame, columns: dict[str, str], ma
         return df
     which = F.explode(F.array(*[F.struct(F.col(k).alias("k"), F.lit(i).alias("i")) for i, k in enumerate(columns)]))
     rows = [F.count(F.when(F.col("p.i") == i, 1)).alias(f"_rows{i}") for i in range(len(columns))]
-    keys = df.select(which.alias("p")).where(F.col("p.k") != NO_KEY).groupBy(F.col("p.k").alias("row_key")).agg(*rows)
+    keys = (df if probes is None else probes).select(which.alias("p")).where(F.col("p.k") != NO_KEY).groupBy(F.col("p.k").alias("row_key")).agg(*rows)
     found, small = measure(keys.join(unique, "row_key"), max_bytes)
     for i, (key, out) in enumerate(columns.items()):
         entry = found.where(F.col(f"_rows{i}") > 0).select(F.col("row_key").alias(key), F.col("qybm").alias(out), F.col(f"_rows{i}").alias("_rows"))
