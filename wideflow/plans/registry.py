@@ -195,7 +195,7 @@ def q_upsert_detail(spark, sf_dir):
 def q_bulk_header_cells(spark, sf_dir):
     path = fresh_path(spark, "bulk_header")
     store.load_header(_hdr(spark, sf_dir), *_lk(spark, sf_dir), YEAR, path, layout="bulk")
-    return _cells_out(C.latest(S.read_cells(spark, path)))
+    return _cells_out(C.latest_by_row(S.read_cells(spark, path), pack=False))
 
 
 @register("aligned_header_cells", W(HK1, O.unpivot_sql("h1", O.HEADER24, "fpxx", O.fill_m1)))
