@@ -40,3 +40,16 @@ def test_limit_of_compiled_methods(spark):
         assert spark.conf.get(key) == "60000"  # the caller's choice stays
     finally:
         spark.conf.unset(key)
+
+
+def test_column_of_few_keys_is_broadcast_beside_one_of_many(spark):
+    names = [(f"s{i % 5}", f"b{i}") for i in range(200)]
+    header = spark.createDataFrame([tuple({"xfmc": s, "gfmc": b}.get(c) for c in HEADER_COLS) for s, b in names],
+                                   ", ".join(f"{c} string" for c in HEADER_COLS))
+    by_name = spark.createDataFrame([(k, k.upper()) for pair in names for k in pair], "row_key string, qybm string")
+    by_tax = spark.createDataFrame([("t1", "T1")], "row_key string, qybm string")
+    got = enrich.header_codes(header, by_name, by_tax, max_bytes=1000)
+    salted = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line and "_salt#" in line]
+    assert any("_buyer_key" in line for line in salted) and not any("_name_key" in line for line in salted)
+    rows = got.select("xfmc", "gfmc", "xfqybm", "gfqybm").collect()
+    assert sorted(map(tuple, rows)) == sorted((s, b, s.upper(), b.upper()) for s, b in names)

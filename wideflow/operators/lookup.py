@@ -9,8 +9,8 @@ lookup on its own from its measured size (``lookup_columns``):
   lookup together) are collected with a partial (map-side) aggregate that also
   counts rows per key, resolved against the lookup - unique on both sides, so
   no task is hot - written to the shared work folder, and attached to the wide
-  rows: broadcast if that dictionary is measured small, else a shuffle join in
-  which hot keys and blank keys are salted (``salt_hot_keys``).
+  rows: broadcast for each column whose part of that dictionary is measured small,
+  else a shuffle join in which hot keys and blank keys are salted (``salt_hot_keys``).
 
 Blank probe keys use the marker '' (never NULL): a trimmed, non-blank key can
 never be '', and lookup rows keyed '' are dropped, so the marker cannot match.
@@ -98,7 +98,8 @@ def lookup_columns(df: DataFrame, lookup: DataFrame, columns: dict[str, str], ma
     found, small = measure(keys.join(unique, "row_key"), max_bytes)
     for i, (key, out) in enumerate(columns.items()):
         entry = found.where(F.col(f"_rows{i}") > 0).select(F.col("row_key").alias(key), F.col("qybm").alias(out), F.col(f"_rows{i}").alias("_rows"))
-        if small:
+        # a column with few keys is attached without moving the wide rows, whatever the others need
+        if small or measure(entry.drop("_rows"), max_bytes, persist=False)[1]:
             df = df.join(F.broadcast(entry.drop("_rows")), key, "left")
         else:
             wide, entry = salt_hot_keys(df, entry, [key], "_rows")
