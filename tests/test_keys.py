@@ -125,3 +125,11 @@ def test_md5_matches_hashlib(spark):
     got = _eval(spark, [(v,) for v in vals], "s string", "s", X.md5_hex("s").alias("h"))
     for s, h in got:
         assert h == hashlib.md5(s.encode("utf-8")).hexdigest()
+
+
+def test_trim_passes_on_what_needs_none(spark):
+    texts = [None, "", " ", "\t \x00", "a", "!a!", " a", "a\x1f", " a b\x01", " a　", "é", "\U0001f600 ", "~\x7f", "a \n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.jtrim("t").alias("trimmed"))
+    low = "".join(map(chr, range(0x21)))
+    assert {r.t: r.trimmed for r in df.collect()} == {t: None if t is None else t.strip(low) for t in texts}
+    assert "CASE WHEN" in df._jdf.queryExecution().optimizedPlan().toString()  # btrim only where an end may go

@@ -41,8 +41,13 @@ def not_blank(c) -> Column:
 
 
 def jtrim(c) -> Column:
-    """Java-style trim: control characters and spaces at both ends."""
-    return F.btrim(_c(c), F.lit(JAVA_WS))
+    """Java-style trim: control characters and spaces at both ends.
+
+    ``btrim`` with a character set takes the whole text apart; only a text that begins or ends with such a character
+    (all sort before '!') goes through it.
+    """
+    c = _c(c)
+    return F.when((c < "!") | (F.right(c, F.lit(1)) < "!"), F.btrim(c, F.lit(JAVA_WS))).otherwise(c)
 
 
 def fill_minus_one(c) -> Column:

@@ -14,6 +14,9 @@ Three rule sets exist in the source jobs and are kept selectable:
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +30,10 @@ _NK, _TK, _BK = "_name_key", "_tax_key", "_buyer_key"
 
 def _key(c: Column, when_ok: Column | None = None, blank_test=None) -> Column:
     t = F.coalesce(jtrim(c), F.lit(NO_KEY))
-    ok = (t != NO_KEY) if blank_test is None else ~blank_test(t)
-    if when_ok is not None:
-        ok = ok & when_ok
-    return F.when(ok, t).otherwise(F.lit(NO_KEY))
+    ok = [when_ok] if when_ok is not None else []
+    if blank_test is not None:
+        ok.append(~blank_test(t))
+    return F.when(reduce(and_, ok), t).otherwise(F.lit(NO_KEY)) if ok else t
 
 
 def _found(c: Column) -> Column:
