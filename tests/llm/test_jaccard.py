@@ -95,6 +95,62 @@ def test_components_equal_those_of_all_pairs(spark, monkeypatch, block):
     check(spark, list(enumerate(texts)), 4, 85, 100)
 
 
+@pytest.mark.parametrize(("num", "den"), [(85, 100), (4, 5), (19, 20)])
+def test_similar_sets_keep_a_shared_signature(spark, num, den):
+    """Whatever the common order of signatures, of those that two similar sets share one is kept by both."""
+    plan, rng, cases = plan_for(num, den), np.random.default_rng(4), []
+    mark = np.uint64(jaccard.SCHEMES - 1)
+    for _ in range(600):
+        a = np.unique(rng.integers(0, 2 ** 64, int(rng.integers(50, 900)), dtype=np.uint64))
+        most = len(a) * (den - num) // (den + num)  # as different as may be, by exchanged elements or by size
+        b = a[rng.permutation(len(a))[int(rng.integers(0, 2 * most + 2)):]]
+        b = np.unique(np.r_[b, rng.integers(0, 2 ** 64, int(rng.integers(0, most + 2)), dtype=np.uint64)])
+        if len(b) and plan.similar(len(np.intersect1d(a, b)), len(a), len(b)):
+            cases.append((a, b))
+    assert len(cases) > 60
+    wanted = sorted({(len(s), int(e)) for pair in cases for s in pair for e in np.unique(plan.entries(s) & mark)})
+    wanted += [(None, b) for b in range(min(len(plan.bands), jaccard.SCHEMES))]
+    df = spark.createDataFrame(wanted, "n long, band long").select("n", "band", plan.leave().alias("leave"))
+    leave = {(r.n, r.band): r.leave for r in df.collect()}
+    for b, (_, two, _, heavy) in enumerate(plan.bands[:jaccard.SCHEMES]):
+        assert leave[None, b] <= (heavy if two else 2 * heavy)
+        assert all(v >= leave[None, b] for (n, e), v in leave.items() if e == b and n is not None)
+    for a, b in cases:
+        x, y = plan.entries(a), plan.entries(b)
+        band = max(set((x & mark).tolist()) & set((y & mark).tolist()))
+        if plan.bands[band][1]:
+            continue  # the other test's
+        x, y = set(x[x & mark == np.uint64(band)].tolist()), set(y[y & mark == np.uint64(band)].tolist())
+        # Worst: all that they share is more frequent than the rest.
+        order = sorted(x & y) + sorted(x ^ y)
+        left = [set([s for s in order if s in z][leave[len(c), band]:]) for z, c in ((x, a), (y, b))]
+        assert left[0] & left[1]
+
+
+def test_documents_that_share_passages_only_are_not_compared(spark, monkeypatch):
+    """Three of six passages in each of many documents: few of their signatures come to the blocks of all pairs."""
+    rnd = random.Random(8)
+    passages = [" ".join(f"p{i}w{j}" for j in range(25)) for i in range(6)]
+    docs = [(i, " ".join([f"d{i}u{j}" for j in range(120)] + rnd.sample(passages, 3) + [f"d{i}v{j}" for j in range(120)])) for i in range(150)]
+    docs += [(1000 + i, docs[7][1].replace(f"d7u{i}", "x")) for i in range(0, 100, 9)]
+    looked, across = spark.sparkContext.accumulator(0), jaccard._across
+
+    def counted(*args):
+        run = across(*args)
+
+        def watched(batches):
+            def passed():
+                for b in batches:
+                    looked.add(b.num_rows)
+                    yield b
+            yield from run(passed())
+        return watched
+
+    monkeypatch.setattr(jaccard, "_across", counted)
+    check(spark, docs, 5, 4, 5)
+    assert looked.value < 2 * len(docs)
+
+
 def test_hard_rows(spark):
     check(spark, [(r[0], r[1]) for r in rows()], 5, 4, 5)
 

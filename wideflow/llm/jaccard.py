@@ -25,8 +25,8 @@ most pairs; sets with equal fingerprints need no look; the rest compare whole se
 anew from the whole texts. Members of a signature whose star links all hold are connected,
 whatever their other links. Only for signatures with members in different components, pairs across
 components are looked at too, where each set first leaves its most frequent signatures
-(passages that many documents share): in blocks of members, by their sketches, and only those that
-pass become rows, after a round for each component's closest pairs alone has connected most. So the components equal those of all links without making all pairs.
+(passages that many documents share), as many as its size allows (``Plan.leave``): in blocks of members, by their sketches, and
+only those that pass become rows, after a round for each component's closest pairs alone has connected most. So the components equal those of all links without making all pairs.
 
 Defined cases: texts without words, null texts included, have an empty set and no links;
 rows with a null id are returned with a null component and link with nothing; rows that
@@ -43,7 +43,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import find_package, join_unique, small_enough, staged, text_or_empty
@@ -106,6 +106,24 @@ class Plan:
             b -= 1
         return list(range(b, own + 1))
 
+    def leave(self, divide: int = 1) -> Column:
+        """How many of its signatures of a band (columns ``n``, ``band``) a member may leave, or a part of them; the fixed number for a null ``n``.
+
+        Similar sets differ in at most H elements, so without level 2 they share m - 2 * skip - H signatures of their band or more. All members
+        order signatures alike, the most frequent first, and so a side that leaves fewer than these still has the
+        last of them. H is least for small sets, also within a band. Bands with level 2, or with the mark of another band, have a fixed number.
+        """
+        fixed, spare, high = [], [], []
+        for b in range(min(len(self.bands), SCHEMES)):
+            marked = self.bands[b::SCHEMES]
+            m, two, skip, _ = marked[0]
+            fixed.append(min(h if t else 2 * h for _, t, _, h in marked))
+            spare.append("NULL" if two or len(marked) > 1 else m - 2 * skip - 1)
+            high.append(self.low[b + 1] - 1)
+        of_band = ["element_at(array({}), cast(band + 1 AS int))".format(", ".join(f"cast({x} AS bigint)" for x in xs)) for xs in (fixed, spare, high)]
+        differ = f"(n + if(n <= {of_band[2]}, n * {self.den} div {self.num}, {of_band[2]})) * {self.den - self.num} div {self.den + self.num}"
+        return F.expr(f"coalesce({of_band[1]} - {differ}, {of_band[0]}) div {divide}")
+
     def similar(self, shared: int, r: int, s: int) -> bool:
         return shared > 0 and shared * self.den >= self.num * (r + s - shared)
 
@@ -466,15 +484,18 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
         members = (near.join(split.hint("merge"), "sig", "left_semi").select("sig", F.explode(F.array("centre", "id")).alias("id"))
                    .dropDuplicates(["sig", "id"]).withColumn("k", F.count("*").over(Window.partitionBy("sig"))))
         # By member: it leaves its most frequent signatures of each band (the plan's levels allow for that), and
-        # gets its smallest ones of the others, its component, size and sketch.
-        band = F.col("sig").bitwiseAND(SCHEMES - 1)
-        heavy = [b[3] // 8 if only_best else b[3] for b in plan_for(num, den).bands]
-        allowed = F.element_at(F.array(*map(F.lit, heavy)), (band + 1).cast("int"))
-        rank = F.row_number().over(Window.partitionBy("id", band).orderBy(F.desc("k"), "sig"))
+        # gets its smallest ones of the others. An id of several sizes leaves what any size may.
+        sizes = known.groupBy("id").agg(F.when(F.min("n") == F.max("n"), F.min("n").cast("long")).alias("n"))
+        rank = F.row_number().over(Window.partitionBy("id", "band").orderBy(F.desc("k"), "sig"))
         own = Window.partitionBy("id").orderBy("sig").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        members = (members.repartition("id").withColumn("rank", rank).where(F.col("rank") > allowed)
-                   .withColumn("low", F.array_compact(F.array(*[F.nth_value("sig", n + 1).over(own) for n in range(LOW)])))
-                   .join(known, "id").join(labels, "id", "left").withColumn("c", F.coalesce("component", "id")))
+        members = (members.join(sizes, "id").withColumn("band", F.col("sig").bitwiseAND(SCHEMES - 1))
+                   .withColumn("rank", rank).where(F.col("rank") > plan_for(num, den).leave(8 if only_best else 1))
+                   .withColumn("low", F.array_compact(F.array(*[F.nth_value("sig", n + 1).over(own) for n in range(LOW)]))))
+        members = staged(members.select("sig", "id", "low"), "jaccard-members")
+        # Signatures that several members keep: those members with their components, sizes and sketches.
+        several = members.groupBy("sig").agg(F.count("*").alias("k")).where("k > 1")
+        members = (join_unique(members, several, "sig").join(known, "id").join(labels, "id", "left")
+                   .withColumn("c", F.coalesce("component", "id")))
         # By block: parts of a signature's members against each other.
         parts = F.ceil(F.col("k") / BLOCK).cast("int")
         parted = (members.withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
