@@ -208,3 +208,30 @@ def test_latest_by_row_exchanges_a_row_once(spark):
     for pack in (True, False):
         plan = C.latest_by_row(cells, pack)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange") == 1 and "hashpartitioning(row_key" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_latest_of_repeated_is_latest(spark):
+    rows = [(f"k{i % 7}", "f" if i % 3 else "g", f"q{i % 4}", T0 if i % 5 else T1, i % 6, None if i % 11 == 0 else f"v{i % 13}") for i in range(400)]
+    rows += [(f"single{i}", f, f"q{q}", T0, 1, f"v{i}{q}") for i in range(50) for f in "fg" for q in range(4)]
+    rows += [(None, "f", "q", T0, 1, "a"), ("k", None, "q", T0, None, "a"), ("k", "f", None, T0, 1, "é"), ("", "f", "", T0, 1, ""), ("two", None, "q", T0, 1, "a"), ("two", None, "q", T1, 1, "b")]
+    many = [(f"k{i % 5}", "f", f"q{i}", T0, 1, "v") for i in range(C.NAMED_CELLS + 1)] + [("k0", "f", "q0", T1, 2, "w")]
+    at_most = [r for r in many if r[2] != "q1"]
+    for some in (rows, [*rows, (None, "f", "q", T1, 1, "b")], many, at_most, rows[400:-1], []):
+        cells = _cells(spark, some).repartition(5)
+        want = sorted(map(repr, C.latest(cells).collect()))
+        assert sorted(map(repr, C.latest_of_repeated(cells).collect())) == want
+        spark.conf.set("wideflow.broadcastMaxBytes", "0")
+        try:
+            assert sorted(map(repr, C.latest_of_repeated(cells).collect())) == want
+        finally:
+            spark.conf.unset("wideflow.broadcastMaxBytes")
+
+
+def test_rows_stored_once_are_read_without_an_exchange(spark):
+    path = fresh_path(spark, "once")
+    S.write_cells(_cells(spark, [(f"k{i:05d}", "f", f"q{q:02d}", T0, 1, f"v{i % 10}") for i in range(500) for q in range(24)]), path)
+    plan = C.latest_of_repeated(S.read_cells(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    S.write_cells(_cells(spark, [("k00003", "f", "q01", T1, 2, "new")]), path)
+    read = C.latest_of_repeated(S.read_cells(spark, path))
+    assert read.count() == 500 * 24 and read.where("value = 'new'").count() == 1

@@ -1,9 +1,13 @@
 """Streaming load: files arriving over several micro-batches give the batch result."""
 
+import os
+import time
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from wideflow.operators import cells as C
+from wideflow.operators import merge as M
 from wideflow.plans import store
 from wideflow.session import fresh_path
 from wideflow.sinks import files as S
@@ -45,3 +49,49 @@ def test_replayed_epoch_changes_nothing(spark):
     once, again = epoch(), epoch()
     assert once == again and once[1] > 0
     assert sync.epoch_stamp(spark, ckpt, 4) >= sync.epoch_stamp(spark, ckpt, 3)
+
+
+def test_stored_rows_are_deduped_as_others(spark):
+    rows = [(f"k{i % 300}", f"{i % 7}", None if i % 5 == 0 else "b") for i in range(320)] + [(None, "1", "x"), (None, None, "y"), ("", "1", "x")]
+    for some in (rows, rows[:300], []):
+        df = spark.createDataFrame(some, "row_key string, a string, b string").repartition(3)
+        want = sorted(map(repr, M.dedupe_rows(df, "row_key", ["a"]).collect()))
+        for limit in ("33554432", "0"):
+            spark.conf.set("wideflow.broadcastMaxBytes", limit)
+            try:
+                assert sorted(map(repr, M.dedupe_stored(df, "row_key", ["a"], fresh_path(spark, "t-repeated")).collect())) == want
+            finally:
+                spark.conf.unset("wideflow.broadcastMaxBytes")
+
+
+def test_stream_of_lines_leaves_no_shuffle_files(spark):
+    """The shuffles of the stream's joins are dropped once an epoch's rows are staged, those of its load when it ends."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        paths = (found.apply(i).getPath() for i in range(found.size()))
+        return {p: os.path.getsize(p) for p in paths if os.path.basename(p).startswith("shuffle_") and os.path.exists(p)}
+
+    lines = sync.read_stream(spark, SF_SMALL, fx.read_table(spark, SF_SMALL, "lineitem").schema, file_glob="lineitem.parquet")
+    sql, tables = fx.FIXTURES["inv_detail"]
+    detail = spark.sql(sql, **{t: lines if t == "lineitem" else fx.read_table(spark, SF_SMALL, t) for t in tables})
+    path, batch_path = fresh_path(spark, "t-lines"), fresh_path(spark, "t-lines-batch")
+    before, keep = files(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = sync.start_detail_load(detail, fx.code_by_tax(spark, SF_SMALL), path, fresh_path(spark, "t-lines-ckpt"), available_now=True)
+        assert spark.conf.get(sync.DROP_SHUFFLES, None) is None
+        q.awaitTermination()
+        for _ in range(50):
+            left = sum(n for p, n in files().items() if p not in before)
+            if left < 10_000:
+                break
+            time.sleep(0.2)
+        assert left < 10_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    store.load_detail(fx.inv_detail(spark, SF_SMALL), fx.code_by_tax(spark, SF_SMALL), batch_path)
+    streamed, loaded = (sorted(map(str, read(S.read_cells(spark, p)).select("row_key", "qualifier", "value").collect()))
+                        for read, p in ((C.latest_of_repeated, path), (C.latest, batch_path)))
+    assert streamed == loaded

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.text import FILLS
 from ..schema import CELL_COLS, CELL_ID
 from ..sources.tables import scan_tasks
+from .lookup import measure
 
 
 def unpivot(df: DataFrame, cols: list[str], family: str, key: str = "row_key",
@@ -131,6 +132,35 @@ def latest_by_row(cells: DataFrame, pack: bool = True) -> DataFrame:
     return latest(cells.repartition(tasks, "row_key"))
 
 
+#: A long has so many bits besides its sign: one for each name of a cell.
+NAMED_CELLS = 63
+
+
+def latest_of_repeated(cells: DataFrame) -> DataFrame:
+    """``latest`` for stored cells of rows most of which were written once: only rows that may hold a cell twice are exchanged and resolved.
+
+    One pass takes, by a hash of the row key, the number of cells and a bit for each name (family and qualifier) among them. Rows with as many
+    bits as cells hold each cell once and stay where they are; rows that share a hash count as one, so they are merely resolved too. The pass exchanges one
+    small row per key and task. With more than ``NAMED_CELLS`` names, or more such rows than may be broadcast, all rows go to ``latest_by_row``.
+    """
+    cells = cells.select(*CELL_COLS)
+    names = cells.select("family", "qualifier").distinct().limit(NAMED_CELLS + 1).collect()
+    if len(names) > NAMED_CELLS:
+        return latest_by_row(cells)
+    bit = F.lit(0).cast("bigint")
+    for i, n in enumerate(names):
+        bit = F.when(F.col("family").eqNullSafe(n["family"]) & F.col("qualifier").eqNullSafe(n["qualifier"]), F.lit(1 << i)).otherwise(bit)
+    hashed = cells.withColumn("_hash", F.xxhash64("row_key"))
+    held = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"), F.bit_or(bit).alias("_names"))
+    often, few = measure(held.where(F.bit_count("_names") < F.col("_n")).select("_hash"))
+    if not few:
+        return latest_by_row(cells)
+    if often.isEmpty():
+        return cells
+    return (hashed.join(F.broadcast(often), "_hash", "left_anti").select(*CELL_COLS)
+            .unionByName(latest(hashed.join(F.broadcast(often), "_hash", "left_semi").select(*CELL_COLS))))
+
+
 def scan(cells: DataFrame, start: str | None = None, stop: str | None = None,
          ts_from=None, ts_to=None, at_ts=None, families: list[str] | None = None,
          qualifiers: list[str] | None = None) -> DataFrame:

@@ -46,19 +46,19 @@ def broadcast_max_bytes(spark) -> int:
     return int(v) if v else DEFAULT_BROADCAST_MAX_BYTES
 
 
-def measure(df: DataFrame, max_bytes: int | None = None, persist: bool = True) -> tuple[DataFrame, bool]:
+def measure(df: DataFrame, max_bytes: int | None = None, persist: bool = True, path: str | None = None) -> tuple[DataFrame, bool]:
     """Measure a derived table and say whether it may be broadcast.
 
     The measurement is one aggregate over its rows (bytes of every column plus
     a per-row overhead); the bound is ``wideflow.broadcastMaxBytes``. With
     ``persist`` the rows are written once to the shared work folder (for tables
     that are expensive to recompute, such as a key dictionary of the whole
-    input): the join that follows reads them from there and the lineage is cut.
+    input): the join that follows reads them from there and the lineage is cut. The caller may name the folder, to remove it.
     """
     spark = df.sparkSession
     limit = broadcast_max_bytes(spark) if max_bytes is None else max_bytes
     if persist:
-        path, schema = fresh_path(spark, "dictionary"), df.schema
+        path, schema = path or fresh_path(spark, "dictionary"), df.schema
         df.write.parquet(path)
         df = spark.read.schema(schema).parquet(path)
     width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns)

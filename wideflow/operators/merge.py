@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..schema import CELL_COLS
 from .cells import latest, scan, ts_lit
-from .lookup import DEFAULT_HOT_KEY_MIN_ROWS
+from .lookup import DEFAULT_HOT_KEY_MIN_ROWS, measure
 
 TS_POLICIES = ("write_time", "source")
 
@@ -35,6 +35,24 @@ def dedupe_rows(df: DataFrame, key: str, order_cols: list[str], within: str | No
     return df.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
 
 
+def dedupe_stored(df: DataFrame, key: str, order_cols: list[str], work: str) -> DataFrame:
+    """``dedupe_rows`` for rows on disk most of whose keys come once: those stay in their tasks, and only rows of other keys are exchanged.
+
+    One pass counts rows by a hash of the key; keys that share a hash count as one, so they are merely exchanged too. The hashes that come more often are
+    written to the folder ``work``, for the caller to remove. If they are too many to be broadcast, all rows are exchanged.
+    The rows of each task leave sorted by key. ``df`` is read up to three times.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(key))
+    often, few = measure(hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash"), path=work)
+    if not few:
+        return dedupe_rows(df, key, order_cols)
+    once = df if often.isEmpty() else hashed.join(F.broadcast(often), "_hash", "left_anti").drop("_hash")
+    once = once.sortWithinPartitions(key)
+    if often.isEmpty():
+        return once
+    return once.unionByName(dedupe_rows(hashed.join(F.broadcast(often), "_hash", "left_semi").drop("_hash"), key, order_cols))
+
+
 def settle_hot_keys(df: DataFrame, key: str, order_cols: list[str], min_rows: int | None = None) -> DataFrame:
     """``df`` with only the winners (``dedupe_rows``) of its hot keys; all rows of other keys stay.
 

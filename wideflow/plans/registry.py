@@ -260,7 +260,7 @@ def q_stream_detail_upsert(spark, sf_dir):
     path, ckpt = fresh_path(spark, "stream_detail"), fresh_path(spark, "stream_ckpt")
     q = stream_sync.start_detail_load(detail, fx.code_by_tax(spark, sf_dir), path, ckpt, available_now=True)
     q.awaitTermination()
-    return _cells_out(C.latest_by_row(S.read_cells(spark, path)))
+    return _cells_out(C.latest_of_repeated(S.read_cells(spark, path)))
 
 
 @register("compact_in_place", W(CELLS, O.latest_sql("cells")))

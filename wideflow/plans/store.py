@@ -18,13 +18,14 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cells import latest, multi_get, scan, select_versions, stamp, unpivot
-from ..operators.merge import dedupe_rows, restamp, settle_hot_keys
+from ..operators.merge import dedupe_rows, dedupe_stored, restamp, settle_hot_keys
 from ..schema import CELL_ID, DETAIL_COLS, DETAIL_FAMILY, HEADER_FAMILY, HEADER_STORED_COLS
 from ..session import fresh_path, remove_path
 from ..sinks import bounds, live, ranges
@@ -67,13 +68,15 @@ def detail_rows_lww(rows: DataFrame) -> DataFrame:
     return dedupe_rows(rows, "row_key", DETAIL_COLS, _within(rows))
 
 
-def header_cells(rows: DataFrame, fill: str = "-1") -> DataFrame:
-    """Accepted header rows -> 24 cells per key in family fpxx, in qualifier order."""
-    return unpivot(header_rows_lww(rows), sorted(HEADER_STORED_COLS), HEADER_FAMILY, fill=fill)
+def header_cells(rows: DataFrame, fill: str = "-1", work: str | None = None) -> DataFrame:
+    """Accepted header rows -> 24 cells per key in family fpxx, in qualifier order. Rows on disk are de-duplicated with a folder ``work``."""
+    rows = dedupe_stored(rows, "row_key", HEADER_STORED_COLS, work) if work else header_rows_lww(rows)
+    return unpivot(rows, sorted(HEADER_STORED_COLS), HEADER_FAMILY, fill=fill)
 
 
-def detail_cells(rows: DataFrame, fill: str = "-1") -> DataFrame:
-    return unpivot(detail_rows_lww(rows).select("row_key", *DETAIL_COLS), sorted(DETAIL_COLS), DETAIL_FAMILY, fill=fill)
+def detail_cells(rows: DataFrame, fill: str = "-1", work: str | None = None) -> DataFrame:
+    rows = dedupe_stored(rows, "row_key", DETAIL_COLS, work) if work else detail_rows_lww(rows)
+    return unpivot(rows.select("row_key", *DETAIL_COLS), sorted(DETAIL_COLS), DETAIL_FAMILY, fill=fill)
 
 
 def _arranged(df: DataFrame, layout: str, num_partitions: int | None, table_path: str,
@@ -93,30 +96,33 @@ def _arranged(df: DataFrame, layout: str, num_partitions: int | None, table_path
 
 def _load(tagged: DataFrame, to_cells, order_cols: list[str], family: str, table_path: str, rejects_path: str | None, layout: str,
           run_ts, seq, replace: bool, num_partitions, max_records_per_file, batch: str | None, rows_per_range: int | None,
-          counted: bool) -> LoadCounts | None:
+          counted: bool, staged: bool = False, after_staging: Callable[[], None] | None = None) -> LoadCounts | None:
     spark = tagged.sparkSession
     run_ts = run_ts or now_utc()
     seq = batch_seq() if seq is None else seq
     batch = batch or f"b{seq}"
     exchanged = layout != "put" or bool(num_partitions)  # before the rows are de-duplicated
-    kept = fresh_path(spark, "tagged") if rejects_path or exchanged or counted else None
+    kept = fresh_path(spark, "tagged") if rejects_path or exchanged or counted or staged else None
+    work = fresh_path(spark, "repeated") if staged and not exchanged else None
     counts = None
     if kept:
         watched, observation = loads.observed(tagged)
-        watched.write.parquet(kept)
+        watched.write.option("compression", "zstd").parquet(kept)
         got = observation.get
         counts = LoadCounts(got["rows"], got["accepted"], {r: got[r] for r in loads.REASONS if got[r]})
         tagged = spark.read.schema(tagged.schema).parquet(kept)
+        if after_staging:
+            after_staging()
     accepted = loads.accepted(tagged)
     rows, points = _arranged(settle_hot_keys(accepted, "row_key", order_cols) if exchanged else accepted, layout, num_partitions,
                              table_path, rows_per_range)
-    write_family_batch(stamp(to_cells(rows), run_ts, seq), table_path, family, batch, replace, max_records_per_file,
+    write_family_batch(stamp(to_cells(rows, work=work), run_ts, seq), table_path, family, batch, replace, max_records_per_file,
                        live.Change(points=points) if points else None)
     if rejects_path:
         (loads.rejected(tagged).write.mode("overwrite" if replace else "errorifexists")
          .option("partitionOverwriteMode", "static").parquet(f"{rejects_path}/batch={batch}"))
-    if kept:
-        remove_path(spark, kept)
+    for folder in filter(None, (kept, work)):
+        remove_path(spark, folder)
     return counts
 
 
@@ -133,18 +139,19 @@ def load_header(header: DataFrame, by_name: DataFrame, by_tax: DataFrame, year:
     """
     fill = fill or ("null" if layout == "put" else "-1")
     tagged = loads.tag_header(header, by_name, by_tax, year, mode)
-    return _load(tagged, lambda rows: header_cells(rows, fill), HEADER_STORED_COLS, HEADER_FAMILY, table_path, rejects_path, layout,
+    return _load(tagged, lambda rows, work: header_cells(rows, fill, work), HEADER_STORED_COLS, HEADER_FAMILY, table_path, rejects_path, layout,
                  run_ts, seq, replace, num_partitions, max_records_per_file, batch, rows_per_range, counted)
 
 
 def load_detail(detail: DataFrame, by_tax: DataFrame, table_path: str, rejects_path: str | None = None,
                 layout: str = "put", mode: str = "compat", run_ts=None, seq=None, replace: bool = False,
                 num_partitions=None, max_records_per_file=None, batch: str | None = None, rows_per_range: int | None = None,
-                counted: bool = False) -> LoadCounts | None:
-    """Line load; see ``load_header``."""
+                counted: bool = False, staged: bool = False, after_staging: Callable[[], None] | None = None) -> LoadCounts | None:
+    """Line load; see ``load_header``. A Put-style load with ``staged`` writes its tagged rows first and then exchanges only those
+    whose keys come more than once: much less disk for its shuffles where most come once. The input is not read after ``after_staging()``."""
     tagged = loads.tag_detail(detail, by_tax, mode)
     return _load(tagged, detail_cells, DETAIL_COLS, DETAIL_FAMILY, table_path, rejects_path, layout, run_ts, seq, replace,
-                 num_partitions, max_records_per_file, batch, rows_per_range, counted)
+                 num_partitions, max_records_per_file, batch, rows_per_range, counted, staged, after_staging)
 
 
 def sync_cells(source: DataFrame, target_path: str, run_ts=None, ts_policy: str = "write_time",

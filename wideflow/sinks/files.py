@@ -74,7 +74,7 @@ def write_family_batch(cells: DataFrame, path: str, family: str, batch: str, rep
     live.begin(spark, path)
     if not replace and any(map(earlier, live.live(spark, path))):
         raise FileExistsError(f"{path}: batch {batch} of family {family}")
-    w = cells.select(*[c for c in CELL_COLS if c != "family"]).write
+    w = cells.select(*[c for c in CELL_COLS if c != "family"]).write.option("compression", "zstd")
     _capped(w, max_records_per_file).parquet(f"{path}/family={family}/batch={own}")
     live.publish(spark, path, own, earlier, *([change] if change else []))
 

@@ -17,7 +17,8 @@ restarts, and a new checkpoint is a new stream. The checkpoint tracks consumed f
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,42 @@ def epoch_batch(owner: str, epoch_id: int) -> tuple[str, int]:
     return f"s{owner}e{epoch_id}", (int(owner[:7], 16) << 32) + epoch_id
 
 
+#: Spark removes the shuffle files of each execution when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """A stream that starts meanwhile (it copies the session's settings) removes its shuffle files after each epoch, as it holds on to
+    its last plan: else they lie beside those of its readers. A value set by the caller stays; the session keeps its own."""
+    if spark.conf.get(DROP_SHUFFLES, None) is not None:
+        yield
+        return
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(DROP_SHUFFLES)
+
+
+def drop_shuffles(epoch: DataFrame) -> None:
+    """Removes the shuffle files that an epoch's rows come from, once nothing reads these any more."""
+    sc = epoch.sparkSession.sparkContext._jsc.sc()
+    if sc.cleaner().isEmpty():  # switched off
+        return
+    plan, seen = [epoch._jdf.queryExecution().toRdd()], set()
+    while plan:
+        rdd = plan.pop()
+        if rdd.id() in seen:
+            continue
+        seen.add(rdd.id())
+        needs = rdd.dependencies()
+        for need in map(needs.apply, range(needs.size())):
+            if need.getClass().getSimpleName() == "ShuffleDependency":
+                sc.cleaner().get().doCleanupShuffle(need.shuffleId(), False)
+            plan.append(need.rdd())
+
+
 def _start(stream: DataFrame, load: Callable[..., None], checkpoint: str, available_now: bool, processing_time: str | None) -> StreamingQuery:
     """Runs ``load(rows, run_ts=, seq=, batch=, replace=)`` for every micro-batch."""
     def batch(df: DataFrame, epoch_id: int) -> None:
@@ -72,7 +109,8 @@ def _start(stream: DataFrame, load: Callable[..., None], checkpoint: str, availa
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start()
+    with _shuffles_dropped(stream.sparkSession):
+        return w.start()
 
 
 def start_header_load(stream: DataFrame, by_name: DataFrame, by_tax: DataFrame, year: str,
@@ -90,5 +128,6 @@ def start_detail_load(stream: DataFrame, by_tax: DataFrame, table_path: str, che
                       available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
     """Stream invoice lines into a cell table."""
     def load(df: DataFrame, **batch) -> None:
-        store.load_detail(df, by_tax, table_path, rejects_path, layout=layout, mode=mode, **batch)
+        store.load_detail(df, by_tax, table_path, rejects_path, layout=layout, mode=mode, staged=layout == "put",
+                          after_staging=lambda: drop_shuffles(df), **batch)
     return _start(stream, load, checkpoint, available_now, processing_time)
